@@ -1,3 +1,7 @@
 """DuckDB SQL for those queries of this subpackage that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from . import mixing
+
+ORACLES: dict[str, str] = {"op10_source_mixing": mixing.ORACLE}
