@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, passes, table, utf8, written
@@ -159,13 +159,16 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row per component: the row of its least key (one of equals if rows repeat it).
+    """``docs`` with one row per component: that of its least key.
 
-    A row with a null key is its own document and stays.
+    Rows that repeat a key are one document, whose row of least text stays; a row with a null key
+    is a document of its own and stays.
     """
     found = near_components(docs.where(F.col(key).isNotNull()), key, text)
     first = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    kept = docs.join(first, key, "left_semi").dropDuplicates([key])
+    rows = docs.select(F.col(key), F.struct("*").alias("__row")).where(F.col(key).isNotNull())
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(F.col("__row")[text]))
+    kept = rows.join(first, key, "left_semi").withColumn("__nth", nth).where("__nth = 1").select("__row.*")
     return kept.unionByName(docs.where(F.col(key).isNull()))
 
 
