@@ -34,7 +34,7 @@ MAX_TRAIN_ROWS = 20_000
 THRESHOLD = 0.5
 MASK = "[SECRET]"
 
-_KEYCHAR = np.isin(np.arange(256), np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", np.uint8))
+_KEYCHAR = np.isin(np.arange(256), np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", np.uint8))
 _DIGITS = np.isin(np.arange(256), np.frombuffer(b"0123456789", np.uint8))
 _WORDS_NEAR = frozenset("token secret password passwd pwd apikey api_key key auth bearer credential credentials access private signature client_secret access_token".split())
 _WORDS_BENIGN = frozenset("commit sha sha1 sha256 md5 hash checksum digest uuid guid id version revision build example sample placeholder test ref order invoice card phone isbn page".split())
@@ -45,11 +45,14 @@ class build config server client module system version example placeholder sampl
 export content service manager handler factory update create delete insert select download upload document report summary project release branch
 change your here insert dummy fake todo none null true false abcdef qwerty letter word long string random number count total first last next
 """.split())
+#: Openings of well-known key formats.
+PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "glpat-", "sk_live_", "sk-", "xoxb-", "AIza", "eyJ")
 _LONGEST_WORD = max(map(len, _DICTIONARY))
 FEATURES = (
     "length", "digit_share", "upper_share", "letter_share", "class_turns", "letter_steps", "distinct_share", "entropy", "hex_share", "runs", "dictionary_cover",
-    "slashes", "dashes", "path_before", "assigned", "quoted", "near_word", "benign_word", "uuid_like", "padding",
+    "slashes", "dashes", "path_before", "assigned", "quoted", "near_word", "benign_word", "uuid_like", "known_prefix",
 )
+_PREFIXES = tuple(p.encode() for p in PREFIXES)
 _UUID = re.compile(rb"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 _ASSIGN = re.compile(rb"[=:]\s*[\"'`]?\s*$")
 _NAME = re.compile(rb"[A-Za-z_0-9]+")
@@ -87,7 +90,7 @@ def features(left: bytes, found: bytes, right: bytes) -> list[float]:
         -sum(v / n * math.log2(v / n) for v in counts.values()), sum(c in b"0123456789abcdefABCDEF" for c in found) / n, longest / n, _cover(found),
         found.count(b"/"), found.count(b"-") + found.count(b"_"), float(left[-1:] in (b"/", b"\\", b".", b":", b"@", b"#") or right[:1] in (b"/", b"\\", b".", b"@")),
         float(bool(_ASSIGN.search(left))), float(left[-1:] in (b'"', b"'", b"`") and right[:1] in (b'"', b"'", b"`")), float(bool(split & _WORDS_NEAR)), float(bool(split & _WORDS_BENIGN)),
-        float(bool(_UUID.search(found))), float(found.endswith(b"=")),
+        float(bool(_UUID.search(found))), float(found.startswith(_PREFIXES)),
     ]
 
 
@@ -145,7 +148,7 @@ def fit_forest(x: np.ndarray, y: np.ndarray, n_trees: int = 48, depth: int = 8,
     return Forest(t[:, 0].astype(np.int32), t[:, 1], t[:, 2].astype(np.int32), t[:, 3].astype(np.int32), t[:, 4], np.array(roots, np.int32), depth)
 
 
-def example_findings(n: int = 3000, seed: int = 11) -> list[tuple[bytes, bytes, bytes, int]]:
+def example_findings(n: int = 4000, seed: int = 11) -> list[tuple[bytes, bytes, bytes, int]]:
     """Seeded labelled findings: keys in assignments and headers against ids, hashes, numbers, paths, words and placeholders."""
     rng = np.random.default_rng(seed)
     alphabets = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "b62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "b64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "up": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "dec": "0123456789"}
@@ -163,14 +166,17 @@ def example_findings(n: int = 3000, seed: int = 11) -> list[tuple[bytes, bytes,
         true = i % 2 == 0
         if true:
             kind = pick(["hex", "hex", "HEX", "b62", "b64", "up"])
-            key = draw(kind, int(pick([20, 24, 32, 36, 40, 40, 48, 64])))
-            key = pick(["", "", "", "sk_live_", "ghp_", "AKIA"]) + key + ("=" if kind == "b64" and rng.random() < 0.3 else "")
+            key = draw(kind, int(pick([16, 16, 18, 18, 20, 20, 24, 32, 36, 40, 40, 48, 64]))) + pick(["=", "", ""]) * (kind == "b64")
             q = pick(['"', '"', "'", ""])
-            before = case(pick(names)) + pick([" = ", "=", ": ", ":", " := ", "\": "]) + q if rng.random() < 0.85 else pick(["Authorization: Bearer ", "Bearer ", "auth "])
+            bare = i % 8 == 0
+            if bare:  # well-known formats need no name in front of them
+                kind, prefix, k = pick([("up", "AKIA", 16), ("up", "ASIA", 16), ("b62", "ghp_", 36), ("b62", "glpat-", 20), ("b62", "sk_live_", 24), ("b62", "AIza", 35)])
+                key, q = prefix + draw(kind, k), pick(["", "", '"'])
+            before = pick(["", "", " ", "key "]) + q if bare else case(pick(names)) + pick([" = ", "=", ": ", ":", " := ", "\": "]) + q if rng.random() < 0.85 else pick(["Authorization: Bearer ", "Bearer ", "auth "])
             after = q + pick([" ", "\n", ",", ";", "!! "])
         else:
             q, before, after = "", "", pick([" ", ". ", "\n", ", "])
-            style = int(rng.integers(8))
+            style = int(rng.integers(9))
             if style == 0:
                 key, before = draw("hex", int(pick([32, 40, 64]))), case(pick(plain)) + pick([" ", ": ", " = "])
             elif style == 1:
@@ -186,6 +192,8 @@ def example_findings(n: int = 3000, seed: int = 11) -> list[tuple[bytes, bytes,
                 key, before = pick(["your-api-key-here-123", "EXAMPLE_TOKEN_0000000000", "xxxxxxxxxxxxxxxxxxxxxxxx1", "placeholder-value-1234", "0123456789abcdef0123456789abcdef", "00000000000000000000"]), pick(["token = \"", "api_key=", "secret: "])
             elif style == 6:
                 key, before = "-".join(draw("dec", 4) for _ in range(int(rng.integers(4, 6)))), pick(["", "tel ", "order "])
+            elif style == 7:
+                key, before = pick(["INV", "ORD", "REF", "SN", "TOKENS", "ITEM"]) + draw("dec", int(rng.integers(12, 18))), pick(["", "no. ", "order "])
             else:
                 key, before, after = draw("hex", int(pick([8, 16, 20]))) + "-" + word() + draw("dec", 2) + word(), pick(["static/", "assets/", "img."]), pick([".js ", ".css ", ".png "])
         out.append(((left + " " + before)[-CONTEXT:].encode(), key.encode(), (after + right)[:CONTEXT].encode(), int(true)))
@@ -214,6 +222,9 @@ def candidates(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
     edge[off] = True
     before, after = np.concatenate(([False], inside)), np.concatenate((inside, [False]))
     start, end = np.flatnonzero(after & (~before | edge)), np.flatnonzero(before & (~after | edge))
+    doc_end = off[np.searchsorted(off, start, "right")]
+    for _ in range(2):  # padding belongs to the key that it ends
+        end = end + ((end < doc_end) & (data[np.minimum(end, len(data) - 1)] == 61))
     long = end - start >= SHORTEST
     start, end = start[long], end[long]
     digits = np.concatenate(([0], np.cumsum(_DIGITS[data], dtype=np.int64)))
