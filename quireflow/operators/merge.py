@@ -36,18 +36,18 @@ def may_overlap(chunks: DataFrame, order: str = "rank", file: str = "file_name")
     return chunks.withColumn("trim", F.coalesce(trim, F.lit(False)))
 
 
-def exact_overlap(tail: str, head: str) -> int:
-    """The longest suffix of ``tail`` that is a prefix of ``head``: the border length of head + tail."""
-    n = min(len(tail), len(head))
-    text = head[:n] + "\0" + tail[-n:] if n else ""
-    border = [0] * len(text)
-    k = 0
-    for i in range(1, len(text)):
-        while k and text[i] != text[k]:
-            k = border[k - 1]
-        k += text[i] == text[k]
-        border[i] = k
-    return border[-1] if border else 0
+def exact_overlap(tail: str, head: str, least: int = 1) -> int:
+    """The longest suffix of ``tail`` that is a prefix of ``head``, if at least ``least`` long, else 0.
+
+    It begins where the first ``least`` characters of ``head`` stand in ``tail``; leftmost is longest.
+    """
+    tail = tail[-min(len(tail), len(head)) :] if head else ""
+    at = tail.find(head[:least]) if tail else -1
+    while 0 <= at <= len(tail) - least:
+        if head.startswith(tail[at:]):
+            return len(tail) - at
+        at = tail.find(head[:least], at + 1)
+    return 0
 
 
 def seam(tail: str, head: str, likeness: float = LIKENESS, fuzzy: bool = True) -> int:
@@ -55,8 +55,8 @@ def seam(tail: str, head: str, likeness: float = LIKENESS, fuzzy: bool = True) -
     n = min(len(tail), len(head))
     if n < LEAST_EXACT:
         return 0
-    found = exact_overlap(tail, head) if "\0" not in tail + head else next((k for k in range(n, 0, -1) if tail.endswith(head[:k])), 0)
-    if found >= LEAST_EXACT:
+    found = exact_overlap(tail, head, LEAST_EXACT)
+    if found:
         return found
     for k in range(n, LEAST_FUZZY - 1, -FUZZY_STEP) if fuzzy else ():
         match = SequenceMatcher(None, tail[-k:], head[:k])
