@@ -7,7 +7,7 @@ one row per block, so no group outgrows the number of blocks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,21 +18,24 @@ from pyspark.sql import functions as F
 _STEP = 1 << 16
 
 
-def ask(blocks: DataFrame, words: str, counts: str) -> DataFrame:
-    """(block, code, word, c, first): corpus counts of the hashes in binary column ``words`` (little-endian 64-bit,
-    distinct; ``counts`` likewise). ``code`` is the place in the block's array, ``word`` is set in the row where ``first`` is."""
+def ask(blocks: DataFrame, columns: list[str], distinct: Callable[..., tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(block, code, word, c, first): corpus counts of each block's distinct 64-bit hashes.
+
+    ``distinct`` makes (hashes, counts) of the values of ``columns``; ``code`` is the place among those hashes.
+    ``word`` is set in the one row of each hash where ``first`` is.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                block = batch.column(0)[row].as_py()
-                word = np.frombuffer(batch.column(1)[row].as_py(), "<i8")
-                own = np.frombuffer(batch.column(2)[row].as_py(), "<i8")
+                block, *values = (c[row].as_py() for c in batch.columns)
+                word, own = distinct(*values)
+                word, own = word.view(np.int64), own.astype(np.int64, copy=False)
                 for lo in range(0, len(word), _STEP):
                     w = word[lo : lo + _STEP]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), block)), pa.array(np.arange(lo, lo + len(w), dtype=np.int32)), pa.array(w), pa.array(own[lo : lo + len(w)])], ["block", "code", "word", "own"])
 
-    rows = blocks.select("block", words, counts).mapInArrow(run, "block bigint, code int, word bigint, own bigint")
+    rows = blocks.select("block", *columns).mapInArrow(run, "block bigint, code int, word bigint, own bigint")
     same = Window.partitionBy("word")
     first = F.row_number().over(same.orderBy("block")) == 1
     return rows.select("block", "code", F.when(first, F.col("word")).alias("word"), F.sum("own").over(same).alias("c"), first.alias("first"))

@@ -1,15 +1,16 @@
 """Seam merge: ordered chunk texts of a file become one text, overlaps removed once.
 
 Which neighbours may be trimmed at all is relational (previous row by window, boxes, declared
-overlaps).  The fold itself carries the text so far, so it is one grouped pandas function per file;
+overlaps).  The fold itself carries the text so far, so it is one pass in Python over files that a window keeps whole;
 its state is the text and running bracket counts, so a seam costs its window and not the whole text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,13 +128,43 @@ def fold(texts: list[str], kinds: list[str], trims: list[bool], ids: list[str],
     return so_far.text(), removed
 
 
+_REMOVED = pa.list_(pa.struct([("chunk_id", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+
 def merge(chunks: DataFrame, order: str = "rank", fuzzy: bool = True, window: int = WINDOW_BODY, window_table: int = WINDOW_TABLE, likeness: float = LIKENESS) -> DataFrame:
-    """(file_name, markdown, removed) of ordered chunks with ``trim``; files hash to tasks, one file's chunks at a time."""
+    """(file_name, markdown, removed) of ordered chunks with ``trim``.
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order)
-        text, removed = fold(group["markdown"].tolist(), group["block_type"].tolist(), group["trim"].tolist(), group["chunk_id"].tolist(), window, window_table, likeness, fuzzy)
-        return pd.DataFrame({"file_name": [group["file_name"].iloc[0]], "markdown": [text], "removed": [[{"chunk_id": c, "start": a, "end": b} for c, a, b in removed]]})
+    The window that marks each file's first chunk leaves files whole and sorted within partitions
+    (and shares the shuffle of ``may_overlap``), so the fold is one pass over a partition that
+    holds one file's chunks at a time, without a call per file.
+    """
 
-    rows = chunks.select("file_name", order, "chunk_id", "markdown", "block_type", "trim")
-    return rows.groupBy("file_name").applyInPandas(run, RESULT)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[tuple[str, str, list[dict]]] = []
+        held: list[tuple] = []
+
+        def close() -> None:
+            text, removed = fold(*(list(c) for c in list(zip(*held, strict=True))[1:]), window, window_table, likeness, fuzzy)
+            done.append((held[0][0], text, [{"chunk_id": c, "start": a, "end": b} for c, a, b in removed]))
+            held.clear()
+
+        def out() -> pa.RecordBatch:
+            cols = list(zip(*done, strict=True)) if done else [[]] * 3
+            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), _REMOVED), strict=True)], ["file_name", "markdown", "removed"])
+            done.clear()
+            return batch
+
+        for batch in batches:
+            for first, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if first and held:
+                    close()
+                held.append(tuple(row))
+            if done:
+                yield out()
+        if held:
+            close()
+            yield out()
+
+    first = F.row_number().over(Window.partitionBy("file_name").orderBy(order)) == 1
+    rows = chunks.select(first.alias("first"), F.col("file_name").cast("string").alias("file_name"), "markdown", "block_type", "trim", "chunk_id")
+    return rows.mapInArrow(run, RESULT)
