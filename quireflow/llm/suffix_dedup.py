@@ -44,7 +44,7 @@ from .common import passes, table, utf8, written
 
 MATCH = 200
 GRAM = 24
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 #: Occurrences of a trigger above which its windows are dealt more finely.
 HOT = 2000
 #: Bytes of phrases in a shard, about.
@@ -96,7 +96,7 @@ def parse(off: np.ndarray, data: np.ndarray, match: int = MATCH, gram: int = GRA
 
 
 def _packed(data: bytes) -> bytes:
-    return pa.compress(data, codec="zstd", asbytes=True)
+    return bytes(pa.Codec("zstd", compression_level=6).compress(data))
 
 
 def _unpacked(data: bytes, size: int) -> bytes:
@@ -104,48 +104,60 @@ def _unpacked(data: bytes, size: int) -> bytes:
 
 
 def blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """A written table of blocks: ids, document ends, text, phrases, and the distinct hashes to ask for."""
-    names = ["block", "ids", "ends", "text", "n_cells", "cells", "words", "counts"]
+    """A written table of blocks: ids, document ends, text. All that is derived from a block is computed where it is needed."""
+    names = ["block", "ids", "ends", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, size = TaskContext.get().partitionId(), 0, 0
         ids: list = []
         texts: list[bytes] = []
         lengths: list[np.ndarray] = []
-        found: list[dict[str, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            p = {k: np.concatenate([f[k] for f in found]) for k in found[0]}
-            hashes = np.concatenate((bw.mix(p["trigger"] ^ np.uint64(0x51)), p["phrase"]))
-            words, codes, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-            n = len(p["start"])
-            cells = np.stack([p["start"], p["stop"], p["at"], codes[:n], codes[n:]]).astype("<i4")
             ends = np.cumsum(np.concatenate(lengths))
-            values = [[(part << 32) + number], [list(ids)], [ends.astype("<i8").tobytes()], [_packed(b"".join(texts))], [n], [_packed(cells.tobytes())], [words.astype("<u8").tobytes()], [counts.astype("<i8").tobytes()]]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int32(), *[pa.binary()] * 3]
-            ids.clear(), texts.clear(), lengths.clear(), found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names)
+            values = [[(part << 32) + number], [list(ids)], [ends.astype("<i8").tobytes()], [_packed(b"".join(texts))]]
+            ids.clear(), texts.clear(), lengths.clear()
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()), strict=True)], names)
 
         for batch in batches:
             off, data = utf8(batch.column(1))
             for lo, hi in passes(off):
-                o, d = off[lo : hi + 1] - off[lo], data[off[lo] : off[hi]]
-                p = parse(o, d)
-                found.append({k: v + size if k in ("start", "stop", "at") else v for k, v in p.items()})
                 ids += batch.column(0).slice(lo, hi - lo).to_pylist()
-                texts.append(d.tobytes())
-                lengths.append(np.diff(o))
-                size += len(d)
+                texts.append(data[off[lo] : off[hi]].tobytes())
+                lengths.append(np.diff(off[lo : hi + 1]))
+                size += int(off[hi] - off[lo])
                 if size >= block_bytes:
                     yield flush()
                     number, size = number + 1, 0
         if ids:
             yield flush()
 
-    schema = "block bigint, ids array<bigint>, ends binary, text binary, n_cells int, cells binary, words binary, counts binary"
+    schema = "block bigint, ids array<bigint>, ends binary, text binary"
     return written(docs.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(run, schema), "suffixblocks")
 
 
+def _opened(ends: bytes, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Document offsets and bytes of a block."""
+    off = np.concatenate(([0], np.frombuffer(ends, "<i8")))
+    return off, np.frombuffer(_unpacked(text, int(off[-1])), np.uint8)
+
+
+def _phrases(off: np.ndarray, data: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """A block's phrases (trigger and phrase as codes), its distinct hashes of both, and how often it holds each."""
+    found = []
+    for lo, hi in passes(off):
+        p = parse(off[lo : hi + 1] - off[lo], data[off[lo] : off[hi]])
+        found.append({k: v + off[lo] if k in ("start", "stop", "at") else v for k, v in p.items()})
+    p = {k: np.concatenate([f[k] for f in found]) for k in found[0]}
+    words, codes, counts = np.unique(np.concatenate((bw.mix(p["trigger"] ^ np.uint64(0x51)), p["phrase"])), return_inverse=True, return_counts=True)
+    n = len(p["start"])
+    return p | {"trigger": codes[:n], "phrase": codes[n:]}, words, counts
+
+
+def _asked(ends: bytes, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return _phrases(*_opened(ends, text))[1:]
+
+
 def _deal(data: np.ndarray, start: int, stop: int, at: int, trigger: int) -> list[tuple[int, int, int]]:
     """(first window, one past the last, shard key) of a hot trigger's phrase; every key is a function of window content."""
     raw, out = data, []
@@ -181,18 +193,15 @@ def sift(parsed: DataFrame, answers: DataFrame, hot: int = HOT) -> DataFrame:
     names = ["block", "start", "stop", "key", "single", "text"]
 
     def run(block: pa.Table, known: pa.Table) -> pa.Table:
-        size = np.frombuffer(block.column("ends")[0].as_py(), "<i8")
-        n_bytes = int(size[-1]) if len(size) else 0
         number = block.column("block")[0].as_py()
-        data = np.frombuffer(_unpacked(block.column("text")[0].as_py(), n_bytes), np.uint8)
-        words = np.frombuffer(block.column("words")[0].as_py(), "<u8")
-        counts = np.frombuffer(block.column("counts")[0].as_py(), "<i8").copy()
-        first = np.ones(len(words), bool)
+        off, data = _opened(block.column("ends")[0].as_py(), block.column("text")[0].as_py())
+        p, words, _ = _phrases(off, data)
+        start, stop, at, trigger, phrase = (p[k] for k in ("start", "stop", "at", "trigger", "phrase"))
+        # only counts above one were sent back
+        counts, first = np.ones(len(words), np.int64), np.ones(len(words), bool)
         code = known.column("code").to_numpy()
         counts[code] = known.column("c").to_numpy()
         first[code] = known.column("first").to_numpy(zero_copy_only=False)
-        n_cells = block.column("n_cells")[0].as_py()
-        start, stop, at, trigger, phrase = np.frombuffer(_unpacked(block.column("cells")[0].as_py(), n_cells * 20), "<i4").reshape(5, -1).astype(np.int64)
         whole = counts[phrase] >= 2
         s, e = _merge(start[whole], stop[whole])
         rows: list[tuple] = [(number, a, b, None, None, None) for a, b in zip(s.tolist(), e.tolist(), strict=True)]
@@ -211,7 +220,7 @@ def sift(parsed: DataFrame, answers: DataFrame, hot: int = HOT) -> DataFrame:
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
         return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-    left = parsed.select("block", "ends", "text", "cells", "words", "counts", "n_cells").groupBy("block")
+    left = parsed.select("block", "ends", "text").groupBy("block")
     right = answers.where("c > 1").select("block", "code", "c", "first").groupBy("block")
     return written(left.cogroup(right).applyInArrow(run, "block bigint, start int, stop int, key bigint, single boolean, text binary"), "phrases")
 
@@ -275,14 +284,13 @@ def remove(parsed: DataFrame, spans: DataFrame, key: str = "doc_id", with_text:
     kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * with_text
 
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
-        ends = np.frombuffer(block.column("ends")[0].as_py(), "<i8")
-        data = _unpacked(block.column("text")[0].as_py(), int(ends[-1]) if len(ends) else 0)
+        off, data = _opened(block.column("ends")[0].as_py(), block.column("text")[0].as_py())
+        data = data.tobytes()
         # windows never cross documents, so neither do the byte ranges they cover; ranges that touch at a
         # document's edge are joined by the union and cut again below
         s, e = _merge(found.column("start").to_numpy().astype(np.int64), found.column("stop").to_numpy().astype(np.int64) + MATCH - 1)
-        begin = np.concatenate(([0], ends[:-1]))
         rows = []
-        for doc, lo, hi in zip(block.column("ids")[0].as_py(), begin.tolist(), ends.tolist(), strict=True):
+        for doc, lo, hi in zip(block.column("ids")[0].as_py(), off[:-1].tolist(), off[1:].tolist(), strict=True):
             a, b = int(np.searchsorted(e, lo, "right")), int(np.searchsorted(s, hi, "left"))
             at, removed, kept = lo, 0, []
             for i in range(a, b):
@@ -303,7 +311,7 @@ def remove(parsed: DataFrame, spans: DataFrame, key: str = "doc_id", with_text:
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT, with_text: bool = False, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The whole operator over a table of documents."""
     parsed = blocks(docs, key, text, block_bytes)
-    phrases = sift(parsed, ask(parsed, "words", "counts"), hot)
+    phrases = sift(parsed, ask(parsed, ["ends", "text"], _asked), hot)
     spans = phrases.where("text is null").select("block", "start", "stop").unionByName(decide(phrases, shard_bytes))
     return remove(parsed, spans, key, with_text)
 
