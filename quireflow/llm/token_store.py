@@ -89,6 +89,16 @@ def repair(ids: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = 5,
     return seq, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), last
 
 
+def _levels(rules: np.ndarray, first_rule: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rules whose children all stand before the range (one per round that made rules)."""
+    top = np.maximum.accumulate(rules.max(axis=1).astype(np.int64)) - first_rule if len(rules) else np.zeros(0, np.int64)
+    lo = 0
+    while lo < len(rules):
+        hi = int(np.searchsorted(top, lo, "left"))
+        yield lo, hi
+        lo = hi
+
+
 @dataclass
 class Block:
     """One decoded header of a block; ``symbols`` still are grammar symbols."""
@@ -109,8 +119,9 @@ class Block:
         last[token_ends - 1] = True
         symbols, rules, last = repair(ids, last, vocabulary_size)
         lengths = np.ones(len(rules), np.uint32)
-        for i, (a, b) in enumerate(rules.tolist()):
-            lengths[i] = (lengths[a - vocabulary_size] if a >= vocabulary_size else 1) + (lengths[b - vocabulary_size] if b >= vocabulary_size else 1)
+        for lo, hi in _levels(rules, vocabulary_size):
+            child = rules[lo:hi].astype(np.int64) - vocabulary_size
+            lengths[lo:hi] = np.where(child >= 0, lengths[np.maximum(child, 0)], 1).sum(axis=1)
         return cls(keys, np.flatnonzero(last) + 1, token_ends, vocabulary_size, rules, lengths, symbols)
 
     def dump(self) -> bytes:
@@ -145,15 +156,15 @@ class Block:
     def _table(self) -> tuple[np.ndarray, np.ndarray]:
         """Every rule's expansion in a row, and where each begins; built once, rules in order."""
         if not hasattr(self, "_flat"):
-            first, done = self.first_rule, []
-            for a, b in self.rules.tolist():
-                done.append((done[a - first] if a >= first else [a]) + (done[b - first] if b >= first else [b]))
-            self._flat = np.array([x for d in done for x in d], np.uint32)
             self._begin = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+            self._flat = np.zeros(0, np.uint32)
+            for lo, hi in _levels(self.rules, self.first_rule):
+                # children are expanded already
+                self._flat = np.concatenate((self._flat, self.expand(self.rules[lo:hi].ravel())))
         return self._flat, self._begin
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        flat, begin = self._table()
+        flat, begin = self._table() if not hasattr(self, "_flat") else (self._flat, self._begin)
         is_rule = symbols >= self.first_rule
         rule = np.where(is_rule, symbols.astype(np.int64) - self.first_rule, 0)
         length = np.ones(len(symbols), np.int64)

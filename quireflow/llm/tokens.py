@@ -1,9 +1,9 @@
 """Token ids of whole texts by a public tokenizer file, encoded once per distinct piece.
 
-A text is cut before each single space that follows a character which is not white space.  The
-pre-tokenizers used here never join across such a place, so encoding piece by piece (each with the
-space before it) gives the ids of the whole text; texts that hold other white space next to a
-space, or white space beyond ASCII, are encoded whole.  Pieces are encoded by the tokenizers
+A text is cut before each single space or line end that follows a character which is not white
+space.  The pre-tokenizers used here never join across such a place, so encoding piece by piece (each
+with the space or line end before it) gives the ids of the whole text; texts that hold white space in
+front of a space, a line end or the end, or white space beyond ASCII, are encoded whole.  Pieces are encoded by the tokenizers
 library and remembered per Python worker; the memory is emptied when it is full.
 """
 
@@ -11,15 +11,20 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 
-#: Remembered pieces and remembered ids of one worker, at most.
-MOST_PIECES = 400_000
-MOST_IDS = 4_000_000
-#: A space next to other white space, at the end, or any white space outside ASCII.
-_ODD = re.compile("[\t\n\x0b\x0c\r ] |[\x1c-\x1f\x85\xa0  -     　]| $")
+#: Remembered pieces of one worker, at most; beyond that those seen once are forgotten, then all.
+MOST_PIECES = 600_000
+#: A space, line end or end of text after white space; white space outside ASCII.
+_ODD = re.compile("[\t\n\x0b\x0c\r ](?:[ \n]|\\Z)")
+_BLANK = frozenset(("", *"\t\n\x0b\x0c\r "))
+_WIDE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Marks that may follow a word: pre-tokenizers take a run of them as one piece. Apostrophes are not among them.
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def vocabulary(name: str) -> str:
@@ -38,8 +43,8 @@ def _tokenizer(path: str):
     return found
 
 
-#: Words that pre-tokenizers keep whole: letters of ASCII and Latin-1, and a tail of plain marks.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+#: Letters of ASCII and Latin-1, which pre-tokenizers keep together and normal forms leave alone.
+_LATIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 
 
 class Encoder:
@@ -47,104 +52,125 @@ class Encoder:
 
     def __init__(self, path: str, lower: bool):
         self.tokenizer, self.lower = _tokenizer(path), lower
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
+        self.lead = self.letters[32] if not lower else ""
+        self.tails = {}
         self._forget()
 
     def _forget(self) -> None:
         self.codes: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.ends = np.zeros(1 << 12, np.int64)
-        self.heads: dict[str, int] = {}
-        self.n_ids = self.n = 0
-        self.parts: dict[str, list[int]] = {}
+        self.ids = self.begin = self.length = self.seen = np.zeros(0, np.int64)
+        self.heads: dict[str, list[int]] = {}
+
+    def _shrink(self) -> None:
+        """Keep the pieces that came up more than once."""
+        keep = self.seen > 1
+        if keep.sum() > MOST_PIECES // 2:
+            self._forget()
+            return
+        number = np.cumsum(keep) - 1
+        self.codes = {p: int(number[c]) for p, c in self.codes.items() if keep[c]}
+        begin, length = self.begin[keep], self.length[keep]
+        total = np.cumsum(length) - length
+        self.ids = self.ids[np.repeat(begin - total, length) + np.arange(int(length.sum()))]
+        self.begin, self.length, self.seen = total, length, np.zeros(len(length), np.int64)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _part(self, part: str) -> list[int]:
-        """Ids of one pre-token, straight from the library's model."""
-        got = self.parts.get(part)
+    def _tail(self, tail: str) -> list[int]:
+        got = self.tails.get(tail)
         if got is None:
-            got = [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]
-            if len(part) < 8 and len(self.parts) < 100_000:
-                self.parts[part] = got
+            got = self.tails[tail] = [t.id for t in self.tokenize(tail)]
         return got
 
-    def _encode(self, pieces: list[str], space: bool) -> list[list[int]]:
-        out: list[list[int] | None] = []
+    def _encode(self, pieces: list[str], lead: str) -> list[list[int]]:
+        """Ids of pieces. A word of plain letters, with or without marks behind it, goes to the library's model
+        directly, as the pre-tokens that it is; all others go through the whole tokenizer."""
+        tokenize, latin, letters, lower = self.tokenize, _LATIN.fullmatch, self.letters, self.lower
+        # most pieces are plain ASCII words
+        out = [[t.id for t in tokenize(lead + (p.lower() if lower else p))] if p.isascii() and p.isalpha() else None for p in pieces]
         rest: list[int] = []
-        for i, piece in enumerate(pieces):
-            plain = _PLAIN.fullmatch(piece)
-            if plain is None:
-                out.append(None)
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            piece = pieces[i]
+            word, before, ids = piece.rstrip(_TAIL), lead, []
+            n = len(piece) - len(word)
+            if lead and word[:1] == "\n":  # a line's first word: the line end is a pre-token, and no space comes before the word
+                word, before, ids = word[1:], "", self._tail(letters[10])
+            if word.isascii() and word.isalpha():
+                raw = word.lower() if lower else word
+            elif latin(word):
+                raw = (word.lower() if lower else word).encode().decode("latin-1").translate(letters)
+            else:
                 rest.append(i)
                 continue
-            word, tail = plain.groups()
-            if self.lower:
-                out.append(self._part(word.lower()) + (self._part(tail) if tail else []))
-            else:
-                out.append(self._part(" " + word if space else word) + (self._part(tail) if tail else []))
+            out[i] = ids + [t.id for t in tokenize(before + raw)] + (self._tail(piece[-n:]) if n else [])
         if rest:
-            for i, ids in zip(rest, self._whole([" " + pieces[i] if space and not self.lower else pieces[i] for i in rest]), strict=True):
+            spaced = [" " + pieces[i] if lead and pieces[i][:1] != "\n" else pieces[i] for i in rest]
+            for i, ids in zip(rest, self._whole(spaced), strict=True):
                 out[i] = ids
         return out
 
-    def _learn(self, table: dict[str, int], pieces: list[str], space: bool) -> None:
-        for piece, ids in zip(pieces, self._encode(pieces, space), strict=True):
-            while self.n_ids + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-            if self.n == len(self.ends):
-                self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-            self.ids[self.n_ids : self.n_ids + len(ids)] = ids
-            self.n_ids += len(ids)
-            self.ends[self.n] = self.n_ids
-            table[piece] = self.n
-            self.n += 1
+    def _learn(self, pieces: list[str]) -> None:
+        got = self._encode(pieces, self.lead)
+        length = np.fromiter(map(len, got), np.int64, len(got))
+        self.codes.update(zip(pieces, range(len(self.length), len(self.length) + len(got)), strict=True))
+        self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(length) - length))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(got), np.int64, int(length.sum()))))
+        self.length = np.concatenate((self.length, length))
+        self.seen = np.concatenate((self.seen, np.zeros(len(got), np.int64)))
+
+    def _cut_wrongly(self, pieces: Iterable[str], heads: Iterable[str]) -> bool:
+        """Whether some text can't be cut at its spaces and line ends. Such pieces are never remembered, so new ones tell."""
+        return any(p[-1:] in _BLANK for p in pieces) or any(h and h[-1] in _BLANK for h in heads) or any(_WIDE.search(" ".join(x)) for x in (pieces, heads))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and how many each text has."""
-        if len(self.codes) > MOST_PIECES or self.n_ids > MOST_IDS:
-            self._forget()
-        odd = [i for i, t in enumerate(texts) if _ODD.search(t)] if not self.lower else []
-        whole = dict(zip(odd, self._whole([texts[i] for i in odd]), strict=True)) if odd else {}
-        split = [[] if i in whole else t.split(" ") if t else [] for i, t in enumerate(texts)]
-        heads = self.codes if self.lower else self.heads  # a text's first piece has no space before it
-        firsts = 0 if self.lower else 1
-        fresh = {p for s in split for p in s[firsts:]}
-        fresh.difference_update(self.codes)
-        self._learn(self.codes, sorted(fresh), True)
-        if not self.lower:
-            fresh = {s[0] for s in split if s}
-            fresh.difference_update(heads)
-            self._learn(heads, sorted(fresh), False)
-        n_pieces = np.fromiter(map(len, split), np.int64, len(split))
-        get = self.codes.__getitem__
-        codes = np.fromiter((c for s in split for c in map(get, s if self.lower else s[1:])), np.int64, int(n_pieces.sum()) - (0 if self.lower else int((n_pieces > 0).sum())))
+        if not texts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        if len(self.codes) > MOST_PIECES:
+            self._shrink()
+        whole: dict[int, list[int]] = {}
+        while True:
+            joined = " ".join(texts).replace("\n", " " if self.lower else " \n")
+            pieces = joined.split(" ")
+            n_pieces = np.fromiter((t.count(" ") + t.count("\n") for t in texts), np.int64, len(texts)) + 1
+            first = np.cumsum(n_pieces) - n_pieces
+            codes = np.fromiter(map(self.codes.get, pieces, repeat(-1)), np.int64, len(pieces))
+            if not self.lower:
+                codes[first] = 0  # a text's first piece has no space before it: it has ids of its own
+            new = np.flatnonzero(codes < 0).tolist()
+            fresh = list(dict.fromkeys(pieces[i] for i in new))
+            heads = [] if self.lower else [pieces[i] for i in first.tolist()]
+            if self.lower or whole or not self._cut_wrongly(fresh, heads):
+                break
+            odd = [i for i, t in enumerate(texts) if _ODD.search(t) or _WIDE.search(t)]
+            whole = dict(zip(odd, self._whole([texts[i] for i in odd]), strict=True))
+            texts = ["" if i in whole else t for i, t in enumerate(texts)]
+            if not whole:
+                break
+        if fresh:
+            self._learn(fresh)
+            codes[new] = np.fromiter((self.codes[pieces[i]] for i in new), np.int64, len(new))
+        if not len(self.length):
+            self._learn([""])
+        begin, length = self.begin[codes], self.length[codes]
+        ids = self.ids
+        self.seen += np.bincount(codes, minlength=len(self.seen))
         if not self.lower:
-            # first pieces go in front of their text's others
-            live = n_pieces > 0
-            at = (np.cumsum(n_pieces) - n_pieces)[live]
-            full = np.empty(int(n_pieces.sum()), np.int64)
-            rest = np.ones(len(full), bool)
-            rest[at] = False
-            full[rest] = codes
-            full[at] = [heads[s[0]] for s in split if s]
-            codes = full
-        ends = self.ends[: self.n]
-        begin = np.concatenate(([0], ends[:-1])) if self.n else ends
-        length = (ends - begin)[codes]
+            fresh = [h for h in dict.fromkeys(heads) if h not in self.heads]
+            self.heads.update(zip(fresh, self._encode(fresh, ""), strict=True))
+            got = [whole.get(i, self.heads[h]) for i, h in enumerate(heads)]
+            extra = np.fromiter(map(len, got), np.int64, len(got))
+            begin[first], length[first] = len(ids) + np.cumsum(extra) - extra, extra
+            ids = np.concatenate((ids, np.fromiter(chain.from_iterable(got), np.int64, int(extra.sum()))))
+            if len(self.heads) > MOST_PIECES // 8:
+                self.heads = {}
         total = np.concatenate(([0], np.cumsum(length)))
-        ids = self.ids[np.repeat(begin[codes] - total[:-1], length) + np.arange(total[-1])]
-        bounds = np.concatenate(([0], np.cumsum(n_pieces)))
-        counts = total[bounds[1:]] - total[bounds[:-1]]
-        if whole:
-            pieces = np.split(ids, np.cumsum(counts)[:-1])
-            for i, got in whole.items():
-                pieces[i] = np.array(got, np.int32)
-                counts[i] = len(got)
-            ids = np.concatenate(pieces)
-        return ids.astype(np.int32, copy=False), counts
+        out = ids[np.repeat(begin - total[:-1], length) + np.arange(total[-1])]
+        bounds = np.append(first, len(pieces))
+        return out.astype(np.int32), total[bounds[1:]] - total[bounds[:-1]]
 
 
 def _byte_letters() -> dict[int, str]:

@@ -13,7 +13,7 @@ from quireflow.llm import mixing, packing, queries, sql, token_store, tokens, wa
 from quireflow.llm.common import table
 
 SF = "/root/testdata/sf0.001"
-AWKWARD = ["", " ", "a", " a  b ", "x\n\ny", "don't we're", "<|endoftext|> hi", "É́a b", "x  　y", "日本 語。 ok", "a\t b", "tail ", "Σας ΣΑΣ İ i", "1234 5a6", "\n", "a \n b", "...", " .", "ab,,, c!?", "\xa0 a", "a\xa0 b", "\x1f x", words(500, 9)]
+AWKWARD = ["", " ", "a", " a  b ", "x\n\ny", "don't we're", "<|endoftext|> hi", "É́a b", "x  　y", "日本 語。 ok", "a\t b", "tail ", "Σας ΣΑΣ İ i", "1234 5a6", "\n", "a \n b", "...", " .", "ab,,, c!?", "\xa0 a", "a\xa0 b", "\x1f x", "a\t", "a\t b", "b\n", "b\n c", "\nab\ncd.\nEf, g", "a\n\n\nb", "q.\n...\n!x", "a\r\nb", "a\t\nb", "a\tb", "x_y", "don't's", words(500, 9)]
 
 
 @pytest.mark.parametrize(("name", "lower"), [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
