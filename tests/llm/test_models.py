@@ -139,3 +139,57 @@ def test_longer_contexts_help_on_corpus(spark):
     counts = lm_scoring.written(lm_scoring.counted(tokenised), "c")
     got = lm_scoring.score(tokenised, counts, lm_scoring.fit(tokenised, counts)).where("held_out").toPandas()
     assert got.score.sum() > got.base_score.sum()
+
+
+def plain_suffix_scores(docs, longest):
+    """Scores of the suffix tree of all contexts and symbols seen twice or more, by dictionaries."""
+    train = [tokens(x) for i, x in docs if not lm_scoring.held_out(i)]
+    grams = [Counter(tuple(t[i : i + k]) for t in train for i in range(len(t) - k + 1)) for k in range(longest + 2)]
+    n, v = sum(grams[1].values()), len(grams[1])
+    follow, kept = {}, {}
+    for k in range(2, longest + 2):
+        for g, c in grams[k].items():
+            if c >= 2:
+                follow.setdefault(g[:-1], {})[g[-1]] = (c - lm_scoring.DISCOUNT) / grams[k - 1][g[:-1]]
+
+    def prob(context, symbol):
+        p = (grams[1][(symbol,)] + 1) / (n + v + 1)
+        for k in range(1, len(context) + 1):
+            s = context[len(context) - k :]
+            if s in kept:
+                p = kept[s].get(symbol, 0.0) + (1 - sum(kept[s].values())) * p
+        return p
+
+    for s in sorted(follow, key=len):
+        rest, kl = 1 - sum(follow[s].values()), 0.0
+        for x, own in follow[s].items():
+            q = prob(s[1:], x)
+            kl += (own + rest * q) * math.log((own + rest * q) / q)
+        if kl >= lm_scoring.KL_MIN:
+            kept[s] = follow[s]
+    return {i: sum(math.log10(prob(tuple(t[max(0, j - longest) : j]), x)) for j, x in enumerate(t)) for i, text in docs for t in [tokens(text)]}, kept
+
+
+@pytest.mark.parametrize("shard_tokens", [50, 10**6])
+def test_whole_scores_match_dictionaries(spark, shard_tokens):
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choice("abcdefghij") + rng.choice(["", "x"]) for _ in range(rng.randint(0, 60)))) for i in range(60)]
+    docs += [(i, docs[i % 7][1]) for i in range(60, 70)] + [(70, None), (71, "")]
+    want, kept = plain_suffix_scores(docs, lm_scoring.LONGEST)
+    assert {len(s) for s in kept} == set(range(1, lm_scoring.LONGEST + 1))
+    tokenised = lm_scoring.blocks(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), block_bytes=800)
+    got = {r.doc_id: r.score for r in lm_scoring.score_whole(tokenised, shard_tokens=shard_tokens, piece_tokens=100).collect()}
+    assert got == pytest.approx(want)
+    parts = {r.doc_id: r.score for r in lm_scoring.score_whole(tokenised, kl_min=0.0, hot=20).collect()}
+    assert parts == pytest.approx({r.doc_id: r.score for r in lm_scoring.score_whole(tokenised, kl_min=0.0).collect()})
+    assert lm_scoring.score_whole(lm_scoring.blocks(empty(spark))).count() == 0
+
+
+def test_states_grow_with_the_corpus(spark):
+    # a pair seen four times is far below one in a million tokens, however large the corpus
+    rows = [(i, words(60_000, 100 + i % 3).replace(" ", f"{i} ")) for i in range(40)]
+    some = [i for i in range(1000, 1020) if not lm_scoring.held_out(i)][:4]
+    rows += [(i, "needle thread") for i in some]
+    tokenised = lm_scoring.blocks(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = {r.doc_id: r for r in lm_scoring.score_whole(tokenised).collect()}
+    assert got[some[0]].train_tokens * lm_scoring.P_PAIR > 1 and got[some[0]].score > got[some[0]].base_score + 5
