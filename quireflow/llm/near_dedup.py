@@ -21,7 +21,7 @@ share its component.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import bytewords as bw
 from .common import LOWER, UPPER, passes, table, utf8, written
 from .components import components
 
@@ -158,13 +159,132 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     return marked.join(answer, "fp").select(key, "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row per component: that of its least key.
+# Near copies by the Jaccard similarity of word shingles, as pipelines take them.
+
+#: Shingle and similarity of the pipeline's stage.
+STAGE_SHINGLE, STAGE_SIMILARITY = 5, 0.8
+#: Min-hash bands and values in each: a pair of similarity 0.8 shares no band once in 5000 times.
+BANDS, BAND_ROWS = 16, 4
+#: Distinct sets that are compared in one group; larger buckets are dealt, otherwise in every band.
+GROUP = 2048
+_TURNS = np.random.default_rng(SEED).integers(1, 1 << 62, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingle_sets(off: np.ndarray, data: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of documents in a row and where each document's begin (n+1); texts of fewer words are one shingle, without words none."""
+    data = np.frombuffer(_FOLD, np.uint8)[data]
+    start, end, doc = bw.word_spans(data, off)
+    word = bw.span_hash(bw.prefix_hash(data), start, end)
+    many = np.bincount(doc, minlength=len(off) - 1)
+    first = np.cumsum(many) - many
+    place = np.arange(len(word)) - first[doc]
+    h = np.zeros(len(word), np.uint64)
+    for k in range(shingle):  # words past the end of a short text count as none
+        at = np.minimum(np.arange(len(word)) + k, max(len(word) - 1, 0))
+        h = _mix(h + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(3) + np.where(place + k < many[doc], word[at], np.uint64(0))
+    whole = place <= np.maximum(many[doc] - shingle, 0)
+    h, doc = _mix(h[whole]), doc[whole]
+    order = np.lexsort((h, doc))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return h[new], np.concatenate(([0], np.cumsum(np.bincount(doc[new], minlength=len(off) - 1))))
+
+
+def _set_ids(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One hash per set."""
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(h + np.uint64(1)), dtype=np.uint64)))
+    return _mix(total[at[1:]] - total[at[:-1]] + np.diff(at).astype(np.uint64)).view(np.int64)
+
+
+def _sets(docs: DataFrame, key: str, text: str, shingle: int, whole: bool) -> DataFrame:
+    """(key, fp, bands) of every row, or (fp, shingles) if ``whole``."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            off_all, data = utf8(batch.column(1))
+            for lo, hi in passes(off_all):
+                h, at = shingle_sets(off_all[lo : hi + 1] - off_all[lo], data[off_all[lo] : off_all[hi]], shingle)
+                fp = pa.array(_set_ids(h, at))
+                if whole:
+                    yield pa.RecordBatch.from_arrays([fp, pa.array([h[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["fp", "shingles"])
+                    continue
+                some = np.flatnonzero(np.diff(at))
+                bands = np.zeros((len(at) - 1, BANDS), np.uint64)
+                for i, turn in enumerate(_TURNS if len(some) else []):
+                    least = np.minimum.reduceat(_mix(h * turn), at[some])
+                    bands[some, i // BAND_ROWS] = _mix(bands[some, i // BAND_ROWS] + np.uint64(i + 1)) * np.uint64(3) + least
+                flat = pa.array(bands.view(np.int64).ravel())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), fp, pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), flat)], [key, "fp", "bands"])
+
+    return docs.select(key, text).mapInArrow(run, "fp bigint, shingles binary" if whole else f"`{key}` {kind}, fp bigint, bands array<bigint>")
+
+
+def connect(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that connect exactly what pairs of ``similarity`` or more connect."""
+    n = np.array([len(s) for s in sets])
+    flat, starts = np.concatenate(sets), np.cumsum(n) - n
+    root, out = np.arange(len(sets)), []
+    for i in range(len(sets)):
+        other = np.flatnonzero((root != root[i]) & (np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i])) & (n > 0))
+        if not len(other):
+            continue
+        picked = flat if 2 * len(other) > len(sets) else np.concatenate([sets[j] for j in other])
+        begin = starts[other] if picked is flat else np.cumsum(n[other]) - n[other]
+        place = np.minimum(np.searchsorted(sets[i], picked), n[i] - 1)
+        hit = np.concatenate(([0], np.cumsum(sets[i][place] == picked)))
+        both = hit[begin + n[other]] - hit[begin]
+        for j in other[both >= similarity * (n[other] + n[i] - both) - 1e-9].tolist():
+            out.append((i, j))
+            root[root == root[j]] = root[i]
+    return out
+
+
+def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY) -> DataFrame:
+    """(key, fp, component_id) as ``near_components``, by the Jaccard similarity of word shingles.
+
+    Candidates share a min-hash band; every link is checked on the whole sets.  Rows are first
+    reduced to distinct sets, and buckets to distinct memberships, so a pair's sets meet once.
+    """
+    marked = written(_sets(docs, key, text, shingle, False), "shinglebands")
+    firsts = written(marked.groupBy("fp").agg(F.min(key).alias("least"), F.min("bands").alias("bands")), "firsts")
+    keyed = firsts.select("fp", F.posexplode("bands").alias("band", "value"))
+    sizes = keyed.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y")).where("n > 1")
+    once = sizes.groupBy("n", "x", "y").agg(F.min(F.struct("band", "value")).alias("b")).select("n", "b.band", "b.value")
+    part = F.when(F.col("n") > GROUP, F.pmod(F.xxhash64("fp", "band"), F.ceil(F.col("n") / GROUP))).otherwise(0)
+    members = written(keyed.join(once, ["band", "value"]).select("fp", "band", "value", part.cast("int").alias("part")), "bandmembers")
+    asked = marked.join(members.select("fp").distinct(), "fp", "left_semi").select(key).distinct()
+    sets = _sets(docs.join(asked, key, "left_semi"), key, text, shingle, True).dropDuplicates(["fp"])
+
+    def run(group: pa.Table) -> pa.Table:
+        fp = group.column("fp").to_numpy()
+        order = np.argsort(fp)
+        raw = group.column("shingles")
+        found = connect([np.frombuffer(raw[int(i)].as_py(), np.uint64) for i in order], similarity)
+        a, b = (pa.array([int(fp[order[x[i]]]) for x in found], pa.int64()) for i in (0, 1))
+        return pa.table([a, b], names=["a", "b"])
+
+    met = members.join(sets, "fp").groupBy("band", "value", "part").applyInArrow(run, "a bigint, b bigint")
+    joined = components(written(met.distinct(), "similar"))
+    owned = firsts.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    root = owned.groupBy("component").agg(F.min("least").alias("component_id"))
+    return marked.select(key, "fp").join(owned.join(root, "component").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", grouped: Callable[[DataFrame, str, str], DataFrame] = near_components) -> DataFrame:
+    """``docs`` with one row per component of ``grouped``: that of its least key.
 
     Rows that repeat a key are one document, whose row of least text stays; a row with a null key
     is a document of its own and stays.
     """
-    found = near_components(docs.where(F.col(key).isNotNull()), key, text)
+    found = grouped(docs.where(F.col(key).isNotNull()), key, text)
     first = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
     rows = docs.select(F.col(key), F.struct("*").alias("__row")).where(F.col(key).isNotNull())
     nth = F.row_number().over(Window.partitionBy(key).orderBy(F.col("__row")[text]))

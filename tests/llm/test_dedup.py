@@ -167,3 +167,36 @@ def test_keep_one(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, -9), (False, 1), (False, 4), (False, 5), (False, 7), (False, 10), (True, 0)]
     assert near_dedup.keep_one(empty(spark)).count() == 0
+
+
+def test_similar_documents_are_one_component(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(40):
+        w = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(1, 200))]
+        rows.append((10 * i, " ".join(w)))
+        for j in range(1, rng.randint(1, 4)):
+            w = [x if rng.random() > 0.02 else f"v{rng.randrange(5000)}" for x in w]
+            rows.append((10 * i + j, " ".join(w).upper()))
+    rows += [(1000, None), (1001, ""), (1002, " \n")]
+
+    def shingles(text):
+        w = (text or "").lower().split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    sets = {i: shingles(t) for i, t in rows}
+    root, missed = {i: i for i in sets}, 0
+    for a in sets:
+        for b in sets:
+            if a < b and (sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])):
+                apart = near_dedup.fingerprint_text((dict(rows)[a] or "").encode()) ^ near_dedup.fingerprint_text((dict(rows)[b] or "").encode())
+                missed += apart.bit_count() > near_dedup.RADIUS
+                lo, hi = sorted((root[a], root[b]))
+                root = {k: lo if v == hi else v for k, v in root.items()}
+    assert missed > 3  # what op 9's fingerprint doesn't find
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.similar_components(docs).collect()} == root
+    from corpus_pipeline import near_duplicates
+
+    assert {r.doc_id for r in near_duplicates(spark, docs, "").collect()} == set(root.values())
+    assert near_dedup.similar_components(empty(spark)).count() == 0
