@@ -1,7 +1,8 @@
 """Secret scans: long mixed strings are candidates; a random forest removes the false positives.
 
 Candidates are runs of at least ``SHORTEST`` key characters holding a digit, found by numpy over the
-bytes of a whole batch.  The forest looks at length, character transitions, dictionary coverage,
+bytes of a whole batch, and the whole value after an assignment to a secret-like name, of any length
+and any characters; a value takes the place of the runs inside it.  The forest looks at length, character transitions, dictionary coverage,
 path-like surroundings and neighbouring words, and is trained from labelled findings (left
 context, candidate, right context, label): any table of those, or ``example_findings``, a seeded set
 of typical true and false ones.  Trees are flattened into node arrays for vectorised scoring.
@@ -56,6 +57,8 @@ _PREFIXES = tuple(p.encode() for p in PREFIXES)
 _UUID = re.compile(rb"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 _ASSIGN = re.compile(rb"[=:]\s*[\"'`]?\s*$")
 _NAME = re.compile(rb"[A-Za-z_0-9]+")
+#: An assignment to a secret-like name, then its value: to the closing quote, or else to white space or a separator.
+_NAMED = re.compile(rb"(?i:token|secret|passw(?:or)?d|passphrase|pwd|api_?key|access_?key|private_?key|secret_?key|credentials?|auth)[A-Za-z0-9_]{0,32}[\"'`]?[ \t]{0,8}(?::=|=|:)[ \t]{0,8}(?:\"([^\"\r\n]+)\"|'([^'\r\n]+)'|`([^`\r\n]+)`|[\"'`]?([^ \t\r\n\f\v,;\"'`]+))")
 _VOWEL = frozenset(b"aeiouAEIOU")
 
 
@@ -65,7 +68,7 @@ def _classes(s: bytes) -> list[int]:
 
 def _cover(s: bytes) -> float:
     """Share of characters inside dictionary words, longest words first from the left."""
-    low, at, got = s.decode("ascii").lower(), 0, 0
+    low, at, got = s.decode("latin-1").lower(), 0, 0
     while at < len(low):
         n = next((k for k in range(min(_LONGEST_WORD, len(low) - at), 2, -1) if low[at : at + k] in _DICTIONARY), 0)
         got, at = got + n, at + max(n, 1)
@@ -200,10 +203,38 @@ def example_findings(n: int = 4000, seed: int = 11) -> list[tuple[bytes, bytes,
     return out
 
 
+def assigned_findings(n: int = 2000, seed: int = 12) -> list[tuple[bytes, bytes, bytes, int]]:
+    """Seeded labelled values of assignments to secret-like names: passwords and passphrases of any length against ordinary words, numbers, placeholders and code."""
+    rng = np.random.default_rng(seed)
+    pick = lambda options: options[int(rng.integers(len(options)))]
+    draw = lambda letters, k: "".join(pick(letters) for _ in range(k))
+    lower, upper, digits, marks = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "!@#$%^&*.~?+-_"
+    names = ["token", "secret", "password", "passwd", "pwd", "api_key", "access_token", "client_secret", "PASSWORD", "passphrase", "DB_PASSWORD", "auth"]
+    plain = "none null true false yes no required optional invalid missing changeme your-password your_token example placeholder string xxxxxx ****** <password> ${PASSWORD} $TOKEN the is was must will each Optional[str] str int os.environ getenv() self.token 0 1 2 3600 expired wrong".split()
+    out = []
+    for i in range(n):
+        q = pick(['"', '"', "'", ""])
+        before = pick(["", "the ", "user = x, ", "config "]) + pick(names) + pick([" = ", "=", ": ", ":", " := "]) + q
+        if i % 2 == 0:
+            style = int(rng.integers(4))
+            if style == 0:
+                value = draw(lower + upper + digits + marks, int(rng.integers(6, 25)))
+            elif style == 1:
+                value = draw(lower + upper + digits, int(rng.integers(6, 16)))
+            elif style == 2:
+                value = draw(lower + upper, int(rng.integers(8, 28)))
+            else:
+                value = pick(["-", "_", ".", " " if q else "-"]).join(draw(lower, int(rng.integers(4, 8))) for _ in range(int(rng.integers(3, 6))))
+        else:
+            value = pick(plain)
+        out.append((before[-CONTEXT:].encode(), value.encode(), (q + pick([" ", "\n", ",", ";"]) + pick(["and then", "next", ""])).encode(), int(i % 2 == 0)))
+    return out
+
+
 def fit(findings: list[tuple[bytes, bytes, bytes, int]] | DataFrame | None = None, **options) -> Forest:
     """The forest of labelled findings; a table (left, candidate, right, label) is used up to ``MAX_TRAIN_ROWS`` rows, smallest hashes first."""
     if findings is None:
-        findings = example_findings()
+        findings = example_findings() + assigned_findings()
     elif isinstance(findings, DataFrame):
         parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("left", "candidate", "right")]
         rows = findings.where("label is not null").select(*parts, F.col("label").cast("int")).toDF("left", "candidate", "right", "label")
@@ -230,9 +261,33 @@ def candidates(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
     digits = np.concatenate(([0], np.cumsum(_DIGITS[data], dtype=np.int64)))
     some = digits[end] > digits[start]
     start, end = start[some], end[some]
+    start, end = _with_values(off, data, start, end)
     return np.searchsorted(off, start, "right") - 1, start, end
 
 
+def _with_values(off: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs and assigned values in text order, never overlapping: a value takes the place of runs that it meets, joined where one sticks out."""
+    raw = data.tobytes()
+    values = []
+    bounds = off.tolist()
+    for lo, hi in zip(bounds, bounds[1:]):  # documents lie next to each other
+        values += [m.span(m.lastindex) for m in _NAMED.finditer(raw, lo, hi)]
+    if not values:
+        return start, end
+    a, b = np.array(values).T
+    lo, hi = np.searchsorted(end, a, "right"), np.searchsorted(start, b, "left")
+    alone = np.ones(len(start), bool)
+    for i, (x, y) in enumerate(zip(lo.tolist(), hi.tolist(), strict=True)):
+        if x < y:
+            a[i], b[i] = min(a[i], start[x]), max(b[i], end[y - 1])
+            alone[x:y] = False
+    start, end = np.concatenate((start[alone], a)), np.concatenate((end[alone], b))
+    order = np.lexsort((-end, start))
+    start, end = start[order], end[order]
+    keep = np.concatenate(([True], start[1:] >= np.maximum.accumulate(end)[:-1]))
+    return start[keep], end[keep]
+
+
 def _judged(off: np.ndarray, data: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     doc, start, end = candidates(off, data)
     if not len(doc):
@@ -257,7 +312,7 @@ def scan(docs: DataFrame, forest: Forest, key: str = "doc_id", text: str = "text
                 points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int64)))
                 raw = [hashlib.sha256(data[s:e].tobytes()).hexdigest() for s, e in zip(start, end, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo).take(pa.array(doc)), pa.array(points[start] - points[off[doc]]), pa.array(end - start), pa.array(raw), pa.array(score), pa.array(score >= threshold)], names
+                    [batch.column(0).slice(lo, hi - lo).take(pa.array(doc)), pa.array(points[start] - points[off[doc]]), pa.array(points[end] - points[start]), pa.array(raw), pa.array(score), pa.array(score >= threshold)], names
                 )
 
     kind = docs.schema[key].dataType.simpleString()

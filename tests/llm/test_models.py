@@ -193,3 +193,14 @@ def test_states_grow_with_the_corpus(spark):
     tokenised = lm_scoring.blocks(spark.createDataFrame(rows, "doc_id bigint, text string"))
     got = {r.doc_id: r for r in lm_scoring.score_whole(tokenised).collect()}
     assert got[some[0]].train_tokens * lm_scoring.P_PAIR > 1 and got[some[0]].score > got[some[0]].base_score + 5
+
+
+def test_assigned_values_of_any_length(spark):
+    values = ['Xk7!qR2p', "tR9#vLq2", "qWzKpTxVbNmLs", "fn8.Kd2@xv~Q$", "zxkqj-wvbtr-plmng"]
+    rows = [(i, f'é set password = "{v}" here', "en", "a", 1) for i, v in enumerate(values)]
+    rows += [(90, "the password: required field", "en", "a", 1), (91, "token = None", "en", "a", 1), (92, 'x secret: "', "en", "a", 1), (93, "password=", "en", "a", 1), (94, "hunter2", "en", "a", 1)]
+    rows += [(95, "ends with password =", "en", "a", 1), (96, 'token = None, secret = "Xk7!qR2p', "en", "a", 1)]
+    docs, forest = edge(spark, True, rows).coalesce(1), secrets.fit()
+    found = {r.doc_id: (r.start, r.length) for r in secrets.scan(docs, forest).where("is_secret").collect()}
+    assert found == {i: (rows[i][1].index(v), len(v)) for i, v in enumerate(values)} | {96: (24, 8)}
+    assert [r.text for r in secrets.redact(docs, forest).orderBy("doc_id").collect()][: len(values)] == ['é set password = "[SECRET]" here'] * len(values)
