@@ -1,17 +1,26 @@
-"""Token-id files: documents in key order, each block of a shard compressed by a Re-Pair grammar.
+"""Token-id files: documents in key order, each shard compressed by a Re-Pair grammar.
 
-Re-Pair: frequent pairs of neighbouring ids are replaced by nonterminals, again and again.  A round
-replaces all pairs at or above a falling count at once: a pair wins a place if it is more
-frequent than the pairs that overlap it there, so no order has to be walked.  Pairs never cross
-documents.  A block stores its rules, their expansion lengths and its symbols, so any id range of
-any document is decoded without expanding what stands before it.
+Re-Pair: pairs of neighbouring symbols that stand ``least`` times or more are replaced by
+nonterminals, again and again, until no such pair is left.  A round replaces many pairs at once: a
+pair wins a place if it is more frequent than the pairs that overlap it there, so no order has to
+be walked; the most frequent pair wins all its places, so every round gets on.  Pairs never cross
+documents.  A pair that falls below ``least`` comes back only if it holds a symbol that a later round has used
+again, so rounds look at places that are still in play, and at those of such symbols at the end.
 
-Shards are the ranges of ``repartitionByRange`` over the key; blocks follow each other within a
-shard.  Files are rows of a table in the shared folder (any store that Spark can write), and a
-document's global start is two small prefix sums: over shards, and over a shard's blocks.
+A shard holds about ``SHARD_TOKENS`` ids, which bounds what a grammar needs in memory, and stores its
+rules, their expansion lengths and its symbols: any id range of any document is decoded by walking
+down the rules that cover it, and nothing else is expanded.
 
-Defined results: null text is empty (its only id is the end id); a null key comes first; rows that
-repeat a key are ordered by text; an empty table writes no block.
+Shards follow each other within the ranges of ``repartitionByRange`` over the key.  Files are rows of
+a table in the shared folder (any store that Spark can write), and a document's global start is two
+small prefix sums: over ranges, and over a range's shards.
+
+Ids are the tokenizers library's for the whole text; the string of an added token gets that token's
+id, as the library does unless told otherwise.
+
+Defined results: null text is empty (its only id is the end id); a text of any length is one document
+of one shard; a null key comes first; rows that repeat a key are ordered by text; further columns are
+not read; an empty table writes no shard.
 """
 
 from __future__ import annotations
@@ -28,65 +37,90 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, passes, table, utf8, written
-from .tokens import encoder, vocabulary
+from .tokens import ENCODE_BYTES, encoder, vocabulary
 
-BLOCK_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 20
+#: Times that a pair stands in a shard to become a rule.
+LEAST = 4
 END_ID = 0
 _MAGIC = b"QRP1"
-_BIN_BITS = 18
-_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def repair(ids: np.ndarray, last: np.ndarray, first_rule: int, rounds: int = 5, least: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _overlaps(after: np.ndarray, live: np.ndarray, double: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Of the pairs ``double`` of one symbol twice, those that overlap an equal pair before them: in a run, every other."""
+    if not len(double):
+        return double
+    where, what = live[double], symbol[double]
+    begins = np.concatenate(([True], (after[where[:-1]] != where[1:]) | (what[1:] != what[:-1])))
+    nth = np.arange(len(where)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]
+    return double[nth % 2 == 1]
+
+
+def repair(ids: np.ndarray, last: np.ndarray, first_rule: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, rules, last): the grammar of ``ids``; rule i is symbol ``first_rule + i``.
 
-    ``last`` marks ids that end a document: no pair starts there.
+    ``last`` marks ids that end a document: no pair starts there.  At the end no pair stands
+    ``least`` times (occurrences that overlap an equal one don't count).
     """
     seq, last = ids.astype(np.uint32), last.copy()
-    rules: list[np.ndarray] = []
-    n_rules = 0
-    for r in range(rounds):
-        n = len(seq)
-        if n < 2:
-            break
-        bar = max(least, n >> (10 + 3 * r)) if r < rounds - 1 else least
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        slot = ((key * _SPREAD) >> np.uint64(64 - _BIN_BITS)).astype(np.int32)
-        count = np.bincount(slot[~last[:-1]], minlength=1 << _BIN_BITS)
-        at = np.flatnonzero((count[slot] >= bar) & ~last[:-1])
+    last[-1:] = True
+    # symbols are a linked list, so a round costs what is in play and not the whole sequence
+    after, before, gone = np.arange(1, len(seq) + 1, dtype=np.int32), np.arange(-1, len(seq), dtype=np.int32), np.zeros(len(seq), bool)
+    pairs: list[np.ndarray] = []
+    number: dict[int, int] = {}  # rule of each pair
+    again = np.zeros(2 * first_rule + 2, bool)  # rules that were used in a later round than their own
+    live = np.flatnonzero(~last[:-1]).astype(np.int32)
+    while True:
+        a, b = seq[live], seq[after[live]]
+        coded = pa.array((a.astype(np.uint64) << np.uint64(32)) | b).dictionary_encode()
+        code, kinds = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+        overlaps = _overlaps(after, live, np.flatnonzero(a == b), a)
+        count = np.bincount(code, minlength=len(kinds)) - np.bincount(code[overlaps], minlength=len(kinds))
+        stands = count[code]
+        strong = stands >= least
+        strong[overlaps] = False
+        at, own, code = live[strong], stands[strong], code[strong].astype(np.int64)
         if not len(at):
+            if not again.any():
+                break
+            # pairs of these symbols may have become frequent after they fell out of play
+            live = np.flatnonzero(~gone & ~last).astype(np.int32)
+            live = live[again[seq[live]] | again[seq[after[live]]]]
+            again[:] = False
             continue
-        # one pair per slot: the one that was written last; others wait for a later round
-        k, s = key[at], slot[at]
-        owner = np.zeros(1 << _BIN_BITS, np.uint64)
-        owner[s] = k
-        mine = owner[s] == k
-        at, s = at[mine], s[mine]
-        count = np.bincount(s, minlength=1 << _BIN_BITS)
-        rank = (count[s] << _BIN_BITS) + s  # ties by slot: the same everywhere
-        rank[count[s] < bar] = 0
-        near = np.diff(at) == 1
-        wins = rank > 0
+        live = live[stands >= least]
+        # ties in scattered order, else of a copied passage, whose pairs are equally frequent, one place a round would win
+        rank = own << 32 | code * 0x9E3779B1 & 0xFFFFFFFF
+        near = after[at[:-1]] == at[1:]
+        wins = np.ones(len(at), bool)
         wins[1:] &= ~near | (rank[1:] > rank[:-1])
-        wins[:-1] &= ~near | (rank[:-1] >= rank[1:])
-        at, s = at[wins], s[wins]
-        used = np.bincount(s, minlength=1 << _BIN_BITS)
-        worth = used >= least
-        at, s = at[worth[s]], s[worth[s]]
-        if not len(at):
-            continue
-        slots = np.flatnonzero(worth)
-        number = np.zeros(1 << _BIN_BITS, np.uint32)
-        number[slots] = first_rule + n_rules + np.arange(len(slots), dtype=np.uint32)
-        pairs = owner[slots]
-        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
-        n_rules += len(slots)
-        seq[at] = number[s]
-        last[at] = last[at + 1]
-        stay = np.ones(n, bool)
-        stay[at + 1] = False
-        seq, last = seq[stay], last[stay]
-    return seq, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), last
+        wins[:-1] &= ~near | (rank[:-1] > rank[1:])
+        at, code = at[wins], code[wins]
+        used = np.bincount(code, minlength=len(kinds))
+        some = np.flatnonzero(used)
+        rule = np.full(len(kinds), -1, np.int64)
+        rule[some] = np.fromiter((number.get(k, -1) for k in kinds[some].tolist()), np.int64, len(some))
+        again[rule[some]] = True  # the last slot stands for none
+        new = some[(rule[some] < 0) & (used[some] >= least)]
+        rule[new] = first_rule + len(number) + np.arange(len(new))
+        pairs.append(kinds[new])
+        number.update(zip(kinds[new].tolist(), rule[new].tolist(), strict=True))
+        again[-1] = False
+        if first_rule + len(number) >= len(again):
+            again = np.append(again, np.zeros(len(again) + len(number), bool))
+        ok = rule[code] >= 0
+        at, code = at[ok], code[ok]
+        second = after[at]
+        seq[at], last[at], gone[second] = rule[code], last[second], True
+        after[at] = after[second]
+        before[after[second]] = at
+        # in play: what was, and what stands before or at a new symbol
+        ahead = before[at]
+        live = np.sort(np.concatenate((live[~gone[live]], at, ahead[ahead >= 0])))
+        live = live[np.concatenate((live[1:] != live[:-1], [True])) & ~last[live]]
+    seq, last = seq[~gone], last[~gone]
+    flat = np.concatenate(pairs) if pairs else np.zeros(0, np.uint64)
+    return seq, np.stack([flat >> np.uint64(32), flat & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32), last
 
 
 def _levels(rules: np.ndarray, first_rule: int) -> Iterator[tuple[int, int]]:
@@ -100,8 +134,8 @@ def _levels(rules: np.ndarray, first_rule: int) -> Iterator[tuple[int, int]]:
 
 
 @dataclass
-class Block:
-    """One decoded header of a block; ``symbols`` still are grammar symbols."""
+class Shard:
+    """One decoded header of a shard; ``symbols`` still are grammar symbols."""
 
     keys: list[int | None]
     symbol_ends: np.ndarray
@@ -112,8 +146,8 @@ class Block:
     symbols: np.ndarray
 
     @classmethod
-    def of(cls, keys: list[int | None], ids: np.ndarray, counts: np.ndarray, vocabulary_size: int) -> Block:
-        """The block of documents that have ``counts`` of ``ids`` each (one at least)."""
+    def of(cls, keys: list[int | None], ids: np.ndarray, counts: np.ndarray, vocabulary_size: int) -> Shard:
+        """The shard of documents that have ``counts`` of ``ids`` each (one at least)."""
         token_ends = np.cumsum(counts)
         last = np.zeros(len(ids), bool)
         last[token_ends - 1] = True
@@ -134,9 +168,9 @@ class Block:
         return b"".join([head, keys.tobytes(), null.tobytes(), self.symbol_ends.astype("<u8").tobytes(), self.token_ends.astype("<u8").tobytes(), self.rules.astype("<u4").tobytes(), self.lengths.astype("<u4").tobytes(), np.ascontiguousarray(packed).tobytes()])
 
     @classmethod
-    def load(cls, data: bytes) -> Block:
+    def load(cls, data: bytes) -> Shard:
         if data[:4] != _MAGIC:
-            raise ValueError("not a token block")
+            raise ValueError("not a token shard")
         docs, first_rule, n_rules, n, width = struct.unpack_from("<IIIQB", data, 4)
         at = 4 + struct.calcsize("<IIIQB")
 
@@ -178,23 +212,33 @@ class Block:
         out[np.repeat((ends - length)[is_rule] - total, n) + step] = flat[np.repeat(begin[rule[is_rule]] - total, n) + step]
         return out
 
-    def span(self, doc: int, lo: int, hi: int) -> np.ndarray:
-        """Ids lo to hi (exclusive) of one document, expanding the symbols that cover them alone."""
-        begin = int(self.symbol_ends[doc - 1]) if doc else 0
-        symbols = self.symbols[begin : int(self.symbol_ends[doc])]
+    def _lengths(self, symbols: np.ndarray) -> np.ndarray:
         length = np.ones(len(symbols), np.int64)
         is_rule = symbols >= self.first_rule
         length[is_rule] = self.lengths[symbols[is_rule].astype(np.int64) - self.first_rule]
-        ends = np.cumsum(length)
-        lo, hi = max(0, lo), min(hi, int(ends[-1]))
-        if lo >= hi:
-            return np.zeros(0, np.uint32)
-        a, b = int(np.searchsorted(ends, lo, "right")), int(np.searchsorted(ends, hi, "left"))
-        skip = lo - int(ends[a] - length[a])
-        return self.expand(symbols[a : b + 1])[skip : skip + hi - lo]
+        return length
+
+    def span(self, doc: int, lo: int, hi: int) -> np.ndarray:
+        """Ids lo to hi (exclusive) of one document: rules are walked down, those outside the range left alone."""
+        symbols = self.symbols[int(self.symbol_ends[doc - 1]) if doc else 0 : int(self.symbol_ends[doc])]
+        begin = np.cumsum(self._lengths(symbols)) - self._lengths(symbols)
+        lo = max(0, lo)
+        while True:
+            inside = (begin < hi) & (begin + self._lengths(symbols) > lo)
+            symbols, begin = symbols[inside], begin[inside]
+            is_rule = symbols >= self.first_rule
+            if not is_rule.any():
+                return symbols.astype(np.uint32)
+            place = np.cumsum(1 + is_rule) - 1 - is_rule
+            child = self.rules[symbols[is_rule].astype(np.int64) - self.first_rule]
+            wide, start = np.empty(len(symbols) + int(is_rule.sum()), np.uint32), np.empty(len(symbols) + int(is_rule.sum()), np.int64)
+            wide[place[~is_rule]], start[place] = symbols[~is_rule], begin
+            wide[place[is_rule]], wide[place[is_rule] + 1] = child[:, 0], child[:, 1]
+            start[place[is_rule] + 1] = begin[is_rule] + self._lengths(child[:, 0])
+            symbols, begin = wide, start
 
     def documents(self, most: int = 1 << 18) -> Iterator[tuple[int, np.ndarray]]:
-        """(document number, its ids) of the whole block, some symbols at a time."""
+        """(document number, its ids) of the whole shard, some symbols at a time."""
         for lo, hi in passes(np.concatenate(([0], self.symbol_ends)), most):
             ids = self.expand(self.symbols[int(self.symbol_ends[lo - 1]) if lo else 0 : int(self.symbol_ends[hi - 1])])
             base = int(self.token_ends[lo - 1]) if lo else 0
@@ -205,29 +249,29 @@ class Block:
                 begin = end
 
 
-def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", lower: bool = False, end_id: int = END_ID, vocabulary_size: int | None = None, shards: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """A written table of blocks (shard, block, n_tokens, data), documents in ascending key order."""
-    ranged = docs.select(F.col(key).cast("bigint").alias(key), text).repartitionByRange(shards or partitions(docs.sparkSession), F.col(key).asc_nulls_first())
+def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", lower: bool = False, end_id: int = END_ID, vocabulary_size: int | None = None, ranges: int | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """A written table of shards (part, shard, n_tokens, data), documents in ascending key order."""
+    ranged = docs.select(F.col(key).cast("bigint").alias(key), text).repartitionByRange(ranges or partitions(docs.sparkSession), F.col(key).asc_nulls_first())
     ranged = ranged.sortWithinPartitions(F.col(key).asc_nulls_first(), text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, lower)
         size = vocabulary_size or coder.tokenizer.get_vocab_size(True)
-        shard, number = TaskContext.get().partitionId(), 0
+        part, number = TaskContext.get().partitionId(), 0
         keys: list[int | None] = []
         held: list[np.ndarray] = []
         lengths: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
             ids, counts = np.concatenate(held), np.concatenate(lengths)
-            data = Block.of(list(keys), ids, counts, size).dump()
+            data = Shard.of(list(keys), ids, counts, size).dump()
             keys.clear(), held.clear(), lengths.clear()
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([data], pa.binary())], ["shard", "block", "n_tokens", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([data], pa.binary())], ["part", "shard", "n_tokens", "data"])
 
         for batch in batches:
             off, _ = utf8(batch.column(1))
-            for lo, hi in passes(off):
-                ids, counts = coder.encode([t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()])
+            for lo, hi in passes(off, ENCODE_BYTES):
+                ids, counts = coder.encode(batch.column(1).slice(lo, hi - lo))
                 counts = counts + 1
                 full = np.full(int(counts.sum()), end_id, np.int32)
                 own = np.ones(len(full), bool)
@@ -236,42 +280,42 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", l
                 keys += batch.column(0).slice(lo, hi - lo).to_pylist()
                 held.append(full)
                 lengths.append(counts)
-                if sum(map(len, held)) >= block_tokens:
+                if sum(map(len, held)) >= shard_tokens:
                     yield flush()
                     number += 1
         if keys:
             yield flush()
 
-    return written(ranged.mapInArrow(run, "shard int, block int, n_tokens bigint, data binary"), "tokens")
+    return written(ranged.mapInArrow(run, "part int, shard int, n_tokens bigint, data binary"), "tokens")
 
 
-def read(blocks: DataFrame, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
-    """(key, start, n_tokens, ids_crc32, and the ids on demand) of every document, decoded from the blocks."""
-    names = ["shard", "block", key, "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
+def read(shards: DataFrame, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
+    """(key, start, n_tokens, ids_crc32, and the ids on demand) of every document, decoded from the shards."""
+    names = ["part", "shard", key, "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                block = Block.load(batch.column(2)[row].as_py())
-                ends = block.token_ends
+                shard = Shard.load(batch.column(2)[row].as_py())
+                ends = shard.token_ends
                 crc, ids = [], []
-                for _, got in block.documents():
+                for _, got in shard.documents():
                     crc.append(zlib.crc32(got.astype("<u4", copy=False)))
                     if with_ids:
                         ids.append(got.astype(np.int64))
                 n = len(ends)
                 cols = [pa.array(np.full(n, batch.column(i)[row].as_py(), np.int32)) for i in range(2)]
-                cols += [pa.array(block.keys, pa.int64()), pa.array(np.concatenate(([0], ends[:-1]))), pa.array(np.diff(ends, prepend=0)), pa.array(crc, pa.int64())]
+                cols += [pa.array(shard.keys, pa.int64()), pa.array(np.concatenate(([0], ends[:-1]))), pa.array(np.diff(ends, prepend=0)), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols + ([pa.array(ids, pa.list_(pa.int64()))] if with_ids else []), names)
 
-    rows = blocks.select("shard", "block", "data").mapInArrow(run, f"shard int, block int, `{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids)
-    sizes = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
-    shards = sizes.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_start"))
-    inside = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("shard", "block", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("block_start")).join(shards, "shard")
-    met = rows.join(starts, ["shard", "block"])
-    return met.select(key, (F.col("shard_start") + F.col("block_start") + F.col("start")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
+    rows = shards.select("part", "shard", "data").mapInArrow(run, f"part int, shard int, `{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids)
+    sizes = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    parts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
+    inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = shards.select("part", "shard", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("shard_start")).join(parts, "part")
+    met = rows.join(starts, ["part", "shard"])
+    return met.select(key, (F.col("part_start") + F.col("shard_start") + F.col("start")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -2,27 +2,30 @@
 
 A text is cut before each single space or line end that follows a character which is not white
 space.  The pre-tokenizers used here never join across such a place, so encoding piece by piece (each
-with the space or line end before it) gives the ids of the whole text; texts that hold white space in
-front of a space, a line end or the end, or white space beyond ASCII, are encoded whole.  Pieces are encoded by the tokenizers
-library and remembered per Python worker; the memory is emptied when it is full.
+with the space or line end before it) gives the ids of the whole text.  Texts that hold white space in
+front of a space, a line end or the end, white space beyond ASCII, or the string of an added token
+(which the library looks for before anything else, and which gets its own id), are encoded whole.
+Arrow cuts the texts of one call and numbers their distinct pieces; those alone are encoded, by the
+tokenizers library.  Nothing is remembered between calls, so memory is bounded by one call's texts.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Remembered pieces of one worker, at most; beyond that those seen once are forgotten, then all.
-MOST_PIECES = 600_000
+#: Bytes of text that one call of ``Encoder.encode`` should be given.
+ENCODE_BYTES = 1 << 24
+#: Pieces that one call of the library's model is given.
+_AT_ONCE = 2048
 #: A space, line end or end of text after white space; white space outside ASCII.
-_ODD = re.compile("[\t\n\x0b\x0c\r ](?:[ \n]|\\Z)")
-_BLANK = frozenset(("", *"\t\n\x0b\x0c\r "))
-_WIDE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_ODD = "[\t\n\x0b\x0c\r ](?:[ \n]|\\z)|[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Marks that may follow a word: pre-tokenizers take a run of them as one piece. Apostrophes are not among them.
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -38,13 +41,23 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
+    return Tokenizer.from_file(path)
+
+
+def _words_only(path: str):
+    """The vocabulary's model behind a cut at spaces, for pre-tokens that are spelt already."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    found = Tokenizer(Tokenizer.from_file(path).model)
+    if hasattr(found.model, "_resize_cache"):  # distinct pieces never hit it
+        found.model._resize_cache(0)
+    found.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
     return found
 
 
-#: Letters of ASCII and Latin-1, which pre-tokenizers keep together and normal forms leave alone.
-_LATIN = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+#: A word of ASCII and Latin-1 letters, which pre-tokenizers keep together and normal forms leave alone, with or without a
+#: line end before it and marks behind it.
+_PLAIN = "^\n?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+[" + re.escape(_TAIL) + "]*$"
 
 
 class Encoder:
@@ -52,125 +65,96 @@ class Encoder:
 
     def __init__(self, path: str, lower: bool):
         self.tokenizer, self.lower = _tokenizer(path), lower
-        self.tokenize = self.tokenizer.model.tokenize
-        self.letters = _byte_letters()
-        self.lead = self.letters[32] if not lower else ""
-        self.tails = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.ids = self.begin = self.length = self.seen = np.zeros(0, np.int64)
-        self.heads: dict[str, list[int]] = {}
-
-    def _shrink(self) -> None:
-        """Keep the pieces that came up more than once."""
-        keep = self.seen > 1
-        if keep.sum() > MOST_PIECES // 2:
-            self._forget()
-            return
-        number = np.cumsum(keep) - 1
-        self.codes = {p: int(number[c]) for p, c in self.codes.items() if keep[c]}
-        begin, length = self.begin[keep], self.length[keep]
-        total = np.cumsum(length) - length
-        self.ids = self.ids[np.repeat(begin - total, length) + np.arange(int(length.sum()))]
-        self.begin, self.length, self.seen = total, length, np.zeros(len(length), np.int64)
+        self.model = _words_only(path)
+        # bytes as the vocabulary spells them; 0x00, 0x01 and the space never stand in a plain piece: separator, space, end of pre-token
+        letters = _byte_letters()
+        self.spelling = np.array([*(ord(letters[b]) for b in range(256))], "<u4")
+        self.spelling[1], self.spelling[32] = ord(letters[32]), 32
+        vocabulary = sorted(self.tokenizer.get_vocab(False).items(), key=lambda x: x[1])
+        self.opens = np.zeros(vocabulary[-1][1] + 1, bool)
+        self.closes = self.opens.copy()
+        for token, i in vocabulary:
+            self.opens[i] = token[0] in (letters[32], letters[10])
+            self.closes[i] = token.endswith("</w>")
+        self.separator = self.model.encode_batch_fast([letters[0]], add_special_tokens=False)[0].ids[0]
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        # one pass over the text finds all that forbids cutting it; added tokens whatever their case, as a normal form may fold it
+        self.odd = "|".join([*([] if lower else [_ODD]), *(f"(?i:{a})" for a in added)])
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _tail(self, tail: str) -> list[int]:
-        got = self.tails.get(tail)
-        if got is None:
-            got = self.tails[tail] = [t.id for t in self.tokenize(tail)]
-        return got
-
-    def _encode(self, pieces: list[str], lead: str) -> list[list[int]]:
-        """Ids of pieces. A word of plain letters, with or without marks behind it, goes to the library's model
-        directly, as the pre-tokens that it is; all others go through the whole tokenizer."""
-        tokenize, latin, letters, lower = self.tokenize, _LATIN.fullmatch, self.letters, self.lower
-        # most pieces are plain ASCII words
-        out = [[t.id for t in tokenize(lead + (p.lower() if lower else p))] if p.isascii() and p.isalpha() else None for p in pieces]
-        rest: list[int] = []
-        for i in [i for i, ids in enumerate(out) if ids is None]:
-            piece = pieces[i]
-            word, before, ids = piece.rstrip(_TAIL), lead, []
-            n = len(piece) - len(word)
-            if lead and word[:1] == "\n":  # a line's first word: the line end is a pre-token, and no space comes before the word
-                word, before, ids = word[1:], "", self._tail(letters[10])
-            if word.isascii() and word.isalpha():
-                raw = word.lower() if lower else word
-            elif latin(word):
-                raw = (word.lower() if lower else word).encode().decode("latin-1").translate(letters)
-            else:
-                rest.append(i)
-                continue
-            out[i] = ids + [t.id for t in tokenize(before + raw)] + (self._tail(piece[-n:]) if n else [])
-        if rest:
-            spaced = [" " + pieces[i] if lead and pieces[i][:1] != "\n" else pieces[i] for i in rest]
-            for i, ids in zip(rest, self._whole(spaced), strict=True):
-                out[i] = ids
-        return out
-
-    def _learn(self, pieces: list[str]) -> None:
-        got = self._encode(pieces, self.lead)
-        length = np.fromiter(map(len, got), np.int64, len(got))
-        self.codes.update(zip(pieces, range(len(self.length), len(self.length) + len(got)), strict=True))
-        self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(length) - length))
-        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(got), np.int64, int(length.sum()))))
-        self.length = np.concatenate((self.length, length))
-        self.seen = np.concatenate((self.seen, np.zeros(len(got), np.int64)))
-
-    def _cut_wrongly(self, pieces: Iterable[str], heads: Iterable[str]) -> bool:
-        """Whether some text can't be cut at its spaces and line ends. Such pieces are never remembered, so new ones tell."""
-        return any(p[-1:] in _BLANK for p in pieces) or any(h and h[-1] in _BLANK for h in heads) or any(_WIDE.search(" ".join(x)) for x in (pieces, heads))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in a row, and how many each text has."""
-        if not texts:
+    def _encode(self, pieces: pa.Array, lead: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, how many each piece has); ``lead``: a space stands before pieces that begin with no line end.
+
+        A plain word, its line end and its marks are the pre-tokens that they are, so they go to the library's model at
+        once, between separators; all other pieces go through the whole tokenizer."""
+        plain = pc.match_substring_regex(pieces, _PLAIN)
+        words = pieces.filter(plain)
+        if self.lower:
+            words = pc.replace_substring(words, "\n", "")
+        parts = pc.replace_substring_regex(words, "([" + re.escape(_TAIL) + "]+)$", " \\1")
+        parts = pc.replace_substring(parts, "\n", "\n \x02" if lead else "\n ")
+        ends = np.append(np.arange(0, len(parts), _AT_ONCE, dtype=np.int32), np.int32(len(parts)))
+        marked = lead or self.lower  # then the ids themselves tell where pieces begin or end
+        joined = pc.binary_join(pa.ListArray.from_arrays(ends, parts), " \x01" if lead else " " if marked else " \x00 ").to_pylist()
+        if lead:
+            joined = [("\x01" + j).replace("\x01\n \x02", "\n ") for j in joined]
+        if self.lower:
+            joined = [j.lower() for j in joined]
+        spelt = [self.spelling[np.frombuffer(j.encode(), np.uint8)].tobytes().decode("utf-32-le") for j in joined]
+        close = [] if marked else [self.separator]
+        got = [np.array(e.ids + close, np.int32) for e in self.model.encode_batch_fast(spelt, add_special_tokens=False)]
+        ids = np.concatenate(got) if got else np.zeros(0, np.int32)
+        if lead:
+            length = np.diff(np.flatnonzero(self.opens[ids]), append=len(ids))
+        elif self.lower:
+            n_parts = 1 + pc.match_substring(parts, " ").to_numpy(zero_copy_only=False)
+            length = np.diff(np.flatnonzero(self.closes[ids])[np.cumsum(n_parts) - 1], prepend=-1)
+        else:
+            length = np.diff(np.flatnonzero(ids == self.separator), prepend=-1) - 1
+            ids = ids[ids != self.separator]
+        if len(words) == len(pieces):
+            return ids, length
+        mask = plain.to_numpy(zero_copy_only=False)
+        others = pieces.filter(pc.invert(plain)).to_pylist()
+        rest = self._whole([" " + p if lead and p[:1] != "\n" else p for p in others])
+        # both in the order of the pieces
+        counts = np.zeros(len(pieces), np.int64)
+        counts[mask], counts[~mask] = length, np.fromiter(map(len, rest), np.int64, len(rest))
+        own = np.repeat(mask, counts)
+        out = np.empty(len(own), np.int32)
+        out[own], out[~own] = ids, np.fromiter(chain.from_iterable(rest), np.int32, int(counts[~mask].sum()))
+        return out, counts
+
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (null: empty) in a row, and how many each text has."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not len(texts):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        if len(self.codes) > MOST_PIECES:
-            self._shrink()
-        whole: dict[int, list[int]] = {}
-        while True:
-            joined = " ".join(texts).replace("\n", " " if self.lower else " \n")
-            pieces = joined.split(" ")
-            n_pieces = np.fromiter((t.count(" ") + t.count("\n") for t in texts), np.int64, len(texts)) + 1
-            first = np.cumsum(n_pieces) - n_pieces
-            codes = np.fromiter(map(self.codes.get, pieces, repeat(-1)), np.int64, len(pieces))
-            if not self.lower:
-                codes[first] = 0  # a text's first piece has no space before it: it has ids of its own
-            new = np.flatnonzero(codes < 0).tolist()
-            fresh = list(dict.fromkeys(pieces[i] for i in new))
-            heads = [] if self.lower else [pieces[i] for i in first.tolist()]
-            if self.lower or whole or not self._cut_wrongly(fresh, heads):
-                break
-            odd = [i for i, t in enumerate(texts) if _ODD.search(t) or _WIDE.search(t)]
-            whole = dict(zip(odd, self._whole([texts[i] for i in odd]), strict=True))
-            texts = ["" if i in whole else t for i, t in enumerate(texts)]
-            if not whole:
-                break
-        if fresh:
-            self._learn(fresh)
-            codes[new] = np.fromiter((self.codes[pieces[i]] for i in new), np.int64, len(new))
-        if not len(self.length):
-            self._learn([""])
-        begin, length = self.begin[codes], self.length[codes]
-        ids = self.ids
-        self.seen += np.bincount(codes, minlength=len(self.seen))
-        if not self.lower:
-            fresh = [h for h in dict.fromkeys(heads) if h not in self.heads]
-            self.heads.update(zip(fresh, self._encode(fresh, ""), strict=True))
-            got = [whole.get(i, self.heads[h]) for i, h in enumerate(heads)]
-            extra = np.fromiter(map(len, got), np.int64, len(got))
-            begin[first], length[first] = len(ids) + np.cumsum(extra) - extra, extra
-            ids = np.concatenate((ids, np.fromiter(chain.from_iterable(got), np.int64, int(extra.sum()))))
-            if len(self.heads) > MOST_PIECES // 8:
-                self.heads = {}
+        odd = pc.match_substring_regex(texts, self.odd) if self.odd else pa.array(np.zeros(len(texts), bool))
+        which = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        whole = self._whole(texts.filter(odd).to_pylist())
+        texts = pc.if_else(odd, "", texts)
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " " if self.lower else " \n"), " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        first = bounds[:-1]
+        pieces = cut.flatten().dictionary_encode()
+        parts = [self._encode(pieces.dictionary, not self.lower)]
+        local = pieces.indices.to_numpy().astype(np.int64)
+        if not self.lower:  # a text's first piece has no space before it: it has ids of its own
+            heads = pieces.indices.take(pa.array(first)).dictionary_encode()
+            local[first] = len(pieces.dictionary) + heads.indices.to_numpy()
+            parts.append(self._encode(pieces.dictionary.take(heads.dictionary), False))
+        if whole:
+            local[first[which]] = sum(len(n) for _, n in parts) + np.arange(len(whole))
+            n = np.fromiter(map(len, whole), np.int64, len(whole))
+            parts.append((np.fromiter(chain.from_iterable(whole), np.int32, int(n.sum())), n))
+        ids, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        length, begin = n[local], (np.cumsum(n) - n)[local]
         total = np.concatenate(([0], np.cumsum(length)))
         out = ids[np.repeat(begin - total[:-1], length) + np.arange(total[-1])]
-        bounds = np.append(first, len(pieces))
-        return out.astype(np.int32), total[bounds[1:]] - total[bounds[:-1]]
+        return out, total[bounds[1:]] - total[bounds[:-1]]
 
 
 def _byte_letters() -> dict[int, str]:

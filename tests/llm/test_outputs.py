@@ -8,12 +8,13 @@ import duckdb
 import numpy as np
 import pytest
 from helpers import EDGE, LONG, edge, empty, words
+from tokenizers import Tokenizer
 
 from quireflow.llm import mixing, packing, queries, sql, token_store, tokens, warc
 from quireflow.llm.common import table
 
 SF = "/root/testdata/sf0.001"
-AWKWARD = ["", " ", "a", " a  b ", "x\n\ny", "don't we're", "<|endoftext|> hi", "É́a b", "x  　y", "日本 語。 ok", "a\t b", "tail ", "Σας ΣΑΣ İ i", "1234 5a6", "\n", "a \n b", "...", " .", "ab,,, c!?", "\xa0 a", "a\xa0 b", "\x1f x", "a\t", "a\t b", "b\n", "b\n c", "\nab\ncd.\nEf, g", "a\n\n\nb", "q.\n...\n!x", "a\r\nb", "a\t\nb", "a\tb", "x_y", "don't's", words(500, 9)]
+AWKWARD = ["", " ", "a", " a  b ", "x\n\ny", "don't we're", "<|endoftext|> hi", "hello <|endoftext|> hi", "a <|startoftext|>b", "A<|ENDOFTEXT|>", "x <|endoftext|>", "É́a b", "x  　y", "日本 語。 ok", "a\t b", "tail ", "Σας ΣΑΣ İ i", "1234 5a6", "\n", "a \n b", "...", " .", "ab,,, c!?", "\xa0 a", "a\xa0 b", "\x1f x", "a\t", "a\t b", "b\n", "b\n c", "\nab\ncd.\nEf, g", "a\n\n\nb", "q.\n...\n!x", "a\r\nb", "a\t\nb", "a\tb", "x_y", "don't's", words(500, 9)]
 
 
 @pytest.mark.parametrize(("name", "lower"), [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
@@ -21,19 +22,27 @@ def test_piecewise_ids_equal_whole_texts(spark, name, lower):
     texts = [r.text or "" for r in table(spark, SF, "documents").collect()] + AWKWARD
     path = tokens.vocabulary(name)
     coder = tokens.Encoder(path, lower)
-    for _ in range(2):  # cold and warm
-        ids, counts = coder.encode(texts)
-        want = [e.ids for e in tokens._tokenizer(path).encode_batch(texts, add_special_tokens=False)]
-        assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == want
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    for some in (slice(None), slice(len(texts) - len(AWKWARD), None), slice(0, 3)):
+        ids, counts = coder.encode(texts[some])
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == want[some]
+    assert coder.encode([None])[1].tolist() == [0] and coder.encode([])[1].tolist() == []
+
+
+def test_added_tokens_get_their_ids():
+    ids, _ = tokens.Encoder(tokens.vocabulary("byte_bpe_50k.json"), False).encode(["hello <|endoftext|> hi"])
+    assert ids.tolist() == [31373, 220, 50256, 23105]
+    ids, _ = tokens.Encoder(tokens.vocabulary("word_bpe_49k.json"), True).encode(["a <|startoftext|>"])
+    assert ids.tolist() == [320, 49406]
 
 
 def plain_ids(path, text, end):
-    return tokens._tokenizer(path).encode(text or "", add_special_tokens=False).ids + [end]
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids + [end]
 
 
 def test_token_store_round_trip(spark):
     path = tokens.vocabulary("byte_bpe_50k.json")
-    got = token_store.read(token_store.write(edge(spark, True).repartition(4), path, shards=3, block_tokens=500), with_ids=True).orderBy("start").collect()
+    got = token_store.read(token_store.write(edge(spark, True).repartition(4), path, ranges=3, shard_tokens=500), with_ids=True).orderBy("start").collect()
     rows = sorted(EDGE, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     at = 0
     for r, (i, text, *_) in zip(got, rows, strict=True):
@@ -49,7 +58,7 @@ def test_grammar(seed):
     counts = rng.integers(1, 90, 60)
     ids = rng.integers(0, (4, 50, 3000, 2)[seed], counts.sum()).astype(np.int32)
     ids[:200] = 1
-    block = token_store.Block.load(token_store.Block.of([None, *range(59)], ids, counts, 50_000).dump())
+    block = token_store.Shard.load(token_store.Shard.of([None, *range(59)], ids, counts, 50_000).dump())
     assert (np.concatenate([x for _, x in block.documents(most=16)]) == ids).all() and block.keys[:2] == [None, 0]
     start = np.cumsum(counts) - counts
     for doc in range(0, 60, 7):
@@ -57,6 +66,23 @@ def test_grammar(seed):
             assert block.span(doc, lo, hi).tolist() == ids[start[doc] : start[doc] + counts[doc]][lo:hi].tolist()
     if seed == 3:
         assert len(block.symbols) < len(ids) / 2
+    # no pair of neighbours inside a document is left that stands often enough, and rules are distinct pairs
+    left, bounds = {}, np.concatenate(([0], block.symbol_ends))
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        doc, at = block.symbols[lo:hi].tolist(), 0
+        while at < len(doc) - 1:
+            pair = (doc[at], doc[at + 1])
+            left[pair] = left.get(pair, 0) + 1
+            at += 2 if len(doc) > at + 2 and pair[0] == pair[1] == doc[at + 2] else 1
+    assert max(left.values(), default=0) < token_store.LEAST and len({tuple(r) for r in block.rules.tolist()}) == len(block.rules)
+
+
+def test_grammar_runs_to_the_end_on_copies():
+    passage = np.random.default_rng(1).integers(0, 30_000, 5000)
+    ids = np.concatenate([passage] * 6 + [np.random.default_rng(2).integers(0, 30_000, 20_000)])
+    block = token_store.Shard.of([0], ids, np.array([len(ids)]), 50_000)
+    assert len(block.symbols) < 20_100 and block.lengths.max() > 1000
+    assert block.span(0, 4990, 5010).tolist() == ids[4990:5010].tolist()
 
 
 def test_packing(spark):

@@ -72,8 +72,8 @@ def test_run_matches_brute_force(spark):
             t = t[:s] + secrets.MASK + t[s + n :]
         clean[i] = t
     got = cp.run(spark, SF).collect()
-    path = tokens.vocabulary("word_bpe_49k.json")
-    pieces = {i: tokens._tokenizer(path).encode(t, add_special_tokens=False).ids + [1] for i, t in clean.items()}
+    reader = Tokenizer.from_file(tokens.vocabulary("word_bpe_49k.json"))
+    pieces = {i: reader.encode(t, add_special_tokens=False).ids + [1] for i, t in clean.items()}
     copies = Counter(r.doc_id for r in got if r.piece == 0)
     assert set(copies) <= set(clean) and max(copies.values()) <= 2
     for r in got:
