@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from .common import partitions, passes, table, utf8, written
 from .tokens import ENCODE_BYTES, encoder, vocabulary
 
-SHARD_TOKENS = 1 << 20
-#: Times that a pair stands in a shard to become a rule.
-LEAST = 4
+SHARD_TOKENS = 1 << 19
+#: Times that a pair stands in a shard to become a rule: a rule takes as much room as four of its uses save.
+LEAST = 8
 END_ID = 0
 _MAGIC = b"QRP1"
 
@@ -277,12 +277,18 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", l
                 own = np.ones(len(full), bool)
                 own[np.cumsum(counts) - 1] = False
                 full[own] = ids
-                keys += batch.column(0).slice(lo, hi - lo).to_pylist()
-                held.append(full)
-                lengths.append(counts)
-                if sum(map(len, held)) >= shard_tokens:
-                    yield flush()
-                    number += 1
+                own_keys, ends = batch.column(0).slice(lo, hi - lo).to_pylist(), np.concatenate(([0], np.cumsum(counts)))
+                at = 0
+                while at < hi - lo:  # as many documents as the shard still has room for, one at least
+                    room = shard_tokens - sum(map(len, held))
+                    to = max(at + 1, int(np.searchsorted(ends, ends[at] + room, "right")) - 1)
+                    keys += own_keys[at:to]
+                    held.append(full[ends[at] : ends[to]])
+                    lengths.append(counts[at:to])
+                    at = to
+                    if sum(map(len, held)) >= shard_tokens or at < hi - lo:
+                        yield flush()
+                        number += 1
         if keys:
             yield flush()
 

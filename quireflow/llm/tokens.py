@@ -6,7 +6,8 @@ with the space or line end before it) gives the ids of the whole text.  Texts th
 front of a space, a line end or the end, white space beyond ASCII, or the string of an added token
 (which the library looks for before anything else, and which gets its own id), are encoded whole.
 Arrow cuts the texts of one call and numbers their distinct pieces; those alone are encoded, by the
-tokenizers library.  Nothing is remembered between calls, so memory is bounded by one call's texts.
+tokenizers library, and remembered per Python worker: at most ``MOST_PIECES`` and one call's, then
+those that only one call held are forgotten.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one call of ``Encoder.encode`` should be given.
-ENCODE_BYTES = 1 << 24
+ENCODE_BYTES = 1 << 23
+#: Pieces that a worker remembers.
+MOST_PIECES = 1_000_000
 #: Pieces that one call of the library's model is given.
 _AT_ONCE = 2048
 #: A space, line end or end of text after white space; white space outside ASCII.
@@ -81,6 +84,28 @@ class Encoder:
         # one pass over the text finds all that forbids cutting it; added tokens whatever their case, as a normal form may fold it
         self.odd = "|".join([*([] if lower else [_ODD]), *(f"(?i:{a})" for a in added)])
 
+        self.known = pa.array([], pa.string())
+        self.ids, self.n, self.calls = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _remember(self, pieces: pa.Array) -> np.ndarray:
+        """Numbers of distinct pieces among the known ones, after new ones are encoded."""
+        if len(self.known) > MOST_PIECES:
+            keep = self.calls > 1
+            if keep.sum() > MOST_PIECES // 2:
+                keep[:] = False
+            self.known, self.ids = self.known.filter(pa.array(keep)), self.ids[np.repeat(keep, self.n)]
+            self.n, self.calls = self.n[keep], np.zeros(int(keep.sum()), np.int32)
+        place = pc.index_in(pieces, value_set=self.known)
+        fresh = pieces.filter(pc.is_null(place))
+        place = pc.fill_null(place, -1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.known) + np.arange(len(fresh))
+        ids, n = self._encode(fresh, not self.lower)
+        self.known = pa.concat_arrays([self.known, fresh])
+        self.ids, self.n = np.concatenate((self.ids, ids)), np.concatenate((self.n, n))
+        self.calls = np.concatenate((self.calls, np.zeros(len(fresh), np.int32)))
+        self.calls[place] += 1
+        return place
+
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -140,11 +165,11 @@ class Encoder:
         bounds = cut.offsets.to_numpy().astype(np.int64)
         first = bounds[:-1]
         pieces = cut.flatten().dictionary_encode()
-        parts = [self._encode(pieces.dictionary, not self.lower)]
-        local = pieces.indices.to_numpy().astype(np.int64)
+        local = self._remember(pieces.dictionary)[pieces.indices.to_numpy()]
+        parts = [(self.ids, self.n)]
         if not self.lower:  # a text's first piece has no space before it: it has ids of its own
             heads = pieces.indices.take(pa.array(first)).dictionary_encode()
-            local[first] = len(pieces.dictionary) + heads.indices.to_numpy()
+            local[first] = len(self.n) + heads.indices.to_numpy()
             parts.append(self._encode(pieces.dictionary.take(heads.dictionary), False))
         if whole:
             local[first[which]] = sum(len(n) for _, n in parts) + np.arange(len(whole))

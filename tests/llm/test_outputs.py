@@ -26,6 +26,11 @@ def test_piecewise_ids_equal_whole_texts(spark, name, lower):
     for some in (slice(None), slice(len(texts) - len(AWKWARD), None), slice(0, 3)):
         ids, counts = coder.encode(texts[some])
         assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == want[some]
+    tokens_most, tokens.MOST_PIECES = tokens.MOST_PIECES, 10
+    for _ in range(3):  # pieces are forgotten and learnt again
+        ids, counts = coder.encode(texts)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == want
+    tokens.MOST_PIECES = tokens_most
     assert coder.encode([None])[1].tolist() == [0] and coder.encode([])[1].tolist() == []
 
 
@@ -79,7 +84,7 @@ def test_grammar(seed):
 
 def test_grammar_runs_to_the_end_on_copies():
     passage = np.random.default_rng(1).integers(0, 30_000, 5000)
-    ids = np.concatenate([passage] * 6 + [np.random.default_rng(2).integers(0, 30_000, 20_000)])
+    ids = np.concatenate([passage] * 9 + [np.random.default_rng(2).integers(0, 30_000, 20_000)])
     block = token_store.Shard.of([0], ids, np.array([len(ids)]), 50_000)
     assert len(block.symbols) < 20_100 and block.lengths.max() > 1000
     assert block.span(0, 4990, 5010).tolist() == ids[4990:5010].tolist()
