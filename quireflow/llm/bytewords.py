@@ -9,9 +9,15 @@ from functools import lru_cache
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_BYTE = (np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+#: Hashes of spans are two polynomials modulo 2^31 - 1 with bases drawn once: different spans of n bytes agree with a
+#: chance of (n / 2^31)^2, whatever their bytes (modulo a power of two some regular texts always agree).
+_PRIME, _FOLD = np.uint64((1 << 31) - 1), np.uint64(31)
+_DRAWN = np.random.default_rng(20240607)
+_CODE = _DRAWN.integers(1, (1 << 31) - 1, 256, dtype=np.uint64)
+_BASES = tuple(int(x) for x in _DRAWN.integers(1 << 20, (1 << 31) - 1, 2))
+#: For rolling hashes, which only choose places.
+_ROLL = np.uint64(0x9E3779B97F4A7C15)
+_BYTE = (_DRAWN.integers(1, 1 << 63, 256, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -25,29 +31,60 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        return tuple(np.concatenate(([np.uint64(1)], np.multiply.accumulate(np.full(n, x, np.uint64)))) for x in (_BASE, _INV))
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A number congruent modulo 2^31 - 1, below 2^32 where x is below 2^62."""
+    return (x & _PRIME) + (x >> _FOLD)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(1 << max(21, int(n).bit_length()))
-    return up[: n + 1], down[: n + 1]
+@lru_cache(maxsize=8)
+def _powers(base: int, size: int) -> np.ndarray:
+    """base^0 .. base^(size - 1) modulo 2^31 - 1."""
+    out, n = np.ones(size, np.uint64), 1
+    while n < size:
+        step = np.uint64(pow(base, n, int(_PRIME)))
+        out[n : 2 * n] = _fold(_fold(out[: min(n, size - n)] * step))
+        n *= 2
+    return out
+
+
+def _tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of each base and of its inverse, up to n."""
+    size = 1 << max(21, int(n).bit_length())
+    return [(_powers(x, size)[: n + 1], _powers(pow(x, -1, int(_PRIME)), size)[: n + 1]) for x in _BASES]
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """P with P[i] = sum of code(data[j]) * base^j for j < i, modulo 2^64."""
-    up, _ = powers(len(data))
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[:-1], out=out[1:])
+    """Two rows P with P[i] congruent to the sum of code(data[j]) * base^j for j < i."""
+    out = np.zeros((2, len(data) + 1), np.uint64)
+    code = _CODE[data]
+    for row, (up, _) in zip(out, _tables(len(data)), strict=True):
+        np.cumsum(_fold(code * up[:-1]), out=row[1:])
     return out
 
 
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Content hashes of data[start:end], with the length mixed in."""
-    _, down = powers(len(prefix) - 1)
-    return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
+    got = []
+    for row, (_, down) in zip(prefix, _tables(prefix.shape[1] - 1), strict=True):
+        x = _fold(_fold(_fold(_fold(row[end] - row[start])) * down[start]))
+        x = _fold(x)
+        got.append(np.where(x >= _PRIME, x - _PRIME, x))
+    return mix((got[0] << np.uint64(32) | got[1]) + (end - start).astype(np.uint64) * _ROLL)
+
+
+def rolling_hash(data: np.ndarray, width: int) -> np.ndarray:
+    """A cheap hash of every ``width`` bytes: a polynomial modulo 2^64, finalised."""
+    part, size, out, done = _BYTE[data], 1, np.zeros(len(data), np.uint64), 0
+    while width:
+        if width & 1:  # out covers ``done`` bytes, part the next ``size``
+            n = len(data) - done - size + 1
+            out = out[:n] * np.uint64(pow(int(_ROLL), size, 1 << 64)) + part[done : done + n]
+            done += size
+        width >>= 1
+        if width:
+            part = part[:-size] * np.uint64(pow(int(_ROLL), size, 1 << 64)) + part[size:]
+            size *= 2
+    return mix(out)
 
 
 def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,13 +21,20 @@ PASS_BYTES = 1 << 21
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``); a temporary one only where unset."""
+    """The folder that driver and executors share (``spark.checkpoint.dir``).
+
+    Only where it is unset and all of Spark is one process, as in tests, a temporary folder of this machine stands in.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = held.get() if held.isDefined() else f"file://{tempfile.mkdtemp(prefix='quireflow-')}"
-        if not held.isDefined():
+        if held.isDefined():
+            path = held.get()
+        elif re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            path = f"file://{tempfile.mkdtemp(prefix='quireflow-')}"
             spark.sparkContext.setCheckpointDir(path)
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return path.rstrip("/")
 
 
@@ -38,13 +46,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(df: DataFrame) -> None:
-    """Delete the table behind a frame that ``written`` returned, once nothing reads it any more."""
-    jvm = df.sparkSession._jvm
-    hadoop = df.sparkSession._jsc.hadoopConfiguration()
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
-        path = jvm.org.apache.hadoop.fs.Path(parent)
-        path.getFileSystem(hadoop).delete(path, True)
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``written``, in buckets of ``key``: whatever meets it there by key leaves its rows where they are."""
+    spark = df.sparkSession
+    name = f"quireflow_{name}_{uuid.uuid4().hex}"
+    buckets = min(2 * partitions(spark), 50_000)
+    df.write.format("parquet").bucketBy(buckets, key).option("path", f"{shared_dir(spark)}/quireflow/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
+def _delete(df: DataFrame) -> str | None:
+    files = df.inputFiles()
+    if not files:
+        return None
+    jvm, parent = df.sparkSession._jvm, files[0].rsplit("/", 1)[0]
+    path = jvm.org.apache.hadoop.fs.Path(parent)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    return parent.rsplit("/", 1)[1]
+
+
+def drop_written(*frames: DataFrame) -> None:
+    """Delete the tables behind frames that ``written`` returned, once nothing reads them any more."""
+    for df in frames:
+        _delete(df)
+
+
+def drop_bucketed(df: DataFrame) -> None:
+    """The same for ``bucketed``."""
+    name = _delete(df)
+    if name:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -76,8 +76,7 @@ def parse(off: np.ndarray, data: np.ndarray, match: int = MATCH, gram: int = GRA
     if len(data) < match:
         return {"start": none, "stop": none, "at": none, "trigger": none.astype(np.uint64), "phrase": none.astype(np.uint64)}
     prefix = bw.prefix_hash(data)
-    grams = np.arange(len(data) - gram + 1)
-    h = bw.span_hash(prefix, grams, grams + gram)
+    h = bw.rolling_hash(data, gram)
     at = window_triggers(h, match - gram + 1)
     # window starts that stay inside their document
     step = np.zeros(len(at) + 1, np.int64)

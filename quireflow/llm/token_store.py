@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import partitions, passes, table, utf8, written
 from .tokens import ENCODE_BYTES, encoder, vocabulary
 
-SHARD_TOKENS = 1 << 19
+SHARD_TOKENS = 1 << 18
 #: Times that a pair stands in a shard to become a rule: a rule takes as much room as four of its uses save.
 LEAST = 8
 END_ID = 0
@@ -65,11 +65,11 @@ def repair(ids: np.ndarray, last: np.ndarray, first_rule: int, least: int = LEAS
     seq, last = ids.astype(np.uint32), last.copy()
     last[-1:] = True
     # symbols are a linked list, so a round costs what is in play and not the whole sequence
-    after, before, gone = np.arange(1, len(seq) + 1, dtype=np.int32), np.arange(-1, len(seq), dtype=np.int32), np.zeros(len(seq), bool)
+    after, before, gone = np.arange(1, len(seq) + 1, dtype=np.int64), np.arange(-1, len(seq), dtype=np.int64), np.zeros(len(seq), bool)
     pairs: list[np.ndarray] = []
     number: dict[int, int] = {}  # rule of each pair
     again = np.zeros(2 * first_rule + 2, bool)  # rules that were used in a later round than their own
-    live = np.flatnonzero(~last[:-1]).astype(np.int32)
+    live = np.flatnonzero(~last[:-1])
     while True:
         a, b = seq[live], seq[after[live]]
         coded = pa.array((a.astype(np.uint64) << np.uint64(32)) | b).dictionary_encode()
@@ -84,7 +84,7 @@ def repair(ids: np.ndarray, last: np.ndarray, first_rule: int, least: int = LEAS
             if not again.any():
                 break
             # pairs of these symbols may have become frequent after they fell out of play
-            live = np.flatnonzero(~gone & ~last).astype(np.int32)
+            live = np.flatnonzero(~gone & ~last)
             live = live[again[seq[live]] | again[seq[after[live]]]]
             again[:] = False
             continue
