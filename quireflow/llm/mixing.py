@@ -5,7 +5,7 @@ of 150 % of all words; a source's target stops at twice its size and the excess
 weight until none is above.  That fixed point is a water level: with sources sorted by
 cap / weight, those that stop form a prefix, so one ordered pass over the *source* table finds it.
 
-Rows: every document gets the key -ln(u) / quality weight, u a hash of its id in (0, 1).  A source
+Rows: every document gets the key -ln(u) / quality weight, u a hash of its id and size in (0, 1).  A source
 takes floor(target / size) complete epochs of all its documents, then documents in key order
 while at least half of the document still fits, so the words taken end within half a document of
 the target.
@@ -14,9 +14,11 @@ A hot source is no single task: keys fall into ``buckets`` ranges per source; su
 are enough for all but the one range that holds the boundary, and only within a range are rows
 sorted.  Every row is weighed; nothing is dropped or capped.
 
-Defined results: null text has size 0; documents of size 0 take 0 words; a source of size 0 has
-target 0; rows repeating a doc_id are rows of their own, ordered by (key, id, size); ties are
-settled by id; an empty table gives no rows.
+Defined results: null text has size 0; a text of any length counts whole; documents of size 0 take 0
+words; a source of size 0 has target 0; a null size counts as 0 and a null weight as ``UNKNOWN``; rows
+repeating a doc_id are rows of their own, ordered by (key, id, size); ties are settled by id; further
+columns pass through untouched whatever their names, but for those of the four results, which
+replace them; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -47,11 +49,15 @@ def quality_weights(docs: DataFrame, labels: DataFrame, key: str = "doc_id") ->
     return docs.join(best, key, "left").withColumn("quality_weight", weight).drop("__q")
 
 
-def sample_key(key: str, weight: str, seed: str) -> Column:
-    """-ln(u) / weight, u from 52 bits of the id's hash; the same on every run and machine."""
-    bits = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long")
+def sample_key(key: Column, size: Column, weight: Column, seed: str) -> Column:
+    """-ln(u) / weight, u from 52 bits of a hash of id and size; the same on every run and machine.
+
+    The size is there so that rows that share an id, or have none, fall into different ranges of keys.
+    """
+    named = F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), size.cast("string"))
+    bits = F.conv(F.substring(F.md5(named), 1, 13), 16, 10).cast("long")
     u = (bits + F.lit(0.5)) / F.lit(float(1 << 52))
-    return -F.log(u) / F.col(weight)
+    return -F.log(u) / weight
 
 
 def targets(sources: DataFrame) -> DataFrame:
@@ -73,23 +79,33 @@ def targets(sources: DataFrame) -> DataFrame:
     return full.withColumn("target", level).select("skey", "source_size", "target")
 
 
+#: Columns that ``mix`` adds.
+RESULTS = ("source_size", "target", "copies", "taken")
+
+
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", size: str = "size", weight: str = "quality_weight", seed: str = "mix:", buckets: int = BUCKETS) -> DataFrame:
     """``docs`` (with size and weight) plus ``source_size``, ``target``, ``copies`` and ``taken``."""
-    base = docs.withColumn("skey", F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("~"))).withColumn("skey_order", sample_key(key, weight, seed))
+    kept = [c for c in docs.columns if c not in RESULTS]
+    base = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), F.col(key).alias("id"), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("~")).alias("skey"),
+        F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("size"), F.coalesce(F.col(weight).cast("double"), F.lit(UNKNOWN)).alias("weight"),
+    )
+    base = base.withColumn("order", sample_key(F.col("id"), F.col("size"), F.col("weight"), seed)).drop("weight")
     # 1 - exp(-key) rises with the key and lies in [0, 1): a range number that keeps the key order
-    base = base.withColumn("bucket", F.least(F.lit(buckets - 1), F.floor(buckets * (1 - F.exp(-F.col("skey_order")))).cast("int")))
-    sums = written(base.groupBy("skey", "bucket").agg(F.sum(size).cast("long").alias("bucket_size")), "mixsums")
+    base = base.withColumn("bucket", F.least(F.lit(buckets - 1), F.floor(buckets * (1 - F.exp(-F.col("order")))).cast("int")))
+    sums = written(base.groupBy("skey", "bucket").agg(F.sum("size").cast("long").alias("bucket_size")), "mixsums")
     plan = targets(sums.groupBy("skey").agg(F.sum("bucket_size").cast("long").alias("source_size")))
     plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     plan = plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     start = F.coalesce(F.sum("bucket_size").over(Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranges = sums.withColumn("before", start).join(plan, "skey").drop("bucket_size")
-    inside = Window.partitionBy("skey", "bucket").orderBy("skey_order", key, size)
-    ahead = F.coalesce(F.sum(size).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = Window.partitionBy("skey", "bucket").orderBy("order", "id", "size")
+    ahead = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rows = base.join(ranges, ["skey", "bucket"]).withColumn("ahead", F.col("before") + ahead)
-    chosen = (F.col("ahead") + F.col(size) / 2 <= F.col("rest")).cast("long")
-    rows = rows.withColumn("copies", F.col("epochs") + chosen).withColumn("taken", F.col("copies") * F.col(size))
-    return rows.drop("skey", "skey_order", "bucket", "before", "ahead", "epochs", "rest")
+    chosen = (F.col("ahead") + F.col("size") / 2 <= F.col("rest")).cast("long")
+    copies = (F.col("epochs") + chosen).alias("copies")
+    rows = rows.select("row", "size", "source_size", "target", copies).withColumn("taken", F.col("copies") * F.col("size"))
+    return rows.select(*(F.col("row")[c].alias(c) for c in kept), *RESULTS)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
@@ -105,7 +121,7 @@ WITH d AS (
   FROM documents),
 q AS (SELECT doc_id, max(quality) AS q FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
 k AS (
-  SELECT d.*, -ln((CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)
+  SELECT d.*, -ln((CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || CAST(d.size AS VARCHAR)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)
          / CASE WHEN q.q > 0 THEN 1.0::DOUBLE WHEN q.q IS NOT NULL THEN 0.25::DOUBLE ELSE 0.5::DOUBLE END AS key
   FROM d LEFT JOIN q USING (doc_id)),
 s AS (SELECT skey, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),

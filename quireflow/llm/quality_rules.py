@@ -7,8 +7,9 @@ gathers over (rows, trees).
 
 Defined results: null text counts as no words; documents without words fail the base rule; equal
 texts get equal verdicts; an empty label table (or one class only) leaves the base rule alone to
-decide; further columns pass through ``judge`` untouched unless they clash with an output column,
-in which case the output column wins.
+decide; a text of any length is looked at whole; further columns pass through ``judge`` untouched
+unless they clash with an output column, which replaces them (carry them in a struct to keep them).
+Lines and windows are told apart by 62-bit hashes with drawn bases (``bytewords``).
 """
 
 from __future__ import annotations
@@ -189,20 +190,23 @@ def _stat_batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tupl
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, key: str = "doc_id", text: str = "text", target: str = "quality", **options) -> Trees:
     """Trees from at most ``max_rows`` labelled documents (the smallest key hashes), statistics computed on the executors.
 
-    Labels without a document, null labels and repeated keys are left out or folded (highest label wins).
+    Labels without a document and null labels are left out; of labels that repeat a key the highest counts, of
+    documents that repeat one the row of least text.
     """
     sample = (
         labels.where(F.col(key).isNotNull() & F.col(target).isNotNull()).groupBy(key).agg(F.max(target).cast("int").alias("__y"))
         .orderBy(F.xxhash64(key), key).limit(max_rows)
     )
-    rows = docs.select(key, text).join(F.broadcast(sample), key).select("__y", text)
+    # the sample has at most max_rows rows; so has what meets it
+    rows = docs.select(F.col(key).alias("__k"), F.col(text).alias("__t")).join(F.broadcast(sample.withColumnRenamed(key, "__k")), "__k")
+    rows = rows.groupBy("__k", "__y").agg(F.min("__t").alias(text)).select("__y", text)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, x in _stat_batches(batches, text):
             yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int32()), *(pa.array(c) for c in x.T)], ["y", *FEATURES])
 
-    # at most max_rows short rows of numbers reach the driver (documents that repeat a key come on top)
-    got = rows.mapInArrow(features, "y int, " + ", ".join(f"{f} double" for f in FEATURES)).limit(2 * max_rows).toPandas()
+    # at most max_rows short rows of numbers reach the driver
+    got = rows.mapInArrow(features, "y int, " + ", ".join(f"{f} double" for f in FEATURES)).toPandas()
     got = got.sort_values([*FEATURES, "y"])
     direction = {FEATURES.index(k): v for k, v in MONOTONE.items()}
     return fit_trees(got[list(FEATURES)].to_numpy(float), (got["y"] > 0).to_numpy(float), direction, **options)

@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 from helpers import EDGE, LONG, edge, empty, words
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quireflow.llm import mixing, packing, queries, sql, token_store, tokens, warc
@@ -190,6 +191,11 @@ def test_mix_edges(spark):
         for s in {r.source for r in rows}:
             own = [r for r in rows if r.source == s]
             assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own) / 2 + 1e-6
+    clash = docs.withColumns({c: F.lit(c) for c in ("bucket", "skey", "before", "ahead", "epochs", "rest", "target", "source_size", "order", "id", "weight", "row")})
+    rows = mixing.mix(mixing.quality_weights(clash, labels))
+    assert set(rows.columns) == {*clash.columns, "quality_weight", *mixing.RESULTS}
+    assert {(r.bucket, r.skey, r.before, r.ahead, r.epochs, r.rest, r.order, r.id, r.weight, r.row) for r in rows.collect()} == {("bucket", "skey", "before", "ahead", "epochs", "rest", "order", "id", "weight", "row")}
+    assert all(isinstance(r.target, float) for r in rows.collect())
     none = mixing.quality_weights(empty(spark).select("*", mixing.size_of().alias("size")), labels)
     assert mixing.mix(none).count() == 0
 
