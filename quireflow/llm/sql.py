@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, warc
 
-ORACLES: dict[str, str] = {"op10_source_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op7_warc": warc.ORACLE, "op10_source_mixing": mixing.ORACLE}

@@ -113,7 +113,7 @@ def plain_tree(docs, longest, penalty):
     follow, kept, gains = {}, {}, []
     for k in range(2, longest + 2):
         for g, c in grams[k].items():
-            if c >= lm_scoring.LEAST:
+            if c >= lm_scoring.LEAST and grams[k - 1][g[:-1]] >= lm_scoring.OFTEN:
                 follow.setdefault(g[:-1], {})[g[-1]] = (c - lm_scoring.DISCOUNT) / grams[k - 1][g[:-1]]
 
     def prob(context, symbol):
