@@ -86,7 +86,7 @@ def test_grammar(seed):
 
 def test_grammar_runs_to_the_end_on_copies():
     passage = np.random.default_rng(1).integers(0, 30_000, 5000)
-    ids = np.concatenate([passage] * 9 + [np.random.default_rng(2).integers(0, 30_000, 20_000)])
+    ids = np.concatenate([passage] * 13 + [np.random.default_rng(2).integers(0, 30_000, 20_000)])
     block = token_store.Shard.of([0], ids, np.array([len(ids)]), 50_000)
     assert len(block.symbols) < 20_100 and block.lengths.max() > 1000
     assert block.span(0, 4990, 5010).tolist() == ids[4990:5010].tolist()
