@@ -1,15 +1,22 @@
-"""Secret scans: long mixed strings are candidates; a random forest removes the false positives.
+"""Secret scans: anything that may be a secret is a candidate; a random forest removes the false positives.
 
-Candidates are runs of at least ``SHORTEST`` key characters holding a digit, found by numpy over the
-bytes of a whole batch, and the whole value after an assignment to a secret-like name, of any length
-and any characters; a value takes the place of the runs inside it.  The forest looks at length, character transitions, dictionary coverage,
-path-like surroundings and neighbouring words, and is trained from labelled findings (left
-context, candidate, right context, label): any table of those, or ``example_findings``, a seeded set
-of typical true and false ones.  Trees are flattened into node arrays for vectorised scoring.
+Candidates, found over the bytes of a whole batch:
+
+* runs of at least ``SHORTEST`` key characters that mix digits with letters, change case inside, or
+  are ``LONG`` characters with a digit;
+* the whole value after an assignment to a secret-like name, of any length and any characters;
+* passwords in URLs, tokens after ``Bearer`` and ``Basic``, and whole blocks of private keys.
+
+A value takes the place of the runs inside it.  The forest looks at length, character transitions,
+dictionary coverage (whole words of a public tokenizer's vocabulary), path-like surroundings and
+neighbouring words, and is trained from labelled findings (left context, candidate, right context,
+label): any table of those, or ``example_findings`` and ``assigned_findings``, seeded sets of typical
+true and false ones.  Trees are flattened into node arrays for vectorised scoring.
 
 Defined results: null and empty texts have no findings; a candidate is judged wherever it stands, so
-repeated ones give one finding each; a text of any length is scanned whole; an empty table, or labelled
-findings of one class only, give findings judged by that class.
+repeated ones give one finding each; a text of any length is scanned whole; an empty table gives no
+rows, labelled findings of one class only give findings judged by that class; ``scan`` reads key and
+text alone, ``redact`` keeps all columns whatever their names.
 """
 
 from __future__ import annotations
@@ -19,6 +26,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import passes, table, utf8
 
-SHORTEST = 16
+SHORTEST, LONG = 8, 16
 #: Bytes of context on either side that features look at.
 CONTEXT = 48
 #: Labelled findings that one fit looks at, at most.
@@ -36,29 +44,34 @@ THRESHOLD = 0.5
 MASK = "[SECRET]"
 
 _KEYCHAR = np.isin(np.arange(256), np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", np.uint8))
+_UPPER = np.isin(np.arange(256), np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8))
+_LOWER = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8))
+_LETTERS = _UPPER | _LOWER
 _DIGITS = np.isin(np.arange(256), np.frombuffer(b"0123456789", np.uint8))
 _WORDS_NEAR = frozenset("token secret password passwd pwd apikey api_key key auth bearer credential credentials access private signature client_secret access_token".split())
 _WORDS_BENIGN = frozenset("commit sha sha1 sha256 md5 hash checksum digest uuid guid id version revision build example sample placeholder test ref order invoice card phone isbn page".split())
-_DICTIONARY = frozenset("""
-the and for with that this from have not are was but all any can one our out use new get set put has had how who why say see two way day may its
-data file test user name code path home page site list item type time date link text table image model index value state event error debug cache query
-class build config server client module system version example placeholder sample default static assets public private source package library import
-export content service manager handler factory update create delete insert select download upload document report summary project release branch
-change your here insert dummy fake todo none null true false abcdef qwerty letter word long string random number count total first last next
-""".split())
 #: Openings of well-known key formats.
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "glpat-", "sk_live_", "sk-", "xoxb-", "AIza", "eyJ")
-_LONGEST_WORD = max(map(len, _DICTIONARY))
+#: Letters of the words that the dictionary has.
+_WORD_LENGTHS = range(12, 3, -1)
 FEATURES = (
     "length", "digit_share", "upper_share", "letter_share", "class_turns", "letter_steps", "distinct_share", "entropy", "hex_share", "runs", "dictionary_cover",
-    "slashes", "dashes", "path_before", "assigned", "quoted", "near_word", "benign_word", "uuid_like", "known_prefix",
+    "slashes", "dashes", "path_before", "assigned", "quoted", "near_word", "benign_word", "uuid_like", "known_prefix", "in_url", "bearer", "armoured",
 )
 _PREFIXES = tuple(p.encode() for p in PREFIXES)
 _UUID = re.compile(rb"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 _ASSIGN = re.compile(rb"[=:]\s*[\"'`]?\s*$")
 _NAME = re.compile(rb"[A-Za-z_0-9]+")
-#: An assignment to a secret-like name, then its value: to the closing quote, or else to white space or a separator.
-_NAMED = re.compile(rb"(?i:token|secret|passw(?:or)?d|passphrase|pwd|api_?key|access_?key|private_?key|secret_?key|credentials?|auth)[A-Za-z0-9_]{0,32}[\"'`]?[ \t]{0,8}(?::=|=|:)[ \t]{0,8}(?:\"([^\"\r\n]+)\"|'([^'\r\n]+)'|`([^`\r\n]+)`|[\"'`]?([^ \t\r\n\f\v,;\"'`]+))")
+#: What makes the name of an assigned value secret-like, and the value: to the closing quote, or else to white space or a separator.
+_SECRET_NAME = re.compile(rb"token|secret|passwo?r?d|passphrase|pwd|api_?key|access_?key|private_?key|credential|auth")
+_NAME_END = re.compile(rb"[a-z0-9_-]+$")
+_VALUE = re.compile(rb"[ \t]{0,8}(?:\"([^\"\r\n]+)\"|'([^'\r\n]+)'|`([^`\r\n]+)`|[\"'`]?([^ \t\r\n\f\v,;\"'`]+))")
+_URL = re.compile(rb"://[^\s:/@\"'<>]{0,128}:([^\s/@\"'<>]+)@")
+_BEARER = re.compile(rb"(?i:bearer|basic)[ \t]{1,8}([A-Za-z0-9+/_.~=-]{8,})")
+_ARMOUR = re.compile(rb"(-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY[A-Z ]{0,12}-----.*?-----END [A-Z0-9 ]{0,40}PRIVATE KEY[A-Z ]{0,12}-----)", re.S)
+#: Bytes before an assignment sign that may hold its name.
+_NAME_BYTES = 64
+_BEARER_BEFORE = re.compile(rb"(?i:bearer|basic)[ \t]{1,8}$")
 _VOWEL = frozenset(b"aeiouAEIOU")
 
 
@@ -66,11 +79,21 @@ def _classes(s: bytes) -> list[int]:
     return [0 if 48 <= c <= 57 else 1 if 65 <= c <= 90 else 2 if 97 <= c <= 122 else 3 for c in s]
 
 
+@lru_cache(maxsize=1)
+def dictionary(name: str = "byte_bpe_50k.json") -> frozenset[str]:
+    """Lower-case words of four letters and more that a public vocabulary has as one token."""
+    from .tokens import _tokenizer, vocabulary
+
+    words = (t[1:].lower() for t in _tokenizer(vocabulary(name)).get_vocab(False) if not t[0].isascii())
+    return frozenset(w for w in words if len(w) > 3 and w.isascii() and w.isalpha())
+
+
 def _cover(s: bytes) -> float:
     """Share of characters inside dictionary words, longest words first from the left."""
-    low, at, got = s.decode("latin-1").lower(), 0, 0
+    low, at, got, words = s.decode("latin-1").lower(), 0, 0, dictionary()
     while at < len(low):
-        n = next((k for k in range(min(_LONGEST_WORD, len(low) - at), 2, -1) if low[at : at + k] in _DICTIONARY), 0)
+        n = next((k for k in _WORD_LENGTHS if low[at : at + k] in words), 0) if low[at].isalpha() else 0
+        n = min(n, len(low) - at)
         got, at = got + n, at + max(n, 1)
     return got / max(len(low), 1)
 
@@ -93,7 +116,8 @@ def features(left: bytes, found: bytes, right: bytes) -> list[float]:
         -sum(v / n * math.log2(v / n) for v in counts.values()), sum(c in b"0123456789abcdefABCDEF" for c in found) / n, longest / n, _cover(found),
         found.count(b"/"), found.count(b"-") + found.count(b"_"), float(left[-1:] in (b"/", b"\\", b".", b":", b"@", b"#") or right[:1] in (b"/", b"\\", b".", b"@")),
         float(bool(_ASSIGN.search(left))), float(left[-1:] in (b'"', b"'", b"`") and right[:1] in (b'"', b"'", b"`")), float(bool(split & _WORDS_NEAR)), float(bool(split & _WORDS_BENIGN)),
-        float(bool(_UUID.search(found))), float(found.startswith(_PREFIXES)),
+        float(bool(_UUID.search(found))), float(found.startswith(_PREFIXES)), float(left[-1:] == b":" and right[:1] == b"@"),
+        float(bool(_BEARER_BEFORE.search(left))), float(found.startswith(b"-----BEGIN")),
     ]
 
 
@@ -179,7 +203,7 @@ def example_findings(n: int = 4000, seed: int = 11) -> list[tuple[bytes, bytes,
             after = q + pick([" ", "\n", ",", ";", "!! "])
         else:
             q, before, after = "", "", pick([" ", ". ", "\n", ", "])
-            style = int(rng.integers(9))
+            style = int(rng.integers(13))
             if style == 0:
                 key, before = draw("hex", int(pick([32, 40, 64]))), case(pick(plain)) + pick([" ", ": ", " = "])
             elif style == 1:
@@ -197,6 +221,15 @@ def example_findings(n: int = 4000, seed: int = 11) -> list[tuple[bytes, bytes,
                 key, before = "-".join(draw("dec", 4) for _ in range(int(rng.integers(4, 6)))), pick(["", "tel ", "order "])
             elif style == 7:
                 key, before = pick(["INV", "ORD", "REF", "SN", "TOKENS", "ITEM"]) + draw("dec", int(rng.integers(12, 18))), pick(["", "no. ", "order "])
+            elif style == 8:  # what ids, versions, dates and names of things look like
+                key = pick([word() + draw("dec", int(rng.integers(2, 7))), draw("dec", 4) + "-" + draw("dec", 2) + "-" + draw("dec", 2) + "T" + draw("dec", 2), "v" + draw("dec", 2) + "-" + word() + draw("dec", 2), draw("up", 3) + "-" + draw("dec", 6)])
+                before = pick(["", "", "the ", "item ", "id="])
+            elif style == 9:
+                key = "".join(w.capitalize() for w in pick([["get", word(), "name"], [word(), "handler", word()], ["my", word(), word()], [word(), word(), "service"]])) + pick(["", "2"])
+            elif style == 10:
+                key, before = draw("hex", int(pick([8, 10, 12]))), pick(["commit ", "", "rev ", "#", "build "])
+            elif style == 11:
+                key, before = pick(["application/json2", "image-2024-01", "utf-8-string", "base64encoded", word() + "_" + draw("dec", 3) + "_" + word(), "font-size-12px", "10000000", "2048x1536px"]), pick(["", "type: ", "name="])
             else:
                 key, before, after = draw("hex", int(pick([8, 16, 20]))) + "-" + word() + draw("dec", 2) + word(), pick(["static/", "assets/", "img."]), pick([".js ", ".css ", ".png "])
         out.append(((left + " " + before)[-CONTEXT:].encode(), key.encode(), (after + right)[:CONTEXT].encode(), int(true)))
@@ -231,10 +264,35 @@ def assigned_findings(n: int = 2000, seed: int = 12) -> list[tuple[bytes, bytes,
     return out
 
 
+def located_findings(n: int = 1200, seed: int = 13) -> list[tuple[bytes, bytes, bytes, int]]:
+    """Seeded labelled passwords of URLs, tokens of headers and blocks of private keys, against ports, placeholders and public text."""
+    rng = np.random.default_rng(seed)
+    pick = lambda options: options[int(rng.integers(len(options)))]
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    draw = lambda letters, k: "".join(pick(letters) for _ in range(k))
+    out = []
+    for i in range(n):
+        true, style = i % 2 == 0, i // 2 % 3
+        if style == 0:
+            before = pick(["see ", "", "url: ", "DATABASE="]) + pick(["postgres", "mysql", "https", "redis", "amqp", "mongodb+srv"]) + "://" + pick(["admin", "app", "root", "svc", ""]) + ":"
+            value = draw(b62 + "!$%^&*._-", int(rng.integers(6, 22))) if true else pick(["password", "<password>", "PASSWORD", "$PASS", "${DB_PASS}", "xxxx", "****", "pass", "secret", "changeme", "{pw}"])
+            after = "@" + pick(["db.example.com/x", "localhost:5432 ", "10.0.0.3/"])
+        elif style == 1:
+            before = pick(["Authorization: ", "header ", "", "-H 'Authorization: "]) + pick(["Bearer ", "bearer ", "Basic "])
+            value = draw(b62 + "-_.", int(pick([20, 24, 32, 40, 64, 120]))) if true else pick(["token-authentication", "authentication", "knowledge", "tokens12", "YOUR_TOKEN_HERE", "research", "principles", "arithmetic", "xxxxxxxxxxxx", "<access_token>"])
+            after = pick([" ", "\n", "' "])
+        else:
+            kind = pick(["RSA ", "", "EC ", "OPENSSH ", "DSA "])
+            body = "\n".join(draw(b62 + "+/", 64) for _ in range(int(rng.integers(3, 14)))) if true else pick(["...", "\n...\n", "<your key here>", "\nexample\n", "xxxx"])
+            before, value, after = pick(["", "key:\n", "\n"]), f"-----BEGIN {kind}PRIVATE KEY-----{pick([chr(10), ''])}{body}\n-----END {kind}PRIVATE KEY-----", pick(["\n", " "])
+        out.append((before[-CONTEXT:].encode(), value.encode(), after[:CONTEXT].encode(), int(true)))
+    return out
+
+
 def fit(findings: list[tuple[bytes, bytes, bytes, int]] | DataFrame | None = None, **options) -> Forest:
     """The forest of labelled findings; a table (left, candidate, right, label) is used up to ``MAX_TRAIN_ROWS`` rows, smallest hashes first."""
     if findings is None:
-        findings = example_findings() + assigned_findings()
+        findings = example_findings() + assigned_findings() + located_findings()
     elif isinstance(findings, DataFrame):
         parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("left", "candidate", "right")]
         rows = findings.where("label is not null").select(*parts, F.col("label").cast("int")).toDF("left", "candidate", "right", "label")
@@ -253,25 +311,43 @@ def candidates(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarra
     edge[off] = True
     before, after = np.concatenate(([False], inside)), np.concatenate((inside, [False]))
     start, end = np.flatnonzero(after & (~before | edge)), np.flatnonzero(before & (~after | edge))
-    doc_end = off[np.searchsorted(off, start, "right")]
-    for _ in range(2):  # padding belongs to the key that it ends
-        end = end + ((end < doc_end) & (data[np.minimum(end, len(data) - 1)] == 61))
     long = end - start >= SHORTEST
     start, end = start[long], end[long]
-    digits = np.concatenate(([0], np.cumsum(_DIGITS[data], dtype=np.int64)))
-    some = digits[end] > digits[start]
+    digits, letters = (np.concatenate(([0], np.cumsum(c[data], dtype=np.int64))) for c in (_DIGITS, _LETTERS))
+    # a capital after a small letter, counted where it stands
+    turns = np.concatenate(([0, 0], np.cumsum(_UPPER[data[1:]] & _LOWER[data[:-1]], dtype=np.int64)))
+    n_digits, n_letters, n_turns = digits[end] - digits[start], letters[end] - letters[start], turns[end] - turns[start + 1]
+    some = (n_digits > 0) & ((n_letters > 0) | (end - start >= LONG)) | (n_turns > 0)
     start, end = start[some], end[some]
+    doc_end = off[np.searchsorted(off, start, "right")]
+    for _ in range(2):  # padding belongs to the key that it ends
+        end = end + ((end < doc_end) & (data[np.minimum(end, len(data) - 1)] == 61))
     start, end = _with_values(off, data, start, end)
     return np.searchsorted(off, start, "right") - 1, start, end
 
 
+def _values(off: np.ndarray, data: np.ndarray, raw: bytes) -> list[tuple[int, int]]:
+    """Spans of assigned values, URL passwords, header tokens and private keys; documents lie next to each other."""
+    found = []
+    signs = np.flatnonzero((data == 61) | (data == 58))
+    for at, lo, hi in zip(signs.tolist(), *(x.tolist() for x in (off[np.searchsorted(off, signs, "right") - 1], off[np.searchsorted(off, signs, "right")])), strict=True):
+        if raw[at - 1 : at + 1] == b":=" and at - 1 >= lo:
+            continue  # the colon's turn
+        name = _NAME_END.search(raw[max(lo, at - _NAME_BYTES) : at].rstrip(b" \t\"'`").lower())
+        if name and _SECRET_NAME.search(name[0]):
+            value = _VALUE.match(raw, at + (2 if raw[at : at + 2] in (b":=", b"=>") else 1), hi)
+            if value:
+                found.append(value.span(value.lastindex))
+    bounds = [(lo, hi) for lo, hi in zip(off[:-1].tolist(), off[1:].tolist(), strict=True) if hi > lo]
+    for mark, pattern in ((b"://", _URL), (b"PRIVATE KEY", _ARMOUR), (b"earer", _BEARER), (b"asic", _BEARER), (b"EARER", _BEARER), (b"ASIC", _BEARER)):
+        if mark in raw:
+            found += [m.span(1) for lo, hi in bounds if raw.find(mark, lo, hi) >= 0 for m in pattern.finditer(raw, lo, hi)]
+    return list(dict.fromkeys(found))
+
+
 def _with_values(off: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs and assigned values in text order, never overlapping: a value takes the place of runs that it meets, joined where one sticks out."""
-    raw = data.tobytes()
-    values = []
-    bounds = off.tolist()
-    for lo, hi in zip(bounds, bounds[1:]):  # documents lie next to each other
-        values += [m.span(m.lastindex) for m in _NAMED.finditer(raw, lo, hi)]
+    """Runs and values in text order, never overlapping: a value takes the place of runs that it meets, joined where one sticks out."""
+    values = _values(off, data, data.tobytes())
     if not values:
         return start, end
     a, b = np.array(values).T
