@@ -140,7 +140,7 @@ class Forest:
         return self.share[at].mean(axis=1)
 
 
-def fit_forest(x: np.ndarray, y: np.ndarray, n_trees: int = 48, depth: int = 8, min_rows: int = 3, seed: int = 7) -> Forest:
+def fit_forest(x: np.ndarray, y: np.ndarray, n_trees: int = 48, depth: int = 10, min_rows: int = 3, seed: int = 7) -> Forest:
     """Bagged trees, each split the best Gini cut among sqrt(features) drawn features."""
     x, y = np.asarray(x, float), np.asarray(y, float)
     rng, tries = np.random.default_rng(seed), max(1, round(math.sqrt(x.shape[1])))
@@ -175,7 +175,7 @@ def fit_forest(x: np.ndarray, y: np.ndarray, n_trees: int = 48, depth: int = 8,
     return Forest(t[:, 0].astype(np.int32), t[:, 1], t[:, 2].astype(np.int32), t[:, 3].astype(np.int32), t[:, 4], np.array(roots, np.int32), depth)
 
 
-def example_findings(n: int = 4000, seed: int = 11) -> list[tuple[bytes, bytes, bytes, int]]:
+def example_findings(n: int = 6000, seed: int = 11) -> list[tuple[bytes, bytes, bytes, int]]:
     """Seeded labelled findings: keys in assignments and headers against ids, hashes, numbers, paths, words and placeholders."""
     rng = np.random.default_rng(seed)
     alphabets = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "b62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "b64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "up": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "dec": "0123456789"}
@@ -236,7 +236,7 @@ def example_findings(n: int = 4000, seed: int = 11) -> list[tuple[bytes, bytes,
     return out
 
 
-def assigned_findings(n: int = 2000, seed: int = 12) -> list[tuple[bytes, bytes, bytes, int]]:
+def assigned_findings(n: int = 3600, seed: int = 12) -> list[tuple[bytes, bytes, bytes, int]]:
     """Seeded labelled values of assignments to secret-like names: passwords and passphrases of any length against ordinary words, numbers, placeholders and code."""
     rng = np.random.default_rng(seed)
     pick = lambda options: options[int(rng.integers(len(options)))]
@@ -244,13 +244,18 @@ def assigned_findings(n: int = 2000, seed: int = 12) -> list[tuple[bytes, bytes,
     lower, upper, digits, marks = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "!@#$%^&*.~?+-_"
     names = ["token", "secret", "password", "passwd", "pwd", "api_key", "access_token", "client_secret", "PASSWORD", "passphrase", "DB_PASSWORD", "auth"]
     plain = "none null true false yes no required optional invalid missing changeme your-password your_token example placeholder string xxxxxx ****** <password> ${PASSWORD} $TOKEN the is was must will each Optional[str] str int os.environ getenv() self.token 0 1 2 3600 expired wrong".split()
+    listed = sorted(dictionary())
     out = []
     for i in range(n):
         q = pick(['"', '"', "'", ""])
         before = pick(["", "the ", "user = x, ", "config "]) + pick(names) + pick([" = ", "=", ": ", ":", " := "]) + q
         if i % 2 == 0:
-            style = int(rng.integers(4))
-            if style == 0:
+            style = int(rng.integers(6))
+            if style == 4:  # people join words, digits and marks
+                value = pick(listed) + draw(digits, int(rng.integers(1, 4))) + pick(["", *marks]) + pick(["", pick(listed).capitalize()])
+            elif style == 5:
+                value = pick(["-", "_", ".", " " if q else "-"]).join(pick(listed) for _ in range(int(rng.integers(3, 6))))
+            elif style == 0:
                 value = draw(lower + upper + digits + marks, int(rng.integers(6, 25)))
             elif style == 1:
                 value = draw(lower + upper + digits, int(rng.integers(6, 16)))
@@ -259,7 +264,7 @@ def assigned_findings(n: int = 2000, seed: int = 12) -> list[tuple[bytes, bytes,
             else:
                 value = pick(["-", "_", ".", " " if q else "-"]).join(draw(lower, int(rng.integers(4, 8))) for _ in range(int(rng.integers(3, 6))))
         else:
-            value = pick(plain)
+            value = pick(plain) if rng.random() < 0.6 else pick(["your-", "my_", "<", "${", "self.", ""]) + pick(listed) + pick(["", "", ">", "}", "()", "-here"])
         out.append((before[-CONTEXT:].encode(), value.encode(), (q + pick([" ", "\n", ",", ";"]) + pick(["and then", "next", ""])).encode(), int(i % 2 == 0)))
     return out
 
