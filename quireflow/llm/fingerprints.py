@@ -11,11 +11,13 @@ the row, so a text is never exploded into shuffled rows.
 Search: the 64 bits are cut into ``blocks`` blocks; fingerprints within ``radius`` bits agree on at
 least ``blocks - radius`` of them, so one table per choice of that many blocks, keyed by their bits
 permuted to the front, finds every fingerprint within the radius by equality, and the rest is a
-bit count.
+bit count, taken in the join itself.  Both sides are distinct fingerprints, so copies cost one row; AQE may
+split a crowded key, and no pair beyond the radius is ever a row.
 
 Defined results: null text is the empty text, which has the fingerprint 0 like every text without
-words; equal texts have equal fingerprints; with a single row its next document is itself; rows
-that repeat a doc_id are ordered by text; a null id comes first.
+words; equal texts have equal fingerprints; a text of any length is one row's work; with a single row its
+next document is itself; rows that repeat a doc_id are ordered by text; a null id comes first; further
+columns are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -111,12 +113,27 @@ def near(queries: DataFrame, stored: DataFrame, radius: int = 3, blocks: int = 6
     masks = block_tables(radius, blocks)
 
     def keyed(df: DataFrame, name: str) -> DataFrame:
-        slots = F.array(*(F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)))
+        slots = F.array(*(F.struct(F.lit(i).cast("byte").alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)))
         return df.select("fp").where("fp is not null").distinct().select(F.col("fp").alias(name), F.explode(slots).alias("b")).select(name, "b.t", "b.key")
 
-    met = keyed(queries, "query_fp").join(keyed(stored, "fp"), ["t", "key"])
-    distance = F.bit_count(F.col("query_fp").bitwiseXOR(F.col("fp"))).alias("distance")
-    return met.select("query_fp", "fp", distance).where(F.col("distance") <= radius).distinct()
+    left, right = keyed(queries, "query_fp").alias("a"), keyed(stored, "fp").alias("b")
+    distance = F.bit_count(F.col("query_fp").bitwiseXOR(F.col("fp")))
+    met = left.join(right, (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key")) & (distance <= radius))
+    return met.select("query_fp", "fp", distance.alias("distance")).distinct()
+
+
+def n_near(prints: DataFrame, queries: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
+    """(fp, n_near): rows of ``prints`` within the radius of each query fingerprint, the query's own row left out."""
+    held = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("rows"))
+    found = near(queries, held, radius, blocks).join(held, "fp")
+    return found.groupBy("query_fp").agg((F.sum("rows") - 1).alias("n_near")).withColumnRenamed("query_fp", "fp")
+
+
+def _number(key: str, kind: str) -> Column:
+    """A double that never falls as the key rises: numbers as they are, of other values the first six bytes of their text."""
+    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
+        return F.col(key).cast("double")
+    return F.conv(F.rpad(F.hex(F.substring(F.col(key).cast("string").cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
 
 
 def _cuts_not_above(value: Column, cuts: list[float]) -> Column:
@@ -130,39 +147,52 @@ def _cuts_not_above(value: Column, cuts: list[float]) -> Column:
     return group * m + count(F.get(F.array(*(F.array(*map(F.lit, g)) for g in groups)), group))
 
 
+#: Ranges of the key that ``with_next`` cuts, at most: their bounds stand in the plan.
+MOST_RANGES = 2048
+
+
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
-    """``docs`` (key, text) with the next document's text in ascending key order, the first's after the last.
+    """(key, text, fp, next_text, next_fp): texts (null: empty) with their fingerprints and those of the next row in ascending key order, the first's after the last.
 
     Ranges of the key are cut at approximate quantiles (a few numbers on the driver), each range is
-    one window group, and only each range's first text crosses ranges.
+    one window group, and only each range's first row crosses ranges.  Every text is fingerprinted once.
     """
     spark: SparkSession = docs.sparkSession
-    n = ranges or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(docs.select(F.col(key).cast("double").alias("k")).where("k is not null").approxQuantile("k", [i / n for i in range(1, n)], 0.2 / n)))
-    place = F.when(F.col(key).isNull(), F.lit(0)).otherwise(_cuts_not_above(F.col(key).cast("double"), cuts))
-    ranged = docs.select(F.col(key), text_of(text).alias("text"), place.cast("int").alias("range"))
-    firsts = written(ranged.groupBy("range").agg(F.min(F.struct(F.col(key).isNotNull().alias("live"), F.col(key).alias("k"))).alias("m")).select("range", "m.k", "m.live"), "firsts")
-    order = Window.orderBy("range")
-    follow = firsts.select("range", F.coalesce(F.lead("range").over(order), F.first("range").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("next_range"))
-    heads = ranged.join(F.broadcast(firsts.select("range", F.col("k").alias("first_key"))), "range").where(F.col(key).eqNullSafe(F.col("first_key")))
-    heads = heads.groupBy("range").agg(F.min("text").alias("head"))
-    heads = follow.join(heads.withColumnRenamed("range", "next_range"), "next_range").select("range", "head")
-    within = Window.partitionBy("range").orderBy(F.col(key).asc_nulls_first(), "text")
-    led = ranged.withColumn("next_text", F.lead("text").over(within))
-    return led.join(heads, "range").select(key, "text", F.coalesce("next_text", "head").alias("next_text"))
+    n = ranges or min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES)
+    number = _number(key, docs.schema[key].dataType.simpleString())
+    cuts = sorted(set(docs.select(number.alias("k")).where("k is not null").approxQuantile("k", [i / n for i in range(1, n)], 0.2 / n)))
+    place = F.when(F.col(key).isNull(), F.lit(0)).otherwise(_cuts_not_above(number, cuts))
+    ranged = docs.select(F.col(key).alias("k"), text_of(text).alias("text"), place.cast("int").alias("range"))
+    firsts = ranged.groupBy("range").agg(F.min(F.struct(F.col("k").isNotNull().alias("live"), F.col("k").alias("k"))).alias("m")).select("range", F.col("m.k").alias("first"))
+    # one row per range, MOST_RANGES at most
+    met = ranged.join(F.broadcast(firsts), "range").where(F.col("k").eqNullSafe(F.col("first")))
+    heads = met.groupBy("range").agg(F.min("text").alias("head")).withColumn("head_fp", simhash(F.col("head")))
+    by = Window.orderBy("range")
+    whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = written(heads, "heads").select("range", *(F.coalesce(F.lead(c).over(by), F.first(c).over(whole)).alias(c) for c in ("head", "head_fp")))
+    within = Window.partitionBy("range").orderBy(F.col("k").asc_nulls_first(), "text")
+    led = ranged.withColumn("fp", simhash(F.col("text")))
+    led = led.select("*", F.lead("text").over(within).alias("after"), F.lead("fp").over(within).alias("after_fp")).join(heads, "range")
+    return led.select(F.col("k").alias(key), "text", "fp", F.coalesce("after", "head").alias("next_text"), F.coalesce("after_fp", "head_fp").alias("next_fp"))
+
+
+#: Ids divisible by this are the queries of op2's search.
+QUERY_STEP = 20
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """The contract's columns, and ``n_near`` for ids divisible by ``QUERY_STEP``: other documents within three bits (null for other ids)."""
+    rows = with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.col("next_text"), F.lit(1), quarter))
-    rows = docs.select("doc_id", "text", "next_text", edited.alias("edited"))
-    prints = rows.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        simhash(F.col("text")).alias("fp"), simhash(F.col("edited")).alias("efp"), simhash(F.col("next_text")).alias("nfp"),
-    )
-    return prints.select(
+    prints = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", F.col("next_fp").alias("nfp"))
+    prints = prints.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fp", "nfp", simhash(F.col("edited")).alias("efp"))
+    prints = written(prints, "prints")
+    chosen = F.col("doc_id") % QUERY_STEP == 0
+    found = n_near(prints, prints.where(chosen)).withColumn("chosen", F.lit(True))
+    met = prints.withColumn("chosen", chosen).join(found, ["fp", "chosen"], "left")
+    return met.select(
         "doc_id", "n_chars", "edited_sha256", hexed(F.col("fp")).alias("fingerprint"), hexed(F.col("efp")).alias("edited_fingerprint"),
-        likeness(F.col("fp"), F.col("efp")).alias("near_edited"), likeness(F.col("fp"), F.col("nfp")).alias("near_next"),
+        likeness(F.col("fp"), F.col("efp")).alias("near_edited"), likeness(F.col("fp"), F.col("nfp")).alias("near_next"), "n_near",
     )

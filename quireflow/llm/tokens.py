@@ -91,7 +91,7 @@ class Encoder:
         """Numbers of distinct pieces among the known ones, after new ones are encoded."""
         if len(self.known) > MOST_PIECES:
             keep = self.calls > 1
-            if keep.sum() > MOST_PIECES // 2:
+            if keep.sum() > MOST_PIECES:
                 keep[:] = False
             self.known, self.ids = self.known.filter(pa.array(keep)), self.ids[np.repeat(keep, self.n)]
             self.n, self.calls = self.n[keep], np.zeros(int(keep.sum()), np.int32)

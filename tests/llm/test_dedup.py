@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from helpers import EDGE, edge, empty, words
+from helpers import EDGE, LONG, edge, empty, words
 from pyspark.sql import functions as F
 
 from quireflow.llm import components, fingerprints, near_dedup, suffix_dedup
@@ -86,9 +86,38 @@ def test_simhash_matches_plain_votes(spark):
     assert got % (1 << 64) == want
 
 
+def plain_simhash(text):
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    w = [x.encode() for x in re.findall(r"[^\x20\x09-\x0D]+", text.translate(fold))]
+    hashes = [(xxhash.xxh64_intdigest(x, 42), 1) for x in w]
+    hashes += [(xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42)), fingerprints.PAIR_WEIGHT) for a, b in zip(w, w[1:])]
+    return sum(1 << b for b in range(64) if sum(k if h >> b & 1 else -k for h, k in hashes) > 0)
+
+
+def test_op2_matches_brute_force(spark, tmp_path):
+    rows = [(i, words(60, i % 17) + (f" {i}" if i % 3 else "")) for i in range(0, 90)] + [(200, None), (220, ""), (240, "é中" * 9), (260, LONG)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in fingerprints.op2(spark, str(tmp_path)).collect()}
+    texts = {i: t or "" for i, t in rows}
+    order, fp = sorted(texts), {i: plain_simhash(t) for i, t in texts.items()}
+    likeness = lambda a, b: 1 - (a ^ b).bit_count() / 64
+    assert len(got) == len(rows)
+    for i, j in zip(order, order[1:] + order[:1], strict=True):
+        k = len(texts[i]) // 4
+        edited = texts[i][: len(texts[i]) - k] + texts[j][:k]
+        r, e = got[i], plain_simhash(edited)
+        assert (r.n_chars, r.edited_sha256) == (len(texts[i]), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (f"{fp[i]:016x}", f"{e:016x}")
+        assert (r.near_edited, r.near_next) == (likeness(fp[i], e), likeness(fp[i], fp[j]))
+        assert r.n_near == (sum((fp[i] ^ fp[o]).bit_count() <= 3 for o in texts if o != i) if i % 20 == 0 else None)
+
+
 def test_fingerprint_edges(spark):
     led = fingerprints.with_next(edge(spark, clash=True))
-    rows = led.select("doc_id", fingerprints.simhash(F.col("text")).alias("f")).collect()
+    rows = led.select("doc_id", F.col("fp").alias("f")).collect()
+    assert {(r.next_fp, r.next_text) for r in led.collect()} <= {(r.fp, r.text) for r in led.collect()}
+    named = fingerprints.with_next(spark.createDataFrame([(f"k{i:02}", words(5, i)) for i in range(30)], "doc_id string, text string"), ranges=5).orderBy("doc_id").collect()
+    assert [r.next_text for r in named] == [words(5, (i + 1) % 30) for i in range(30)]
     assert len(rows) == len(EDGE) and {r.f for r in rows if r.doc_id in (1, 2, 3)} == {0}
     assert len({r.f for r in rows if r.doc_id in (5, 6)}) == 1 and fingerprints.with_next(empty(spark)).count() == 0
     one = fingerprints.with_next(edge(spark, rows=EDGE[5:6])).first()

@@ -105,6 +105,9 @@ def test_base_scores(spark):
     assert lm_scoring.score(lm_scoring.blocks(empty(spark))).count() == 0
 
 
+SURPRISE = 1.0
+
+
 def plain_tree(docs, longest, penalty):
     """prob(context, symbol), known words and retained states of the suffix tree, by dictionaries over the definition."""
     train = [tokens(x) for i, x in docs if not lm_scoring.held_out(i)]
@@ -128,8 +131,10 @@ def plain_tree(docs, longest, penalty):
     symbols = [*grams[1], ("?",)]  # all words, and one for those unknown
     contexts = {g for k in range(1, longest + 1) for g, c in grams[k].items() if c >= lm_scoring.OFTEN}
     for s in sorted(contexts, key=len):
-        if len(s) > 1 and not (s[1:] in kept and s[:-1] in candidates):
-            continue
+        if len(s) > 1:
+            n_s, expected = grams[len(s)][s], grams[len(s) - 1][s[:-1]] * prob(s[1:-1], s[-1])
+            if not (s[1:] in kept and s[:-1] in candidates and n_s * math.log(n_s / expected) - n_s + expected >= SURPRISE):
+                continue
         candidates.add(s)
         if s not in follow:
             continue
@@ -161,10 +166,10 @@ def test_scores_match_dictionaries(spark, shard_tokens):
         assert sum(prob(s, x) for (x,) in symbols) == pytest.approx(1.0)
     want = {i: sum(math.log10(prob(tuple(t[max(0, j - lm_scoring.LONGEST) : j]), x)) for j, x in enumerate(t)) for i, text in docs for t in [tokens(text)]}
     tokenised = lm_scoring.blocks(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), block_bytes=800)
-    got = {r.doc_id: r.score for r in lm_scoring.score(tokenised, shard_tokens=shard_tokens, penalty=penalty).collect()}
+    got = {r.doc_id: r.score for r in lm_scoring.score(tokenised, shard_tokens=shard_tokens, penalty=penalty, surprise=SURPRISE).collect()}
     assert got == pytest.approx(want)
-    whole = {r.doc_id: r.score for r in lm_scoring.score(tokenised, penalty=0.0).collect()}
-    assert {r.doc_id: r.score for r in lm_scoring.score(tokenised, penalty=0.0, hot=20, shard_tokens=100).collect()} == pytest.approx(whole)
+    whole = {r.doc_id: r.score for r in lm_scoring.score(tokenised, penalty=0.0, surprise=0.0).collect()}
+    assert {r.doc_id: r.score for r in lm_scoring.score(tokenised, penalty=0.0, surprise=0.0, hot=20, shard_tokens=100).collect()} == pytest.approx(whole)
 
 
 def test_longer_contexts_help_on_held_out_documents(spark):
