@@ -8,6 +8,7 @@ import importlib
 from pyspark.sql import SparkSession
 
 from .operators import evaluate
+from .plans import dataset
 from .plans.restore import Run
 from .sources import readers, sinks
 
@@ -19,7 +20,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--input_dir", action="append", required=True)
     a.add_argument("--output_csv", required=True)
     a.add_argument("--work_dir", default="outputs/run")
-    a.add_argument("--config", required=True)
+    a.add_argument("--config", default="configs/default.yaml")
     a.add_argument("--service", help="module:function that recognises one chunk, (fields, user) -> (status, text)")
     a.add_argument("--limit", type=int)
     a.add_argument("--limit_per_dir", "--limit-per-dir", type=int)
@@ -31,6 +32,9 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--gt_dir", required=True)
     b.add_argument("--mapping_csv")
     b.add_argument("--output", required=True)
+    c = kinds.add_parser("profile", help="statistics of the images in folders, as a Markdown report")
+    c.add_argument("--input_dir", action="append", required=True)
+    c.add_argument("--output", required=True)
     return top
 
 
@@ -45,6 +49,9 @@ def main(argv: list[str] | None = None) -> int:
         sinks.write_json(missing, f"{args.output}/missing_gt")
         sinks.write_json(evaluate.summary(records), f"{args.output}/summary")
         return 0
+    if args.kind == "profile":
+        dataset.report(spark, args.input_dir, args.output)
+        return 0
     service = None
     if args.service:
         module, _, name = args.service.partition(":")

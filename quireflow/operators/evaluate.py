@@ -90,8 +90,3 @@ def evaluate(predictions: DataFrame, truth: DataFrame, mapping: DataFrame | None
 def summary(records: DataFrame) -> DataFrame:
     """One row: file_count and the macro mean of the normalised distances (0 without files)."""
     return records.agg(F.count(F.lit(1)).alias("file_count"), F.coalesce(F.avg("normalized_edit_distance"), F.lit(0.0)).alias("mean_normalized_edit_distance"))
-
-
-def mapping_with_rows(mapping: DataFrame) -> DataFrame:
-    """Adds row_no in file order to a mapping table that lacks it (a mapping is one small file)."""
-    return mapping.withColumn("row_no", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,11 +41,6 @@ def to_original(band: Column, scale: Column, limit: Column) -> Column:
     return F.struct(start.alias("s"), F.greatest(start, F.least(limit, end_of(band["e"]))).alias("e"))
 
 
-def ink_density(pixels: DataFrame, axis: str, key: str = "path", gray: str = "gray") -> DataFrame:
-    """(key, i, density): share of ink per row (axis "y") or column ("x") of a pixel table."""
-    return pixels.groupBy(key, F.col(axis).alias("i")).agg(F.avg((F.col(gray) < INK).cast("int")).alias("density"))
-
-
 def _runs(density: np.ndarray) -> np.ndarray:
     low = np.concatenate(([0], (density <= BLANK).astype(np.int8), [0]))
     edge = np.flatnonzero(np.diff(low)).reshape(-1, 2)
@@ -94,7 +91,7 @@ def thumbnail(gray: np.ndarray, longest: int = THUMB) -> tuple[np.ndarray, float
 
 
 def analyze(images: DataFrame) -> DataFrame:
-    """Layout hints of every image of Spark's image source (path, height, width, nChannels, data)."""
+    """Layout hints of every image of Spark's image source (path, height, width, nChannels, data); images that it couldn't decode have none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -104,4 +101,35 @@ def analyze(images: DataFrame) -> DataFrame:
                 rows.append((row.path, row.width, row.height, *page_hints(small, row.width, row.height, scale)))
             yield pd.DataFrame(rows, columns=["path", "width", "height", "crop_box", "horizontal_blank_bands", "vertical_blank_bands", "table_line_density", "column_count"])
 
-    return images.select("path", "height", "width", "nChannels", "data").mapInPandas(run, HINTS)
+    return images.where("height > 0 and width > 0").select("path", "height", "width", "nChannels", "data").mapInPandas(run, HINTS)
+
+
+def png(pixels: np.ndarray) -> bytes:
+    """A PNG file of 8-bit gray (h, w) or RGB (h, w, 3) pixels."""
+    height, width = pixels.shape[:2]
+    rows = np.zeros((height, 1 + pixels[0].size), np.uint8)  # each line begins with its filter, none
+    rows[:, 1:] = pixels.reshape(height, -1)
+
+    def part(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    head = struct.pack(">IIBBBBB", width, height, 8, 2 if pixels.ndim == 3 else 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", zlib.compress(rows.tobytes(), 6)) + part(b"IEND", b"")
+
+
+def crops(images: DataFrame, boxes: DataFrame) -> DataFrame:
+    """(chunk_id, crop): a PNG of each box (path, chunk_id, x0, y0, x1, y1) of the images; each image is cut once."""
+    held = boxes.groupBy("path").agg(F.collect_list(F.struct("chunk_id", "x0", "y0", "x1", "y1")).alias("boxes"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                page = np.frombuffer(row.data, np.uint8).reshape(row.height, row.width, row.nChannels)
+                page = page[:, :, 0] if row.nChannels == 1 else page[:, :, 2::-1]  # channels are in BGR order
+                for box in row.boxes:
+                    cut = page[box["y0"] : box["y1"], box["x0"] : box["x1"]]
+                    if cut.size:
+                        yield pd.DataFrame({"chunk_id": [box["chunk_id"]], "crop": [png(np.ascontiguousarray(cut))]})
+
+    met = images.where("height > 0 and width > 0").join(held, "path")
+    return met.select("height", "width", "nChannels", "data", "boxes").mapInPandas(run, "chunk_id string, crop binary")

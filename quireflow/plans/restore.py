@@ -7,6 +7,7 @@ stopped run costs one step; texts that were recognised and validated once aren't
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from typing import Any
@@ -63,12 +64,12 @@ class Run:
         if not report.passed:
             raise RunError(",".join(report.risks))
         chosen = readers.sample(listed, c.limit_per_dir, c.limit)
-        return profile.profile(chosen.join(readers.image_headers(self.spark, c.input_dirs), ["file_name", "path"]))
+        return profile.profile(chosen.join(readers.image_headers(self.spark, c.input_dirs, chosen), ["file_name", "path"]))
 
     def chunks(self, images: DataFrame) -> DataFrame:
         """Chunks with ids and ordinals; strips snap to the blank bands of their pages. Unreadable images have none."""
         strips = images.where("doc_type = 'long_strip'")
-        bands = layout.analyze(readers.image_pixels(self.spark, self.config.input_dirs).join(strips.select("path"), "path", "left_semi"))
+        bands = layout.analyze(readers.image_pixels(self.spark, self.config.input_dirs, strips))
         with_bands = images.where("width is not null").join(bands.select("path", F.col("horizontal_blank_bands").alias("bands")), "path", "left")
         o = self.config.chunk
         cut = chunking.chunk(
@@ -77,7 +78,14 @@ class Run:
             overlap_x=int(o.get("table_horizontal_overlap", chunking.GRID_X)), overlap_y=int(o.get("table_vertical_overlap", chunking.GRID_Y)),
         )
         # ordinals only have to be distinct and to follow rows within a file
-        return self._hold(cut.drop("bands").withColumn("ordinal", F.monotonically_increasing_id()), "chunks")
+        cut = self._hold(cut.drop("bands").withColumn("ordinal", F.monotonically_increasing_id()), "chunks")
+        sinks.write_lines(chunking.manifest(cut), "manifest", self._path("manifests"))
+        return cut
+
+    def crops(self, chunks: DataFrame) -> DataFrame:
+        """``chunks`` with their pixels as PNG files (``crop``), null where an image can't be decoded."""
+        pixels = readers.image_pixels(self.spark, self.config.input_dirs, chunks.select("path").distinct())
+        return chunks.join(layout.crops(pixels, chunks.select("path", "chunk_id", "x0", "y0", "x1", "y1")), "chunk_id", "left")
 
     def recognised(self, chunks: DataFrame, force: bool, concurrency: int | None) -> DataFrame:
         c = self.config
@@ -87,14 +95,16 @@ class Run:
         if self.service is None:
             raise RunError("no recognition service")
         extra = {"sleep": self.sleep} if self.sleep else {}
-        new = recognize.recognize(todo, self.service, c.user_ids, concurrency or int(c.api.get("concurrency", 1)), int(c.api.get("per_user_concurrency", 1)), int(c.api.get("max_retries", recognize.MAX_RETRIES)), **extra)
-        new = self._hold(new, "recognised")
+        new = recognize.recognize(self._hold(self.crops(todo), "crops"), self.service, c.user_ids, concurrency or int(c.api.get("concurrency", 1)), int(c.api.get("per_user_concurrency", 1)), int(c.api.get("max_retries", recognize.MAX_RETRIES)), **extra)
+        new = self._hold(new.drop("crop"), "recognised")
         sinks.append_table(cache.entries(new, c.api_url), self._path("api_cache"))
         log = new.select(F.lit("api_call").alias("event"), F.lit(self.id).alias("run_id"), "file_name", "chunk_id", F.explode("log").alias("call"), cache.text_sha1().alias("response_sha1"), F.col("ok").alias("content_validated"))
         hit = known.select(F.lit("api_call").alias("event"), F.lit(self.id).alias("run_id"), "file_name", "chunk_id", F.lit("").alias("user_id"), F.lit("cache").alias("status"), F.lit(0).alias("retry_index"), F.lit(0).cast("long").alias("elapsed_ms"), F.length("markdown").cast("long").alias("response_chars"), cache.text_sha1().alias("response_sha1"), F.lit(True).alias("content_validated"))
         sinks.append_json(log.select("event", "run_id", "file_name", "chunk_id", "call.*", "response_sha1", "content_validated").unionByName(hit), self._path("logs"))
         cols = [*chunks.columns, "ok", "markdown", "block_type", "source"]
-        return known.select(cols).unionByName(new.select(cols))
+        texts = known.select(cols).unionByName(new.select(cols))
+        sinks.write_json(texts.select("file_name", "chunk_id", normalize(F.col("markdown"), self.mode).alias("markdown")), self._path(f"chunk_texts/{uuid.uuid4().hex[:8]}"))
+        return texts
 
     def checked(self, images: DataFrame, files: DataFrame) -> DataFrame:
         q = self.config.quality
@@ -112,6 +122,8 @@ class Run:
         """Checked files (rerun_count, from_merged_cache). Publishes the CSV unless a file failed or it is a dry run."""
         c = self.config
         images = self._hold(self.images(), "images")
+        sinks.write_lines(self.spark.createDataFrame([(json.dumps(c.snapshot(), ensure_ascii=False, default=str),)], "config string"), "config", self._path("config"))
+        sinks.write_json(images, self._path("profiles"))
         if c.dry_run:
             per_file = self.chunks(images).groupBy("file_name").agg(F.count(F.lit(1)).alias("chunks"))
             # a dry run leaves no texts that a later run could take for results
@@ -146,7 +158,12 @@ class Run:
         files = self._hold(files, "files")
         sinks.append_table(files.where("from_merged_cache = 0").select("file_name", "markdown", F.current_timestamp().alias("written")), merged)
         sinks.write_json(files.drop("markdown"), self._path("qc"))
-        summary = gate.run_summary(files)
+        # a run's names and risks as tables of their own, and the few risks once more by count
+        sinks.write_json(gate.failed_files(files), self._path("failed_files"))
+        counts = gate.risk_counts(files)
+        sinks.write_json(counts, self._path("risk_counts"))
+        risks = counts.agg(F.map_from_entries(F.collect_list(F.struct("risk", "n"))).alias("risk_counts"))
+        summary = self._hold(gate.run_summary(files).crossJoin(risks), "summary")  # two rows of one
         sinks.write_json(summary.withColumn("output_csv", F.lit(c.output_csv)).withColumn("dry_run", F.lit(False)), self._path("summary"))
         if not summary.first().passed:
             raise RunError("quality gate failed")

@@ -10,7 +10,7 @@ from pathlib import Path
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -79,8 +79,26 @@ def image_size(head: bytes) -> tuple[int, int] | None:
     return None
 
 
-def image_headers(spark: SparkSession, dirs: list[str]) -> DataFrame:
-    """(file_name, path, width, height, image_sha1): sizes from file headers; unreadable images have null sizes."""
+#: Images named one by one to a reader, at most; of more, the folders are read and the names joined.
+MOST_PATHS = 10_000
+#: Bytes of a file that may hold its size; TIFF directories may stand anywhere.
+HEAD_BYTES = 1 << 18
+
+
+def _loaded(reader: DataFrameReader, dirs: list[str], chosen: DataFrame | None, path: str = "path") -> DataFrame:
+    """What ``reader`` makes of the folders, or of the ``chosen`` paths alone."""
+    if chosen is None:
+        return reader.load(dirs)
+    names = [r.path for r in chosen.select("path").limit(MOST_PATHS + 1).collect()]
+    if not names:
+        return reader.load(dirs).where(F.lit(False))
+    if len(names) <= MOST_PATHS:
+        return reader.load(names)
+    return reader.load(dirs).join(chosen.select(F.col("path").alias("__chosen")), F.col(path) == F.col("__chosen"), "left_semi")
+
+
+def image_headers(spark: SparkSession, dirs: list[str], chosen: DataFrame | None = None) -> DataFrame:
+    """(file_name, path, width, height, image_sha1): sizes from file headers, which alone reach Python; unreadable images have null sizes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -92,14 +110,18 @@ def image_headers(spark: SparkSession, dirs: list[str]) -> DataFrame:
                     sizes.append((None, None))
             yield pd.DataFrame({"path": batch["path"], "width": pd.array([s[0] for s in sizes], "Int32"), "height": pd.array([s[1] for s in sizes], "Int32"), "image_sha1": batch["image_sha1"]})
 
-    raw = spark.read.format("binaryFile").load(dirs).where(is_image_name(F.col("path"))).select("path", "content", F.sha1("content").alias("image_sha1"))
+    tiff = F.hex(F.substring("content", 1, 4)).isin("49492A00", "4D4D002A")
+    head = F.when(tiff, F.col("content")).otherwise(F.substring("content", 1, HEAD_BYTES))
+    found = _loaded(spark.read.format("binaryFile"), dirs, chosen).where(is_image_name(F.col("path")))
+    raw = found.select("path", head.alias("content"), F.sha1("content").alias("image_sha1"))
     sized = raw.mapInPandas(run, "path string, width int, height int, image_sha1 string")
     return sized.withColumn("file_name", F.regexp_extract("path", r"([^/]*)\z", 1))
 
 
-def image_pixels(spark: SparkSession, dirs: list[str]) -> DataFrame:
-    """Decoded images: path, height, width, nChannels, data (Spark's image source)."""
-    return spark.read.format("image").load(dirs).select(F.col("image.origin").alias("path"), "image.height", "image.width", "image.nChannels", "image.data")
+def image_pixels(spark: SparkSession, dirs: list[str], chosen: DataFrame | None = None) -> DataFrame:
+    """Decoded images (of the ``chosen`` paths): path, height, width, nChannels, data (Spark's image source); what can't be decoded is left out."""
+    found = _loaded(spark.read.format("image").option("dropInvalid", True), dirs, chosen, "image.origin")
+    return found.select(F.col("image.origin").alias("path"), "image.height", "image.width", "image.nChannels", "image.data")
 
 
 def read_markdown_dir(spark: SparkSession, path: str) -> DataFrame:
@@ -161,29 +183,39 @@ def read_yaml(path: str) -> dict[str, Any]:
     return yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
 
 
+def read_env(path: str = ".env") -> dict[str, str]:
+    """Names and values of a file of NAME=value lines; blank lines and comments are skipped, quotes around a value dropped."""
+    if not Path(path).is_file():
+        return {}
+    pairs = (line.removeprefix("export ").partition("=") for line in map(str.strip, Path(path).read_text(encoding="utf-8").splitlines()) if line[:1] not in ("", "#"))
+    return {name.strip(): value.strip().strip("\"'") for name, sign, value in pairs if sign}
+
+
+def _credentials(env: dict[str, str], prefix: str) -> tuple[str, list[str], str]:
+    """Key, users and service address; each has a name with the prefix and an older one."""
+    key, users, url = ((env.get(f"{prefix}_{new}") or env.get(old) or "").strip() for new, old in (("API_KEY", "apiKey"), ("USER_IDS", "userIds"), ("API_URL", "apiUrl")))
+    return key, [name for name in (part.strip() for part in users.split(",")) if name], url
+
+
 def load_config(input_dirs: list[str], output_csv: str, work_dir: str, config: str, env: dict[str, str] | None = None, default_url: str = "", env_prefix: str = "OCR", **options: Any) -> RunConfig:
-    """Settings from YAML and environment. Key and users are required unless it is a dry run.
+    """Settings from YAML, the environment and a ``.env`` file (the environment goes first). Key and users are needed unless it is a dry run.
 
     Names in the environment: <prefix>_API_KEY, <prefix>_USER_IDS, <prefix>_API_URL, with apiKey, userIds and
     apiUrl as older names; the URL there goes before that of the file, and a ${...} placeholder means the default.
     """
-    env = dict(os.environ) if env is None else env
-    raw = read_yaml(config)
-    of = lambda new, old: (env.get(f"{env_prefix}_{new}") or env.get(old) or "").strip()
-    dry = bool(options.get("dry_run"))
-    key = of("API_KEY", "apiKey")
-    users = [u.strip() for u in of("USER_IDS", "userIds").split(",") if u.strip()]
-    if not dry and not key:
-        raise ConfigError(f"{env_prefix}_API_KEY is required")
-    if not dry and not users:
-        raise ConfigError(f"{env_prefix}_USER_IDS is required")
-    for d in input_dirs:
-        if "://" not in d and not Path(d).is_dir():
-            raise ConfigError(f"input_dir is not a directory: {d}")
-    api = dict(raw.get("api", {}))
-    url = of("API_URL", "apiUrl") or api.get("url") or default_url
-    api["url"] = url = default_url if url.startswith("${") else url
+    sections = read_yaml(config)
+    key, users, url = _credentials(read_env() | dict(os.environ) if env is None else env, env_prefix)
+    if missing := [d for d in input_dirs if "://" not in d and not Path(d).is_dir()]:
+        raise ConfigError(f"no such folder: {', '.join(missing)}")
+    if not options.get("dry_run"):
+        if absent := [f"{env_prefix}_{name}" for name, value in (("API_KEY", key), ("USER_IDS", users)) if not value]:
+            raise ConfigError(f"set {' and '.join(absent)}")
+    api = dict(sections.get("api") or {})
+    url = url or api.get("url") or default_url
+    if url.startswith("${"):
+        url = default_url
     users = users or ["dry_run"]
     per_user = int(api.get("per_user_concurrency", 1))
-    api |= {"per_user_concurrency": per_user, "concurrency": min(int(api.get("concurrency", 1)), max(1, len(users) * per_user))}
-    return RunConfig(list(input_dirs), output_csv, work_dir, key, users, url, api, *(dict(raw.get(k, {})) for k in ("chunk", "merge", "quality")), **options)
+    most = max(1, len(users) * per_user)
+    api.update(url=url, per_user_concurrency=per_user, concurrency=min(int(api.get("concurrency", 1)), most))
+    return RunConfig(list(input_dirs), output_csv, work_dir, key, users, url, api, *(dict(sections.get(k) or {}) for k in ("chunk", "merge", "quality")), **options)

@@ -27,17 +27,29 @@ def exists(spark: SparkSession, path: str) -> bool:
 def write_csv(files: DataFrame, path: str, single: bool = True) -> None:
     """file_name and ground_truth in UTF-8 with a header; white space and line ends inside texts survive, empty texts stay empty.
 
-    ``single`` asks for one part file, as a submission does; leave it off to write in parallel.
+    ``single`` makes ``path`` one CSV file, as a submission is: one task writes it and it is moved there; leave it off
+    for a folder that is written in parallel.
     """
     rows = files.select("file_name", F.coalesce("ground_truth", F.lit("")).alias("ground_truth"))
-    rows = rows.coalesce(1) if single else rows
     options = {"header": True, "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": "", "encoding": "UTF-8", "lineSep": "\n"}
-    rows.write.mode("overwrite").options(**options).csv(path)
-
-
-def publish(files: DataFrame, path: str, expected: DataFrame) -> DataFrame:
+    if not single:
+        rows.write.mode("overwrite").options(**options).csv(path)
+        return
+    spark, parts = files.sparkSession, f"{path.rstrip('/')}.parts"
+    rows.coalesce(1).write.mode("overwrite").options(**options).csv(parts)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    where, target = hadoop.Path(parts), hadoop.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in store.listStatus(where) if s.getPath().getName().startswith("part-"))
+    store.delete(target, True)
+    if not store.rename(part, target):
+        raise PublishError(f"can't move the CSV to {path}")
+    store.delete(where, True)
+
+
+def publish(files: DataFrame, path: str, expected: DataFrame, single: bool = True) -> DataFrame:
     """Write the CSV, read it back and check it; what doesn't hold raises. Returns the check's row."""
-    write_csv(files, path)
+    write_csv(files, path, single)
     report = check_submission(read_submission(files.sparkSession, path), expected)
     row = report.first()
     if not row.passed:
@@ -45,6 +57,16 @@ def publish(files: DataFrame, path: str, expected: DataFrame) -> DataFrame:
     return report
 
 
+def write_lines(rows: DataFrame, column: str, path: str) -> None:
+    """One line of text, such as a JSON document, per row."""
+    rows.select(column).write.mode("overwrite").text(path)
+
+
+def write_text(lines: DataFrame, path: str, order: str) -> None:
+    """A small report as text, its lines in order."""
+    lines.repartition(1).sortWithinPartitions(order).select("line").write.mode("overwrite").text(path)
+
+
 def write_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 

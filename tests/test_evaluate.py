@@ -21,7 +21,7 @@ def test_whole_benchmark(spark):
     pairs = {i: (text[i], text[i + (i % 3 > 0)]) for i in text if i + (i % 3 > 0) in text}
     assert any(not (a + b).isascii() and a != b for a, b in pairs.values())
     want = {i: plain(a, b) for i, (a, b) in pairs.items()}
-    assert {r.item_id: r.edit_distance for r in QUERIES["eval_distance_whole"](spark, SF).collect()} == want
-    got = QUERIES["eval_summary_whole"](spark, SF).first()
+    assert {r.item_id: r.edit_distance for r in QUERIES["eval_distance"](spark, SF).collect()} == want
+    got = QUERIES["eval_summary"](spark, SF).first()
     assert got.file_count == len(want)
     assert got.mean_normalized_edit_distance == pytest.approx(sum(d / max(1, len(pairs[i][1])) for i, d in want.items()) / len(want), abs=1e-6)
