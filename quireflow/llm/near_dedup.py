@@ -15,13 +15,14 @@ Any two members within three bits share such a value, so no link is lost, at a c
 with the bucket and not with its square.
 
 Defined results: null text is the empty text; texts without words have fingerprint zero and link
-to each other like any others; equal texts are always in one component; rows repeating a doc_id
-share its component.
+to each other like any others; equal texts are always in one component; a text of any length is
+fingerprinted whole; rows repeating a doc_id are told apart by their texts; further columns are not read
+(``keep_one`` carries them in a struct, whatever their names); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import LOWER, UPPER, passes, table, utf8, written
+from .common import LOWER, UPPER, passes, table, text_of, utf8, written
 from .components import components
 
 SEED = 42
@@ -165,8 +166,9 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
 STAGE_SHINGLE, STAGE_SIMILARITY = 5, 0.8
 #: Min-hash bands and values in each: a pair of similarity 0.8 shares no band once in 5000 times.
 BANDS, BAND_ROWS = 16, 4
-#: Distinct sets that are compared in one group; larger buckets are dealt, otherwise in every band.
-GROUP = 2048
+#: Distinct sets that are compared in one group.  Larger buckets are cut by the values of their other bands; where those are
+#: still larger, into parts that share the bucket's first ``HUBS`` sets, so that what links to any of them meets across parts.
+GROUP, HUBS = 2048, 32
 _TURNS = np.random.default_rng(SEED).integers(1, 1 << 62, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -204,7 +206,7 @@ def _set_ids(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, key: str, text: str, shingle: int, whole: bool) -> DataFrame:
-    """(key, fp, bands) of every row, or (fp, shingles) if ``whole``."""
+    """(key, row_hash, fp, bands) of every row, or (fp, shingles) if ``whole``."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,9 +224,11 @@ def _sets(docs: DataFrame, key: str, text: str, shingle: int, whole: bool) -> Da
                     least = np.minimum.reduceat(_mix(h * turn), at[some])
                     bands[some, i // BAND_ROWS] = _mix(bands[some, i // BAND_ROWS] + np.uint64(i + 1)) * np.uint64(3) + least
                 flat = pa.array(bands.view(np.int64).ravel())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), fp, pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), flat)], [key, "fp", "bands"])
+                lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), flat)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), fp, lists], ["key", "row_hash", "fp", "bands"])
 
-    return docs.select(key, text).mapInArrow(run, "fp bigint, shingles binary" if whole else f"`{key}` {kind}, fp bigint, bands array<bigint>")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text_of(text)).alias("row_hash"))
+    return rows.mapInArrow(run, "fp bigint, shingles binary" if whole else f"key {kind}, row_hash bigint, fp bigint, bands array<bigint>")
 
 
 def connect(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
@@ -247,49 +251,83 @@ def connect(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     return out
 
 
-def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY) -> DataFrame:
-    """(key, fp, component_id) as ``near_components``, by the Jaccard similarity of word shingles.
+def _groups(firsts: DataFrame, group: int) -> DataFrame:
+    """(fp, g): memberships of groups of sets that share a band; a set's several memberships are compared apart."""
+    keyed = firsts.select("fp", F.posexplode("bands").alias("band", "value"))
+
+    def distinct(rows: DataFrame, *by: str) -> DataFrame:
+        """(by, n) of groups of two and more; of groups with the same members one stays."""
+        sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"), F.min("fp").alias("least")).where("n > 1")
+        return sizes.groupBy("n", "x", "y", "least").agg(F.min(F.struct(*by)).alias("b")).select("n", *(f"b.{c}" for c in by))
+
+    sizes = written(distinct(keyed, "band", "value"), "bandsizes")
+    met = keyed.join(sizes, ["band", "value"])
+    small = met.where(F.col("n") <= group).select("fp", F.struct("band", "value", F.lit(-1).alias("band2"), F.lit(0).cast("long").alias("value2")).alias("g"))
+    # the other bands of the members of crowded buckets
+    large = met.where(F.col("n") > group).select("fp", "band", "value").join(firsts, "fp")
+    cut = large.select("fp", "band", "value", F.posexplode("bands").alias("band2", "value2")).where("band2 <> band")
+    sizes2 = written(distinct(cut, "band", "value", "band2", "value2"), "bandsizes2")
+    met2 = cut.join(sizes2, ["band", "value", "band2", "value2"])
+    held = met2.select("fp", F.struct("band", "value", "band2", "value2").alias("g"), "n")
+    return small.withColumn("n", F.lit(0).cast("long")).unionByName(held)
+
+
+def similar_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, row_hash, fp), and (fp, component) of every distinct set of word shingles, by Jaccard similarity.
 
     Candidates share a min-hash band; every link is checked on the whole sets.  Rows are first
     reduced to distinct sets, and buckets to distinct memberships, so a pair's sets meet once.
     """
     marked = written(_sets(docs, key, text, shingle, False), "shinglebands")
-    firsts = written(marked.groupBy("fp").agg(F.min(key).alias("least"), F.min("bands").alias("bands")), "firsts")
-    keyed = firsts.select("fp", F.posexplode("bands").alias("band", "value"))
-    sizes = keyed.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y")).where("n > 1")
-    once = sizes.groupBy("n", "x", "y").agg(F.min(F.struct("band", "value")).alias("b")).select("n", "b.band", "b.value")
-    part = F.when(F.col("n") > GROUP, F.pmod(F.xxhash64("fp", "band"), F.ceil(F.col("n") / GROUP))).otherwise(0)
-    members = written(keyed.join(once, ["band", "value"]).select("fp", "band", "value", part.cast("int").alias("part")), "bandmembers")
-    asked = marked.join(members.select("fp").distinct(), "fp", "left_semi").select(key).distinct()
-    sets = _sets(docs.join(asked, key, "left_semi"), key, text, shingle, True).dropDuplicates(["fp"])
-
-    def run(group: pa.Table) -> pa.Table:
-        fp = group.column("fp").to_numpy()
+    firsts = written(marked.groupBy("fp").agg(F.min("bands").alias("bands")), "firsts")
+    found = written(_groups(firsts, group), "bandmembers")
+    # crowded groups in parts, and their least sets in every part
+    parts = F.ceil(F.col("n") / group).cast("int")
+    own = F.when(F.col("n") > group, F.pmod(F.xxhash64("fp", "g"), parts)).otherwise(0).cast("int")
+    crowded = found.where(F.col("n") > group)
+    hubs = crowded.groupBy("g").agg(F.max("n").alias("n"), F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("fp", "g"), F.greatest(F.lit(1), F.floor(F.col("n") / (4 * HUBS)))) == 0, F.col("fp")))), 1, HUBS).alias("fps"))
+    everywhere = hubs.select("g", F.explode("fps").alias("fp"), "n").select("fp", "g", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    members = written(found.select("fp", "g", own.alias("part")).unionByName(everywhere).distinct(), "groupmembers")
+    # one row of each set that is in a group
+    asked = marked.join(members.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(F.col("key").isNull(), "key", "row_hash")).alias("m")).select(F.col("m.key").alias("__key"), F.col("m.row_hash").alias("__hash"))
+    chosen = docs.join(asked, F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text_of(text)) == F.col("__hash")), "left_semi")
+    sets = _sets(chosen, key, text, shingle, True).dropDuplicates(["fp"])
+
+    def run(rows: pa.Table) -> pa.Table:
+        fp = rows.column("fp").to_numpy()
         order = np.argsort(fp)
-        raw = group.column("shingles")
-        found = connect([np.frombuffer(raw[int(i)].as_py(), np.uint64) for i in order], similarity)
-        a, b = (pa.array([int(fp[order[x[i]]]) for x in found], pa.int64()) for i in (0, 1))
+        raw = rows.column("shingles")
+        links_ = connect([np.frombuffer(raw[int(i)].as_py(), np.uint64) for i in order], similarity)
+        a, b = (pa.array([int(fp[order[x[i]]]) for x in links_], pa.int64()) for i in (0, 1))
         return pa.table([a, b], names=["a", "b"])
 
-    met = members.join(sets, "fp").groupBy("band", "value", "part").applyInArrow(run, "a bigint, b bigint")
+    met = members.join(sets, "fp").groupBy("g", "part").applyInArrow(run, "a bigint, b bigint")
     joined = components(written(met.distinct(), "similar"))
-    owned = firsts.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    root = owned.groupBy("component").agg(F.min("least").alias("component_id"))
-    return marked.select(key, "fp").join(owned.join(root, "component").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+    owned = firsts.select("fp").join(joined.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+    return marked.select("key", "row_hash", "fp"), owned
+
+
+def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """(key, fp, component_id) as ``near_components``, by the Jaccard similarity of word shingles."""
+    marked, owned = similar_sets(docs, key, text, **options)
+    rows = marked.join(written(owned, "owned"), "fp")
+    root = rows.groupBy("component").agg(F.min("key").alias("component_id"))
+    return rows.join(root, "component").select(F.col("key").alias(key), "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", grouped: Callable[[DataFrame, str, str], DataFrame] = near_components) -> DataFrame:
-    """``docs`` with one row per component of ``grouped``: that of its least key.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the least key (null last), of rows that share it that of the least text hash.
 
-    Rows that repeat a key are one document, whose row of least text stays; a row with a null key
-    is a document of its own and stays.
+    Rows are documents by themselves: those that share a key, or have none, are told apart by their texts.
     """
-    found = grouped(docs.where(F.col(key).isNotNull()), key, text)
-    first = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    rows = docs.select(F.col(key), F.struct("*").alias("__row")).where(F.col(key).isNotNull())
-    nth = F.row_number().over(Window.partitionBy(key).orderBy(F.col("__row")[text]))
-    kept = rows.join(first, key, "left_semi").withColumn("__nth", nth).where("__nth = 1").select("__row.*")
-    return kept.unionByName(docs.where(F.col(key).isNull()))
+    marked, owned = similar_sets(docs, key, text, **options)
+    best = marked.join(owned, "fp").groupBy("component").agg(F.min(F.struct(F.col("key").isNull(), "key", "row_hash")).alias("m"))
+    best = written(best.select(F.col("m.key").alias("__key"), F.col("m.row_hash").alias("__hash")).distinct(), "kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("__own"), F.xxhash64(text_of(text)).alias("__text"))
+    met = rows.join(best, F.col("__own").eqNullSafe(F.col("__key")) & (F.col("__text") == F.col("__hash")), "left_semi")
+    # rows alike in key and text stand here together: the first by its other columns stays
+    nth = F.row_number().over(Window.partitionBy("__own", "__text").orderBy(F.to_json("row")))
+    return met.withColumn("__nth", nth).where("__nth = 1").select("row.*")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -6,9 +6,11 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import EDGE, edge, empty, words
+from test_dedup import plain_similar
+from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
-from quireflow.llm import near_dedup, quality_rules, secrets, tokens
+from quireflow.llm import quality_rules, secrets, tokens
 from quireflow.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -48,20 +50,8 @@ def test_run_matches_brute_force(spark):
         bad = counts["n_words"][0] < 20 or 100 * counts["n_repeat_words"][0] > 30 * counts["n_words"][0]
         if not bad and trees.score(x)[0] >= 0.5:
             stays[i] = r
-    prints = {i: near_dedup.fingerprint_text(r.text.encode()) for i, r in stays.items()}
-    root = {i: i for i in stays}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for i in stays:
-        for j in stays:
-            if j < i and (prints[i] ^ prints[j]).bit_count() <= 3:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    stays = {i: r for i, r in stays.items() if find(i) == i}
+    root = plain_similar({i: r.text for i, r in stays.items()})
+    stays = {i: r for i, r in stays.items() if root[i] == i}
     found = {}
     for r in secrets.scan(table(spark, SF, "documents").select("doc_id", "text"), secrets.fit()).where("is_secret").collect():
         found.setdefault(r.doc_id, []).append((r.start, r.length))
