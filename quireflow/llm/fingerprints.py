@@ -118,7 +118,8 @@ def near(queries: DataFrame, stored: DataFrame, radius: int = 3, blocks: int = 6
 
     left, right = keyed(queries, "query_fp").alias("a"), keyed(stored, "fp").alias("b")
     distance = F.bit_count(F.col("query_fp").bitwiseXOR(F.col("fp")))
-    met = left.join(right, (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key")) & (distance <= radius))
+    # neither side has a bound, so neither may be broadcast whatever its estimate
+    met = left.join(right.hint("merge"), (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key")) & (distance <= radius))
     return met.select("query_fp", "fp", distance.alias("distance")).distinct()
 
 
