@@ -17,14 +17,20 @@
    multiplicities settle windows of repeated phrases.
 4. Spans of repeated windows go back to their block, where their bytes are removed.
 
-Hot triggers (a passage in a third of all rows) get finer shards: windows are dealt by trigger, by the 112 bytes
-around it that they certainly hold, and by the next four bytes on the other side where they hold
-those.  All of that is part of the window, so equal windows still meet.
+Hot triggers (a passage in a third of all rows): around it every document has phrases of its own that
+begin or end inside the passage, all with one trigger.  Of a trigger that occurs more than ``HOT``
+times no text is gathered: each window of such a phrase is counted by the hash of its 200 bytes, so what
+is dealt is as many keys as there are different windows, and no key grows with the corpus but those of
+windows that are equal, which are summed where they stand.
+
+The parse contributes multiplicities and places; its own suffix array is not built, since phrases already
+reach past every match, so that it could only order equal windows among themselves.
 
 Defined results: null text is empty; texts below ``MATCH`` bytes lose nothing; equal texts of at
-least ``MATCH`` bytes lose everything; overlapping occurrences count; rows that repeat a doc_id are
-documents of their own; an empty table gives no rows.  Phrases are told apart by 64-bit content
-hashes in step 2.
+least ``MATCH`` bytes lose everything; overlapping occurrences count; a text of any length is cut whole; rows that
+repeat a doc_id are documents of their own; further columns are not read; an empty table gives no rows.
+Phrases (step 2) and windows of hot triggers are told apart by hashes of 62 bits with drawn bases; all other windows are
+compared byte by byte.
 """
 
 from __future__ import annotations
@@ -49,8 +55,6 @@ BLOCK_BYTES = 16 << 20
 HOT = 2000
 #: Bytes of phrases in a shard, about.
 SHARD_BYTES = 2 << 20
-_SIDE = (MATCH - GRAM) // 2
-_NEXT = 4
 
 
 def window_triggers(h: np.ndarray, width: int) -> np.ndarray:
@@ -157,24 +161,11 @@ def _asked(ends: bytes, text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return _phrases(*_opened(ends, text))[1:]
 
 
-def _deal(data: np.ndarray, start: int, stop: int, at: int, trigger: int) -> list[tuple[int, int, int]]:
-    """(first window, one past the last, shard key) of a hot trigger's phrase; every key is a function of window content."""
-    raw, out = data, []
-    middle = max(start, min(stop, at - _SIDE))  # windows from here on hold _SIDE bytes after the trigger
-    right = hash_of(raw[at : at + GRAM + _SIDE])
-    left = hash_of(raw[max(0, at - _SIDE) : at + GRAM])
-    few = max(middle, min(stop, at - _NEXT + 1))  # windows before here hold _NEXT bytes before the trigger
-    out.append((middle, few, trigger ^ right ^ hash_of(raw[max(0, at - _NEXT) : at], 1)))
-    out.append((few, stop, trigger ^ right ^ 0x5EED))
-    reach = at + GRAM + _NEXT - MATCH  # windows from here on hold _NEXT bytes after the trigger
-    some = max(start, min(middle, reach))
-    out.append((some, middle, trigger ^ left ^ hash_of(raw[at + GRAM : at + GRAM + _NEXT], 2)))
-    out.append((start, some, trigger ^ left ^ 0xFEED))
-    return [(a, b, k & 0x7FFFFFFFFFFFFFFF) for a, b, k in out if b > a]
-
-
-def hash_of(raw: np.ndarray, salt: int = 0) -> int:
-    return int.from_bytes(hashlib.blake2b(raw.tobytes(), digest_size=8, salt=bytes([salt])).digest(), "little")
+def _windows(data: np.ndarray, start: int, stop: int) -> np.ndarray:
+    """Content hashes of the windows that start in a range."""
+    own = data[start : stop + MATCH - 1]
+    at = np.arange(stop - start)
+    return bw.span_hash(bw.prefix_hash(own), at, at + MATCH).view(np.int64)
 
 
 def _merge(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +179,7 @@ def _merge(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def sift(parsed: DataFrame, answers: DataFrame, hot: int = HOT) -> DataFrame:
-    """A written table: spans of windows known to repeat (text null), and phrases that suffix arrays decide (key, text, single)."""
+    """A written table: spans of windows known to repeat (key null), windows of hot triggers (key, single), and phrases that suffix arrays decide (key, text, single)."""
     names = ["block", "start", "stop", "key", "single", "text"]
 
     def run(block: pa.Table, known: pa.Table) -> pa.Table:
@@ -208,16 +199,21 @@ def sift(parsed: DataFrame, answers: DataFrame, hot: int = HOT) -> DataFrame:
         copy = np.zeros(len(start), bool)
         copy[np.unique(phrase, return_index=True)[1]] = True
         wanted = (counts[trigger] > counts[phrase]) & (~whole | copy & first[phrase])
-        for i in np.flatnonzero(wanted).tolist():
-            t = int(words[trigger[i]])
-            if counts[trigger[i]] > hot:
-                parts = _deal(data, int(start[i]), int(stop[i]), int(at[i]), t)
-            else:
-                parts = [(int(start[i]), int(stop[i]), t & 0x7FFFFFFFFFFFFFFF)]
-            rows += [(number, a, b, k, not whole[i], data[a : b + MATCH - 1].tobytes()) for a, b, k in parts]
+        hot_ones = wanted & (counts[trigger] > hot)
+        for i in np.flatnonzero(wanted & ~hot_ones).tolist():
+            a, b = int(start[i]), int(stop[i])
+            rows.append((number, a, b, int(words[trigger[i]]) & 0x7FFFFFFFFFFFFFFF, not whole[i], data[a : b + MATCH - 1].tobytes()))
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+        out = [pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)]
+        some = np.flatnonzero(hot_ones)
+        if len(some):
+            n = (stop - start)[some]
+            first = np.repeat(start[some], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            keys = np.concatenate([_windows(data, int(start[i]), int(stop[i])) for i in some.tolist()])
+            values = [np.full(len(first), number), first, first + 1, keys, np.repeat(~whole[some], n), pa.nulls(len(first), pa.binary())]
+            out.append(pa.table([pa.array(v, k) if isinstance(v, np.ndarray) else v for v, k in zip(values, kinds, strict=True)], names=names))
+        return pa.concat_tables(out)
 
     left = parsed.select("block", "ends", "text").groupBy("block")
     right = answers.where("c > 1").select("block", "code", "c", "first").groupBy("block")
@@ -277,6 +273,13 @@ def decide(phrases: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(run, "block bigint, start int, stop int")
 
 
+def counted_windows(phrases: DataFrame) -> DataFrame:
+    """(block, start, stop): windows of hot triggers that stand elsewhere too; a window of a repeated phrase counts twice."""
+    rows = phrases.where("text is null and key is not null")
+    many = rows.groupBy("key").agg(F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("n")).where("n > 1").select("key")
+    return rows.where("single").join(many, "key", "left_semi").select("block", "start", "stop")
+
+
 def remove(parsed: DataFrame, spans: DataFrame, key: str = "doc_id", with_text: bool = False) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans, kept_sha256 (and the bytes that stay) without all bytes of repeated windows."""
     names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
@@ -311,7 +314,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = H
     """The whole operator over a table of documents."""
     parsed = blocks(docs, key, text, block_bytes)
     phrases = sift(parsed, ask(parsed, ["ends", "text"], _asked), hot)
-    spans = phrases.where("text is null").select("block", "start", "stop").unionByName(decide(phrases, shard_bytes))
+    spans = phrases.where("key is null").select("block", "start", "stop").unionByName(decide(phrases, shard_bytes)).unionByName(counted_windows(phrases))
     return remove(parsed, spans, key, with_text)
 
 

@@ -86,6 +86,23 @@ def test_simhash_matches_plain_votes(spark):
     assert got % (1 << 64) == want
 
 
+def test_no_key_grows_with_documents_around_one_passage(spark):
+    passage, largest = words(70, 77), []
+    for n in (150, 600):
+        rows = [(i, words(60, 1000 + i) + passage + words(60, 5000 + i)) for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        parsed = suffix_dedup.blocks(docs, block_bytes=20_000)
+        found = suffix_dedup.sift(parsed, suffix_dedup.ask(parsed, ["ends", "text"], suffix_dedup._asked), hot=20)
+        texts = found.where("text is not null").groupBy("key").agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0] or 0
+        windows = found.where("text is null and key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("block").alias("b"))
+        odd = windows.where("n > 1").count()
+        largest.append((texts, odd / n))
+        got = {r.doc_id: r.n_removed for r in suffix_dedup.dedup(docs, hot=20, block_bytes=20_000).collect()}
+        if n == 150:
+            assert got == {i: k[1] for (i, _), k in zip(rows, brute_removal([t for _, t in rows]), strict=True)}
+    assert largest[1][0] <= largest[0][0] + 2000 and largest[1][1] <= largest[0][1] + 0.5
+
+
 def plain_simhash(text):
     fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     w = [x.encode() for x in re.findall(r"[^\x20\x09-\x0D]+", text.translate(fold))]
