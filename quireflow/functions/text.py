@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,16 +62,16 @@ def lines_of(s: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(s, F.lit("")), LINE_END), strip), lambda x: x != "")
 
 
-def duplicate_chars(s: Column) -> tuple[Column, Column]:
-    """(characters in lines that repeat an earlier line, characters in all lines): one pass over the row, no shuffle."""
-    lines = lines_of(s)
-    total = F.length(F.array_join(lines, ""))
-    return (total - F.length(F.array_join(F.array_distinct(lines), ""))).cast("long"), total.cast("long")
+def bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` evaluated once: a lambda variable stands for it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def duplication_ratio(s: Column) -> Column:
-    again, total = duplicate_chars(s)
-    return F.when(total > 0, again / total).otherwise(F.lit(0.0))
+    """Share of the characters in lines that stands in lines which repeat an earlier one: one pass over the row, no shuffle."""
+    size = lambda lines: F.length(F.array_join(lines, ""))
+    sizes = bind(lines_of(s), lambda lines: F.struct(size(lines).alias("all"), size(F.array_distinct(lines)).alias("once")))
+    return bind(sizes, lambda n: F.when(n["all"] > 0, (n["all"] - n["once"]) / n["all"]).otherwise(F.lit(0.0)))
 
 
 def block_type(s: Column) -> Column:

@@ -85,6 +85,11 @@ MOST_PATHS = 10_000
 HEAD_BYTES = 1 << 18
 
 
+def _same_form(path: Column) -> Column:
+    """A path as the file sources write it: the image source puts more slashes before local ones."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def _loaded(reader: DataFrameReader, dirs: list[str], chosen: DataFrame | None, path: str = "path") -> DataFrame:
     """What ``reader`` makes of the folders, or of the ``chosen`` paths alone."""
     if chosen is None:
@@ -94,7 +99,7 @@ def _loaded(reader: DataFrameReader, dirs: list[str], chosen: DataFrame | None,
         return reader.load(dirs).where(F.lit(False))
     if len(names) <= MOST_PATHS:
         return reader.load(names)
-    return reader.load(dirs).join(chosen.select(F.col("path").alias("__chosen")), F.col(path) == F.col("__chosen"), "left_semi")
+    return reader.load(dirs).join(chosen.select(F.col("path").alias("__chosen")), _same_form(F.col(path)) == _same_form(F.col("__chosen")), "left_semi")
 
 
 def image_headers(spark: SparkSession, dirs: list[str], chosen: DataFrame | None = None) -> DataFrame:
@@ -121,7 +126,7 @@ def image_headers(spark: SparkSession, dirs: list[str], chosen: DataFrame | None
 def image_pixels(spark: SparkSession, dirs: list[str], chosen: DataFrame | None = None) -> DataFrame:
     """Decoded images (of the ``chosen`` paths): path, height, width, nChannels, data (Spark's image source); what can't be decoded is left out."""
     found = _loaded(spark.read.format("image").option("dropInvalid", True), dirs, chosen, "image.origin")
-    return found.select(F.col("image.origin").alias("path"), "image.height", "image.width", "image.nChannels", "image.data")
+    return found.select(_same_form(F.col("image.origin")).alias("path"), "image.height", "image.width", "image.nChannels", "image.data")
 
 
 def read_markdown_dir(spark: SparkSession, path: str) -> DataFrame:

@@ -138,6 +138,33 @@ def test_config(tmp_path):
         readers.load_config(["/nowhere"], *args[1:], env={}, dry_run=True)
 
 
+def test_env_file(tmp_path, monkeypatch):
+    (tmp_path / "c.yaml").write_text("{}")
+    (tmp_path / ".env").write_text("# keys\nexport OCR_API_KEY='k 1'\nOCR_USER_IDS=u, v\nbroken line\n")
+    monkeypatch.chdir(tmp_path)
+    for name in ("OCR_API_KEY", "OCR_USER_IDS"):
+        monkeypatch.delenv(name, raising=False)
+    c = readers.load_config([str(tmp_path)], "o", "w", "c.yaml")
+    assert (c.api_key, c.user_ids) == ("k 1", ["u", "v"])
+    monkeypatch.setenv("OCR_API_KEY", "other")
+    assert readers.load_config([str(tmp_path)], "o", "w", "c.yaml").api_key == "other" and readers.read_env("nowhere") == {}
+
+
+def test_dataset_report(spark, tmp_path):
+    import numpy as np
+    from test_geometry import png
+
+    from quireflow.plans import dataset
+
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        png(tmp_path / "in" / f"{i}.png", np.zeros((30 + i, 20 if i else 2), np.uint8))
+    dataset.report(spark, [str(tmp_path / "in")], str(tmp_path / "out"))
+    lines = [x for p in (tmp_path / "out" / "report").glob("part-*") for x in p.read_text().splitlines()]
+    assert lines[0] == "## Pages by folder and type" and sum(x.startswith("## ") for x in lines) == 2
+    assert any(x.startswith("| in | long_strip | 1 |") for x in lines) and any(x.startswith("| in | normal_page | 2 |") for x in lines)
+
+
 def test_whole_run(spark, tmp_path):
     import numpy as np
     from test_geometry import png
@@ -149,6 +176,7 @@ def test_whole_run(spark, tmp_path):
     calls = str(tmp_path / "calls")
 
     def service(fields, user):
+        assert fields["crop"][:4] == b"\x89PNG"
         with open(calls, "a") as f:
             f.write(fields["file_name"] + "\n")
         return 200, f"# {fields['file_name']}"
@@ -157,12 +185,19 @@ def test_whole_run(spark, tmp_path):
     files = Run(spark, config, service).run()
     assert sorted((r.file_name, r.markdown, r.rerun_count) for r in files.collect()) == [("a.png", "# a.png\n", 0), ("b.png", "# b.png\n", 0)]
     assert readers.read_submission(spark, out).count() == 2 and len(open(calls).readlines()) == 2
+    assert (tmp_path / "out.csv").is_file()
+    held = lambda name: [json.loads(x) for p in sorted((tmp_path / "work" / name).glob("part-*")) for x in p.read_text().splitlines()]
+    assert {x["file_name"] for x in held("profiles")} == {x["file_name"] for x in held("manifests")} == {"a.png", "b.png"} and held("config")[0]["api_key"] == "***"
+    (summary,) = held("summary")
+    assert (summary["passed"], summary["file_count"], summary["failed_count"], summary["risk_counts"]) == (True, 2, 0, {}) and held("failed_files") == []
     again = Run(spark, config, service).run()
     assert {r.from_merged_cache for r in again.collect()} == {1} and len(open(calls).readlines()) == 2
     bad = readers.RunConfig([str(tmp_path / "in")], out, f"{work}2", user_ids=["u"], api_url="x", api={"max_retries": 0})
     with pytest.raises(RunError):
         Run(spark, bad, lambda fields, user: (500, ""), sleep=lambda s: None).run()
     assert not sinks.exists(spark, out)
+    lost = [json.loads(x) for p in (tmp_path / "work2" / "failed_files").glob("part-*") for x in p.read_text().splitlines()]
+    assert {x["file_name"] for x in lost} == {"a.png", "b.png"} and all("empty_output" in x["risks"] for x in lost)
     dry = Run(spark, readers.RunConfig([str(tmp_path / "in")], out, f"{work}3", dry_run=True)).run()
     assert dry.count() == 2 and not sinks.exists(spark, f"{work}3/merged")
 

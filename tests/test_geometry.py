@@ -101,6 +101,31 @@ def test_image_scan_and_layout(spark, tmp_path):
     assert not hints["b.PNG"].horizontal_blank_bands and hints["b.PNG"].column_count == 1
 
 
+def test_images_without_pixels_and_crops(spark, tmp_path):
+    page = np.arange(60 * 40, dtype=np.uint8).reshape(60, 40)
+    png(tmp_path / "a.png", page)
+    whole = (tmp_path / "a.png").read_bytes()
+    (tmp_path / "b.png").write_bytes(whole[:33])  # a sound header and nothing else
+    sizes = {r.file_name: (r.width, r.height) for r in readers.image_headers(spark, [str(tmp_path)]).collect()}
+    assert sizes == {"a.png": (40, 60), "b.png": (40, 60)}
+    listed = readers.list_images(spark, [str(tmp_path)])
+    chosen = listed.where("file_name = 'a.png'")
+    assert [r.file_name for r in readers.image_headers(spark, [str(tmp_path)], chosen).collect()] == ["a.png"]
+    pixels = readers.image_pixels(spark, [str(tmp_path)], listed)
+    assert layout.analyze(pixels).count() == 1 and layout.analyze(readers.image_pixels(spark, [str(tmp_path)], listed.limit(0))).count() == 0
+    boxes = listed.select("path", F.col("file_name").alias("chunk_id"), F.lit(5).alias("x0"), F.lit(10).alias("y0"), F.lit(25).alias("x1"), F.lit(30).alias("y1"))
+    got = layout.crops(pixels, boxes).collect()
+    assert [r.chunk_id for r in got] == ["a.png"]
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "c.png").write_bytes(got[0].crop)
+    row = readers.image_pixels(spark, [str(tmp_path / "cut")]).first()
+    assert (row.height, row.width) == (20, 20) and (np.frombuffer(row.data, np.uint8).reshape(20, 20, -1)[:, :, 0] == page[10:30, 5:25]).all()
+    colours = np.stack([page, page[::-1], page.T.copy().reshape(60, 40)], axis=2)
+    (tmp_path / "cut" / "c.png").write_bytes(layout.png(colours))
+    row = readers.image_pixels(spark, [str(tmp_path / "cut")]).first()
+    assert (np.frombuffer(row.data, np.uint8).reshape(60, 40, 3)[:, :, ::-1] == colours).all()
+
+
 def test_thumbnail():
     big = np.tile(np.array([[0, 255], [255, 0]], np.uint8), (1500, 200))
     small, scale = layout.thumbnail(big)
