@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.sinks import shared_dir
+
 #: Fixed by the data contract: a word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -20,29 +20,15 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 PASS_BYTES = 1 << 21
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back: cuts lineage, survives lost executors.
 
-    Only where it is unset and all of Spark is one process, as in tests, a temporary folder of this machine stands in.
+    The folder goes when the driver ends, if ``drop_written`` hasn't deleted it before.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            path = held.get()
-        elif re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            path = f"file://{tempfile.mkdtemp(prefix='quireflow-')}"
-            spark.sparkContext.setCheckpointDir(path)
-        else:
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return path.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quireflow/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _store(spark, path)[0].deleteOnExit(_store(spark, path)[1])
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,17 +37,25 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     spark = df.sparkSession
     name = f"quireflow_{name}_{uuid.uuid4().hex}"
     buckets = min(2 * partitions(spark), 50_000)
-    df.write.format("parquet").bucketBy(buckets, key).option("path", f"{shared_dir(spark)}/quireflow/{name}").saveAsTable(name)
+    path = f"{shared_dir(spark)}/quireflow/{name}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    _store(spark, path)[0].deleteOnExit(_store(spark, path)[1])
     return spark.table(name)
 
 
+def _store(spark: SparkSession, path: str) -> tuple:
+    """The file system that holds a path, and the path, as the JVM has them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def _delete(df: DataFrame) -> str | None:
     files = df.inputFiles()
     if not files:
         return None
-    jvm, parent = df.sparkSession._jvm, files[0].rsplit("/", 1)[0]
-    path = jvm.org.apache.hadoop.fs.Path(parent)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    parent = files[0].rsplit("/", 1)[0]
+    store, path = _store(df.sparkSession, parent)
+    store.delete(path, True)
     return parent.rsplit("/", 1)[1]
 
 
