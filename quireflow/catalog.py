@@ -291,7 +291,10 @@ def _banded(spark, sf) -> DataFrame:
     return _images(spark, sf).where("doc_type = 'long_strip'").withColumn("bands", bands)
 
 
-@query(_WINDOWS.format(images=_STRIPS, bands=_BANDS, first=_snap_sql("4000"), next=_snap_sql("greatest(y1 - 320, y0 + 1) + 4000")))
+_SNAPPED = _WINDOWS.format(images=_STRIPS, bands=_BANDS, first=_snap_sql("4000"), next=_snap_sql("greatest(y1 - 320, y0 + 1) + 4000"))
+
+
+@query(_SNAPPED)
 def long_strip_snapped(spark, sf):
     cut = chunking.long_strip(_banded(spark, sf), bands="bands")
     return cut.select(*_CHUNK_COLUMNS, F.col("overlap")["top"].alias("top"), F.col("overlap")["bottom"].alias("bottom"))
@@ -323,7 +326,15 @@ def chunk_dispatch(spark, sf):
     return chunking.chunk(_images(spark, sf)).groupBy("doc_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("file_name").alias("files"), F.sum((F.col("x1") - F.col("x0")).cast("long")).alias("widths"))
 
 
-@query(f"SELECT file_name, true AS covered, true AS in_bounds FROM {_STRIPS}")
+@query(f"""
+  WITH w AS ({_SNAPPED}),
+  s AS (SELECT file_name, width, height FROM {_STRIPS}),
+  g AS (
+    SELECT w.*, s.width, s.height, max(y1) OVER (PARTITION BY w.file_name ORDER BY y0, y1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+    FROM w JOIN s ON s.file_name = w.file_name)
+  SELECT file_name, bool_and(y0 <= coalesce(reached, 0)) AND max(y1) = max(height) AS covered,
+         bool_and(x0 >= 0 AND y0 >= 0 AND x1 <= width AND y1 <= height AND x0 < x1 AND y0 < y1) AS in_bounds
+  FROM g GROUP BY file_name""")
 def chunk_coverage(spark, sf):
     return chunking.coverage(chunking.long_strip(_banded(spark, sf), bands="bands"))
 
@@ -541,13 +552,11 @@ def path_stem(spark, sf):
 
 @query("SELECT doc_id AS file_name, text AS ground_truth FROM documents")
 def csv_publish(spark, sf):
-    import tempfile
     import uuid
 
     from .sources import readers, sinks
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}"
-    path = f"{shared.rstrip('/')}/published-{uuid.uuid4().hex}"
+    path = f"{sinks.shared_dir(spark)}/published-{uuid.uuid4().hex}"
     files = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("file_name"), F.col("text").alias("ground_truth"))
     sinks.write_csv(files, path, single=False)
     return readers.read_submission(spark, path).select(F.col("file_name").cast("long").alias("file_name"), F.coalesce("ground_truth", F.lit("")).alias("ground_truth"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,24 @@ class PublishError(RuntimeError):
     pass
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share (``spark.checkpoint.dir``).
+
+    Only where it is unset and all of Spark is one process, as in tests, a temporary folder of this machine stands in.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if held.isDefined():
+            path = held.get()
+        elif re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            path = f"file://{tempfile.mkdtemp(prefix='quireflow-')}"
+            spark.sparkContext.setCheckpointDir(path)
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return path.rstrip("/")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or folder of any store Spark reaches, if it is there."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
