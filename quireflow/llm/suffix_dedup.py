@@ -179,7 +179,7 @@ def _merge(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def sift(parsed: DataFrame, answers: DataFrame, hot: int = HOT) -> DataFrame:
-    """A written table: spans of windows known to repeat (key null), windows of hot triggers (key, single), and phrases that suffix arrays decide (key, text, single)."""
+    """A written table: spans of windows known to repeat (key null), windows of hot triggers (start -1: key, weight as ``stop``, places as ``text``), and phrases that suffix arrays decide (key, text, single)."""
     names = ["block", "start", "stop", "key", "single", "text"]
 
     def run(block: pa.Table, known: pa.Table) -> pa.Table:
@@ -211,8 +211,15 @@ def sift(parsed: DataFrame, answers: DataFrame, hot: int = HOT) -> DataFrame:
             n = (stop - start)[some]
             first = np.repeat(start[some], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             keys = np.concatenate([_windows(data, int(start[i]), int(stop[i])) for i in some.tolist()])
-            values = [np.full(len(first), number), first, first + 1, keys, np.repeat(~whole[some], n), pa.nulls(len(first), pa.binary())]
-            out.append(pa.table([pa.array(v, k) if isinstance(v, np.ndarray) else v for v, k in zip(values, kinds, strict=True)], names=names))
+            alone = np.repeat(~whole[some], n)
+            # one row per window of the block: its weight, and where it stands in phrases of their own
+            order = np.argsort(keys, kind="stable")
+            begin = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))
+            weight, held = np.add.reduceat(np.where(alone, 1, 2)[order], begin), np.add.reduceat(alone[order].astype(np.int64), begin)
+            ends = np.concatenate(([0], np.cumsum(4 * held))).astype("<i4")
+            places = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(first[order][alone[order]].astype("<i4").tobytes())])
+            values = [np.full(len(begin), number), np.full(len(begin), -1), weight, keys[order][begin], held > 0]
+            out.append(pa.table([*(pa.array(v, k) for v, k in zip(values, kinds, strict=False)), places], names=names))
         return pa.concat_tables(out)
 
     left = parsed.select("block", "ends", "text").groupBy("block")
@@ -253,7 +260,7 @@ def repeated_windows(texts: list[bytes], single: np.ndarray, match: int = MATCH)
 
 def decide(phrases: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(block, start, stop): spans of repeated windows in the phrases of ``sift`` that occur once."""
-    rows = phrases.where("text is not null")
+    rows = phrases.where("text is not null and start >= 0")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
     shards = max(1, -(-total // shard_bytes))
 
@@ -274,10 +281,10 @@ def decide(phrases: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
 
 
 def counted_windows(phrases: DataFrame) -> DataFrame:
-    """(block, start, stop): windows of hot triggers that stand elsewhere too; a window of a repeated phrase counts twice."""
-    rows = phrases.where("text is null and key is not null")
-    many = rows.groupBy("key").agg(F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("n")).where("n > 1").select("key")
-    return rows.where("single").join(many, "key", "left_semi").select("block", "start", "stop")
+    """(block, places): where windows of hot triggers stand that stand elsewhere too; a window of a repeated phrase counts twice."""
+    rows = phrases.where("start = -1")
+    many = rows.groupBy("key").agg(F.sum("stop").alias("n")).where("n > 1").select("key")
+    return rows.where("single").join(many, "key", "left_semi").select("block", F.col("text").alias("places"))
 
 
 def remove(parsed: DataFrame, spans: DataFrame, key: str = "doc_id", with_text: bool = False) -> DataFrame:
@@ -290,7 +297,9 @@ def remove(parsed: DataFrame, spans: DataFrame, key: str = "doc_id", with_text:
         data = data.tobytes()
         # windows never cross documents, so neither do the byte ranges they cover; ranges that touch at a
         # document's edge are joined by the union and cut again below
-        s, e = _merge(found.column("start").to_numpy().astype(np.int64), found.column("stop").to_numpy().astype(np.int64) + MATCH - 1)
+        places = np.frombuffer(b"".join(x for x in found.column("places").to_pylist() if x), "<i4").astype(np.int64)
+        s, e = (x.drop_null().to_numpy().astype(np.int64) for x in (found.column("start"), found.column("stop")))
+        s, e = _merge(np.concatenate((s, places)), np.concatenate((e, places + 1)) + MATCH - 1)
         rows = []
         for doc, lo, hi in zip(block.column("ids")[0].as_py(), off[:-1].tolist(), off[1:].tolist(), strict=True):
             a, b = int(np.searchsorted(e, lo, "right")), int(np.searchsorted(s, hi, "left"))
@@ -314,7 +323,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = H
     """The whole operator over a table of documents."""
     parsed = blocks(docs, key, text, block_bytes)
     phrases = sift(parsed, ask(parsed, ["ends", "text"], _asked), hot)
-    spans = phrases.where("key is null").select("block", "start", "stop").unionByName(decide(phrases, shard_bytes)).unionByName(counted_windows(phrases))
+    spans = phrases.where("key is null").select("block", "start", "stop").unionByName(decide(phrases, shard_bytes))
+    spans = spans.unionByName(counted_windows(phrases), allowMissingColumns=True)
     return remove(parsed, spans, key, with_text)
 
 

@@ -93,8 +93,8 @@ def test_no_key_grows_with_documents_around_one_passage(spark):
         docs = spark.createDataFrame(rows, "doc_id bigint, text string")
         parsed = suffix_dedup.blocks(docs, block_bytes=20_000)
         found = suffix_dedup.sift(parsed, suffix_dedup.ask(parsed, ["ends", "text"], suffix_dedup._asked), hot=20)
-        texts = found.where("text is not null").groupBy("key").agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0] or 0
-        windows = found.where("text is null and key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("block").alias("b"))
+        texts = found.where("text is not null and start >= 0").groupBy("key").agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0] or 0
+        windows = found.where("start = -1").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("block").alias("b"))
         odd = windows.where("n > 1").count()
         largest.append((texts, odd / n))
         got = {r.doc_id: r.n_removed for r in suffix_dedup.dedup(docs, hot=20, block_bytes=20_000).collect()}
