@@ -5,8 +5,6 @@ White space is ASCII (0x20, 0x09-0x0D), so byte boundaries are code-point bounda
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 #: Hashes of spans are two polynomials modulo 2^31 - 1 with bases drawn once: different spans of n bytes agree with a
@@ -36,21 +34,26 @@ def _fold(x: np.ndarray) -> np.ndarray:
     return (x & _PRIME) + (x >> _FOLD)
 
 
-@lru_cache(maxsize=8)
+#: Powers of each base so far, extended as texts need them.
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, size: int) -> np.ndarray:
     """base^0 .. base^(size - 1) modulo 2^31 - 1."""
-    out, n = np.ones(size, np.uint64), 1
-    while n < size:
-        step = np.uint64(pow(base, n, int(_PRIME)))
-        out[n : 2 * n] = _fold(_fold(out[: min(n, size - n)] * step))
-        n *= 2
-    return out
+    out = _POWERS.get(base)
+    if out is None or len(out) < size:
+        out, n = np.ones(size + (size >> 3), np.uint32), 1
+        while n < len(out):
+            step = np.uint64(pow(base, n, int(_PRIME)))
+            out[n : 2 * n] = _fold(_fold(out[: min(n, len(out) - n)] * step))
+            n *= 2
+        _POWERS[base] = out
+    return out[:size]
 
 
 def _tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Powers of each base and of its inverse, up to n."""
-    size = 1 << max(21, int(n).bit_length())
-    return [(_powers(x, size)[: n + 1], _powers(pow(x, -1, int(_PRIME)), size)[: n + 1]) for x in _BASES]
+    return [(_powers(x, n + 1), _powers(pow(x, -1, int(_PRIME)), n + 1)) for x in _BASES]
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
