@@ -4,8 +4,10 @@ The 64 bits stand as a ring of four 16-bit segments.  If two fingerprints differ
 bits, the ring has a segment from which every run of k segments differs in at most floor(3k/4)
 bits: 0, then 1, then 2, then 3 (the pigeonring principle).  Candidates are therefore found by an
 equal first segment together with one equal half of the second (it may differ in one bit, so one
-of its halves is equal): eight keys of 24 bits per *distinct* fingerprint.  The remaining prefix
-budgets prune the candidates before the full Hamming check.
+of its halves is equal): eight keys of 24 bits per *distinct* fingerprint.  Beyond ``WIDE_FROM`` distinct
+fingerprints keys have 32 bits: both segments, stored as they are and asked for as they are and with each
+bit of the second flipped, so buckets stay small as the corpus grows.  The remaining prefix budgets prune
+the candidates before the full Hamming check.
 
 Buckets with more than ``hot`` distinct fingerprints are never paired.  There each member emits
 the values within two flips among the 40 bits that its key leaves open: members within one flip
@@ -38,6 +40,8 @@ SEED = 42
 RADIUS = 3
 #: Distinct fingerprints in a bucket above which flipped values replace pairs.
 HOT = 512
+#: Distinct fingerprints from which keys have 32 bits: a bucket of 24 bits then holds eight on average.
+WIDE_FROM = 1 << 27
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
@@ -97,8 +101,24 @@ def _within_ring(a: Column, b: Column, start: Column) -> Column:
     return (F.bit_count(F.shiftrightunsigned(turned, 32)) <= 1) & (F.bit_count(F.shiftrightunsigned(turned, 16)) <= 2) & (F.bit_count(turned) <= RADIUS)
 
 
-def links(distinct_fp: DataFrame, hot: int = HOT) -> DataFrame:
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _wide(kind: int) -> tuple[int, list[int]]:
+    """Mask of segment ``kind`` and the next, and the bits of the next."""
+    bits = [1 << (48 - 16 * ((kind + 1) % 4) + b) for b in range(16)]
+    return 0xFFFF << (48 - 16 * kind) | sum(bits), bits
+
+
+def links(distinct_fp: DataFrame, hot: int = HOT, wide: bool | None = None) -> DataFrame:
     """(a, b): links that connect exactly what Hamming distances of at most three connect, over distinct ``fp``."""
+    if wide is None:
+        wide = distinct_fp.count() > WIDE_FROM
+    return _wide_links(distinct_fp, hot) if wide else _narrow_links(distinct_fp, hot)
+
+
+def _narrow_links(distinct_fp: DataFrame, hot: int) -> DataFrame:
     kinds = _keys()
     keyed = distinct_fp.select(
         "fp", F.explode(F.array(*(F.struct(F.lit(k).cast("int").alias("kind"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in kinds))).alias("b")
@@ -110,19 +130,41 @@ def links(distinct_fp: DataFrame, hot: int = HOT) -> DataFrame:
     other = small.select("kind", "key", F.col("fp").alias("other"))
     met = small.join(other, ["kind", "key"]).where("fp < other")
     near = met.where(_within_ring(F.col("fp"), F.col("other"), F.expr("kind div 2"))).select(F.col("fp").alias("a"), F.col("other").alias("b"))
-
     large = keyed.join(sizes.where(F.col("n") > hot).drop("n"), ["kind", "key"])
-    stars = large.mapInArrow(_flipped, "kind int, value bigint, far boolean, fp bigint")
+    return near.unionByName(_hung(large.select("kind", "fp"), dict(kinds))).distinct()
+
+
+def _wide_links(distinct_fp: DataFrame, hot: int) -> DataFrame:
+    wide = [_wide(k) for k in range(4)]
+    key = lambda k, m, flip: F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseXOR(F.lit(_signed(flip))).bitwiseAND(F.lit(_signed(m))).alias("key"), F.lit(flip == 0).alias("own"))
+    asked = distinct_fp.select("fp", F.explode(F.array(*(key(k, m, flip) for k, (m, bits) in enumerate(wide) for flip in (0, *bits)))).alias("b")).select("fp", "b.*")
+    asked = written(asked, "widekeys")
+    stored = asked.where("own").select("kind", "key", F.col("fp").alias("other"))
+    crowded = written(stored.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("kind", "key"), "widecrowds")
+    # whoever stands in a crowded bucket or next to one
+    close = asked.join(crowded, ["kind", "key"], "left_semi").select("kind", "fp").distinct()
+    met = asked.join(stored.join(crowded, ["kind", "key"], "left_anti"), ["kind", "key"]).where((F.col("fp") < F.col("other")) | ~F.col("own"))
+    near = met.where(_within_ring(F.col("fp"), F.col("other"), F.col("kind"))).select(F.col("fp").alias("a"), F.col("other").alias("b"))
+    segment = {k: _signed(0xFFFF << (48 - 16 * k)) for k in range(4)}
+    return near.unionByName(_hung(close, segment)).distinct()
+
+
+def _hung(members: DataFrame, masks: dict[int, int]) -> DataFrame:
+    """(a, b): links among crowded members (kind, fp) by values within two flips of the bits that the kind's mask leaves open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _flipped(batches, masks)
+
+    stars = members.select("kind", "fp").mapInArrow(run, "kind int, value bigint, far boolean, fp bigint")
     # per value: the least member within one flip; the others hang on it
     least = stars.groupBy("kind", "value").agg(F.min(F.when(~F.col("far"), F.col("fp"))).alias("hub"), F.count(F.lit(1)).alias("n")).where("hub is not null and n > 1")
-    hung = stars.join(least.drop("n"), ["kind", "value"]).where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
-    return near.unionByName(hung).distinct()
+    return stars.join(least.drop("n"), ["kind", "value"]).where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
 
 
-def _flipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _flipped(batches: Iterator[pa.RecordBatch], open_: dict[int, int]) -> Iterator[pa.RecordBatch]:
     """All values within two flips of each fingerprint, among the bits its bucket leaves open."""
     flips = {}
-    for kind, mask in _keys():
+    for kind, mask in open_.items():
         bits = [np.uint64(1 << b) for b in range(64) if not (mask >> b) & 1]
         one = np.array(bits, np.uint64)
         two = np.array([a ^ b for i, a in enumerate(bits) for b in bits[:i]], np.uint64)

@@ -169,8 +169,9 @@ def plain_components(fps):
     return [find(i) for i in range(len(fps))]
 
 
+@pytest.mark.parametrize("wide", [False, True])
 @pytest.mark.parametrize("hot", [512, 3, 1])
-def test_links_connect_exactly_what_distance_connects(spark, hot):
+def test_links_connect_exactly_what_distance_connects(spark, hot, wide):
     rng = random.Random(hot)
     fps = {rng.getrandbits(64) for _ in range(40)}
     for b in list(fps)[:8]:
@@ -180,7 +181,7 @@ def test_links_connect_exactly_what_distance_connects(spark, hot):
     centre = rng.getrandbits(64)
     fps |= {centre ^ sum(1 << k for k in rng.sample(range(10), rng.randint(0, 6))) for _ in range(40)}
     fps = sorted(x - (1 << 64) if x >> 63 else x for x in fps)
-    got = {r.node: r.component for r in components.components(near_dedup.links(spark.createDataFrame([(x,) for x in fps], "fp bigint"), hot)).collect()}
+    got = {r.node: r.component for r in components.components(near_dedup.links(spark.createDataFrame([(x,) for x in fps], "fp bigint"), hot, wide)).collect()}
     want = plain_components([x % (1 << 64) for x in fps])
     assert [got.get(x, x) for x in fps] == [fps[c] for c in want]
 
