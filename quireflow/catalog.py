@@ -133,7 +133,11 @@ def _order_tables(spark, sf) -> DataFrame:
     return rows.groupBy("l_orderkey").agg(F.concat(F.lit("<TABLE>"), F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["cell"]), ""), F.when(F.col("l_orderkey") % 2 == 0, "</table>").otherwise("")).alias("markdown"))
 
 
-_TABLES = "SELECT l_orderkey, '<TABLE>' || string_agg('<tr><td>' || l_partkey || '</td><td> </td>' || CASE WHEN l_linenumber % 3 = 0 THEN '<td class=''q''>' ELSE '<td></td></tr>' END, '' ORDER BY l_linenumber) || CASE WHEN l_orderkey % 2 = 0 THEN '</table>' ELSE '' END AS t FROM lineitem GROUP BY l_orderkey"
+_TABLES = """
+  SELECT l_orderkey, '<TABLE>' || string_agg(
+      '<tr><td>' || l_partkey || '</td><td> </td>' || CASE WHEN l_linenumber % 3 = 0 THEN '<td class=''q''>' ELSE '<td></td></tr>' END, '' ORDER BY l_linenumber)
+    || CASE WHEN l_orderkey % 2 = 0 THEN '</table>' ELSE '' END AS t
+  FROM lineitem GROUP BY l_orderkey"""
 
 
 @query(rf"""SELECT l_orderkey, CAST(len(regexp_extract_all(t, '(?i)<tr\b')) AS INT) AS tr, CAST(len(regexp_extract_all(t, '(?i)<td\b')) AS INT) AS td, CAST(len(regexp_extract_all(t, '(?i)<td\b[^>]*>\s*</td>')) AS INT) AS empty_td,
@@ -166,7 +170,10 @@ def _checked(spark, sf) -> DataFrame:
     return gate.check_files(files)
 
 
-_FILES = "SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN E' \\n' WHEN doc_id % 13 = 0 THEN '<html><head><body>支付宝版权所有<td>' || text ELSE text END AS t, ['long_strip','table_page','normal_page'][1 + doc_id % 3] AS doc_type, doc_id % 10 AS cc, doc_id % 4 AS fc, doc_id % 3 AS rerun_count FROM documents"
+_FILES = """
+  SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN E' \\n' WHEN doc_id % 13 = 0 THEN '<html><head><body>支付宝版权所有<td>' || text ELSE text END AS t,
+         ['long_strip', 'table_page', 'normal_page'][1 + doc_id % 3] AS doc_type, doc_id % 10 AS cc, doc_id % 4 AS fc, doc_id % 3 AS rerun_count
+  FROM documents"""
 _QUALITY = f"""SELECT *, list_filter([
   CASE WHEN chars = 0 THEN 'empty_output' WHEN chars < CASE doc_type WHEN 'long_strip' THEN 2000 WHEN 'table_page' THEN 5000 ELSE 0 END THEN 'too_short' END,
   CASE WHEN ratio > 0.18 THEN 'high_duplication' END, CASE WHEN busy THEN 'service_busy_html' END, CASE WHEN full_page THEN 'full_html_page' END,
@@ -304,7 +311,10 @@ _GRID = f"""(SELECT file_name, image_sha1, doc_type, width, height, r AS "row",
 CAST(least(width, (c + 1) * width // nc + CASE WHEN c < nc - 1 THEN 160 ELSE 0 END) AS INT) AS x1, CAST(least(height, (r + 1) * height // nr + CASE WHEN r < nr - 1 THEN 220 ELSE 0 END) AS INT) AS y1,
 CASE WHEN c > 0 THEN 160 ELSE 0 END AS o_left, 160 AS o_right, CASE WHEN r > 0 THEN 220 ELSE 0 END AS o_top, 220 AS o_bottom
 FROM (SELECT *, CAST(unnest(range(0, nc)) AS INT) AS c FROM (SELECT *, CAST(unnest(range(0, nr)) AS INT) AS r FROM (
-SELECT *, CASE WHEN pixels <= 8000000 THEN 1 ELSE CAST(greatest(1, ceil(pixels / (nc * 4000000.0::DOUBLE))) AS INT) END AS nr FROM (SELECT *, CASE WHEN pixels <= 8000000 THEN 1 ELSE CAST(greatest(1, ceil(sqrt(pixels / 4000000.0::DOUBLE))) AS INT) END AS nc FROM {_IMAGES} WHERE doc_type <> 'long_strip')))))"""
+SELECT *, CASE WHEN pixels <= 8000000 THEN 1 ELSE CAST(greatest(1, ceil(pixels / (nc * 4000000.0::DOUBLE))) AS INT) END AS nr
+FROM (
+  SELECT *, CASE WHEN pixels <= 8000000 THEN 1 ELSE CAST(greatest(1, ceil(sqrt(pixels / 4000000.0::DOUBLE))) AS INT) END AS nc
+  FROM {_IMAGES} WHERE doc_type <> 'long_strip')))))"""
 
 
 def _grid(spark, sf) -> DataFrame:
@@ -321,7 +331,15 @@ def chunk_ids(spark, sf):
     return chunking.with_ids(_grid(spark, sf)).select("file_name", "x0", "y0", "chunk_id")
 
 
-@query(f"SELECT doc_type, count(*) AS n, count(DISTINCT file_name) AS files, CAST(sum(x1 - x0) AS BIGINT) AS widths FROM {_GRID} GROUP BY 1 UNION ALL SELECT 'long_strip', count(*), count(DISTINCT file_name), CAST(sum(x1 - x0) AS BIGINT) FROM ({_WINDOWS.format(images=_STRIPS, bands='CAST([] AS BIGINT[])', first='CAST(least(height, 4000) AS INT)', next='CAST(least(height, greatest(y1 - 320, y0 + 1) + 4000) AS INT)')})")
+_PLAIN_STRIPS = _WINDOWS.format(
+    images=_STRIPS, bands="CAST([] AS BIGINT[])", first="CAST(least(height, 4000) AS INT)", next="CAST(least(height, greatest(y1 - 320, y0 + 1) + 4000) AS INT)"
+)
+
+
+@query(f"""
+  SELECT doc_type, count(*) AS n, count(DISTINCT file_name) AS files, CAST(sum(x1 - x0) AS BIGINT) AS widths FROM {_GRID} GROUP BY 1
+  UNION ALL
+  SELECT 'long_strip', count(*), count(DISTINCT file_name), CAST(sum(x1 - x0) AS BIGINT) FROM ({_PLAIN_STRIPS})""")
 def chunk_dispatch(spark, sf):
     return chunking.chunk(_images(spark, sf)).groupBy("doc_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("file_name").alias("files"), F.sum((F.col("x1") - F.col("x0")).cast("long")).alias("widths"))
 
