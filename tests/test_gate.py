@@ -211,3 +211,18 @@ def test_stream(spark, tmp_path):
     spark.createDataFrame([("a", "", "normal_page", 1, 0)], FILES).write.parquet(str(tmp_path / "in"))
     gate_stream(spark, str(tmp_path / "in"), FILES, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).first().risks == ["empty_output"]
+
+
+def test_shipped_settings_are_the_defaults():
+    from pathlib import Path
+
+    from quireflow import cli
+    from quireflow.operators import chunking, gate, merge, recognize, retry
+
+    args = cli.parser().parse_args(["restore", "--input_dir", ".", "--output_csv", "o"])
+    root = Path(cli.__file__).resolve().parents[1]
+    c = readers.load_config(["."], "o", "w", str(root / args.config), env={}, dry_run=True)
+    assert (c.api["max_retries"], c.quality["max_reruns_per_file"]) == (recognize.MAX_RETRIES, retry.MAX_RERUNS)
+    assert list(c.chunk.values()) == [chunking.WINDOW, chunking.OVERLAP, chunking.CHUNK_PIXELS, chunking.PAGE_PIXELS, chunking.GRID_X, chunking.GRID_Y]
+    assert list(c.merge.values()) == [merge.WINDOW_BODY, merge.WINDOW_TABLE, merge.LIKENESS]
+    assert (c.quality["max_duplication_ratio"], c.quality["max_api_failure_ratio"]) == (gate.MAX_DUPLICATION, gate.MAX_FAILURE)
