@@ -133,7 +133,7 @@ def plain_tree(docs, longest, penalty):
     for s in sorted(contexts, key=len):
         if len(s) > 1:
             n_s, expected = grams[len(s)][s], grams[len(s) - 1][s[:-1]] * prob(s[1:-1], s[-1])
-            if not (s[1:] in kept and s[:-1] in candidates and n_s * math.log(n_s / expected) - n_s + expected >= SURPRISE):
+            if not (s[1:] in kept and s[:-1] in candidates and n_s * math.log(n_s / expected) - n_s + expected >= SURPRISE and n_s >= expected):
                 continue
         candidates.add(s)
         if s not in follow:
@@ -166,7 +166,7 @@ def test_scores_match_dictionaries(spark, shard_tokens):
         assert sum(prob(s, x) for (x,) in symbols) == pytest.approx(1.0)
     want = {i: sum(math.log10(prob(tuple(t[max(0, j - lm_scoring.LONGEST) : j]), x)) for j, x in enumerate(t)) for i, text in docs for t in [tokens(text)]}
     tokenised = lm_scoring.blocks(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), block_bytes=800)
-    got = {r.doc_id: r.score for r in lm_scoring.score(tokenised, shard_tokens=shard_tokens, penalty=penalty, surprise=SURPRISE).collect()}
+    got = {r.doc_id: r.score for r in lm_scoring.score(tokenised, shard_tokens=shard_tokens, penalty=penalty, surprise=SURPRISE, lift=1.0).collect()}
     assert got == pytest.approx(want)
     whole = {r.doc_id: r.score for r in lm_scoring.score(tokenised, penalty=0.0, surprise=0.0).collect()}
     assert {r.doc_id: r.score for r in lm_scoring.score(tokenised, penalty=0.0, surprise=0.0, hot=20, shard_tokens=100).collect()} == pytest.approx(whole)
