@@ -19,9 +19,9 @@
 
 Hot triggers (a passage in a third of all rows): around it every document has phrases of its own that
 begin or end inside the passage, all with one trigger.  Of a trigger that occurs more than ``HOT``
-times no text is gathered: each window of such a phrase is counted by the hash of its 200 bytes, so what
-is dealt is as many keys as there are different windows, and no key grows with the corpus but those of
-windows that are equal, which are summed where they stand.
+times no text is gathered: each window of such a phrase is counted by the hash of its 200 bytes.  These
+are at most ``MATCH - GRAM + 1`` numbers per phrase, so they grow with the text and not with its square;
+a block holds each of its windows once and sends them as one piece per shard.
 
 The parse contributes multiplicities and places; its own suffix array is not built, since phrases already
 reach past every match, so that it could only order equal windows among themselves.
@@ -55,6 +55,8 @@ BLOCK_BYTES = 16 << 20
 HOT = 2000
 #: Bytes of phrases in a shard, about.
 SHARD_BYTES = 2 << 20
+#: Windows of hot triggers in a shard, about.
+SHARD_WINDOWS = 1 << 21
 
 
 def window_triggers(h: np.ndarray, width: int) -> np.ndarray:
@@ -161,11 +163,29 @@ def _asked(ends: bytes, text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return _phrases(*_opened(ends, text))[1:]
 
 
-def _windows(data: np.ndarray, start: int, stop: int) -> np.ndarray:
-    """Content hashes of the windows that start in a range."""
-    own = data[start : stop + MATCH - 1]
-    at = np.arange(stop - start)
-    return bw.span_hash(bw.prefix_hash(own), at, at + MATCH).view(np.int64)
+def _runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each run, one run after the other."""
+    return np.repeat(start - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+
+
+def _windows(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Content hashes of the windows that start in ranges, range by range."""
+    size, out = stop - start + MATCH - 1, [np.zeros(0, np.uint64)]
+    off = np.concatenate(([0], np.cumsum(size)))
+    for lo, hi in passes(off):
+        own = data[_runs(start[lo:hi], size[lo:hi])]
+        at = _runs(off[lo:hi] - off[lo], size[lo:hi] - MATCH + 1)
+        out.append(bw.span_hash(bw.prefix_hash(own), at, at + MATCH))
+    return np.concatenate(out)
+
+
+def _piece(keys: np.ndarray, twice: np.ndarray, held: np.ndarray, places: np.ndarray) -> bytes:
+    """Distinct windows: hash, whether it is known to repeat, in how many places it stands; the places."""
+    return b"".join((keys.astype("<u8").tobytes(), twice.astype("u1").tobytes(), held.astype("<u4").tobytes(), places.astype("<i4").tobytes()))
+
+
+def _opened_piece(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(raw, "<u8", n), np.frombuffer(raw, "u1", n, 8 * n), np.frombuffer(raw, "<u4", n, 9 * n), np.frombuffer(raw, "<i4", -1, 13 * n)
 
 
 def _merge(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +199,7 @@ def _merge(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def sift(parsed: DataFrame, answers: DataFrame, hot: int = HOT) -> DataFrame:
-    """A written table: spans of windows known to repeat (key null), windows of hot triggers (start -1: key, weight as ``stop``, places as ``text``), and phrases that suffix arrays decide (key, text, single)."""
+    """A written table: spans of windows known to repeat (key null), windows of hot triggers (start -1: one row per block, its distinct windows by hash as ``text``, their number as ``stop``), and phrases that suffix arrays decide (key, text, single)."""
     names = ["block", "start", "stop", "key", "single", "text"]
 
     def run(block: pa.Table, known: pa.Table) -> pa.Table:
@@ -209,17 +229,13 @@ def sift(parsed: DataFrame, answers: DataFrame, hot: int = HOT) -> DataFrame:
         some = np.flatnonzero(hot_ones)
         if len(some):
             n = (stop - start)[some]
-            first = np.repeat(start[some], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            keys = np.concatenate([_windows(data, int(start[i]), int(stop[i])) for i in some.tolist()])
-            alone = np.repeat(~whole[some], n)
-            # one row per window of the block: its weight, and where it stands in phrases of their own
+            first, keys, alone = _runs(start[some], n), _windows(data, start[some], stop[some]), np.repeat(~whole[some], n)
+            # each window of the block once: whether it repeats already, and where it stands in phrases of their own
             order = np.argsort(keys, kind="stable")
             begin = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))
             weight, held = np.add.reduceat(np.where(alone, 1, 2)[order], begin), np.add.reduceat(alone[order].astype(np.int64), begin)
-            ends = np.concatenate(([0], np.cumsum(4 * held))).astype("<i4")
-            places = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(first[order][alone[order]].astype("<i4").tobytes())])
-            values = [np.full(len(begin), number), np.full(len(begin), -1), weight, keys[order][begin], held > 0]
-            out.append(pa.table([*(pa.array(v, k) for v, k in zip(values, kinds, strict=False)), places], names=names))
+            values = [number, -1, len(begin), number, True, _piece(keys[order][begin], weight > 1, held, first[order][alone[order]])]
+            out.append(pa.table([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names))
         return pa.concat_tables(out)
 
     left = parsed.select("block", "ends", "text").groupBy("block")
@@ -280,11 +296,33 @@ def decide(phrases: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(run, "block bigint, start int, stop int")
 
 
-def counted_windows(phrases: DataFrame) -> DataFrame:
+def counted_windows(phrases: DataFrame, shard_windows: int = SHARD_WINDOWS) -> DataFrame:
     """(block, places): where windows of hot triggers stand that stand elsewhere too; a window of a repeated phrase counts twice."""
-    rows = phrases.where("start = -1")
-    many = rows.groupBy("key").agg(F.sum("stop").alias("n")).where("n > 1").select("key")
-    return rows.where("single").join(many, "key", "left_semi").select("block", F.col("text").alias("places"))
+    rows = phrases.where("start = -1").select("block", "stop", "text")
+    total = rows.agg(F.coalesce(F.sum("stop"), F.lit(0)).alias("n")).first().n
+    shards = max(1, -(-total // shard_windows))
+    names = ["shard", "block", "n", "body"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keys, twice, held, places = _opened_piece(raw, n)
+                shard = ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)  # rises with the key
+                ends = np.concatenate(([0], np.cumsum(held, dtype=np.int64)))
+                edge = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1], [True]))).tolist()
+                for lo, hi in zip(edge, edge[1:]):
+                    body = _piece(keys[lo:hi], twice[lo:hi], held[lo:hi], places[ends[lo] : ends[hi]])
+                    yield pa.RecordBatch.from_arrays([pa.array([int(shard[lo])]), pa.array([block]), pa.array([hi - lo]), pa.array([body], pa.binary())], names)
+
+    def run(group: pa.Table) -> pa.Table:
+        parts = [_opened_piece(raw, n) for raw, n in zip(group.column("body").to_pylist(), group.column("n").to_pylist(), strict=True)]
+        _, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        weight = np.bincount(which, weights=1 + np.concatenate([p[1] for p in parts]))
+        many = np.split(weight[which] > 1, np.cumsum([len(p[0]) for p in parts])[:-1])
+        found = [places[np.repeat(m, held)].tobytes() for m, (_, _, held, places) in zip(many, parts, strict=True)]
+        return pa.table([group.column("block"), pa.array(found, pa.binary())], names=["block", "places"])
+
+    return rows.mapInArrow(cut, "shard bigint, block bigint, n bigint, body binary").groupBy("shard").applyInArrow(run, "block bigint, places binary")
 
 
 def remove(parsed: DataFrame, spans: DataFrame, key: str = "doc_id", with_text: bool = False) -> DataFrame:

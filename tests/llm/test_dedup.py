@@ -103,6 +103,26 @@ def test_no_key_grows_with_documents_around_one_passage(spark):
     assert largest[1][0] <= largest[0][0] + 2000 and largest[1][1] <= largest[0][1] + 0.5
 
 
+def _sifted(spark, rows, hot, block_bytes=20_000):
+    parsed = suffix_dedup.blocks(spark.createDataFrame(rows, "doc_id bigint, text string"), block_bytes=block_bytes)
+    return parsed, suffix_dedup.sift(parsed, suffix_dedup.ask(parsed, ["ends", "text"], suffix_dedup._asked), hot=hot)
+
+
+def test_windows_of_hot_triggers_are_one_row_per_block_and_grow_with_the_text(spark):
+    passage, windows = words(70, 77), []
+    for n in (150, 600):
+        rows = [(i, words(60, 1000 + i) + passage + words(60, 5000 + i)) for i in range(n)]
+        parsed, found = _sifted(spark, rows, 20)
+        made = found.where("start = -1").agg(F.count(F.lit(1)).alias("rows"), F.sum("stop").alias("windows")).first()
+        assert 0 < made.rows <= parsed.count()
+        windows.append(made.windows)
+        many = suffix_dedup.counted_windows(found, shard_windows=300)
+        want = suffix_dedup.counted_windows(found)
+        places = lambda df: {(r.block, p) for r in df.collect() for p in np.frombuffer(r.places, "<i4").tolist()}
+        assert places(many) == places(want) != set()
+    assert windows[1] <= 4.4 * windows[0]
+
+
 def plain_simhash(text):
     fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     w = [x.encode() for x in re.findall(r"[^\x20\x09-\x0D]+", text.translate(fold))]
