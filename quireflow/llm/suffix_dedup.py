@@ -49,7 +49,8 @@ from .blocks import ask
 from .common import passes, table, utf8, written
 
 MATCH = 200
-GRAM = 24
+#: Bytes of a trigger: long enough that a larger corpus holds few of them twice by chance, which only costs time.
+GRAM = 44
 BLOCK_BYTES = 16 << 20
 #: Occurrences of a trigger above which its windows are dealt more finely.
 HOT = 2000

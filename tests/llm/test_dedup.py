@@ -123,6 +123,15 @@ def test_windows_of_hot_triggers_are_one_row_per_block_and_grow_with_the_text(sp
     assert windows[1] <= 4.4 * windows[0]
 
 
+def test_few_phrases_are_compared_because_of_short_runs_of_words(spark):
+    # runs of four words recur by chance here, of eight and more hardly ever
+    rng = random.Random(8)
+    some = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(12)]
+    rows = [(i, " ".join(rng.choice(some) for _ in range(400))) for i in range(50)]
+    texts = _sifted(spark, rows, 2000)[1].where("text is not null and start >= 0").count()
+    assert texts < 0.05 * sum(len(t) for _, t in rows) / suffix_dedup.MATCH
+
+
 def plain_simhash(text):
     fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     w = [x.encode() for x in re.findall(r"[^\x20\x09-\x0D]+", text.translate(fold))]
