@@ -190,6 +190,15 @@ def test_states_grow_with_the_corpus(spark):
     assert got[some[0]].train_tokens > 1_500_000 and got[some[0]].score > got[some[0]].base_score + 5
 
 
+def test_what_stands_twice_is_learnt_at_any_size(spark):
+    # two copies of a passage among more than six million training tokens
+    rows = [(i, words(60_000, 100 + i % 3).replace(" ", f"{i} ")) for i in range(130)]
+    twice = [i for i in range(1000, 1020) if not lm_scoring.held_out(i)][:2]
+    rows += [(i, " ".join(f"rare{k}" for k in range(30))) for i in twice]
+    got = {r.doc_id: r for r in lm_scoring.score(lm_scoring.blocks(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect()}
+    assert got[twice[0]].train_tokens > 6_000_000 and got[twice[0]].score > got[twice[0]].base_score + 30
+
+
 def test_span_hashes_tell_regular_texts_apart():
     # strings on which polynomials modulo a power of two always agree
     turn = np.array([bin(i).count("1") & 1 for i in range(2048)], np.uint8)
