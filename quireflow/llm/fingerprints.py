@@ -4,9 +4,10 @@ Terms are a text's words and its pairs of neighbouring words (pairs weigh ``PAIR
 occurrence votes, so repeats add weight).  A term's 64-bit hash votes +weight on its set bits and
 -weight on the others; a fingerprint bit is 1 where the votes are positive.
 
-Votes are counted eight bits at a time inside one long per residue of the bit number (packed byte
-counters), in runs short enough that no counter overflows; the whole count is one expression over
-the row, so a text is never exploded into shuffled rows.
+Votes are counted in packed counters, several to a long, in runs short enough that no counter overflows.
+``simhash`` is one expression over the row.  Spark interprets such lambdas, so op2 takes ``simhashes``, which
+counts the same votes in compiled aggregates: terms are exploded and summed within the task that holds the
+text, and neither a term nor a counter is shuffled.
 
 Search: the 64 bits are cut into ``blocks`` blocks; fingerprints within ``radius`` bits agree on at
 least ``blocks - radius`` of them, so one table per choice of that many blocks, keyed by their bits
@@ -86,6 +87,49 @@ def simhash(text: Column, pair_weight: int = PAIR_WEIGHT) -> Column:
     return F.coalesce(_bind(words_of(text), from_words), F.lit(0).cast("long"))
 
 
+def simhashes(rows: DataFrame, by: list[str], texts: list[str], pair_weight: int = PAIR_WEIGHT) -> DataFrame:
+    """(by, and for each text column ``<name>_fp``): what ``simhash`` gives, a row per row; ``by`` tells the rows apart.
+
+    Lane k of the first sums counts bits k, k+16, k+32 and k+48 in 16 bits each, for runs of terms that can't fill
+    them; the second sums add up the runs in 32 bits.  Where ``rows`` are dealt by some of ``by``, nothing is shuffled.
+    """
+    zero = F.lit(0).cast("long")
+    quarters, halves = F.lit(0x0001000100010001), F.lit(0x0000FFFF0000FFFF)
+    run = 0x7FFF // (1 + pair_weight)
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("of"), words_of(F.col(f"`{c}`")).alias("words")) for i, c in enumerate(texts))))
+    split = rows.select(*by, each.alias("__t")).select(*by, F.col("__t.of").alias("__of"), F.coalesce("__t.words", F.array().cast("array<string>")).alias("__words"))
+    # a text without words keeps one row, which votes for nothing
+    after = F.slice("__words", 2, F.greatest(F.size("__words"), F.lit(1)))
+    terms = split.select(*by, "__of", F.posexplode_outer(F.arrays_zip(F.col("__words").alias("word"), after.alias("next"))).alias("__at", "__term"))
+    terms = terms.select(*by, "__of", F.coalesce(F.expr(f"__at div {run}"), zero).alias("__run"), F.col("__term.word").alias("__word"), F.col("__term.next").alias("__next"))
+    single = F.when(F.col("__word").isNotNull(), F.xxhash64("__word")).otherwise(zero)
+    double = F.when(F.col("__next").isNotNull(), F.xxhash64("__word", "__next")).otherwise(zero)
+    votes = F.when(F.col("__word").isNotNull(), F.lit(1)).otherwise(F.lit(0)) + F.when(F.col("__next").isNotNull(), F.lit(pair_weight)).otherwise(F.lit(0))
+    terms = terms.select(*by, "__of", "__run", single.alias("__a"), double.alias("__b"), votes.cast("long").alias("__votes"))
+
+    def lane(k: int) -> Column:
+        a, b = (F.shiftrightunsigned(c, k).bitwiseAND(quarters) for c in ("__a", "__b"))
+        return a + b * F.lit(pair_weight).cast("long")
+
+    sums = terms.groupBy(*by, "__of", "__run").agg(F.sum("__votes").alias("__votes"), *(F.sum(lane(k)).alias(f"__l{k}") for k in range(16)))
+
+    def of(i: int, value: Column) -> Column:
+        return F.sum(F.when(F.col("__of") == i, value).otherwise(zero))
+
+    pairs = [F.shiftrightunsigned(f"__l{k % 16}", k // 16 * 16).bitwiseAND(halves) for k in range(32)]
+    totals = sums.groupBy(*by).agg(*(x for i in range(len(texts)) for x in (of(i, F.col("__votes")).alias(f"__n{i}"), *(of(i, c).alias(f"__p{i}_{k}") for k, c in enumerate(pairs)))))
+
+    def print_of(i: int) -> Column:
+        out = zero
+        for b in range(64):
+            got = F.shiftrightunsigned(f"__p{i}_{b % 32}", b // 32 * 32).bitwiseAND(F.lit(0xFFFFFFFF))
+            # a bit is set where twice its votes exceed all of them
+            out = out.bitwiseOR(F.when(2 * got > F.col(f"__n{i}"), F.lit((1 << b) - (1 << 64 if b == 63 else 0)).cast("long")).otherwise(zero))
+        return out
+
+    return totals.select(*by, *(print_of(i).alias(f"{c}_fp") for i, c in enumerate(texts)))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """1 for equal fingerprints, 0 where every bit differs."""
     return 1 - F.bit_count(a.bitwiseXOR(b)) / F.lit(64.0)
@@ -152,11 +196,12 @@ def _cuts_not_above(value: Column, cuts: list[float]) -> Column:
 MOST_RANGES = 2048
 
 
-def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
-    """(key, text, fp, next_text, next_fp): texts (null: empty) with their fingerprints and those of the next row in ascending key order, the first's after the last.
+def neighbours(docs: DataFrame, key: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
+    """(range, nth, key, text, next_text): texts (null: empty) and those of the next row in ascending key order, the first's after the last.
 
     Ranges of the key are cut at approximate quantiles (a few numbers on the driver), each range is
-    one window group, and only each range's first row crosses ranges.  Every text is fingerprinted once.
+    one window group, and only each range's first row crosses ranges.  Rows stay dealt by ``range``, in which
+    ``nth`` counts them.
     """
     spark: SparkSession = docs.sparkSession
     n = ranges or min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES)
@@ -167,14 +212,33 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", ranges:
     firsts = ranged.groupBy("range").agg(F.min(F.struct(F.col("k").isNotNull().alias("live"), F.col("k").alias("k"))).alias("m")).select("range", F.col("m.k").alias("first"))
     # one row per range, MOST_RANGES at most
     met = ranged.join(F.broadcast(firsts), "range").where(F.col("k").eqNullSafe(F.col("first")))
-    heads = met.groupBy("range").agg(F.min("text").alias("head")).withColumn("head_fp", simhash(F.col("head")))
-    by = Window.orderBy("range")
-    whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    heads = written(heads, "heads").select("range", *(F.coalesce(F.lead(c).over(by), F.first(c).over(whole)).alias(c) for c in ("head", "head_fp")))
+    heads = met.groupBy("range").agg(F.min("text").alias("head"))
+    heads = written(heads, "heads").select("range", _head_after("head").alias("head"))
     within = Window.partitionBy("range").orderBy(F.col("k").asc_nulls_first(), "text")
-    led = ranged.withColumn("fp", simhash(F.col("text")))
-    led = led.select("*", F.lead("text").over(within).alias("after"), F.lead("fp").over(within).alias("after_fp")).join(heads, "range")
-    return led.select(F.col("k").alias(key), "text", "fp", F.coalesce("after", "head").alias("next_text"), F.coalesce("after_fp", "head_fp").alias("next_fp"))
+    led = ranged.select("*", F.row_number().over(within).alias("nth"), F.lead("text").over(within).alias("after")).join(heads, "range")
+    return led.select("range", "nth", F.col("k").alias(key), "text", F.coalesce("after", "head").alias("next_text"))
+
+
+def _head_after(column: str) -> Column:
+    """Of one row per range: the column's value in the next range, in the last that of the first."""
+    by = Window.orderBy("range")
+    return F.coalesce(F.lead(column).over(by), F.first(column).over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+
+
+def with_next_print(prints: DataFrame, fp: str = "fp") -> DataFrame:
+    """A written table that has the ``range`` and ``nth`` of ``neighbours``, with the next row's fingerprint as ``next_fp``."""
+    # one row per range, MOST_RANGES at most
+    heads = prints.where("nth = 1").select("range", _head_after(fp).alias("head_fp"))
+    lead = F.lead(fp).over(Window.partitionBy("range").orderBy("nth"))
+    return prints.withColumn("after_fp", lead).join(F.broadcast(heads), "range").withColumn("next_fp", F.coalesce("after_fp", "head_fp")).drop("after_fp", "head_fp")
+
+
+def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
+    """(key, text, fp, next_text, next_fp): texts (null: empty) with their fingerprints and those of the next row, as ``neighbours`` has it."""
+    rows = neighbours(docs, key, text, ranges).withColumn("fp", simhash(F.col("text")))
+    after = F.lead("fp").over(Window.partitionBy("range").orderBy("nth"))
+    # a range's last row alone has no row after it, and only there the next text is fingerprinted again
+    return rows.withColumn("after_fp", after).select(key, "text", "fp", "next_text", F.coalesce("after_fp", simhash(F.col("next_text"))).alias("next_fp"))
 
 
 #: Ids divisible by this are the queries of op2's search.
@@ -183,13 +247,14 @@ QUERY_STEP = 20
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's columns, and ``n_near`` for ids divisible by ``QUERY_STEP``: other documents within three bits (null for other ids)."""
-    rows = with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.col("next_text"), F.lit(1), quarter))
-    prints = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "fp", F.col("next_fp").alias("nfp"))
-    prints = prints.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fp", "nfp", simhash(F.col("edited")).alias("efp"))
-    prints = written(prints, "prints")
+    rows = rows.select("range", "nth", "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
+    rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    prints = written(simhashes(rows, ["range", "nth", "doc_id", "n_chars", "edited_sha256"], ["text", "edited"]), "prints")
+    prints = with_next_print(prints, "text_fp").select("doc_id", "n_chars", "edited_sha256", F.col("text_fp").alias("fp"), F.col("next_fp").alias("nfp"), F.col("edited_fp").alias("efp"))
     chosen = F.col("doc_id") % QUERY_STEP == 0
     found = n_near(prints, prints.where(chosen)).withColumn("chosen", F.lit(True))
     met = prints.withColumn("chosen", chosen).join(found, ["fp", "chosen"], "left")

@@ -158,6 +158,28 @@ def test_op2_matches_brute_force(spark, tmp_path):
         assert r.n_near == (sum((fp[i] ^ fp[o]).bit_count() <= 3 for o in texts if o != i) if i % 20 == 0 else None)
 
 
+def test_op2_counts_votes_in_compiled_aggregates_alone(spark, tmp_path, monkeypatch):
+    rows = [(i, words(30 + i, i)) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def refuse(*_):
+        raise AssertionError("interpreted once per term")
+
+    monkeypatch.setattr(fingerprints, "simhash", refuse)
+    got = {r.doc_id: r.fingerprint for r in fingerprints.op2(spark, str(tmp_path)).collect()}
+    assert got == {i: f"{plain_simhash(t):016x}" for i, t in rows}
+
+
+def test_simhashes_are_simhash(spark):
+    # longer than a run of counters, one word throughout (its lanes are full), no words, null
+    texts = [LONG, "a " * 30_000, "a", "a b", "", " \n", None, "É é A a", words(10_922, 3), words(10_923, 4)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string").withColumn("upper", F.upper("text"))
+    want = {r.k: (r.a, r.b) for r in rows.select("k", fingerprints.simhash(F.col("text")).alias("a"), fingerprints.simhash(F.col("upper")).alias("b")).collect()}
+    got = {r.k: (r.text_fp, r.upper_fp) for r in fingerprints.simhashes(rows, ["k"], ["text", "upper"]).collect()}
+    assert got == want and len(set(got.values())) == 8
+    assert fingerprints.simhashes(rows.limit(0), ["k"], ["text"]).count() == 0
+
+
 def test_fingerprint_edges(spark):
     led = fingerprints.with_next(edge(spark, clash=True))
     rows = led.select("doc_id", F.col("fp").alias("f")).collect()
