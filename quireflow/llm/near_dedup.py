@@ -202,7 +202,8 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
     return marked.join(answer, "fp").select(key, "fp", "component_id")
 
 
-# Near copies by the Jaccard similarity of word shingles, as pipelines take them.
+# Near copies by the Jaccard similarity of word shingles, as pipelines take them: candidates come from SimHash and the
+# pigeonring, as above but over sets of five-word shingles, and, for pairs beyond its three bits, from min-hash bands.
 
 #: Shingle and similarity of the pipeline's stage.
 STAGE_SHINGLE, STAGE_SIMILARITY = 5, 0.8
@@ -247,8 +248,18 @@ def _set_ids(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _mix(total[at[1:]] - total[at[:-1]] + np.diff(at).astype(np.uint64)).view(np.int64)
 
 
+def set_prints(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """SimHash of each set, every member with one vote; 0 of an empty set."""
+    n = np.diff(at)
+    some, out = np.flatnonzero(n), np.zeros(len(n), np.uint64)
+    for b in range(64 if len(some) else 0):
+        votes = np.add.reduceat((h >> np.uint64(b)) & np.uint64(1), at[some])
+        out[some] |= (2 * votes.astype(np.int64) > n[some]).astype(np.uint64) << np.uint64(b)
+    return out
+
+
 def _sets(docs: DataFrame, key: str, text: str, shingle: int, whole: bool) -> DataFrame:
-    """(key, row_hash, fp, bands) of every row, or (fp, shingles) if ``whole``."""
+    """(key, row_hash, fp, simhash, bands) of every row, or (fp, shingles) if ``whole``."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,10 +278,10 @@ def _sets(docs: DataFrame, key: str, text: str, shingle: int, whole: bool) -> Da
                     bands[some, i // BAND_ROWS] = _mix(bands[some, i // BAND_ROWS] + np.uint64(i + 1)) * np.uint64(3) + least
                 flat = pa.array(bands.view(np.int64).ravel())
                 lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), flat)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), fp, lists], ["key", "row_hash", "fp", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), fp, pa.array(set_prints(h, at).view(np.int64)), lists], ["key", "row_hash", "fp", "simhash", "bands"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text_of(text)).alias("row_hash"))
-    return rows.mapInArrow(run, "fp bigint, shingles binary" if whole else f"key {kind}, row_hash bigint, fp bigint, bands array<bigint>")
+    return rows.mapInArrow(run, "fp bigint, shingles binary" if whole else f"key {kind}, row_hash bigint, fp bigint, simhash bigint, bands array<bigint>")
 
 
 def connect(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
@@ -293,9 +304,18 @@ def connect(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     return out
 
 
+def _rings(firsts: DataFrame) -> DataFrame:
+    """(fp, ring): the component of every set's SimHash, linked within three bits by the pigeonring; a written table."""
+    joined = components(links(firsts.select(F.col("simhash").alias("fp")).distinct()))
+    met = firsts.select("fp", "simhash").join(joined.withColumnRenamed("node", "simhash"), "simhash", "left")
+    return written(met.select("fp", F.coalesce("component", "simhash").alias("ring")), "rings")
+
+
 def _groups(firsts: DataFrame, group: int) -> DataFrame:
-    """(fp, g): memberships of groups of sets that share a band; a set's several memberships are compared apart."""
-    keyed = firsts.select("fp", F.posexplode("bands").alias("band", "value"))
+    """(fp, g): memberships of groups of sets that share a SimHash component or a band; a set's several memberships are compared apart."""
+    # the component stands as one band more
+    rings = _rings(firsts).select("fp", F.lit(BANDS).alias("band"), F.col("ring").alias("value"))
+    keyed = firsts.select("fp", F.posexplode("bands").alias("band", "value")).unionByName(rings)
 
     def distinct(rows: DataFrame, *by: str) -> DataFrame:
         """(by, n) of groups of two and more; of groups with the same members one stays."""
@@ -317,11 +337,12 @@ def _groups(firsts: DataFrame, group: int) -> DataFrame:
 def similar_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """Rows (key, row_hash, fp), and (fp, component) of every distinct set of word shingles, by Jaccard similarity.
 
-    Candidates share a min-hash band; every link is checked on the whole sets.  Rows are first
-    reduced to distinct sets, and buckets to distinct memberships, so a pair's sets meet once.
+    Candidates are sets whose SimHashes the pigeonring connects, and those that share a min-hash band; every link is
+    checked on the whole sets.  Rows are first reduced to distinct sets, and buckets to distinct memberships, so sets
+    that several of them hold together meet once.
     """
     marked = written(_sets(docs, key, text, shingle, False), "shinglebands")
-    firsts = written(marked.groupBy("fp").agg(F.min("bands").alias("bands")), "firsts")
+    firsts = written(marked.groupBy("fp").agg(F.min("simhash").alias("simhash"), F.min("bands").alias("bands")), "firsts")
     found = written(_groups(firsts, group), "bandmembers")
     # crowded groups in parts, and their least sets in every part
     parts = F.ceil(F.col("n") / group).cast("int")

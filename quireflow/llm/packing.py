@@ -117,7 +117,8 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", ca
         first = TaskContext.get().partitionId() << _BIN_BITS
         for batch in batches:
             off, _ = utf8(batch.column(1))
-            for lo, hi in passes(off, ENCODE_BYTES):
+            # half of what op 4 takes at a time: here the tasks of other stages have filled the executor before
+            for lo, hi in passes(off, ENCODE_BYTES // 2):
                 ids, counts = encode(batch.column(1).slice(lo, hi - lo))
                 at, rows = 0, []
                 for doc, n in enumerate(counts.tolist()):

@@ -304,6 +304,28 @@ def test_crowded_groups_lose_no_component(spark):
     assert len(set(want.values())) > 25
 
 
+def test_the_pipelines_near_copies_take_simhash_and_the_pigeonring(spark):
+    # no band is shared: what is grouped here is grouped by SimHash alone
+    base = 0x0F1E2D3C4B5A6978
+    flipped = [base, base ^ 0b111, base ^ (0b111 << 40) ^ 0b111, base ^ 0xFFFF, 77]
+    rows = [(i, x, [1000 * i + b for b in range(near_dedup.BANDS)]) for i, x in enumerate(flipped)] + [(9, 77, list(range(50_000, 50_000 + near_dedup.BANDS)))]
+    firsts = spark.createDataFrame(rows, "fp bigint, simhash bigint, bands array<bigint>")
+    groups = {}
+    for r in near_dedup._groups(firsts, near_dedup.GROUP).collect():
+        groups.setdefault(r.g, set()).add(r.fp)
+    assert sorted(map(sorted, groups.values())) == [[0, 1, 2], [4, 9]]
+
+
+def test_set_prints_are_plain_votes():
+    rng = np.random.default_rng(4)
+    sizes = [0, 1, 2, 0, 7, 300, 0]
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    h = rng.integers(0, 1 << 64, at[-1], dtype=np.uint64)
+    want = [sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h[lo:hi]) > hi - lo) for lo, hi in zip(at[:-1], at[1:])]
+    assert near_dedup.set_prints(h, at).tolist() == want
+    assert near_dedup.set_prints(h[:0], np.zeros(3, int)).tolist() == [0, 0]
+
+
 def test_similar_documents_are_one_component(spark):
     rng = random.Random(3)
     rows = []
