@@ -290,3 +290,17 @@ def test_candidates_match_regular_expressions():
     for i, text in enumerate(texts):
         own = [(int(s - off[i]), int(e - off[i])) for s, e in zip(start[doc == i], end[doc == i], strict=True)]
         assert own == plain_candidates(text), text
+
+
+def test_blocks_leave_arrow_one_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    size, n = 1 << 20, 12
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([bytes([i]) * size for i in range(n)], pa.binary())], ["block", "body"])
+    tracemalloc.start()
+    seen = [(row["block"], row["body"][0], len(row["body"])) for row in lm_scoring._one_by_one(batch)]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == [(i, i, size) for i in range(n)] and most < 4 * size
