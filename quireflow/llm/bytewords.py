@@ -75,19 +75,24 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((got[0] << np.uint64(32) | got[1]) + (end - start).astype(np.uint64) * _ROLL)
 
 
-def rolling_hash(data: np.ndarray, width: int) -> np.ndarray:
-    """A cheap hash of every ``width`` bytes: a polynomial modulo 2^64, finalised."""
-    part, size, out, done = _BYTE[data], 1, np.zeros(len(data), np.uint64), 0
+def rolled(values: np.ndarray, width: int, base: int = int(_ROLL)) -> np.ndarray:
+    """For every ``width`` values in a row, the polynomial of them modulo 2^64."""
+    part, size, out, done = values, 1, np.zeros(len(values), np.uint64), 0
     while width:
-        if width & 1:  # out covers ``done`` bytes, part the next ``size``
-            n = len(data) - done - size + 1
-            out = out[:n] * np.uint64(pow(int(_ROLL), size, 1 << 64)) + part[done : done + n]
+        if width & 1:  # out covers ``done`` values, part the next ``size``
+            n = len(values) - done - size + 1
+            out = out[:n] * np.uint64(pow(base, size, 1 << 64)) + part[done : done + n]
             done += size
         width >>= 1
         if width:
-            part = part[:-size] * np.uint64(pow(int(_ROLL), size, 1 << 64)) + part[size:]
+            part = part[:-size] * np.uint64(pow(base, size, 1 << 64)) + part[size:]
             size *= 2
-    return mix(out)
+    return out
+
+
+def rolling_hash(data: np.ndarray, width: int) -> np.ndarray:
+    """A cheap hash of every ``width`` bytes, finalised."""
+    return mix(rolled(_BYTE[data], width))
 
 
 def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

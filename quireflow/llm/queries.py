@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, lm_scoring, mixing, near_dedup, packing, quality_rules, secrets, suffix_dedup, token_store, warc
+from . import filter_audit, fingerprints, lm_scoring, mixing, near_dedup, packing, passage_dedup, quality_rules, secrets, suffix_dedup, token_store, turn_repair, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,4 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scans": secrets.op8,
         "op9_simhash_near_dedup": near_dedup.op9,
         "op10_source_mixing": mixing.op10,
+        "op11_turn_repair": turn_repair.op11,
+        "op12_passage_dedup": passage_dedup.op12,
+        "op13_filter_audit": filter_audit.op13,
     }

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import mixing, warc
+from . import filter_audit, mixing, turn_repair, warc
 
-ORACLES: dict[str, str] = {"op7_warc": warc.ORACLE, "op10_source_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op7_warc": warc.ORACLE, "op10_source_mixing": mixing.ORACLE, "op11_turn_repair": turn_repair.ORACLE, "op13_filter_audit": filter_audit.ORACLE}

@@ -43,6 +43,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import bytewords as bw
 from .blocks import ask
@@ -112,6 +113,8 @@ def _unpacked(data: bytes, size: int) -> bytes:
 def blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A written table of blocks: ids, document ends, text. All that is derived from a block is computed where it is needed."""
     names = ["block", "ids", "ends", "text"]
+    kind = docs.schema[key].dataType
+    id_type = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, size = TaskContext.get().partitionId(), 0, 0
@@ -123,7 +126,7 @@ def blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes
             ends = np.cumsum(np.concatenate(lengths))
             values = [[(part << 32) + number], [list(ids)], [ends.astype("<i8").tobytes()], [_packed(b"".join(texts))]]
             ids.clear(), texts.clear(), lengths.clear()
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, (pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()), strict=True)], names)
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, (pa.int64(), pa.list_(id_type), pa.binary(), pa.binary()), strict=True)], names)
 
         for batch in batches:
             off, data = utf8(batch.column(1))
@@ -138,8 +141,8 @@ def blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes
         if ids:
             yield flush()
 
-    schema = "block bigint, ids array<bigint>, ends binary, text binary"
-    return written(docs.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(run, schema), "suffixblocks")
+    schema = f"block bigint, ids array<{kind.simpleString()}>, ends binary, text binary"
+    return written(docs.select(F.col(key), text).mapInArrow(run, schema), "suffixblocks")
 
 
 def _opened(ends: bytes, text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -329,7 +332,8 @@ def counted_windows(phrases: DataFrame, shard_windows: int = SHARD_WINDOWS) -> D
 def remove(parsed: DataFrame, spans: DataFrame, key: str = "doc_id", with_text: bool = False) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans, kept_sha256 (and the bytes that stay) without all bytes of repeated windows."""
     names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
-    kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * with_text
+    kind = parsed.schema["ids"].dataType.elementType
+    kinds = [to_arrow_type(kind), *[pa.int64()] * 3, pa.string()] + [pa.binary()] * with_text
 
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
         off, data = _opened(block.column("ends")[0].as_py(), block.column("text")[0].as_py())
@@ -354,7 +358,7 @@ def remove(parsed: DataFrame, spans: DataFrame, key: str = "doc_id", with_text:
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     left = parsed.select("block", "ids", "ends", "text").groupBy("block")
-    schema = f"`{key}` bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text
+    schema = f"`{key}` {kind.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text
     return left.cogroup(spans.groupBy("block")).applyInArrow(run, schema)
 
 
