@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from ..sources import pages
 
 #: Ink is darker than INK; a blank line has at most BLANK ink; thumbnails are at most THUMB wide or high.
 INK, BLANK, THUMB, FLAT = 245, 0.01, 1200, 2.0
@@ -41,67 +46,133 @@ def to_original(band: Column, scale: Column, limit: Column) -> Column:
     return F.struct(start.alias("s"), F.greatest(start, F.least(limit, end_of(band["e"]))).alias("e"))
 
 
-def _runs(density: np.ndarray) -> np.ndarray:
-    low = np.concatenate(([0], (density <= BLANK).astype(np.int8), [0]))
-    edge = np.flatnonzero(np.diff(low)).reshape(-1, 2)
-    return edge[edge[:, 1] - edge[:, 0] >= max(3, len(density) // 100)]
+class Thumbnail:
+    """A page shrunk by box averages to at most ``longest`` pixels a side, from its rows as they come."""
 
+    def __init__(self, width: int, height: int, longest: int = THUMB):
+        self.scale = min(1.0, longest / max(width, height))
+        self.size = height, width
+        self.y, self.x = ((np.arange(max(1, int(n * self.scale))) * n // max(1, int(n * self.scale))) for n in (height, width))
+        self.sums = np.zeros((len(self.y), len(self.x)), np.uint32)
+        self.seen = 0
 
-def _scaled(bands: np.ndarray, scale: float, limit: int) -> list[dict[str, int]]:
-    at = np.clip(np.rint(bands * scale).astype(int), 0, limit)
-    return [{"s": int(s), "e": int(max(s, e))} for s, e in at]
+    def add(self, gray: np.ndarray) -> None:
+        """The next rows of the page."""
+        place = np.searchsorted(self.y, np.arange(self.seen, self.seen + len(gray)), "right") - 1
+        first = np.flatnonzero(np.diff(place, prepend=-1))
+        self.sums[place[first]] += np.add.reduceat(np.add.reduceat(gray, self.x, axis=1, dtype=np.uint32), first, axis=0)
+        self.seen += len(gray)
 
+    def pixels(self) -> np.ndarray:
+        height, width = (np.diff(np.append(at, n)) for at, n in zip((self.y, self.x), self.size, strict=True))
+        area = (height[:, None] * width[None, :]).astype(np.uint32)
+        return ((self.sums + area // 2) // area).astype(np.uint8)
 
-def page_hints(gray: np.ndarray, width: int, height: int, scale: float) -> tuple:
-    """Crop box, bands, line density and column count of one gray thumbnail; ``scale`` is thumbnail / original."""
-    if gray.std() < FLAT:
-        return ({"x0": 0, "y0": 0, "x1": width, "y1": height}, [], [], 0.0, 1)
-    ink, back = gray < INK, 1.0 / scale
-    rows, cols = ink.mean(axis=1), ink.mean(axis=0)
-    across, down = _runs(rows), _runs(cols)
-    ys, xs = np.flatnonzero(ink.any(axis=1)), np.flatnonzero(ink.any(axis=0))
-    box = (0, 0, width, height)
-    if len(ys):
-        box = (int(xs[0] * back), int(ys[0] * back), int(min(width, (xs[-1] + 1) * back)), int(min(height, (ys[-1] + 1) * back)))
-    dense = (cols > max(0.03, cols.mean() * 1.5)).mean()
-    lines = ((rows > 0.35).mean() + (cols > 0.35).mean()) / 2
-    return (dict(zip(("x0", "y0", "x1", "y1"), box, strict=True)), _scaled(across, back, height), _scaled(down, back, width), float(lines), 2 if len(down) and dense > 0.05 else 1)
 
+def thumbnail(gray: np.ndarray, longest: int = THUMB) -> tuple[np.ndarray, float]:
+    """The thumbnail of a page that is at hand as a whole, and its scale."""
+    small = Thumbnail(gray.shape[1], gray.shape[0], longest)
+    small.add(gray)
+    return small.pixels(), small.scale
 
-def _gray(row) -> np.ndarray:
-    """8-bit luma of a row of Spark's image source (channels in BGR order)."""
-    flat = np.frombuffer(row.data, np.uint8).reshape(row.height, row.width, row.nChannels).astype(np.uint32)
-    if row.nChannels == 1:
-        return flat[:, :, 0].astype(np.uint8)
-    b, g, r = flat[:, :, 0], flat[:, :, 1], flat[:, :, 2]
-    return ((r * 19595 + g * 38470 + b * 7471 + 0x8000) >> 16).astype(np.uint8)  # ITU-R 601 weights
 
+def _luma(rows: np.ndarray) -> np.ndarray:
+    """8-bit luma of rows of gray or RGB pixels (ITU-R 601 weights)."""
+    if rows.shape[2] == 1:
+        return rows[:, :, 0]
+    sums = rows[:, :, 0] * np.uint32(19595)
+    sums += rows[:, :, 1] * np.uint32(38470)
+    sums += rows[:, :, 2] * np.uint32(7471)
+    return (sums + np.uint32(0x8000) >> np.uint32(16)).astype(np.uint8)
 
-def thumbnail(gray: np.ndarray, longest: int = THUMB) -> tuple[np.ndarray, float]:
-    """The page shrunk by box averages to at most ``longest`` pixels a side, and the scale."""
-    height, width = gray.shape
-    if max(height, width) <= longest:
-        return gray, 1.0
-    scale = longest / max(height, width)
-    h, w = max(1, int(height * scale)), max(1, int(width * scale))
-    y, x = np.arange(h) * height // h, np.arange(w) * width // w
-    sums = np.add.reduceat(np.add.reduceat(gray.astype(np.uint32), y, axis=0), x, axis=1)
-    area = np.diff(np.append(y, height))[:, None] * np.diff(np.append(x, width))[None, :]
-    return ((sums + area // 2) // area).astype(np.uint8), scale
-
-
-def analyze(images: DataFrame) -> DataFrame:
-    """Layout hints of every image of Spark's image source (path, height, width, nChannels, data); images that it couldn't decode have none."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+class _Side:
+    """Ink along one side of a thumbnail: its share per line, blank runs, extent, dense lines."""
+
+    def __init__(self, ink: np.ndarray, axis: int, page: int, scale: float):
+        self.share, held = ink.mean(axis=axis), np.flatnonzero(ink.any(axis=axis))
+        self.page, self.back = page, 1.0 / scale
+        self.extent = (int(held[0] * self.back), int(min(page, (held[-1] + 1) * self.back))) if len(held) else (0, page)
+
+    def blank(self) -> list[dict[str, int]]:
+        """Blank runs in pixels of the page."""
+        low = np.concatenate(([0], (self.share <= BLANK).astype(np.int8), [0]))
+        runs = np.flatnonzero(np.diff(low)).reshape(-1, 2)
+        runs = runs[np.diff(runs, axis=1)[:, 0] >= max(3, len(self.share) // 100)]
+        runs = np.maximum.accumulate(np.clip(np.rint(runs * self.back).astype(int), 0, self.page), axis=1)
+        return [{"s": s, "e": e} for s, e in runs.tolist()]
+
+    def above(self, share: float) -> float:
+        """Share of lines with more ink."""
+        return float((self.share > share).mean())
+
+
+def page_hints(gray: np.ndarray, width: int, height: int, scale: float) -> dict:
+    """Crop box, blank bands, line density and column count of one gray thumbnail; ``scale`` is thumbnail / original."""
+    down, across = (_Side(gray < INK, axis, page, scale) for axis, page in ((1, height), (0, width)))
+    bands, gaps = down.blank(), across.blank()
+    hints = {"crop_box": dict(zip(("x0", "x1", "y0", "y1"), across.extent + down.extent, strict=True)), "horizontal_blank_bands": bands, "vertical_blank_bands": gaps}
+    columns = 2 if gaps and across.above(max(0.03, across.share.mean() * 1.5)) > 0.05 else 1
+    hints |= {"table_line_density": (down.above(0.35) + across.above(0.35)) / 2, "column_count": columns}
+    if gray.std() < FLAT:  # a page of one shade has nothing on it
+        hints = {"crop_box": {"x0": 0, "x1": width, "y0": 0, "y1": height}, "horizontal_blank_bands": [], "vertical_blank_bands": [], "table_line_density": 0.0, "column_count": 1}
+    return hints
+
+
+def _source_rows(row: dict) -> np.ndarray:
+    """A row of Spark's image source as gray or RGB pixels."""
+    page = np.frombuffer(row["data"], np.uint8).reshape(row["height"], row["width"], row["nChannels"])
+    return page if row["nChannels"] == 1 else page[:, :, 2::-1]  # channels are in BGR order
+
+
+_SOURCE = ("height", "width", "nChannels", "data")
+
+
+def _opened(row: dict) -> pages.Bands | None:
+    """Width, height and bands of pixels of a row with ``content`` (a file) or of Spark's image source; nothing of what can't be decoded."""
+    if "content" not in row:
+        return row["width"], row["height"], iter([_source_rows(row)])
+    try:
+        return pages.bands(row["content"])
+    except (pages.Undecodable, zlib.error, struct.error, IndexError):
+        return None
+
+
+def _decoded(images: DataFrame | None, files: DataFrame | None, fields: list[str], run: Callable[[dict, pages.Bands], Iterator[dict]], schema: str) -> DataFrame:
+    """What ``run`` makes of each decodable image, of both sources, one at a time."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for row in batch.itertuples():
-                small, scale = thumbnail(_gray(row))
-                rows.append((row.path, row.width, row.height, *page_hints(small, row.width, row.height, scale)))
-            yield pd.DataFrame(rows, columns=["path", "width", "height", "crop_box", "horizontal_blank_bands", "vertical_blank_bands", "table_line_density", "column_count"])
+            for i in range(batch.num_rows):
+                row = {k: batch.column(k)[i].as_py() for k in batch.schema.names}
+                opened = _opened(row)
+                try:
+                    for made in run(row, opened) if opened else ():
+                        yield pa.RecordBatch.from_pylist([made], schema=arrow)
+                except (pages.Undecodable, zlib.error):
+                    continue  # a file that breaks off
 
-    return images.where("height > 0 and width > 0").select("path", "height", "width", "nChannels", "data").mapInPandas(run, HINTS)
+    parts = []
+    if images is not None:
+        parts.append(images.where("height > 0 and width > 0").select(*fields, *_SOURCE))
+    if files is not None:
+        parts.append(files.select(*fields, "content"))
+    return reduce(DataFrame.unionByName, [p.mapInArrow(each, schema) for p in parts])
+
+
+def analyze(images: DataFrame | None, files: DataFrame | None = None) -> DataFrame:
+    """Layout hints of images: of Spark's image source (path, height, width, nChannels, data) and of files (path, content), whose
+    pixels are never together in memory; images that can't be decoded have none."""
+
+    def run(row: dict, opened: pages.Bands) -> Iterator[dict]:
+        width, height, bands = opened
+        small = Thumbnail(width, height)
+        for rows in bands:
+            small.add(_luma(rows))
+        yield {"path": row["path"], "width": width, "height": height} | page_hints(small.pixels(), width, height, small.scale)
+
+    return _decoded(images, files, ["path"], run, HINTS)
 
 
 def png(pixels: np.ndarray) -> bytes:
@@ -117,19 +188,29 @@ def png(pixels: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", zlib.compress(rows.tobytes(), 6)) + part(b"IEND", b"")
 
 
-def crops(images: DataFrame, boxes: DataFrame) -> DataFrame:
-    """(chunk_id, crop): a PNG of each box (path, chunk_id, x0, y0, x1, y1) of the images; each image is cut once."""
-    held = boxes.groupBy("path").agg(F.collect_list(F.struct("chunk_id", "x0", "y0", "x1", "y1")).alias("boxes"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                page = np.frombuffer(row.data, np.uint8).reshape(row.height, row.width, row.nChannels)
-                page = page[:, :, 0] if row.nChannels == 1 else page[:, :, 2::-1]  # channels are in BGR order
-                for box in row.boxes:
-                    cut = page[box["y0"] : box["y1"], box["x0"] : box["x1"]]
-                    if cut.size:
-                        yield pd.DataFrame({"chunk_id": [box["chunk_id"]], "crop": [png(np.ascontiguousarray(cut))]})
-
-    met = images.where("height > 0 and width > 0").join(held, "path")
-    return met.select("height", "width", "nChannels", "data", "boxes").mapInPandas(run, "chunk_id string, crop binary")
+def crops(images: DataFrame | None, boxes: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """(chunk_id, crop): a PNG of each box (path, chunk_id, x0, y0, x1, y1) of the images and files; each image is read once.
+
+    Of a file's rows only those of boxes that aren't complete yet are held. Of an image that breaks off, the boxes before that are cut."""
+    held = boxes.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("y0", "y1", "x0", "x1", "chunk_id"))).alias("boxes"))
+
+    def run(row: dict, opened: pages.Bands) -> Iterator[dict]:
+        width, height, bands = opened
+        inside = lambda b: max(0, b["y0"]) < min(b["y1"], height) and max(0, b["x0"]) < min(b["x1"], width)
+        todo = [(b, []) for b in row["boxes"] if inside(b)]
+        top = 0
+        for rows in bands:
+            bottom = top + len(rows)
+            for b, parts in todo:
+                lo, hi = max(top, b["y0"]), min(bottom, b["y1"])
+                if lo < hi:
+                    parts.append(rows[lo - top : hi - top, max(0, b["x0"]) : b["x1"]].copy())
+            top = bottom
+            done = [(b, parts) for b, parts in todo if min(b["y1"], height) <= bottom]
+            todo = [(b, parts) for b, parts in todo if min(b["y1"], height) > bottom]
+            for b, parts in done:
+                cut = np.concatenate(parts)
+                yield {"chunk_id": b["chunk_id"], "crop": png(cut[:, :, 0] if cut.shape[2] == 1 else cut)}
+
+    met = lambda df: None if df is None else df.join(held, "path")
+    return _decoded(met(images), met(files), ["boxes"], run, "chunk_id string, crop binary")

@@ -66,10 +66,15 @@ class Run:
         chosen = readers.sample(listed, c.limit_per_dir, c.limit)
         return profile.profile(chosen.join(readers.image_headers(self.spark, c.input_dirs, chosen), ["file_name", "path"]))
 
+    def _sources(self, images: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Decoded pages and, of those that are large or WebP, the files."""
+        dirs = self.config.input_dirs
+        return readers.image_pixels(self.spark, dirs, images.where("not banded")), readers.image_contents(self.spark, dirs, images.where("banded"))
+
     def chunks(self, images: DataFrame) -> DataFrame:
         """Chunks with ids and ordinals; strips snap to the blank bands of their pages. Unreadable images have none."""
         strips = images.where("doc_type = 'long_strip'")
-        bands = layout.analyze(readers.image_pixels(self.spark, self.config.input_dirs, strips))
+        bands = layout.analyze(*self._sources(strips))
         with_bands = images.where("width is not null").join(bands.select("path", F.col("horizontal_blank_bands").alias("bands")), "path", "left")
         o = self.config.chunk
         cut = chunking.chunk(
@@ -84,8 +89,8 @@ class Run:
 
     def crops(self, chunks: DataFrame) -> DataFrame:
         """``chunks`` with their pixels as PNG files (``crop``), null where an image can't be decoded."""
-        pixels = readers.image_pixels(self.spark, self.config.input_dirs, chunks.select("path").distinct())
-        return chunks.join(layout.crops(pixels, chunks.select("path", "chunk_id", "x0", "y0", "x1", "y1")), "chunk_id", "left")
+        pixels, files = self._sources(chunks.select("path", "banded").distinct())
+        return chunks.join(layout.crops(pixels, chunks.select("path", "chunk_id", "x0", "y0", "x1", "y1"), files), "chunk_id", "left")
 
     def recognised(self, chunks: DataFrame, force: bool, concurrency: int | None) -> DataFrame:
         c = self.config

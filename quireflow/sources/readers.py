@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from . import pages
 
 #: Suffixes of images, any case.
 IMAGE_SUFFIXES = ("png", "jpg", "jpeg", "webp", "bmp", "tif", "tiff")
@@ -103,23 +104,26 @@ def _loaded(reader: DataFrameReader, dirs: list[str], chosen: DataFrame | None,
 
 
 def image_headers(spark: SparkSession, dirs: list[str], chosen: DataFrame | None = None) -> DataFrame:
-    """(file_name, path, width, height, image_sha1): sizes from file headers, which alone reach Python; unreadable images have null sizes."""
+    """(file_name, path, width, height, image_sha1, banded): sizes from file headers, which alone reach Python; unreadable images have null sizes.
+
+    ``banded`` images are read with ``image_contents``, others with ``image_pixels``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes = []
-            for content in batch["content"]:
+            sizes, banded = [], []
+            for content in map(bytes, batch["content"]):
                 try:
-                    sizes.append(image_size(bytes(content)) or (None, None))
+                    sizes.append(image_size(content) or (None, None))
                 except (struct.error, IndexError):
                     sizes.append((None, None))
-            yield pd.DataFrame({"path": batch["path"], "width": pd.array([s[0] for s in sizes], "Int32"), "height": pd.array([s[1] for s in sizes], "Int32"), "image_sha1": batch["image_sha1"]})
+                banded.append(sizes[-1][0] is not None and pages.banded(content, *sizes[-1]))
+            yield pd.DataFrame({"path": batch["path"], "width": pd.array([s[0] for s in sizes], "Int32"), "height": pd.array([s[1] for s in sizes], "Int32"), "image_sha1": batch["image_sha1"], "banded": banded})
 
     tiff = F.hex(F.substring("content", 1, 4)).isin("49492A00", "4D4D002A")
     head = F.when(tiff, F.col("content")).otherwise(F.substring("content", 1, HEAD_BYTES))
     found = _loaded(spark.read.format("binaryFile"), dirs, chosen).where(is_image_name(F.col("path")))
     raw = found.select("path", head.alias("content"), F.sha1("content").alias("image_sha1"))
-    sized = raw.mapInPandas(run, "path string, width int, height int, image_sha1 string")
+    sized = raw.mapInPandas(run, "path string, width int, height int, image_sha1 string, banded boolean")
     return sized.withColumn("file_name", F.regexp_extract("path", r"([^/]*)\z", 1))
 
 
@@ -129,6 +133,12 @@ def image_pixels(spark: SparkSession, dirs: list[str], chosen: DataFrame | None
     return found.select(_same_form(F.col("image.origin")).alias("path"), "image.height", "image.width", "image.nChannels", "image.data")
 
 
+def image_contents(spark: SparkSession, dirs: list[str], chosen: DataFrame | None = None) -> DataFrame:
+    """(path, content) of images (of the ``chosen`` paths), for those whose pixels come as bands of rows."""
+    found = _loaded(spark.read.format("binaryFile"), dirs, chosen)
+    return found.where(is_image_name(F.col("path"))).select(_same_form(F.col("path")).alias("path"), "content")
+
+
 def read_markdown_dir(spark: SparkSession, path: str) -> DataFrame:
     """(file_name, markdown) of the .md files in a folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(path)
