@@ -39,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from . import bytewords as bw
 from .common import drop_written, passes, table, written
-from .suffix_dedup import BLOCK_BYTES, _merge, _opened, _runs, blocks, window_triggers
+from .suffix_dedup import _merge, _opened, _runs, blocks, window_triggers
 
 WORDS = 35
 #: Words of an anchor: long enough that few recur by chance, which only costs time.
@@ -54,35 +54,36 @@ _PHRASE_BYTES = 400
 #: Bases of the two halves of a window's hash.
 _HALVES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _STEP = 1 << 16
+#: Text bytes of one numpy pass.
+_PASS = 1 << 20
+#: Bytes of documents in a block.
+BLOCK_BYTES = 8 << 20
 
 
 class Parsed:
-    """A block's words (starts and ends of their bytes, hashes) and phrases (first window, one past the last, anchor)."""
+    """A block's words (starts and ends of their bytes) and phrases (first window, one past the last, anchor)."""
 
     def __init__(self, off: np.ndarray, data: np.ndarray, words: int = WORDS, gram: int = GRAM):
-        self.data, self.words = data, words
-        parts = [self._pass(off[lo : hi + 1] - off[lo], data[off[lo] : off[hi]], words, gram) for lo, hi in passes(off)]
-        base, at = 0, 0
-        for (lo, _), p in zip(passes(off), parts, strict=True):
-            p["start"] += base
-            p["stop"] += base
-            p["begin"] += off[lo]
-            p["end"] += off[lo]
+        self.off, self.data, self.words = off, data, words
+        parts, base = [], 0
+        for lo, hi in passes(off, _PASS):
+            p = self._pass(off[lo : hi + 1] - off[lo], data[off[lo] : off[hi]], words, gram)
+            p = {k: v if k == "anchor" else (v + (off[lo] if k in ("begin", "end") else base)).astype(np.int32) for k, v in p.items()}
             base += len(p["begin"])
-        join = lambda k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64)
-        self.begin, self.end, self.hash = join("begin"), join("end"), join("hash")
+            parts.append(p)
+        join = lambda k: np.concatenate([p.pop(k) for p in parts]) if parts else np.zeros(0, np.int32)
+        self.begin, self.end = join("begin"), join("end")
         self.start, self.stop = join("start"), join("stop")
         self.anchors, self.code, self.own = np.unique(join("anchor"), return_inverse=True, return_counts=True)
 
     @staticmethod
     def _pass(off: np.ndarray, data: np.ndarray, words: int, gram: int) -> dict[str, np.ndarray]:
         begin, end, doc = bw.word_spans(data, off)
-        h = bw.span_hash(bw.prefix_hash(data), begin, end)
         none = np.zeros(0, np.int64)
-        found = {"begin": begin, "end": end, "hash": h, "start": none, "stop": none.copy(), "anchor": none.astype(np.uint64)}
+        found = {"begin": begin, "end": end, "start": none, "stop": none, "anchor": none.astype(np.uint64)}
         if len(begin) < words:
             return found
-        grams = bw.mix(bw.rolled(h, gram))
+        grams = bw.mix(bw.rolled(bw.span_hash(bw.prefix_hash(data), begin, end), gram))
         at = window_triggers(grams, words - gram + 1)
         i = np.flatnonzero(doc[: len(at)] == doc[words - 1 : words - 1 + len(at)])  # windows inside one document
         if len(i):
@@ -93,17 +94,23 @@ class Parsed:
 
     def texts(self, which: np.ndarray) -> pa.Array:
         """Phrases as text, one space between words, for those of ``which``."""
-        n = self.stop[which] - self.start[which] + self.words - 1
+        n = (self.stop[which] - self.start[which] + self.words - 1).astype(np.int64)
         size = self.end[self.stop[which] + self.words - 2] - self.begin[self.start[which]]
         parts = [pa.array([], pa.large_binary())]
-        for lo, hi in passes(np.concatenate(([0], np.cumsum(size)))):
-            parts.append(spaced(self.data, self.begin, self.end, _runs(self.start[which][lo:hi], n[lo:hi]), n[lo:hi]))
+        for lo, hi in passes(np.concatenate(([0], np.cumsum(size))), _PASS):
+            parts.append(spaced(self.data, self.begin, self.end, _runs(self.start[which][lo:hi].astype(np.int64), n[lo:hi]), n[lo:hi]))
         return pa.concat_arrays(parts)
 
     def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts of the windows of phrases, and two hashes of each (columns)."""
-        at = _runs(self.start[which], self.stop[which] - self.start[which])
-        return at, np.stack([bw.mix(bw.rolled(self.hash, self.words, b))[at] for b in _HALVES], 1)
+        at = _runs(self.start[which].astype(np.int64), (self.stop - self.start)[which])
+        parts = []
+        for lo, hi in passes(self.off, _PASS):  # words never cross passes
+            a, b = np.searchsorted(self.begin, (self.off[lo], self.off[hi]))
+            own, text = slice(a, b), self.data[self.off[lo] : self.off[hi]]
+            parts.append(bw.span_hash(bw.prefix_hash(text), self.begin[own] - self.off[lo], self.end[own] - self.off[lo]))
+        h = np.concatenate(parts)
+        return at, np.stack([bw.mix(bw.rolled(h, self.words, b)[at]) for b in _HALVES], 1)
 
 
 def spaced(data: np.ndarray, begin: np.ndarray, end: np.ndarray, words: np.ndarray, n: np.ndarray) -> pa.Array:
@@ -295,7 +302,7 @@ def remove(parsed: DataFrame, spans: DataFrame, key: str = "doc_id", with_text:
         s, e = (x.drop_null().to_numpy().astype(np.int64) for x in (found.column("start"), found.column("stop")))
         s, e = _merge(np.concatenate((s, places)), np.concatenate((e, places + 1)) + WORDS - 1)
         out, before = [], 0
-        for lo, hi in passes(off):
+        for lo, hi in passes(off, _PASS):
             text = data[off[lo] : off[hi]]
             own = off[lo : hi + 1] - off[lo]
             begin, end, doc = bw.word_spans(text, own)
