@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -440,12 +439,7 @@ def markdown_fence(spark, sf):
 def response_unwrap(spark, sf):
     chat = F.to_json(F.struct(F.array(F.struct(F.struct(F.concat(F.lit("```md\n"), "text", F.lit("\n```")).alias("content")).alias("message"))).alias("choices")))
     body = F.when(F.col("doc_id") % 3 == 0, F.to_json(F.struct(F.lit(True).alias("success"), F.struct(chat.alias("result")).alias("result")))).when(F.col("doc_id") % 3 == 1, F.to_json(F.struct(chat.alias("result")))).otherwise(chat)
-
-    @F.pandas_udf("string")
-    def unwrapped(s: pd.Series) -> pd.Series:
-        return s.map(recognize.unwrap)
-
-    return _t(spark, sf, "documents").select("doc_id", unwrapped(body).alias("markdown"))
+    return recognize.unwrap_all(_t(spark, sf, "documents").select("doc_id", body.alias("body")), "body").select("doc_id", "markdown")
 
 
 # merging and evaluation

@@ -98,10 +98,14 @@ def goes_on(s: Column) -> Column:
 
 def unfence(s: Column) -> Column:
     """The inside of a text that is one fenced Markdown block; other texts stripped."""
-    t = strip(s)
-    inner = F.regexp_extract(t, r"(?is)\A```(?:markdown|md)?\s*\n(.*?)\n?```\z", 1)
-    fenced = t.rlike(r"(?is)\A```(?:markdown|md)?\s*\n(.*?)\n?```\z")
-    return F.when(fenced, strip(inner)).otherwise(t)
+    head = rf"(?i)\A```(?:markdown|md)?[{WHITE}]*\n"
+
+    def opened(t: Column) -> Column:
+        size = F.length(F.regexp_extract(t, head, 0))
+        fenced = (size > 0) & t.endswith("```") & (F.length(t) >= size + 3)
+        return F.when(fenced, strip(F.substring(t, size + 1, F.length(t) - size - 3))).otherwise(t)
+
+    return bind(strip(s), opened)
 
 
 def stem(name: Column) -> Column:

@@ -7,7 +7,7 @@ its state is the text and running bracket counts, so a seam costs its window and
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -51,18 +51,50 @@ def exact_overlap(tail: str, head: str, least: int = 1) -> int:
     return 0
 
 
+class Common:
+    """Longest common subsequences of pieces of ``tail`` with beginnings of ``head``, a machine word of whose places is one step."""
+
+    def __init__(self, tail: str, head: str):
+        self.tail, places = tail, {}
+        for i, c in enumerate(head):
+            places.setdefault(c, []).append(i)
+        self.places = {c: sum(1 << i for i in at) for c, at in places.items()}
+        self.full = (1 << len(head)) - 1
+
+    def with_last(self, k: int) -> Callable[[int], int]:
+        """For j, the length of the longest common subsequence of the last ``k`` characters of ``tail`` and the first j of ``head``.
+
+        A place of ``head`` is a zero bit once it ends a longer common subsequence than the places before it; carries only go up, so
+        one pass over ``tail`` serves all beginnings of ``head``."""
+        row, full, places = self.full, self.full, self.places
+        for c in self.tail[-k:]:
+            held = places.get(c)
+            if held:
+                hit = row & held
+                row = (row + hit | row - hit) & full
+        return lambda j: j - (row & ((1 << j) - 1)).bit_count()
+
+
 def seam(tail: str, head: str, likeness: float = LIKENESS, fuzzy: bool = True) -> int:
     """Characters of ``head`` that repeat the end of ``tail``; 0 if neither an exact nor a fuzzy match is long enough."""
     n = min(len(tail), len(head))
     if n < LEAST_EXACT:
         return 0
     found = exact_overlap(tail, head, LEAST_EXACT)
-    if found:
+    if found or not fuzzy:
         return found
-    for k in range(n, LEAST_FUZZY - 1, -FUZZY_STEP) if fuzzy else ():
-        match = SequenceMatcher(None, tail[-k:], head[:k])
-        # two upper bounds first: they are cheap and settle most sizes
-        if match.real_quick_ratio() >= likeness and match.quick_ratio() >= likeness and match.ratio() >= likeness:
+    sizes = range(n, LEAST_FUZZY - 1, -FUZZY_STEP)
+    common, bound, passed = None, lambda j: j, 0
+    for k in sizes:
+        # what matches is a common subsequence, and a shorter end of ``tail`` has no longer one
+        if 2.0 * bound(k) / (2 * k) < likeness:
+            continue
+        if passed != k:
+            common = common or Common(tail, head[:n])
+            bound, passed = common.with_last(k), k
+            if 2.0 * bound(k) / (2 * k) < likeness:
+                continue
+        if SequenceMatcher(None, tail[-k:], head[:k]).ratio() >= likeness:
             return k
     return 0
 
