@@ -133,10 +133,11 @@ def _order_tables(spark, sf) -> DataFrame:
 
 
 _TABLES = """
-  SELECT l_orderkey, '<TABLE>' || string_agg(
-      '<tr><td>' || l_partkey || '</td><td> </td>' || CASE WHEN l_linenumber % 3 = 0 THEN '<td class=''q''>' ELSE '<td></td></tr>' END, '' ORDER BY l_linenumber)
-    || CASE WHEN l_orderkey % 2 = 0 THEN '</table>' ELSE '' END AS t
-  FROM lineitem GROUP BY l_orderkey"""
+  SELECT l_orderkey, '<TABLE>' || string_agg(cell, '' ORDER BY l_linenumber, cell) || CASE WHEN l_orderkey % 2 = 0 THEN '</table>' ELSE '' END AS t
+  FROM (
+    SELECT l_orderkey, l_linenumber, '<tr><td>' || l_partkey || '</td><td> </td>' || CASE WHEN l_linenumber % 3 = 0 THEN '<td class=''q''>' ELSE '<td></td></tr>' END AS cell
+    FROM lineitem)
+  GROUP BY l_orderkey"""
 
 
 @query(rf"""SELECT l_orderkey, CAST(len(regexp_extract_all(t, '(?i)<tr\b')) AS INT) AS tr, CAST(len(regexp_extract_all(t, '(?i)<td\b')) AS INT) AS td, CAST(len(regexp_extract_all(t, '(?i)<td\b[^>]*>\s*</td>')) AS INT) AS empty_td,
@@ -468,7 +469,35 @@ def _merged(chunks: DataFrame, fuzzy: bool) -> DataFrame:
     return got.select("file_name", "markdown", F.size("removed").alias("seams"), F.aggregate("removed", F.lit(0), lambda a, r: a + r["end"]).alias("removed_chars"))
 
 
-@query()
+def _fold_sql(chunks: str) -> str:
+    """The fold of ordered chunks (file_name, n, trim, markdown) row by row; an overlap is the longest end of the text so far that begins the next."""
+    more = lambda a, b: f"{_count('t', a)} > {_count('t', b)}"
+    goes_on = f"(t <> '' AND ({' OR '.join(more(a, b) for a, b in merge.MARKS)} OR contains('{text.OPEN_ENDINGS}', right(t, 1))))"
+    return f"""
+  WITH RECURSIVE c AS ({chunks}),
+  f AS (
+    SELECT file_name, CAST(1 AS BIGINT) AS n, rtrim(markdown, {_WS}) AS t, CAST(0 AS BIGINT) AS seams, CAST(0 AS BIGINT) AS removed FROM c WHERE n = 1
+    UNION ALL
+    SELECT file_name, n, CASE WHEN cut > 0 AND rest = '' THEN t WHEN cut > 0 AND starts_with(rest, chr(10)) THEN t || rest WHEN {goes_on} THEN t || ltrim(rest, {_WS})
+             WHEN rest = '' THEN t WHEN t = '' THEN ltrim(rest, {_WS}) ELSE t || chr(10) || chr(10) || ltrim(rest, {_WS}) END,
+           seams + CAST(cut > 0 AS BIGINT), removed + cut
+    FROM (
+      SELECT *, substr(now, CAST(cut + 1 AS BIGINT)) AS rest
+      FROM (
+        SELECT *, CASE WHEN trim THEN coalesce(list_max(list_filter(range({merge.LEAST_EXACT}, least(length(ending), length(now), {merge.WINDOW_BODY}) + 1), lambda k: right(ending, k) = left(now, k))), 0) ELSE 0 END AS cut
+        FROM (
+          SELECT f.file_name, c.n, t, seams, removed, c.trim, trim(c.markdown, {_WS}) AS now, right(t, {merge.WINDOW_BODY}) AS ending
+          FROM f JOIN c ON c.file_name = f.file_name AND c.n = f.n + 1))))
+  SELECT file_name, CASE WHEN trim(t, {_WS}) = '' THEN '' ELSE trim(t, {_WS}) || chr(10) END AS markdown, CAST(seams AS INT) AS seams, CAST(removed AS INT) AS removed_chars
+  FROM (SELECT *, max(n) OVER (PARTITION BY file_name) AS last FROM f) WHERE n = last"""
+
+
+_CHUNKS = """
+    SELECT CAST(doc_id AS VARCHAR) AS file_name, k + 1 AS n, k > 0 AS trim, substr(text, CAST(k * 320 + 1 AS BIGINT), 400) AS markdown
+    FROM (SELECT doc_id, text, unnest(range(0, CASE WHEN length(text) <= 400 THEN 1 ELSE CAST(ceil((length(text) - 80) / 320.0) AS INT) END)) AS k FROM documents WHERE length(text) > 0)"""
+
+
+@query(_fold_sql(_CHUNKS))
 def seam_merge_exact(spark, sf):
     return _merged(_text_chunks(spark, sf), False)
 
@@ -486,17 +515,46 @@ def overlap_predicate(spark, sf):
     return merge.may_overlap(cut, "row").select("file_name", "row", "trim")
 
 
-@query()
+_TURNS = """
+    SELECT CAST(conv_id AS VARCHAR) AS file_name, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, false AS trim, coalesce(text, '') AS markdown
+    FROM conversations"""
+
+
+@query(f"SELECT file_name, markdown, seams FROM ({_fold_sql(_TURNS)})")
 def conversation_fold(spark, sf):
     rows = _t(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("file_name"), F.col("turn").alias("rank"), F.concat_ws("-", "conv_id", "turn").alias("chunk_id"), F.col("text").alias("markdown"), F.lit("body").alias("block_type"), F.lit(False).alias("trim"))
     return merge.merge(rows).select("file_name", "markdown", F.size("removed").alias("seams"))
 
 
-@query()
+#: A cell that stays open holds all rows after it, so it and its row are closed at the end, once each.
+@query(rf"""
+  SELECT l_orderkey, replace(replace(replace(t, '<TABLE>', '<table>'), '</table>', ''), '''q''', '"q"') || repeat('</td></tr>', {_count('t', 'class=')}) || '</table>' AS markdown,
+         CAST({' + '.join(rf"greatest(0, len(regexp_extract_all(lower(t), '<{x}\b')) - {_count('lower(t)', f'</{x}>')})" for x in html.TABLE_TAGS)} AS INT) AS repaired_tags
+  FROM ({_TABLES})""")
 def table_repair(spark, sf):
     return tables.repair(_order_tables(spark, sf))
 
 
+#: A table a line, with the line's flag as header and nothing, a blank or a letter before it; chains are islands of linked lines.
+@query("""
+  WITH l AS (
+    SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag, CAST(l_partkey AS VARCHAR) || '<') AS n, l_returnflag AS h, l_partkey AS p,
+           CASE l_linenumber % 4 WHEN 0 THEN 'x' WHEN 1 THEN ' ' ELSE '' END AS before
+    FROM lineitem),
+  k AS (SELECT *, coalesce(trim(before) = '' AND lag(h) OVER (PARTITION BY l_orderkey ORDER BY n) = h, false) AS linked FROM l),
+  c AS (SELECT *, sum(CAST(NOT linked AS INT)) OVER (PARTITION BY l_orderkey ORDER BY n) AS chain FROM k),
+  m AS (
+    SELECT l_orderkey, n, before, linked, h, string_agg('<tr><td>' || p || '</td></tr>', '' ORDER BY n) OVER (PARTITION BY l_orderkey, chain) AS body
+    FROM c)
+  SELECT l_orderkey, string_agg(before || CASE WHEN linked THEN '' ELSE '<table><tr><td>' || h || '</td></tr>' || body || '</table>' END, '' ORDER BY n) AS markdown, 0 AS repaired_tags
+  FROM m GROUP BY l_orderkey""")
+def table_chains(spark, sf):
+    before = F.when(F.col("l_linenumber") % 4 == 0, "x").when(F.col("l_linenumber") % 4 == 1, " ").otherwise("")
+    one = F.concat(before, F.lit("<table><tr><td>"), "l_returnflag", F.lit("</td></tr><tr><td>"), F.col("l_partkey").cast("string"), F.lit("</td></tr></table>"))
+    rows = _t(spark, sf, "lineitem").select("l_orderkey", F.struct("l_linenumber", one.alias("one")).alias("r"))
+    return tables.repair(rows.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["one"]), "").alias("markdown")))
+
+
 #: DuckDB's levenshtein counts bytes, so SQL first gives every character beyond ASCII an ASCII one that no text holds.
 _PAIRS = """
   WITH held AS (SELECT DISTINCT unnest(string_split(text, '')) AS c FROM benchmark),

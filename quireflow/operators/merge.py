@@ -21,7 +21,8 @@ WINDOW_BODY, WINDOW_TABLE, LIKENESS = 1200, 600, 0.88
 #: The shortest exact and fuzzy overlaps, and the fuzzy search's step.
 LEAST_EXACT, LEAST_FUZZY, FUZZY_STEP = 20, 40, 25
 PROTECTED = ("toc", "table", "header_footer")
-_PAIRS = (("（", "）"), ("(", ")"), ("<td", "</td>"), ("<tr", "</tr>"))
+#: A seam inside one of these pairs goes on without a blank line.
+MARKS = (("（", "）"), ("(", ")"), ("<td", "</td>"), ("<tr", "</tr>"))
 RESULT = "file_name string, markdown string, removed array<struct<chunk_id:string,start:int,end:int>>"
 
 
@@ -104,16 +105,16 @@ class _Text:
 
     def __init__(self, first: str):
         self.parts, self.tail = [], ""
-        self.open = [0] * len(_PAIRS)
+        self.open = [0] * len(MARKS)
         self.add("", first.rstrip())
 
     def add(self, glue: str, more: str) -> None:
         piece = glue + more
         if not piece:
             return
-        reach = max(len(b) for _, b in _PAIRS) - 1
+        reach = max(len(b) for _, b in MARKS) - 1
         edge = self.tail[-reach:]
-        for i, (a, b) in enumerate(_PAIRS):
+        for i, (a, b) in enumerate(MARKS):
             # what straddles the seam counts once: count with the edge, take off what the edge held
             self.open[i] += (edge + piece).count(a) - edge.count(a) - (edge + piece).count(b) + edge.count(b)
         self.parts.append(piece)

@@ -19,40 +19,53 @@ def checked(spark, *rows, **options):
 
 
 def test_check_files(spark):
-    bad = ("重复窗口" * 40 + "\n") * 2 + "<table><tr><td>A"
-    page = "<!DOCTYPE html><html><head></head><body>顾客太多</body></html>"
-    rows = checked(
-        spark, ("a", bad, "table_page", 10, 3), ("b", "", "long_strip", 0, 0), ("c", page, "normal_page", 1, 0), ("d", "顾客太多", "normal_page", 1, 0), ("e", "<table><tr><td>x</td></tr></table>", "normal_page", 5, 1), ("f", None, "normal_page", 1, 0),
-        max_duplication=0.10,
-    ).collect()
-    risks = {r.file_name: r.risks for r in rows}
-    assert risks["a"] == ["too_short", "high_duplication", "html_broken", "api_failure_ratio_high"]
-    assert risks["b"] == risks["f"] == ["empty_output"] and risks["c"] == ["service_busy_html", "full_html_page"] and risks["d"] == ["service_busy_html"] and risks["e"] == []
-    assert checked(spark, ("a", "x", "table_page", 1, 0), min_chars={}).first().passed
+    doubled = "".join(f"line {i} of the schedule\n" for i in range(30)) * 2
+    kept = "".join(f"clause {i} stands once\n" for i in range(400))
+    given = {
+        "doubled": (doubled, "normal_page", 4, 0), "open cell": (kept + "<table><tr><th>sum", "normal_page", 4, 0), "lost chunks": (kept, "table_page", 9, 4), "short": (kept[:300], "table_page", 9, 0),
+        "all at once": (doubled + "<tr>", "long_strip", 7, 6), "nothing": (" \n\t", "table_page", 2, 0), "never": (None, "normal_page", 2, 2), "sound": (kept + "<table><tr><td>1</td></tr></table>", "table_page", 9, 1),
+        "busy": ("请稍后，服务器繁忙", "normal_page", 1, 0), "page": ("<html lang='x'><head></head><body>顾客太多</body></html>", "normal_page", 1, 0),
+    }
+    rows = checked(spark, *((name, *fields) for name, fields in given.items()), max_duplication=0.3).collect()
+    assert {r.file_name: r.risks for r in rows} == {
+        "doubled": ["high_duplication"], "open cell": ["html_broken"], "lost chunks": ["api_failure_ratio_high"], "short": ["too_short"], "all at once": ["too_short", "high_duplication", "html_broken", "api_failure_ratio_high"],
+        "nothing": ["empty_output"], "never": ["empty_output", "api_failure_ratio_high"], "sound": [], "busy": ["service_busy_html"], "page": ["service_busy_html", "full_html_page"],
+    }
+    assert all(r.passed == (not r.risks) for r in rows)
+    assert checked(spark, ("s", kept[:300], "table_page", 1, 0), min_chars={}).first().passed
 
 
 def test_summary_and_counts(spark):
-    rows = checked(spark, ("ok.png", "x", "normal_page", 1, 0), ("bad.png", "", "normal_page", 1, 0))
+    rows = checked(spark, *((f"p{i}.tif", None if i % 3 == 0 else "text", "normal_page", 1, 0) for i in range(8)), ("q.tif", "text", "table_page", 2, 1))
     row = gate.run_summary(rows).first()
-    assert (row.passed, row.file_count, row.failed_count) == (False, 2, 1)
-    assert [(r.risk, r.n) for r in gate.risk_counts(rows).collect()] == [("empty_output", 1)] and gate.failed_files(rows).first().file_name == "bad.png"
+    assert (row.passed, row.file_count, row.failed_count) == (False, 9, 4)
+    assert sorted((r.risk, r.n) for r in gate.risk_counts(rows).collect()) == [("api_failure_ratio_high", 1), ("empty_output", 3), ("too_short", 1)]
+    assert sorted(r.file_name for r in gate.failed_files(rows).collect()) == ["p0.tif", "p3.tif", "p6.tif", "q.tif"]
     assert gate.run_summary(rows.limit(0)).first().passed
 
 
 def test_submission(spark):
     names = lambda *n: spark.createDataFrame([(x,) for x in n], "file_name string")
-    two = spark.createDataFrame([("a.png", "x"), ("a.png", "y")], "file_name string, ground_truth string")
-    assert gate.check_submission(two, names("a.png", "b.png")).first().risks == ["csv_duplicate_file_name", "csv_file_name_mismatch"]
-    assert "csv_columns" in gate.check_submission(two.toDF("name", "text"), names("a.png")).first().risks
-    assert gate.check_submission(two.limit(1), names("a.png")).first().passed
-    assert gate.check_inputs(names("same.png", "same.png", "b.png")).first().risks == ["duplicate_input_file_name"]
+    rows = spark.createDataFrame([(f"scan-{i % 4}.webp", str(i)) for i in range(5)], "file_name string, ground_truth string")
+    wanted = [f"scan-{i}.webp" for i in range(4)]
+    risks = lambda df, expected: gate.check_submission(df, names(*expected)).first().risks
+    assert risks(rows.limit(4), wanted) == []
+    assert risks(rows, wanted) == ["csv_row_count", "csv_duplicate_file_name"]
+    assert risks(rows.limit(4), [*wanted[:3], "scan-9.webp"]) == ["csv_file_name_mismatch"]
+    assert risks(rows.limit(3), wanted) == ["csv_row_count", "csv_file_name_mismatch"]
+    assert risks(rows.limit(4).toDF("file", "ground_truth"), wanted)[0] == "csv_columns"
+    assert gate.check_inputs(names(*wanted)).first().passed
+    assert gate.check_inputs(names(*wanted, "scan-2.webp")).first().risks == ["duplicate_input_file_name"]
 
 
 def test_retry_plan(spark):
-    rows = spark.createDataFrame([(1, ["empty_output", "too_short", "html_broken", "api_failure_ratio_high"], False, 0), (2, ["full_html_page"], False, 0), (3, ["too_short"], False, 2), (4, [], True, 0)], "i int, risks array<string>, passed boolean, rerun_count int")
-    p = {r.i: r for r in retry.plan(rows).collect()}
-    assert (p[1].rerun, p[1].force_api, float(p[1].overlap_scale), p[1].concurrency) == (True, False, 1.5, 1)
-    assert (p[2].rerun, p[2].force_api, p[2].concurrency) == (True, True, 1) and not p[3].rerun and not p[4].rerun
+    cases = [(["high_duplication"], 0), (["api_failure_ratio_high"], 1), (["html_broken", "too_short"], 0), (["service_busy_html", "full_html_page"], 1), (["too_short"], 2), ([], 0), (["service_busy_html"], 2)]
+    rows = spark.createDataFrame([(i, risks, not risks, n) for i, (risks, n) in enumerate(cases)], "i int, risks array<string>, passed boolean, rerun_count int")
+    p = [r for r in retry.plan(rows).orderBy("i").collect()]
+    assert [r.rerun for r in p] == [True, True, True, True, False, False, False]
+    assert [r.force_api for r in p[:4]] == [False, False, False, True] and [r.concurrency for r in p[:4]] == [0, 1, 0, 1]
+    assert [float(r.overlap_scale) for r in p[:4]] == [1.0, 1.0, 1.5, 1.0]
+    assert not any(r.rerun for r in retry.plan(rows.where("rerun_count > 0"), 1).collect())
 
 
 def test_cache(spark):
@@ -65,14 +78,17 @@ def test_cache(spark):
     assert cache.hits(chunks, stored.withColumn("validator_version", F.lit(0)), "u").count() == cache.hits(chunks, stored, "v").count() == 0
 
 
-def test_unwrap_and_accept():
-    inner = json.dumps({"choices": [{"message": {"content": "```markdown\n# 标题\n\n正文\n```"}}]})
-    assert recognize.unwrap(json.dumps({"success": True, "result": {"result": inner}})) == "# 标题\n\n正文"
-    with pytest.raises(recognize.RecognitionError, match="api error: no"):
-        recognize.unwrap(json.dumps({"success": False, "message": "no"}))
-    for status, body, kind in ((403, "", recognize.AuthenticationError), (500, "", recognize.RecognitionError), (404, "x", recognize.RecognitionError), (200, "", recognize.RecognitionError), (200, "服务器繁忙", recognize.RecognitionError)):
-        with pytest.raises(kind):
+def test_accept():
+    body = json.dumps({"result": {"result": json.dumps({"choices": [{"message": {"content": "```MD\n## 3 条\n```"}}, 7]})}, "success": 1})
+    assert recognize.accept(200, body) == recognize.accept(399, "## 3 条") == "## 3 条"
+    refused = {401: recognize.AuthenticationError, 403: recognize.AuthenticationError, 404: recognize.RecognitionError, 429: recognize.RecognitionError, 500: recognize.RecognitionError, 599: recognize.RecognitionError}
+    for status, kind in refused.items():
+        with pytest.raises(kind) as e:
             recognize.accept(status, body)
+        assert type(e.value) is kind
+    for text in (" \n", '{"success": false}', "J_Retry_Link", "<!doctype html><head></head><body>x", "```md\n```"):
+        with pytest.raises(recognize.RecognitionError):
+            recognize.accept(200, text)
 
 
 def test_attempts():
@@ -85,11 +101,19 @@ def test_attempts():
 
 
 def test_recognize_keeps_order_and_failures(spark):
-    chunks = spark.createDataFrame([(i, c) for i, c in enumerate("abc")], "ordinal long, chunk_id string")
-    service = lambda fields, user: (404, "") if fields["chunk_id"] == "b" else (200, fields["chunk_id"].upper() + user)
-    rows = recognize.recognize(chunks, service, ["u1", "u2"], 99, 1, 0, sleep=lambda s: None).orderBy("ordinal").collect()
-    assert [(r.markdown, r.block_type, r.ok) for r in rows] == [("Au1", "body", True), ("", "unknown", False), ("Cu1", "body", True)]
-    assert recognize.effective_concurrency(99, 2, 1) == 2
+    users = ["p", "q", "r"]
+    chunks = spark.createDataFrame([(i, f"k{i}") for i in range(11)], "ordinal long, chunk_id string")
+
+    def service(fields, user):
+        n = int(fields["chunk_id"][1:])
+        return (503, "later") if n % 4 == 2 else (200, f"<TABLE>{n}{user}" if n % 4 == 3 else f"{n}{user}")
+
+    rows = recognize.recognize(chunks, service, users, 40, 2, 0, sleep=lambda s: None).orderBy("ordinal").collect()
+    for i, r in enumerate(rows):
+        kind = "unknown" if i % 4 == 2 else "table" if i % 4 == 3 else "body"
+        assert (r.block_type, r.ok) == (kind, i % 4 != 2)
+        assert r.markdown == ("" if i % 4 == 2 else f"{'<TABLE>' if i % 4 == 3 else ''}{i}{users[i % 3]}")
+    assert [recognize.effective_concurrency(n, 3, 2) for n in (1, 6, 40)] == [1, 6, 6]
 
 
 @pytest.mark.parametrize("seed", range(30))
@@ -105,12 +129,13 @@ def test_edit_distance(seed):
 
 
 def test_evaluate(spark, tmp_path):
-    (tmp_path / "map.csv").write_text("﻿uuid,afts_id\nuuid-1,afts-1\n , x\n", encoding="utf-8")
-    pred = spark.createDataFrame([("afts-1.md", "abcd"), ("lost.md", "x"), ("long.md", "ab" * 400)], "file_name string, markdown string")
-    truth = spark.createDataFrame([("uuid-1.md", "abxd"), ("long.md", "ba" * 400)], "file_name string, markdown string")
+    (tmp_path / "map.csv").write_text("﻿uuid,afts_id\nk-77,scan 5\n , x\nk-78,\n", encoding="utf-8")
+    pred = spark.createDataFrame([("scan 5.md", "kitten"), ("k-78.md", ""), ("lost.md", "x"), ("long.md", "ab" * 400)], "file_name string, markdown string")
+    truth = spark.createDataFrame([("k-77.md", "sitting"), ("k-78.md", "中文"), ("long.md", "ba" * 400)], "file_name string, markdown string")
     records, missing = evaluate.evaluate(pred, truth, readers.read_mapping(spark, str(tmp_path / "map.csv")))
     got = {r.file_name: r for r in records.collect()}
-    assert (got["afts-1.md"].edit_distance, got["afts-1.md"].normalized_edit_distance, got["long.md"].edit_distance) == (1, 0.25, 2)
+    assert {k: (r.gt_file, r.edit_distance) for k, r in got.items()} == {"scan 5.md": ("k-77.md", 3), "k-78.md": ("k-78.md", 2), "long.md": ("long.md", 2)}
+    assert got["scan 5.md"].normalized_edit_distance == pytest.approx(3 / 7) and got["k-78.md"].normalized_edit_distance == 1.0
     assert [r.file_name for r in missing.collect()] == ["lost.md"] and evaluate.summary(records.limit(0)).first().mean_normalized_edit_distance == 0.0
 
 

@@ -53,14 +53,22 @@ def test_strip_with_bands(spark, seed):
     assert got == plain_windows(height, bands)
 
 
-def test_grid_and_ids(spark):
-    cut = chunking.with_ids(chunking.grid(images(spark, (6000, 4200), (100, 100)), 12_000_000, 16_000_000)).cache()
-    big = cut.where("file_name = '0.png'").orderBy("row", "col").collect()
-    assert [(r.row, r.col) for r in big] == [(0, 0), (0, 1), (1, 0), (1, 1)]
-    assert all((r.x1 - r.x0) * (r.y1 - r.y0) <= 13_800_000 and r.x1 <= 6000 and r.y1 <= 4200 for r in big)
-    assert cut.where("file_name = '1.png'").count() == 1 and cut.select("chunk_id").distinct().count() == 5
-    assert all(chunking.coverage(cut).select("in_bounds").toPandas().in_bounds)
-    assert chunking.manifest(cut).count() == 2
+@pytest.mark.parametrize(("width", "height", "chunk", "page"), [(7300, 3900, 9_000_000, 11_000_000), (2500, 9800, 4_000_000, 8_000_000), (9001, 7003, 4_000_000, 8_000_000)])
+def test_grid_covers_the_page(spark, width, height, chunk, page):
+    cut = chunking.with_ids(chunking.grid(images(spark, (width, height), (120, 90)), chunk, page)).cache()
+    big = cut.where("file_name = '0.png'").collect()
+    cols, rows = 1 + max(r.col for r in big), 1 + max(r.row for r in big)
+    assert len(big) == cols * rows > 1 and len({r.chunk_id for r in big}) == len(big)
+    held = np.zeros((height, width), bool)
+    for r in big:
+        held[r.y0 : r.y1, r.x0 : r.x1] = True
+        # an even cell and what its inner edges are widened by
+        assert (r.x1 - r.x0) <= -(-width // cols) + 2 * chunking.GRID_X and (r.y1 - r.y0) <= -(-height // rows) + 2 * chunking.GRID_Y
+        assert 0 <= r.x0 < r.x1 <= width and 0 <= r.y0 < r.y1 <= height
+    assert held.all()
+    [small] = cut.where("file_name = '1.png'").collect()
+    assert (small.x0, small.y0, small.x1, small.y1) == (0, 0, 120, 90)
+    assert all(chunking.coverage(cut).select("in_bounds").toPandas().in_bounds) and chunking.manifest(cut).count() == 2
 
 
 def test_blank_bands(spark):
@@ -70,10 +78,12 @@ def test_blank_bands(spark):
 
 
 def test_band_mapping(spark):
-    def mapped(s, e, scale, limit):
-        return tuple(spark.range(1).select(layout.to_original(F.struct(F.lit(s).alias("s"), F.lit(e).alias("e")), F.lit(scale), F.lit(limit)).alias("b")).first().b)
-
-    assert mapped(10, 20, 4.0, 100) == (40, 80) and mapped(20, 40, 3.0, 100) == (60, 100) and mapped(1, 3, 2.5, 100) == (2, 8)
+    cases = [(3, 7, 2.0, 50), (11, 30, 5.0, 120), (1, 3, 2.5, 100), (-4, 2, 3.0, 9), (5, 5, 1.5, 6), (0, 900, 0.5, 100)]
+    rows = spark.createDataFrame(cases, "s int, e int, scale double, n int")
+    got = rows.select(layout.to_original(F.struct("s", "e"), F.col("scale"), F.col("n")).alias("b"), "*").collect()
+    for r in got:
+        want = [max(0, min(r.n, round(x * r.scale))) for x in (r.s, r.e)]
+        assert tuple(r.b) == (want[0], max(want))
 
 
 def png(path, gray):
@@ -84,21 +94,23 @@ def png(path, gray):
 
 
 def test_image_scan_and_layout(spark, tmp_path):
-    page = np.full((500, 300), 255, np.uint8)
-    page[20:181, 20:281] = 0
-    page[320:481, 20:281] = 0
-    png(tmp_path / "a.png", page)
-    png(tmp_path / "b.PNG", np.full((500, 300), 250, np.uint8))
-    (tmp_path / "note.txt").write_text("x")
-    (tmp_path / "c.jpg").write_bytes(b"\xff\xd8broken")
-    listed = readers.list_images(spark, [str(tmp_path)])
-    assert [r.file_name for r in listed.orderBy("file_name").collect()] == ["a.png", "b.PNG", "c.jpg"]
-    heads = {r.file_name: (r.width, r.height) for r in readers.image_headers(spark, [str(tmp_path)]).collect()}
-    assert heads == {"a.png": (300, 500), "b.PNG": (300, 500), "c.jpg": (None, None)}
-    hints = {r.path.rsplit("/", 1)[-1]: r for r in layout.analyze(readers.image_pixels(spark, [str(tmp_path)]).where("width > 0")).collect()}
-    a = hints["a.png"]
-    assert tuple(a.crop_box) == (20, 20, 281, 481) and any(b.s <= 250 < b.e for b in a.horizontal_blank_bands)
-    assert not hints["b.PNG"].horizontal_blank_bands and hints["b.PNG"].column_count == 1
+    page = np.full((640, 410), 253, np.uint8)
+    blocks = [(31, 47, 385, 150), (31, 233, 240, 301), (77, 402, 385, 590)]
+    for x0, y0, x1, y1 in blocks:
+        page[y0:y1, x0:x1] = 17
+    png(tmp_path / "k.png", page)
+    png(tmp_path / "l.PNG", np.full((90, 700), 241, np.uint8))
+    (tmp_path / "list.md").write_text("no image")
+    (tmp_path / "m.jpeg").write_bytes(b"\xff\xd8\xff\xe0cut off")
+    dirs = [str(tmp_path)]
+    assert sorted(r.file_name for r in readers.list_images(spark, dirs).collect()) == ["k.png", "l.PNG", "m.jpeg"]
+    heads = {r.file_name: (r.width, r.height, r.banded) for r in readers.image_headers(spark, dirs).collect()}
+    assert heads == {"k.png": (410, 640, False), "l.PNG": (700, 90, False), "m.jpeg": (None, None, False)}
+    hints = {r.path.rsplit("/", 1)[-1]: r.asDict(True) for r in layout.analyze(readers.image_pixels(spark, dirs)).collect()}
+    assert hints["k.png"]["crop_box"] == {"x0": 31, "y0": 47, "x1": 385, "y1": 590}
+    assert [(b["s"], b["e"]) for b in hints["k.png"]["horizontal_blank_bands"]] == [(0, 47), (150, 233), (301, 402), (590, 640)]
+    assert [(b["s"], b["e"]) for b in hints["k.png"]["vertical_blank_bands"]] == [(0, 31), (385, 410)]
+    assert hints["l.PNG"] | {"path": ""} == {"path": "", "width": 700, "height": 90, "crop_box": {"x0": 0, "y0": 0, "x1": 700, "y1": 90}, "horizontal_blank_bands": [], "vertical_blank_bands": [], "table_line_density": 0.0, "column_count": 1}
 
 
 def test_images_without_pixels_and_crops(spark, tmp_path):

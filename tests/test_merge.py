@@ -103,3 +103,27 @@ def test_repair_chain_and_escapes():
     t = "<table><tr><td>h</td></tr><tr><td>{}</td></tr></table>"
     got = tables.repair_text(t.format(1) + t.format(2) + " " + t.format(3) + "a & b<br>")
     assert got == "<table><tr><td>h</td></tr><tr><td>1</td></tr><tr><td>2</td></tr><tr><td>3</td></tr></table> a &amp; b<br/>"
+
+
+MARKS = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "</th>", "a", "b", " ", "\n"]
+ODD = [*MARKS, "&", "&amp;", "&lt;x", "<", ">", "<br>", "<br/>", "<td/>", '<TD class="x y">', "<p>", "</p>", "<table border=1>", "<td a='1' b>", '<td a="&amp;">', "<!-- c -->", "<script>", "</script>", "<tbody>", "</tbody>", '<img src="q">', "&#65;", "&copy", "</x>", '<td a="1" a="2">', "< td>", "<b>", "</B>", "<td\n>"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_flat_repair_is_that_of_the_tree(seed):
+    rng, plain, chained = random.Random(seed), 0, 0
+    row = lambda cells: "<tr>" + "".join(f"<td>{x}</td>" for x in cells) + "</tr>"
+    for _ in range(1500):
+        if rng.random() < 0.5:
+            text = "".join(rng.choice(rng.choice([MARKS, MARKS, ODD])) for _ in range(rng.randrange(20)))
+        else:
+            text = ""
+            for _ in range(rng.randrange(1, 5)):
+                rows = "".join(row(rng.choice([["h", "i"], ["1", "2"], ["a & b"]])) for _ in range(rng.randrange(4)))
+                text += "<table>" + rng.choice(["", "<tbody>", "x"]) + rows + rng.choice(["", "</tbody>"]) + rng.choice(["</table>", "</TABLE>", ""]) + rng.choice(["", " ", "\n", "t", "&nbsp;"])
+        flat = tables.Flat(text)
+        plain += flat.plain
+        got = tables.repair_text(text)
+        assert got == tables.by_tree(text)
+        chained += flat.plain and got.count("<table") < len(flat.ranges["table"])
+    assert plain > 700 and chained > 20
