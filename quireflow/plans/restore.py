@@ -100,7 +100,7 @@ class Run:
         if self.service is None:
             raise RunError("no recognition service")
         extra = {"sleep": self.sleep} if self.sleep else {}
-        new = recognize.recognize(self._hold(self.crops(todo), "crops"), self.service, c.user_ids, concurrency or int(c.api.get("concurrency", 1)), int(c.api.get("per_user_concurrency", 1)), int(c.api.get("max_retries", recognize.MAX_RETRIES)), **extra)
+        new = recognize.recognize(self._hold(self.crops(todo), "crops"), self.service, c.user_ids, concurrency or int(c.api.get("concurrency", 1)), int(c.api.get("per_user_concurrency", 1)), int(c.api.get("max_retries", recognize.MAX_RETRIES)), hold=self._hold, **extra)
         new = self._hold(new.drop("crop"), "recognised")
         sinks.append_table(cache.entries(new, c.api_url), self._path("api_cache"))
         log = new.select(F.lit("api_call").alias("event"), F.lit(self.id).alias("run_id"), "file_name", "chunk_id", F.explode("log").alias("call"), cache.text_sha1().alias("response_sha1"), F.col("ok").alias("content_validated"))

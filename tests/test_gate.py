@@ -91,13 +91,43 @@ def test_accept():
             recognize.accept(200, text)
 
 
-def test_attempts():
-    answers, waits = iter([(500, ""), (200, "ok")]), []
-    got = recognize.attempts(lambda user: next(answers), lambda: "u", sleep=waits.append)
-    assert got[:2] == (True, "ok") and waits == [1.0] and [x["status"] for x in got[3]] == ["retryable_error", "ok"]
+def test_attempt():
+    got = recognize.attempt(lambda user: (200, f"text for {user}"), "u", 2)
+    assert got[:3] == (True, "text for u", "") and (got[3]["status"], got[3]["retry_index"], got[3]["response_chars"]) == ("ok", 2, 10)
+    for answer in (lambda user: (502, "x"), lambda user: 1 / 0):
+        got = recognize.attempt(answer, "u")
+        assert got[:2] == (False, "") and got[2] and got[3]["status"] == "retryable_error"
     with pytest.raises(recognize.AuthenticationError):
-        recognize.attempts(lambda user: (401, ""), lambda: "u", sleep=waits.append)
-    assert recognize.attempts(lambda user: (500, ""), lambda: "u", sleep=waits.append)[0] is False and waits[1:] == [1.0, 2.0, 4.0]
+        recognize.attempt(lambda user: (401, ""), "u")
+
+
+@pytest.mark.parametrize(("users", "concurrency", "per_user"), [(["p", "q", "r"], 40, 1), (["p", "q"], 3, 2), (["p", "q", "r"], 2, 1)])
+def test_no_user_has_more_requests_open_than_allowed(spark, tmp_path, users, concurrency, per_user):
+    folder, waits = str(tmp_path), []
+
+    def service(fields, user):
+        import os
+        import time
+        import uuid
+
+        mine = f"{folder}/{user}-{uuid.uuid4().hex}"
+        open(mine, "w").close()
+        names = os.listdir(folder)
+        time.sleep(0.02)
+        os.remove(mine)
+        log = sum(n.startswith(user + "-") for n in names), len(names)
+        # every third request fails twice, and then is another user's
+        tried = f"{folder}.{fields['ordinal']}"
+        open(tried, "a").write("x")
+        return (500, "later") if fields["ordinal"] % 3 == 0 and os.path.getsize(tried) < 3 else (200, f"{log[0]} {log[1]} {user}")
+
+    chunks = spark.createDataFrame([(i, f"k{i}") for i in range(30)], "ordinal long, chunk_id string")
+    rows = recognize.recognize(chunks, service, users, concurrency, per_user, 3, waits.append).orderBy("ordinal").collect()
+    seen = [r.markdown.split() for r in rows]
+    assert max(int(s[0]) for s in seen) <= per_user and max(int(s[1]) for s in seen) <= min(concurrency, len(users) * per_user)
+    assert [s[2] for s in seen] == [users[(i + (2 if i % 3 == 0 else 0)) % len(users)] for i in range(30)]
+    assert [[x.retry_index for x in r.log] for r in rows] == [[0, 1, 2] if i % 3 == 0 else [0] for i in range(30)]
+    assert waits == [1.0, 2.0] and all([x.status for x in r.log][-1] == "ok" for r in rows)
 
 
 def test_recognize_keeps_order_and_failures(spark):
