@@ -123,6 +123,14 @@ class Run:
         files = texts_to_files(self.recognised(chunks, force, concurrency), self.mode, options)
         return self.checked(images, files).select("file_name", "doc_type", "markdown", "chunk_count", "failed_chunks", "chars", "duplication_ratio", "api_failure_ratio", "risks", "passed")
 
+    def _summary_document(self, files: DataFrame, head: dict[str, Any]) -> None:
+        """The run as one JSON file, ``summary.json``: totals, failed names, and each file with its quality."""
+        name = F.to_json(F.struct(F.col("file_name").alias("v")))
+        metrics = F.struct("chars", "duplication_ratio", "chunk_count", "failed_chunks", "api_failure_ratio", "doc_type", "from_merged_cache")
+        told = F.to_json(F.struct("file_name", "rerun_count", F.struct("passed", "risks", metrics.alias("metrics")).alias("quality")), {"ignoreNullFields": "false"})
+        lists = {"failed_files": (files.where("not passed"), "file_name", F.substring(name, F.lit(6), F.length(name) - 6)), "files": (files, "file_name", told)}
+        sinks.write_document(head, lists, self._path("summary.json"))
+
     def run(self) -> DataFrame:
         """Checked files (rerun_count, from_merged_cache). Publishes the CSV unless a file failed or it is a dry run."""
         c = self.config
@@ -170,7 +178,9 @@ class Run:
         risks = counts.agg(F.map_from_entries(F.collect_list(F.struct("risk", "n"))).alias("risk_counts"))
         summary = self._hold(gate.run_summary(files).crossJoin(risks), "summary")  # two rows of one
         sinks.write_json(summary.withColumn("output_csv", F.lit(c.output_csv)).withColumn("dry_run", F.lit(False)), self._path("summary"))
-        if not summary.first().passed:
+        row = summary.first()
+        self._summary_document(files, {**row.asDict(), "risk_counts": row.risk_counts or {}, "output_csv": c.output_csv, "dry_run": False})
+        if not row.passed:
             raise RunError("quality gate failed")
         sinks.publish(files.select("file_name", F.col("markdown").alias("ground_truth")), c.output_csv, images.select("file_name"))
         return files

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.gate import check_submission
@@ -45,37 +48,91 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def write_csv(files: DataFrame, path: str, single: bool = True) -> None:
-    """file_name and ground_truth in UTF-8 with a header; white space and line ends inside texts survive, empty texts stay empty.
+def _in_place(spark: SparkSession, made: str, path: str) -> None:
+    """Put a finished file or folder where readers look for it. What was there stays until then, and comes back if the move fails."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target, aside = hadoop.Path(made), hadoop.Path(path), hadoop.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(target.getParent())
+    held = store.exists(target) and store.rename(target, aside)
+    if not store.rename(source, target):
+        if held:
+            store.rename(aside, target)
+        raise PublishError(f"can't move the output to {path}")
+    if held:
+        store.delete(aside, True)
 
-    ``single`` makes ``path`` one CSV file, as a submission is: one task writes it and it is moved there; leave it off
-    for a folder that is written in parallel.
-    """
+
+def _one_file(spark: SparkSession, parts: str) -> str:
+    """The only part of a folder that one task wrote."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(parts)
+    listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return next(s.getPath().toString() for s in listed if s.getPath().getName().startswith("part-"))
+
+
+def _staged(path: str) -> str:
+    return f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+
+
+def _write_csv(files: DataFrame, path: str, single: bool) -> str:
+    """Write the rows below ``path``; where they are: one file, or the folder."""
     rows = files.select("file_name", F.coalesce("ground_truth", F.lit("")).alias("ground_truth"))
     options = {"header": True, "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": "", "encoding": "UTF-8", "lineSep": "\n"}
-    if not single:
-        rows.write.mode("overwrite").options(**options).csv(path)
-        return
-    spark, parts = files.sparkSession, f"{path.rstrip('/')}.parts"
-    rows.coalesce(1).write.mode("overwrite").options(**options).csv(parts)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    where, target = hadoop.Path(parts), hadoop.Path(path)
-    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    part = next(s.getPath() for s in store.listStatus(where) if s.getPath().getName().startswith("part-"))
-    store.delete(target, True)
-    if not store.rename(part, target):
-        raise PublishError(f"can't move the CSV to {path}")
-    store.delete(where, True)
+    (rows.coalesce(1) if single else rows).write.options(**options).csv(path)
+    return _one_file(files.sparkSession, path) if single else path
+
+
+def write_csv(files: DataFrame, path: str, single: bool = True, check: Callable[[str], None] | None = None) -> None:
+    """file_name and ground_truth in UTF-8 with a header; white space and line ends inside texts survive, empty texts stay empty.
+
+    ``single`` makes ``path`` one CSV file, as a submission is: one task writes it; leave it off for a folder that is written in
+    parallel. Either is written beside ``path`` first, where ``check`` may read it and raise, and takes its place in one move.
+    """
+    spark, staged = files.sparkSession, _staged(path)
+    try:
+        made = _write_csv(files, staged, single)
+        if check is not None:
+            check(made)
+        _in_place(spark, made, path)
+    finally:
+        delete(spark, staged)
 
 
 def publish(files: DataFrame, path: str, expected: DataFrame, single: bool = True) -> DataFrame:
-    """Write the CSV, read it back and check it; what doesn't hold raises. Returns the check's row."""
-    write_csv(files, path, single)
-    report = check_submission(read_submission(files.sparkSession, path), expected)
-    row = report.first()
-    if not row.passed:
-        raise PublishError(",".join(row.risks))
-    return report
+    """Write the CSV, read it back and check it, then put it in place: what is at ``path`` has passed. What doesn't hold raises and leaves
+    ``path`` as it was. Returns the check's row."""
+    found = []
+
+    def check(made: str) -> None:
+        row = check_submission(read_submission(files.sparkSession, made), expected).first()
+        if not row.passed:
+            raise PublishError(",".join(row.risks))
+        found.append(row)
+
+    write_csv(files, path, single, check)
+    return files.sparkSession.createDataFrame(found, "row_count long, expected_row_count long, risks array<string>, passed boolean")
+
+
+def write_document(head: dict, lists: dict[str, tuple[DataFrame, str, Column]], path: str) -> None:
+    """One JSON file: the fields of ``head``, then lists of any length: of the rows of a frame, by a column without repeats, what a column says of each (JSON).
+
+    One task sorts and writes the lines; nothing of the lists is held in memory.
+    """
+    spark = next(iter(lists.values()))[0].sparkSession
+    body = json.dumps(head, ensure_ascii=False, default=str)[:-1] + ("," if head else "")
+    lines = spark.createDataFrame([(0, "", body)], "part int, place string, line string")
+    for i, (name, (rows, order, value)) in enumerate(lists.items(), 1):
+        opening = f'{"," if i > 1 else ""}{json.dumps(name)}: ['
+        first = rows.agg(F.min(order).alias("first"))
+        comma = F.when(F.col(order).eqNullSafe(F.col("first")), "").otherwise(",")
+        told = rows.withColumn("told", value).join(F.broadcast(first)).select(F.lit(3 * i + 1).alias("part"), F.coalesce(F.col(order).cast("string"), F.lit("")).alias("place"), F.concat(comma, "told").alias("line"))
+        lines = lines.unionByName(spark.createDataFrame([(3 * i, "", opening), (3 * i + 2, "", "]" + "}" * (i == len(lists)))], lines.schema)).unionByName(told)
+    staged = _staged(path)
+    try:
+        lines.repartition(1).sortWithinPartitions("part", "place").select("line").write.text(staged)
+        _in_place(spark, _one_file(spark, staged), path)
+    finally:
+        delete(spark, staged)
 
 
 def write_lines(rows: DataFrame, column: str, path: str) -> None:

@@ -175,12 +175,29 @@ def test_csv_round_trip(spark, tmp_path):
     out = f"file://{tmp_path}/out.csv"
     sinks.publish(files, out, files.select("file_name"))
     assert sorted((r.file_name, r.ground_truth or "") for r in readers.read_submission(spark, out).collect()) == sorted(rows)
+    with pytest.raises(sinks.PublishError, match="csv_row_count"):
+        sinks.publish(files.limit(1), out, files.select("file_name"))
+    # what failed its check never was where readers look, and what stood there still does
+    assert readers.read_submission(spark, out).count() == 3 and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["out.csv"]
     with pytest.raises(sinks.PublishError):
-        sinks.publish(files, out, files.select("file_name").limit(2))
+        sinks.publish(files, f"file://{tmp_path}/sub/new.csv", files.select("file_name").limit(2))
+    assert not (tmp_path / "sub" / "new.csv").exists()
+    for single in (False, False, True):  # a folder over a file, over a folder, and a file over that
+        assert sinks.publish(files, out, files.select("file_name"), single).first().row_count == 3
+        assert (tmp_path / "out.csv").is_file() == single and readers.read_submission(spark, out).count() == 3
     with pytest.raises(ValueError, match="credentials"):
         sinks.append_json(files.withColumn("api_key", F.lit("k")), out)
 
 
+def test_document_of_long_lists(spark, tmp_path):
+    names = [f'p {i} "q"\\.png' for i in range(300)]
+    rows = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, i int").repartition(5)
+    told = F.to_json(F.struct("name", "i"))
+    sinks.write_document({"n": 300, "of": "é"}, {"none": (rows.limit(0), "name", told), "rows": (rows, "i", told)}, f"file://{tmp_path}/d.json")
+    got = json.loads((tmp_path / "d.json").read_text())
+    assert (got["n"], got["of"], got["none"]) == (300, "é", []) and sorted((r["i"], r["name"]) for r in got["rows"]) == list(enumerate(names))
+
+
 def test_config(tmp_path):
     (tmp_path / "c.yaml").write_text("api: {url: '${X}', concurrency: 4, per_user_concurrency: 1}\nquality: {max_reruns_per_file: 1}\n")
     args = ([str(tmp_path)], "o.csv", "w", str(tmp_path / "c.yaml"))
@@ -245,6 +262,9 @@ def test_whole_run(spark, tmp_path):
     assert {x["file_name"] for x in held("profiles")} == {x["file_name"] for x in held("manifests")} == {"a.png", "b.png"} and held("config")[0]["api_key"] == "***"
     (summary,) = held("summary")
     assert (summary["passed"], summary["file_count"], summary["failed_count"], summary["risk_counts"]) == (True, 2, 0, {}) and held("failed_files") == []
+    document = json.loads((tmp_path / "work" / "summary.json").read_text())
+    assert (document["passed"], document["failed_files"], document["risk_counts"], document["output_csv"]) == (True, [], {}, out)
+    assert [(f["file_name"], f["quality"]["passed"], f["quality"]["metrics"]["chars"]) for f in document["files"]] == [("a.png", True, 7), ("b.png", True, 7)]
     again = Run(spark, config, service).run()
     assert {r.from_merged_cache for r in again.collect()} == {1} and len(open(calls).readlines()) == 2
     bad = readers.RunConfig([str(tmp_path / "in")], out, f"{work}2", user_ids=["u"], api_url="x", api={"max_retries": 0})
@@ -252,6 +272,8 @@ def test_whole_run(spark, tmp_path):
         Run(spark, bad, lambda fields, user: (500, ""), sleep=lambda s: None).run()
     assert not sinks.exists(spark, out)
     lost = [json.loads(x) for p in (tmp_path / "work2" / "failed_files").glob("part-*") for x in p.read_text().splitlines()]
+    document = json.loads((tmp_path / "work2" / "summary.json").read_text())
+    assert document["failed_files"] == ["a.png", "b.png"] and document["risk_counts"]["empty_output"] == 2 and not document["passed"]
     assert {x["file_name"] for x in lost} == {"a.png", "b.png"} and all("empty_output" in x["risks"] for x in lost)
     dry = Run(spark, readers.RunConfig([str(tmp_path / "in")], out, f"{work}3", dry_run=True)).run()
     assert dry.count() == 2 and not sinks.exists(spark, f"{work}3/merged")
