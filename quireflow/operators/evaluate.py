@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,14 +15,75 @@ from ..functions.text import stem, strip
 SHORT = 1 << 16
 
 
+#: The least bound that is tried for long texts, what a bound grows by, and the part of the texts that a first guess is made from.
+FIRST_BOUND, GROWTH, GUESS = 64, 2, 16
+
+
 def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance over code points, 64 and more cells of a column at a time (Myers' bit vectors in one big integer)."""
+    """Levenshtein distance over code points, many cells of a column at a time (bit vectors in big integers).
+
+    Near texts need the cells around the diagonal alone: a path of cost u stays within u / 2 of it. So a bound is tried, and a
+    larger one until the distance keeps within it: time grows with length x distance and not with the product of the lengths."""
     if a == b:
         return 0
     if len(a) > len(b):
         a, b = b, a
     if not a:
         return len(b)
+    bound = FIRST_BOUND + len(b) - len(a)
+    if len(a) > GUESS * GUESS * FIRST_BOUND:  # edits are often spread evenly
+        bound += edit_distance(a[: len(a) // GUESS], b[: len(a) // GUESS]) * (GUESS + 1)
+    while bound < len(a) // 2:
+        found = _within(a, b, bound)
+        if found <= bound:
+            return found
+        bound *= GROWTH
+    return _whole(a, b)
+
+
+def _within(a: str, b: str, bound: int) -> int:
+    """The distance if it is at most ``bound`` (else something larger), by a band of cells that moves down a row with each column.
+
+    Bit p of a vector is row j - low + p of column j. What enters the band from below is taken to be dear, what leaves above isn't asked."""
+    high = min((bound - len(b) + len(a)) // 2, len(a))
+    low = (bound + len(b) - len(a)) // 2
+    width = low + high + 1
+    full, last = (1 << width) - 1, len(a)
+    places: dict[str, list[int]] = {}
+    for i, c in enumerate(a):
+        places.setdefault(c, []).append(i)
+    # of each character: its places in the band, the row of their bit 0, and how many places have entered so far
+    seen = {c: [0, -low, 0] for c in places}
+    # rows above the first cost what their column costs: no vertical step, a horizontal one each
+    up, down, score = full & ~((1 << low) - 1), 0, high
+    for j, c in enumerate(b, 1):
+        at, own = j - low - 1, places.get(c)
+        if own is None:
+            eq = 0
+        else:
+            state = seen[c]
+            eq, begin, n = state
+            eq >>= at - begin
+            reach = at + width
+            while n < len(own) and own[n] < reach:
+                if own[n] >= at:
+                    eq |= 1 << own[n] - at
+                n += 1
+            state[:] = eq, at, n
+        diagonal = (((eq & up) + up) ^ up | eq | down) & full
+        plus, minus = down | full & ~(diagonal | up), diagonal & up
+        if j + high <= last:
+            score += 1 - (diagonal >> width - 1)
+        else:
+            bit = last - j + low
+            score += (plus >> bit & 1) - (minus >> bit & 1)
+        moved = diagonal >> 1
+        up, down = minus | full & ~(moved | plus), moved & plus
+    return score
+
+
+def _whole(a: str, b: str) -> int:
+    """The distance by whole columns."""
     places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
@@ -66,11 +127,12 @@ def with_distance(pairs: DataFrame, a: str = "markdown", b: str = "gt") -> DataF
     quick = pairs.where(same | short).withColumn("edit_distance", F.when(same, F.lit(0)).otherwise(F.levenshtein(F.when(~same, F.col(a)), F.col(b))))
     long = pairs.where(~(same | short)).withColumn("edit_distance", F.lit(0))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.assign(edit_distance=[edit_distance(x, y) for x, y in zip(batch[a], batch[b], strict=True)])
+            found = [edit_distance(x.as_py(), y.as_py()) for x, y in zip(batch.column(a), batch.column(b), strict=True)]
+            yield batch.set_column(batch.schema.get_field_index("edit_distance"), "edit_distance", pa.array(found, pa.int32()))
 
-    return quick.unionByName(long.mapInPandas(run, long.schema))
+    return quick.unionByName(long.mapInArrow(run, long.schema))
 
 
 def evaluate(predictions: DataFrame, truth: DataFrame, mapping: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -158,6 +158,34 @@ def test_edit_distance(seed):
     assert evaluate.edit_distance(a, b) == row[-1]
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_banded_edit_distance(seed, monkeypatch):
+    rng = random.Random(seed)
+    letters = rng.choice(["ab", "abcd", "abcdefghij中"])
+    a = [rng.choice(letters) for _ in range(rng.randint(1, 80))]
+    b = [c for x in a for c in rng.choice([[x]] * 12 + [[], [x, "z"], ["y"]])] or ["a"]
+    a, b = sorted(("".join(a), "".join(b)), key=len)
+    want = evaluate._whole(a, b)
+    for bound in range(len(b) - len(a), len(b) + 5, 3):
+        got = evaluate._within(a, b, bound)
+        assert got == want if want <= bound else got > bound
+    monkeypatch.setattr(evaluate, "FIRST_BOUND", 1)
+    assert evaluate.edit_distance(a, b) == evaluate.edit_distance(b, a) == (0 if a == b else want)
+
+
+def test_near_texts_cost_their_distance():
+    import time
+
+    rng = random.Random(6)
+    a = [rng.choice("abcdefghijklmnop ") for _ in range(150_000)]
+    b = list(a)
+    for i in range(0, len(b), 500):
+        b[i] = rng.choice(["", "#", b[i] + "x"])
+    began = time.perf_counter()
+    assert 200 < evaluate.edit_distance("".join(a), "".join(b)) <= 300
+    assert time.perf_counter() - began < 5  # whole columns take some 20 s
+
+
 def test_evaluate(spark, tmp_path):
     (tmp_path / "map.csv").write_text("﻿uuid,afts_id\nk-77,scan 5\n , x\nk-78,\n", encoding="utf-8")
     pred = spark.createDataFrame([("scan 5.md", "kitten"), ("k-78.md", ""), ("lost.md", "x"), ("long.md", "ab" * 400)], "file_name string, markdown string")
