@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import LOWER, UPPER, passes, table, text_of, utf8, written
+from .common import LOWER, UPPER, drop_written, passes, table, text_of, utf8, written
 from .components import components
 
 SEED = 42
@@ -209,8 +209,8 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ho
 STAGE_SHINGLE, STAGE_SIMILARITY = 5, 0.8
 #: Min-hash bands and values in each: a pair of similarity 0.8 shares no band once in 5000 times.
 BANDS, BAND_ROWS = 16, 4
-#: Distinct sets that are compared in one group.  Larger buckets are cut by the values of their other bands; where those are
-#: still larger, into parts that share the bucket's first ``HUBS`` sets, so that what links to any of them meets across parts.
+#: Distinct sets that are compared in one group.  Larger buckets are compared in parts that share ``HUBS`` of the bucket's sets, so that what
+#: links to any of them meets across parts; sets that don't link to what most of the bucket links to then meet every part.
 GROUP, HUBS = 2048, 32
 _TURNS = np.random.default_rng(SEED).integers(1, 1 << 62, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -259,7 +259,7 @@ def set_prints(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, key: str, text: str, shingle: int, whole: bool) -> DataFrame:
-    """(key, row_hash, fp, simhash, bands) of every row, or (fp, shingles) if ``whole``."""
+    """(key, row_hash, fp, size, simhash, bands) of every row, or (fp, shingles) if ``whole``."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,18 +278,20 @@ def _sets(docs: DataFrame, key: str, text: str, shingle: int, whole: bool) -> Da
                     bands[some, i // BAND_ROWS] = _mix(bands[some, i // BAND_ROWS] + np.uint64(i + 1)) * np.uint64(3) + least
                 flat = pa.array(bands.view(np.int64).ravel())
                 lists = pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), flat)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), fp, pa.array(set_prints(h, at).view(np.int64)), lists], ["key", "row_hash", "fp", "simhash", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), fp, pa.array(np.diff(at)), pa.array(set_prints(h, at).view(np.int64)), lists], ["key", "row_hash", "fp", "size", "simhash", "bands"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text_of(text)).alias("row_hash"))
-    return rows.mapInArrow(run, "fp bigint, shingles binary" if whole else f"key {kind}, row_hash bigint, fp bigint, simhash bigint, bands array<bigint>")
+    return rows.mapInArrow(run, "fp bigint, shingles binary" if whole else f"key {kind}, row_hash bigint, fp bigint, size bigint, simhash bigint, bands array<bigint>")
 
 
-def connect(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Links that connect exactly what pairs of ``similarity`` or more connect."""
+def connect(sets: list[np.ndarray], similarity: float, known: np.ndarray | None = None, asks: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that connect exactly what pairs of ``similarity`` or more connect.
+
+    ``known`` names what each set is connected with already; pairs without a set of ``asks`` are left out."""
     n = np.array([len(s) for s in sets])
     flat, starts = np.concatenate(sets), np.cumsum(n) - n
-    root, out = np.arange(len(sets)), []
-    for i in range(len(sets)):
+    root, out = np.arange(len(sets)) if known is None else np.unique(known, return_inverse=True)[1], []
+    for i in range(len(sets)) if asks is None else np.flatnonzero(asks).tolist():
         other = np.flatnonzero((root != root[i]) & (np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i])) & (n > 0))
         if not len(other):
             continue
@@ -311,62 +313,91 @@ def _rings(firsts: DataFrame) -> DataFrame:
     return written(met.select("fp", F.coalesce("component", "simhash").alias("ring")), "rings")
 
 
-def _groups(firsts: DataFrame, group: int) -> DataFrame:
-    """(fp, g): memberships of groups of sets that share a SimHash component or a band; a set's several memberships are compared apart."""
+def _groups(firsts: DataFrame) -> DataFrame:
+    """(fp, g, n): memberships of groups of sets that share a SimHash component or a band, and the group's size."""
     # the component stands as one band more
     rings = _rings(firsts).select("fp", F.lit(BANDS).alias("band"), F.col("ring").alias("value"))
     keyed = firsts.select("fp", F.posexplode("bands").alias("band", "value")).unionByName(rings)
-
-    def distinct(rows: DataFrame, *by: str) -> DataFrame:
-        """(by, n) of groups of two and more; of groups with the same members one stays."""
-        sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"), F.min("fp").alias("least")).where("n > 1")
-        return sizes.groupBy("n", "x", "y", "least").agg(F.min(F.struct(*by)).alias("b")).select("n", *(f"b.{c}" for c in by))
-
-    sizes = written(distinct(keyed, "band", "value"), "bandsizes")
-    met = keyed.join(sizes, ["band", "value"])
-    small = met.where(F.col("n") <= group).select("fp", F.struct("band", "value", F.lit(-1).alias("band2"), F.lit(0).cast("long").alias("value2")).alias("g"))
-    # the other bands of the members of crowded buckets
-    large = met.where(F.col("n") > group).select("fp", "band", "value").join(firsts, "fp")
-    cut = large.select("fp", "band", "value", F.posexplode("bands").alias("band2", "value2")).where("band2 <> band")
-    sizes2 = written(distinct(cut, "band", "value", "band2", "value2"), "bandsizes2")
-    met2 = cut.join(sizes2, ["band", "value", "band2", "value2"])
-    held = met2.select("fp", F.struct("band", "value", "band2", "value2").alias("g"), "n")
-    return small.withColumn("n", F.lit(0).cast("long")).unionByName(held)
+    sizes = keyed.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"), F.min("fp").alias("least")).where("n > 1")
+    # of groups with the same members one stays
+    sizes = written(sizes.groupBy("n", "x", "y", "least").agg(F.min(F.struct("band", "value")).alias("g")).select("n", "g.*"), "bandsizes")
+    return keyed.join(sizes, ["band", "value"]).select("fp", F.struct("band", "value").alias("g"), "n")
 
 
-def similar_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
-    """Rows (key, row_hash, fp), and (fp, component) of every distinct set of word shingles, by Jaccard similarity.
-
-    Candidates are sets whose SimHashes the pigeonring connects, and those that share a min-hash band; every link is
-    checked on the whole sets.  Rows are first reduced to distinct sets, and buckets to distinct memberships, so sets
-    that several of them hold together meet once.
-    """
-    marked = written(_sets(docs, key, text, shingle, False), "shinglebands")
-    firsts = written(marked.groupBy("fp").agg(F.min("simhash").alias("simhash"), F.min("bands").alias("bands")), "firsts")
-    found = written(_groups(firsts, group), "bandmembers")
-    # crowded groups in parts, and their least sets in every part
+def _parts(found: DataFrame, group: int) -> DataFrame:
+    """(fp, g, part): groups of at most about ``group`` sets; the parts of a crowded one share some of its sets."""
     parts = F.ceil(F.col("n") / group).cast("int")
     own = F.when(F.col("n") > group, F.pmod(F.xxhash64("fp", "g"), parts)).otherwise(0).cast("int")
     crowded = found.where(F.col("n") > group)
-    hubs = crowded.groupBy("g").agg(F.max("n").alias("n"), F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("fp", "g"), F.greatest(F.lit(1), F.floor(F.col("n") / (4 * HUBS)))) == 0, F.col("fp")))), 1, HUBS).alias("fps"))
+    chance = F.pmod(F.xxhash64("fp", "g"), F.greatest(F.lit(1), F.floor(F.col("n") / (4 * HUBS))))
+    hubs = crowded.groupBy("g").agg(F.max("n").alias("n"), F.slice(F.array_sort(F.collect_set(F.when(chance == 0, F.col("fp")))), 1, HUBS).alias("fps"))
     everywhere = hubs.select("g", F.explode("fps").alias("fp"), "n").select("fp", "g", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    members = written(found.select("fp", "g", own.alias("part")).unionByName(everywhere).distinct(), "groupmembers")
-    # one row of each set that is in a group
-    asked = marked.join(members.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(F.col("key").isNull(), "key", "row_hash")).alias("m")).select(F.col("m.key").alias("__key"), F.col("m.row_hash").alias("__hash"))
-    chosen = docs.join(asked, F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text_of(text)) == F.col("__hash")), "left_semi")
-    sets = _sets(chosen, key, text, shingle, True).dropDuplicates(["fp"])
+    return found.select("fp", "g", own.alias("part")).unionByName(everywhere).distinct()
+
+
+def _cells(crowd: DataFrame, similarity: float, group: int) -> DataFrame:
+    """(fp, cell, label, asks): all that two sets of a crowded group can still have to do with each other meets in a cell.
+
+    ``crowd`` has (fp, g, size, label), label being what a set is connected with already. Sets of a group's commonest label needn't meet each
+    other, so one side of a cell are those of other labels (``asks``), the other are all. Sizes of a link's sets are in a ratio of at least
+    ``similarity``: sets of a class by size meet their own class and the next ones. Cells hold about ``group`` sets."""
+    sized = crowd.where("size > 0").withColumn("k", F.floor(F.log("size") / -float(np.log(similarity)) + 1e-9).cast("int"))
+    labels = sized.groupBy("g", "label").agg(F.count(F.lit(1)).alias("m"))
+    common = labels.groupBy("g").agg(F.max_by("label", F.struct("m", "label")).alias("common"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("g", "common")
+    open_ = written(sized.join(common, "g").withColumn("asks", F.col("label") != F.col("common")).select("fp", "g", "k", "label", "asks"), "opencrowds")
+    half = max(1, group // 2)
+    counts = open_.groupBy("g", "k").agg(F.ceil(F.count(F.lit(1)) / half).cast("int").alias("parts"), F.ceil(F.count_if("asks") / half).cast("int").alias("asking"))
+    near = counts.where("asking > 0").select("g", F.col("k").alias("from"), "asking", F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("k")).join(counts.select("g", "k", "parts"), ["g", "k"])
+    near = written(near, "crowdcells")
+    dealt = lambda n: F.pmod(F.xxhash64("fp", "g"), F.col(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cell = lambda u, p: F.struct("g", "from", F.col(u).alias("u"), "k", F.col(p).alias("p")).alias("cell")
+    asking = open_.where("asks").withColumnRenamed("k", "from").join(near, ["g", "from"]).withColumn("u", dealt("asking")).select("*", all_of("parts").alias("p"))
+    asked = open_.join(near, ["g", "k"]).withColumn("p", dealt("parts")).select("*", all_of("asking").alias("u"))
+    rows = asking.select("fp", cell("u", "p"), "label", F.lit(True).alias("asks")).unionByName(asked.select("fp", cell("u", "p"), "label", F.lit(False).alias("asks")))
+    return rows.groupBy("fp", "cell", "label").agg(F.bool_or("asks").alias("asks"))
+
+
+def _compared(met: DataFrame, similarity: float, *by: str) -> DataFrame:
+    """(a, b): links among the sets (fp, shingles, and label and asks if they are there) of each group."""
+    crowd = "label" in met.columns
 
     def run(rows: pa.Table) -> pa.Table:
         fp = rows.column("fp").to_numpy()
         order = np.argsort(fp)
         raw = rows.column("shingles")
-        links_ = connect([np.frombuffer(raw[int(i)].as_py(), np.uint64) for i in order], similarity)
+        known = (rows.column("label").to_numpy()[order], rows.column("asks").to_numpy()[order]) if crowd else ()
+        links_ = connect([np.frombuffer(raw[int(i)].as_py(), np.uint64) for i in order], similarity, *known)
         a, b = (pa.array([int(fp[order[x[i]]]) for x in links_], pa.int64()) for i in (0, 1))
         return pa.table([a, b], names=["a", "b"])
 
-    met = members.join(sets, "fp").groupBy("g", "part").applyInArrow(run, "a bigint, b bigint")
-    joined = components(written(met.distinct(), "similar"))
+    return met.groupBy(*by).applyInArrow(run, "a bigint, b bigint").distinct()
+
+
+def similar_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = STAGE_SHINGLE, similarity: float = STAGE_SIMILARITY, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, row_hash, fp), and (fp, component) of every distinct set of word shingles, by Jaccard similarity.
+
+    Candidates are sets whose SimHashes the pigeonring connects, and those that share a min-hash band; every link is
+    checked on the whole sets, and all candidates are: of crowded groups first those that share a part, then, for the sets that the
+    group's commonest component doesn't hold, all others.  Rows are first reduced to distinct sets, and groups to those of distinct members.
+    """
+    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    marked = written(_sets(docs, "key", "text", shingle, False), "shinglebands")
+    firsts = written(marked.groupBy("fp").agg(F.min("simhash").alias("simhash"), F.min("bands").alias("bands"), F.min("size").alias("size")), "firsts")
+    found = written(_groups(firsts), "bandmembers")
+    members = written(_parts(found, group), "groupmembers")
+    # one row of each set that is in a group
+    asked = marked.join(members.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(F.col("key").isNull(), "key", "row_hash")).alias("m")).select(F.col("m.key").alias("own"), F.col("m.row_hash").alias("hash"))
+    chosen = docs.join(asked, F.col("key").eqNullSafe(F.col("own")) & (F.xxhash64(text_of("text")) == F.col("hash")), "left_semi")
+    sets = written(_sets(chosen, "key", "text", shingle, True).dropDuplicates(["fp"]), "sets")
+    near = written(_compared(members.join(sets, "fp"), similarity, "g", "part"), "similar")
+    joined = components(near)
+    crowd = found.where(F.col("n") > group).select("fp", "g").join(firsts.select("fp", "size"), "fp").join(joined.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "g", "size", F.coalesce("component", "fp").alias("label"))
+    cells = written(_cells(crowd, similarity, group), "cells")
+    if not cells.isEmpty():
+        joined = components(near.unionByName(_compared(cells.join(sets, "fp"), similarity, "cell")))
     owned = firsts.select("fp").join(joined.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+    drop_written(sets)
     return marked.select("key", "row_hash", "fp"), owned
 
 

@@ -269,6 +269,9 @@ def test_keep_one(spark):
     # different texts under one id stay, and copies without an id go
     assert sorted((r.doc_id or 0, r.text or "") for r in left) == sorted([(1, words(40, 1)), (1, words(40, 2)), (0, words(40, 3)), (0, "")])
     assert near_dedup.keep_one(empty(spark)).count() == 0
+    names = ("__key", "__hash", "__own", "own", "hash", "g", "n", "fp", "part", "cell")
+    odd = again.select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    assert near_dedup.keep_one(odd).columns == odd.columns and near_dedup.keep_one(odd).count() == len(left)
 
 
 def plain_similar(texts):
@@ -304,6 +307,43 @@ def test_crowded_groups_lose_no_component(spark):
     assert len(set(want.values())) > 25
 
 
+@pytest.mark.parametrize(("group", "hubs"), [(2, 1), (16, 1), (64, 32)])
+def test_crowds_of_unlike_sets_lose_no_link(spark, monkeypatch, group, hubs):
+    """Pairs of twins around one template: twins are alike, all others are too far apart, and no hub resembles them."""
+    monkeypatch.setattr(near_dedup, "HUBS", hubs)
+    rng = random.Random(group)
+    base, rows = [f"w{i}" for i in range(200)], []
+    for i in range(60):
+        w = list(base)
+        for at in rng.sample(range(200), 6):
+            w[at] = f"u{i}.{at}"
+        twin = list(w)
+        twin[rng.randrange(200)] = f"t{i}"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(twin))]
+    # a chain whose ends are far apart, longer and shorter relatives, and copies of the template
+    w = list(base)
+    for i in range(12):
+        w[15 * i] = f"c{i}"
+        rows.append((200 + i, " ".join(w)))
+    rows += [(300 + i, " ".join(base[: 150 + 10 * i])) for i in range(6)] + [(320, " ".join(base)), (321, " ".join(base).upper())]
+    want = plain_similar(dict(rows))
+    got = {r.doc_id: r.component_id for r in near_dedup.similar_components(spark.createDataFrame(rows, "doc_id bigint, text string"), group=group).collect()}
+    assert got == want and len(set(want.values())) > 40
+
+
+def test_a_large_ring_component_keeps_its_links(spark):
+    # one SimHash, no band shared: the group is the ring's alone, and larger than a part
+    firsts = [(i, 5, [1000 * i + b for b in range(near_dedup.BANDS)], 10 + i % 3) for i in range(30)]
+    found = near_dedup._groups(spark.createDataFrame(firsts, "fp bigint, simhash bigint, bands array<bigint>, size bigint"))
+    assert {r.n for r in found.collect()} == {30}
+    crowd = found.select("fp", "g", F.lit(10).alias("size"), F.when(F.col("fp") < 12, 0).otherwise(F.col("fp")).alias("label"))
+    cells = {}
+    for r in near_dedup._cells(crowd, 0.8, 6).collect():
+        cells.setdefault(r.cell, []).append(r)
+    met = {frozenset((a.fp, b.fp)) for rows in cells.values() for a in rows if a.asks for b in rows if a.fp != b.fp}
+    assert met == {frozenset((a, b)) for a in range(30) for b in range(a) if a >= 12}
+
+
 def test_the_pipelines_near_copies_take_simhash_and_the_pigeonring(spark):
     # no band is shared: what is grouped here is grouped by SimHash alone
     base = 0x0F1E2D3C4B5A6978
@@ -311,7 +351,7 @@ def test_the_pipelines_near_copies_take_simhash_and_the_pigeonring(spark):
     rows = [(i, x, [1000 * i + b for b in range(near_dedup.BANDS)]) for i, x in enumerate(flipped)] + [(9, 77, list(range(50_000, 50_000 + near_dedup.BANDS)))]
     firsts = spark.createDataFrame(rows, "fp bigint, simhash bigint, bands array<bigint>")
     groups = {}
-    for r in near_dedup._groups(firsts, near_dedup.GROUP).collect():
+    for r in near_dedup._groups(firsts).collect():
         groups.setdefault(r.g, set()).add(r.fp)
     assert sorted(map(sorted, groups.values())) == [[0, 1, 2], [4, 9]]
 
