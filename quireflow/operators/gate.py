@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import is_broken, is_busy_page, is_full_page
-from ..functions.text import duplication_ratio, strip
+from ..functions.html import faults
+from ..functions.text import duplication_ratio
 
 #: Least characters by document type; limits are strict.
 MIN_CHARS = {"long_strip": 2000, "table_page": 5000}
@@ -26,18 +26,19 @@ def check_files(files: DataFrame, max_duplication: float = MAX_DUPLICATION, max_
     least = F.lit(0)
     for kind, n in (MIN_CHARS if min_chars is None else min_chars).items():
         least = F.when(F.col("doc_type") == kind, F.lit(n)).otherwise(least)
-    measured = (
-        files.withColumn("chars", F.length(strip(text))).withColumn("duplication_ratio", duplication_ratio(text))
-        .withColumn("api_failure_ratio", F.when(F.col("chunk_count") > 0, F.col("failed_chunks") / F.col("chunk_count")).otherwise(F.lit(0.0)))
-    )
+    ratio = F.when(F.col("chunk_count") > 0, F.col("failed_chunks") / F.col("chunk_count")).otherwise(F.lit(0.0))
+    taken = [c for c in files.columns if c not in ("chars", "duplication_ratio", "api_failure_ratio", "risks", "passed")]
+    # each text is looked at once: a struct of what is wrong with it
+    seen = files.select(*(F.col(f"`{c}`") for c in taken), faults(text).alias("__html"), duplication_ratio(text).alias("duplication_ratio"), ratio.alias("api_failure_ratio"))
+    measured = seen.select(*(F.col(f"`{c}`") for c in taken), F.col("__html.chars").alias("chars"), "duplication_ratio", "api_failure_ratio", "__html")
     risks = F.array_compact(
         F.array(
             F.when(F.col("chars") == 0, F.lit("empty_output")).when(F.col("chars") < least, F.lit("too_short")),
-            _tested("high_duplication", F.col("duplication_ratio") > max_duplication), _tested("service_busy_html", is_busy_page(text)), _tested("full_html_page", is_full_page(text)),
-            _tested("html_broken", is_broken(text)), _tested("api_failure_ratio_high", F.col("api_failure_ratio") > max_failure),
+            _tested("high_duplication", F.col("duplication_ratio") > max_duplication), _tested("service_busy_html", F.col("__html.busy")), _tested("full_html_page", F.col("__html.full")),
+            _tested("html_broken", F.col("__html.broken")), _tested("api_failure_ratio_high", F.col("api_failure_ratio") > max_failure),
         )
     )
-    return measured.withColumn("risks", F.array_distinct(risks)).withColumn("passed", F.size("risks") == 0)
+    return measured.withColumn("risks", F.array_distinct(risks)).drop("__html").withColumn("passed", F.size("risks") == 0)
 
 
 def check_inputs(images: DataFrame, name: str = "file_name") -> DataFrame:
