@@ -336,6 +336,55 @@ _PLAIN_STRIPS = _WINDOWS.format(
 )
 
 
+@query(f"""SELECT file_name, CAST(count(*) AS INT) AS n, string_agg(left(sha1(file_name || ':(' || x0 || ', ' || y0 || ', ' || x1 || ', ' || y1 || '):' || image_sha1), 16), ',' ORDER BY "row", col) AS ids
+FROM {_GRID} GROUP BY file_name""")
+def chunk_manifest(spark, sf):
+    told = chunking.manifest(chunking.with_ids(_grid(spark, sf)))
+    read = F.from_json("manifest", "file_name string, chunks array<struct<chunk_id:string,`row`:int,col:int>>")
+    return told.select(read.alias("m")).select("m.file_name", F.size("m.chunks").alias("n"), F.array_join(F.col("m.chunks.chunk_id"), ",").alias("ids"))
+
+
+#: A page of each document: its words are ink and its white space is not, a character a pixel, in a square; five blank rows; the same again.
+_PAGE = """
+  WITH d AS (SELECT doc_id, text, CAST(greatest(4, ceil(sqrt(length(text)))) AS BIGINT) AS w FROM documents),
+  h AS (SELECT *, (length(text) + w - 1) // w AS h FROM d),
+  px AS (
+    SELECT doc_id, w, 2 * h + 5 AS h, (i % w) AS x, (i // w) + CASE half WHEN 0 THEN 0 ELSE h + 5 END AS y,
+           CASE WHEN c = '' OR contains(chr(32) || chr(10), c) THEN 255 WHEN ord(c) > 126 THEN 126 ELSE ord(c) END AS g
+    FROM (SELECT *, substr(text, i + 1, 1) AS c FROM (SELECT *, unnest(range(0, w * h)) AS i FROM h)), (SELECT unnest([0, 1]) AS half)
+    UNION ALL
+    SELECT doc_id, w, 2 * h + 5, x, h + y, 255 FROM (SELECT *, unnest(range(0, w)) AS x FROM h), (SELECT unnest(range(0, 5)) AS y)),
+  r AS (SELECT doc_id, w, h, y AS i, avg(CAST(g < 245 AS INT)) AS share FROM px GROUP BY doc_id, w, h, y),
+  c AS (SELECT doc_id, w, h, x AS i, avg(CAST(g < 245 AS INT)) AS share FROM px GROUP BY doc_id, w, h, x),
+  rb AS (SELECT doc_id, h, min(i) AS s, max(i) + 1 AS e FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM r WHERE share <= 0.01) GROUP BY doc_id, h, k HAVING count(*) >= greatest(3, h // 100)),
+  cb AS (SELECT doc_id, w, min(i) AS s, max(i) + 1 AS e FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM c WHERE share <= 0.01) GROUP BY doc_id, w, k HAVING count(*) >= greatest(3, w // 100)),
+  ra AS (SELECT doc_id, max(h) AS h, min(i) FILTER (share > 0) AS y0, max(i) FILTER (share > 0) + 1 AS y1, avg(CAST(share > 0.35 AS INT)) AS heavy FROM r GROUP BY doc_id),
+  ca AS (
+    SELECT doc_id, max(w) AS w, min(i) FILTER (share > 0) AS x0, max(i) FILTER (share > 0) + 1 AS x1, avg(CAST(share > 0.35 AS INT)) AS heavy, avg(CAST(share > most AS INT)) AS dense
+    FROM (SELECT *, greatest(0.03, avg(share) OVER (PARTITION BY doc_id) * 1.5) AS most FROM c) GROUP BY doc_id),
+  flat AS (SELECT doc_id, stddev_pop(g) < 2 AS flat FROM px GROUP BY doc_id)"""
+
+
+@query(_PAGE + """
+SELECT ra.doc_id, CAST(coalesce(x0, 0) AS INT) AS x0, CAST(coalesce(y0, 0) AS INT) AS y0, CAST(coalesce(x1, w) AS INT) AS x1, CAST(coalesce(y1, h) AS INT) AS y1,
+       coalesce((SELECT string_agg(s || '-' || e, ' ' ORDER BY s) FROM rb WHERE rb.doc_id = ra.doc_id), '') AS bands,
+       coalesce((SELECT string_agg(s || '-' || e, ' ' ORDER BY s) FROM cb WHERE cb.doc_id = ra.doc_id), '') AS gaps,
+       CASE WHEN dense > 0.05 AND EXISTS (SELECT 1 FROM cb WHERE cb.doc_id = ra.doc_id) THEN 2 ELSE 1 END AS column_count, round((ra.heavy + ca.heavy) / 2, 6) AS line_density
+FROM ra JOIN ca ON ra.doc_id = ca.doc_id JOIN flat ON flat.doc_id = ra.doc_id WHERE NOT flat""")
+def page_ink(spark, sf):
+    """Layout hints of a page per document; pages of one shade aside, which the SQL leaves out."""
+    d = _t(spark, sf, "documents").where("text rlike '[^ \\\\n]'")
+    w = F.greatest(F.lit(4), F.ceil(F.sqrt(F.length("text")))).cast("int")
+    d = d.select("doc_id", "text", w.alias("width")).withColumn("h", F.ceil(F.length("text") / F.col("width")).cast("int"))
+    blank = F.lit("ÿ")
+    half = F.rpad(F.regexp_replace(F.regexp_replace("text", "[ \n]", "ÿ"), "[^\\x00-\\x7eÿ]", "~"), F.col("width") * F.col("h"), blank)
+    pixels = F.encode(F.concat(half, F.repeat(blank, 5 * F.col("width")), half), "ISO-8859-1")
+    pages = d.select(F.col("doc_id").cast("string").alias("path"), (2 * F.col("h") + 5).alias("height"), "width", F.lit(1).alias("nChannels"), pixels.alias("data"))
+    runs = lambda c: F.array_join(F.transform(c, lambda b: F.concat_ws("-", b["s"], b["e"])), " ")
+    box = [F.col(f"crop_box.{k}").alias(k) for k in ("x0", "y0", "x1", "y1")]
+    return layout.analyze(pages).select(F.col("path").cast("long").alias("doc_id"), *box, runs("horizontal_blank_bands").alias("bands"), runs("vertical_blank_bands").alias("gaps"), "column_count", F.round("table_line_density", 6).alias("line_density"))
+
+
 @query(f"""
   SELECT doc_type, count(*) AS n, count(DISTINCT file_name) AS files, CAST(sum(x1 - x0) AS BIGINT) AS widths FROM {_GRID} GROUP BY 1
   UNION ALL
@@ -443,6 +492,58 @@ def response_unwrap(spark, sf):
     return recognize.unwrap_all(_t(spark, sf, "documents").select("doc_id", body.alias("body")), "body").select("doc_id", "markdown")
 
 
+@query("""SELECT doc_id, CAST(least(doc_id % 5, 2) AS INT) AS rerun_count, doc_id % 5 <= 2 AS passed, CASE WHEN doc_id % 5 <= 2 THEN '' ELSE 'too_short' END AS risks FROM documents""")
+def rerun_loop(spark, sf):
+    """Each file passes at its own attempt, or never within the bound."""
+    from .sources import sinks
+
+    sinks.shared_dir(spark)  # rounds are checkpoints there
+    risks = lambda ok: F.when(ok, F.array().cast("array<string>")).otherwise(F.array(F.lit("too_short")))
+    first = F.col("doc_id") % 5 == 0
+    files = _t(spark, sf, "documents").select("doc_id", risks(first).alias("risks"), first.alias("passed"), F.lit(0).alias("rerun_count"))
+
+    def attempt(planned: DataFrame) -> DataFrame:
+        ok = F.col("rerun_count") + 1 >= F.col("doc_id") % 5
+        return planned.select("doc_id", risks(ok).alias("risks"), ok.alias("passed"))
+
+    return retry.rerun_until(files, attempt).select("doc_id", "rerun_count", "passed", F.array_join("risks", ",").alias("risks"))
+
+
+def _answer(fields: dict, user: str) -> tuple[int, str]:
+    """A service that knows each document for one of five users, of whom there are three."""
+    if user != f"u{fields['doc_id'] * 7 % 5}":
+        return 503, "not mine"
+    table = "<TABLE><tr><td>1</td></tr></TABLE>" if fields["doc_id"] % 4 == 1 else ""
+    return 200, f"```md\n{table}{fields['text']}\n```"
+
+
+@query(f"""SELECT doc_id, t < 3 AS ok, CASE WHEN t >= 3 THEN 'unknown' WHEN doc_id % 4 = 1 THEN 'table' ELSE 'body' END AS block_type, CAST(CASE WHEN t >= 3 THEN 3 ELSE (t - doc_id % 3 + 3) % 3 + 1 END AS INT) AS attempts,
+'u' || CASE WHEN t >= 3 THEN (doc_id + 2) % 3 ELSE t END AS last_user, CASE WHEN t >= 3 THEN '' ELSE CASE WHEN doc_id % 4 = 1 THEN '<TABLE><tr><td>1</td></tr></TABLE>' || rtrim(text, {_WS}) ELSE trim(text, {_WS}) END END AS markdown
+FROM (SELECT *, doc_id * 7 % 5 AS t FROM documents)""")
+def recognition(spark, sf):
+    """Requests in lanes by user, retried with the next user; what fails three times stays with an empty text."""
+    from .sources import sinks
+
+    sinks.shared_dir(spark)
+    chunks = _t(spark, sf, "documents").select(F.col("doc_id").alias("ordinal"), "doc_id", "text")
+    got = recognize.recognize(chunks, _answer, ["u0", "u1", "u2"], 6, 2, 2, sleep=lambda s: None)
+    return got.select("doc_id", "ok", "block_type", F.size("log").alias("attempts"), F.element_at("log.user_id", -1).alias("last_user"), "markdown")
+
+
+@query("""SELECT file_name, CAST(count(*) AS INT) AS chunk_count, CAST(count(*) FILTER (role = 'system') AS INT) AS failed_chunks
+FROM (SELECT CAST(conv_id AS VARCHAR) AS file_name, role FROM conversations) GROUP BY file_name""")
+def failed_chunks(spark, sf):
+    """Texts of a conversation as a file's chunks, its system turns as failed ones."""
+    from .plans.restore import texts_to_files
+
+    rows = _t(spark, sf, "conversations").select(
+        F.col("conv_id").cast("string").alias("file_name"), F.concat_ws("-", "conv_id", "turn").alias("chunk_id"), "text", (F.col("role") != "system").alias("ok"), F.lit("normal_page").alias("doc_type"), F.col("turn").cast("int").alias("row"),
+        F.lit(0).alias("col"), F.col("turn").alias("ordinal"), F.lit(0).alias("x0"), F.col("turn").cast("int").alias("y0"), F.lit(1).alias("x1"), (F.col("turn") + 1).cast("int").alias("y1"), F.create_map(F.lit("top"), F.lit(0)).alias("overlap"),
+    )
+    chunks = rows.withColumn("markdown", F.when(F.col("ok"), F.col("text")).otherwise("")).withColumn("block_type", F.when(F.col("ok"), text.block_type(F.col("markdown"))).otherwise("unknown")).drop("text")
+    return texts_to_files(chunks).select("file_name", "chunk_count", "failed_chunks")
+
+
 # merging and evaluation
 
 
@@ -600,6 +701,26 @@ def mapping_expand(spark, sf):
     return evaluate.mapping_keys(_t(spark, sf, "documents").select(k.alias("row_no"), uuid.alias("uuid"), F.when(k % 4 == 0, F.lit(None)).otherwise(F.concat(F.lit("a"), (k % 450).cast("string"))).alias("afts_id")))
 
 
+@query("""SELECT 'u' || doc_id AS uuid, CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'a, "' || doc_id || '"' END AS afts_id FROM documents WHERE doc_id % 6 <> 5""")
+def mapping_file(spark, sf):
+    """A mapping written with blanks around its fields and read back; rows without a uuid are skipped."""
+    import uuid
+
+    from .sources import readers, sinks
+
+    path, k = f"{sinks.shared_dir(spark)}/mapping-{uuid.uuid4().hex}", F.col("doc_id")
+    rows = _t(spark, sf, "documents").select(F.when(k % 6 == 5, "  ").otherwise(F.concat(F.lit(" u"), k, F.lit(" "))).alias(" uuid"), F.when(k % 4 == 0, F.lit(None)).otherwise(F.concat(F.lit('\ta, "'), k, F.lit('" '))).alias("afts_id"))
+    rows.write.options(header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return readers.read_mapping(spark, path).select("uuid", "afts_id")
+
+
+@query("""SELECT '| source | n | n_chars |' AS line UNION ALL SELECT '| --- | --- | --- |'
+UNION ALL SELECT '| ' || coalesce(source, '') || ' | ' || count(*) || ' | ' || format('{:,.2f}', CAST(sum(n_chars) AS DOUBLE)) || ' |' FROM documents GROUP BY source""")
+def statistics_report(spark, sf):
+    by = _t(spark, sf, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").cast("double").alias("n_chars"))
+    return profile.pipe_table(by, by.columns).select("line")
+
+
 @query("""SELECT doc_id, CASE WHEN m.doc_id IS NULL THEN 'missing' ELSE 'matched' END AS outcome FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) m USING (doc_id)""")
 def eval_pairing(spark, sf):
     docs = _t(spark, sf, "documents").select("doc_id", F.concat("doc_id", F.lit(".md")).alias("file_name"), F.lit("x").alias("markdown"))
