@@ -4,7 +4,8 @@ Candidates, found over the bytes of a whole batch:
 
 * runs of at least ``SHORTEST`` key characters that mix digits with letters, change case inside, or
   are ``LONG`` characters with a digit;
-* the whole value after an assignment to a secret-like name, of any length and any characters;
+* the whole value after an assignment to a secret-like name, of any length and any characters, on the name's line or the next, and over
+  several lines if it is quoted; blanks and names may be of any length;
 * passwords in URLs, tokens after ``Bearer`` and ``Basic``, and whole blocks of private keys.
 
 A value takes the place of the runs inside it.  The forest looks at length, character transitions,
@@ -48,7 +49,7 @@ _UPPER = np.isin(np.arange(256), np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", np
 _LOWER = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8))
 _LETTERS = _UPPER | _LOWER
 _DIGITS = np.isin(np.arange(256), np.frombuffer(b"0123456789", np.uint8))
-_WORDS_NEAR = frozenset("token secret password passwd pwd apikey api_key key auth bearer credential credentials access private signature client_secret access_token".split())
+_WORDS_NEAR = frozenset("token secret password passwd pass pgpass passphrase passcode pwd apikey api_key key auth bearer credential credentials access private signature client_secret access_token".split())
 _WORDS_BENIGN = frozenset("commit sha sha1 sha256 md5 hash checksum digest uuid guid id version revision build example sample placeholder test ref order invoice card phone isbn page".split())
 #: Openings of well-known key formats.
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "glpat-", "sk_live_", "sk-", "xoxb-", "AIza", "eyJ")
@@ -63,15 +64,23 @@ _UUID = re.compile(rb"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 _ASSIGN = re.compile(rb"[=:]\s*[\"'`]?\s*$")
 _NAME = re.compile(rb"[A-Za-z_0-9]+")
 #: What makes the name of an assigned value secret-like, and the value: to the closing quote, or else to white space or a separator.
-_SECRET_NAME = re.compile(rb"token|secret|passwo?r?d|passphrase|pwd|api_?key|access_?key|private_?key|credential|auth")
-_NAME_END = re.compile(rb"[a-z0-9_-]+$")
-_VALUE = re.compile(rb"[ \t]{0,8}(?:\"([^\"\r\n]+)\"|'([^'\r\n]+)'|`([^`\r\n]+)`|[\"'`]?([^ \t\r\n\f\v,;\"'`]+))")
-_URL = re.compile(rb"://[^\s:/@\"'<>]{0,128}:([^\s/@\"'<>]+)@")
-_BEARER = re.compile(rb"(?i:bearer|basic)[ \t]{1,8}([A-Za-z0-9+/_.~=-]{8,})")
-_ARMOUR = re.compile(rb"(-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY[A-Z ]{0,12}-----.*?-----END [A-Z0-9 ]{0,40}PRIVATE KEY[A-Z ]{0,12}-----)", re.S)
-#: Bytes before an assignment sign that may hold its name.
-_NAME_BYTES = 64
-_BEARER_BEFORE = re.compile(rb"(?i:bearer|basic)[ \t]{1,8}$")
+_SECRET_NAME = re.compile(rb"token|secret|passwo?r?d|pass_?(?:phrase|code|key)|(?<!by)(?<!com)(?<!sur)(?<!tres)pass$|pwd|api_?key|access_?key|private_?key|credential|auth")
+_NAMECHAR = _LETTERS | _DIGITS | np.isin(np.arange(256), np.frombuffer(b"_-", np.uint8))
+_BETWEEN = np.isin(np.arange(256), np.frombuffer(b" \t\"'`", np.uint8))
+
+
+def _quoted(q: str) -> str:
+    """A value between quotes: on one line, or on more if none of them is blank and something like an end follows."""
+    return rf"{q}([^{q}\r\n]+){q}|{q}((?:[^{q}\r\n]|\r?\n(?![ \t]*\r?\n))+){q}(?=[\s,;)}}\]>]|\Z)"
+
+
+#: The value is on the name's line or, quoted or indented, on the next.
+VALUE = r"(?:[ \t]*|[ \t]*\r?\n[ \t]+|[ \t]*\r?\n(?=[\"'`]))(?:" + "|".join(map(_quoted, "\"'`")) + r"|[\"'`]?([^ \t\r\n\f\v,;\"'`]+))"
+_VALUE = re.compile(VALUE.encode())
+_URL = re.compile(rb"://[^\s:/@\"'<>]*:([^\s/@\"'<>]+)@")
+_BEARER = re.compile(rb"(?i:bearer|basic)[ \t]+([A-Za-z0-9+/_.~=-]{8,})")
+_ARMOUR = re.compile(rb"(-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----.*?-----END [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----)", re.S)
+_BEARER_BEFORE = re.compile(rb"(?i:bearer|basic)[ \t]+$")
 _VOWEL = frozenset(b"aeiouAEIOU")
 
 
@@ -242,19 +251,22 @@ def assigned_findings(n: int = 3600, seed: int = 12) -> list[tuple[bytes, bytes,
     pick = lambda options: options[int(rng.integers(len(options)))]
     draw = lambda letters, k: "".join(pick(letters) for _ in range(k))
     lower, upper, digits, marks = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "!@#$%^&*.~?+-_"
-    names = ["token", "secret", "password", "passwd", "pwd", "api_key", "access_token", "client_secret", "PASSWORD", "passphrase", "DB_PASSWORD", "auth"]
+    names = ["token", "secret", "password", "passwd", "pwd", "api_key", "access_token", "client_secret", "PASSWORD", "passphrase", "DB_PASSWORD", "auth", "pass", "DB_PASS", "PGPASS"]
     plain = "none null true false yes no required optional invalid missing changeme your-password your_token example placeholder string xxxxxx ****** <password> ${PASSWORD} $TOKEN the is was must will each Optional[str] str int os.environ getenv() self.token 0 1 2 3600 expired wrong".split()
     listed = sorted(dictionary())
     out = []
     for i in range(n):
         q = pick(['"', '"', "'", ""])
-        before = pick(["", "the ", "user = x, ", "config "]) + pick(names) + pick([" = ", "=", ": ", ":", " := "]) + q
+        before = pick(["", "the ", "user = x, ", "config "]) + pick(names) + pick([" = ", "=", ": ", ":", " := ", " =     ", ":\n  ", ":\n" if q else ": "]) + q
         if i % 2 == 0:
-            style = int(rng.integers(6))
+            style = int(rng.integers(7))
             if style == 4:  # people join words, digits and marks
                 value = pick(listed) + draw(digits, int(rng.integers(1, 4))) + pick(["", *marks]) + pick(["", pick(listed).capitalize()])
             elif style == 5:
                 value = pick(["-", "_", ".", " " if q else "-"]).join(pick(listed) for _ in range(int(rng.integers(3, 6))))
+            elif style == 6:  # keys that go over several lines, or hold blanks
+                parts = [draw(lower + upper + digits + marks, int(rng.integers(4, 30))) for _ in range(int(rng.integers(2, 5)))]
+                value = pick(["\n", " ", "\n  "]).join(parts) if q else parts[0] + parts[1]
             elif style == 0:
                 value = draw(lower + upper + digits + marks, int(rng.integers(6, 25)))
             elif style == 1:
@@ -264,7 +276,7 @@ def assigned_findings(n: int = 3600, seed: int = 12) -> list[tuple[bytes, bytes,
             else:
                 value = pick(["-", "_", ".", " " if q else "-"]).join(draw(lower, int(rng.integers(4, 8))) for _ in range(int(rng.integers(3, 6))))
         else:
-            value = pick(plain) if rng.random() < 0.6 else pick(["your-", "my_", "<", "${", "self.", ""]) + pick(listed) + pick(["", "", ">", "}", "()", "-here"])
+            value = pick(plain) if rng.random() < 0.6 else " ".join(pick(listed) for _ in range(int(rng.integers(2, 9)))) if q and rng.random() < 0.3 else pick(["your-", "my_", "<", "${", "self.", ""]) + pick(listed) + pick(["", "", ">", "}", "()", "-here"])
         out.append((before[-CONTEXT:].encode(), value.encode(), (q + pick([" ", "\n", ",", ";"]) + pick(["and then", "next", ""])).encode(), int(i % 2 == 0)))
     return out
 
@@ -335,11 +347,17 @@ def _values(off: np.ndarray, data: np.ndarray, raw: bytes) -> list[tuple[int, in
     """Spans of assigned values, URL passwords, header tokens and private keys; documents lie next to each other."""
     found = []
     signs = np.flatnonzero((data == 61) | (data == 58))
-    for at, lo, hi in zip(signs.tolist(), *(x.tolist() for x in (off[np.searchsorted(off, signs, "right") - 1], off[np.searchsorted(off, signs, "right")])), strict=True):
+    lows, highs = off[np.searchsorted(off, signs, "right") - 1], off[np.searchsorted(off, signs, "right")]
+    # the name ends before blanks and quotes, and begins where no name character stands in front of it
+    here = np.arange(len(data))
+    back = lambda stop: np.maximum.accumulate(np.where(stop[data], here, -1))
+    name_end = np.concatenate(([-1], back(~_BETWEEN)))[signs]
+    begin = np.maximum(np.where(name_end >= 0, back(~_NAMECHAR)[np.maximum(name_end, 0)] + 1, 0), lows)
+    named = (begin <= name_end) & (name_end >= lows)
+    for at, lo, hi, a, b in zip(*(x[named].tolist() for x in (signs, lows, highs, begin, name_end + 1)), strict=True):
         if raw[at - 1 : at + 1] == b":=" and at - 1 >= lo:
             continue  # the colon's turn
-        name = _NAME_END.search(raw[max(lo, at - _NAME_BYTES) : at].rstrip(b" \t\"'`").lower())
-        if name and _SECRET_NAME.search(name[0]):
+        if _SECRET_NAME.search(raw[a:b].lower()):
             value = _VALUE.match(raw, at + (2 if raw[at : at + 2] in (b":=", b"=>") else 1), hi)
             if value:
                 found.append(value.span(value.lastindex))
