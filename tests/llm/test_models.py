@@ -109,7 +109,7 @@ def test_base_scores(spark):
 SURPRISE = 1.0
 
 
-def plain_tree(docs, longest, penalty):
+def plain_tree(docs, longest, penalty, surprise=SURPRISE, lift=1.0):
     """prob(context, symbol), known words and retained states of the suffix tree, by dictionaries over the definition."""
     train = [tokens(x) for i, x in docs if not lm_scoring.held_out(i)]
     grams = [Counter(tuple(t[i : i + k]) for t in train for i in range(len(t) - k + 1)) for k in range(longest + 2)]
@@ -134,7 +134,7 @@ def plain_tree(docs, longest, penalty):
     for s in sorted(contexts, key=len):
         if len(s) > 1:
             n_s, expected = grams[len(s)][s], grams[len(s) - 1][s[:-1]] * prob(s[1:-1], s[-1])
-            if not (s[1:] in kept and s[:-1] in candidates and n_s * math.log(n_s / expected) - n_s + expected >= SURPRISE and n_s >= expected):
+            if not (s[1:] in kept and s[:-1] in candidates and n_s * math.log(n_s / expected) - n_s + expected >= surprise and n_s >= lift * expected):
                 continue
         candidates.add(s)
         if s not in follow:
@@ -173,6 +173,28 @@ def test_scores_match_dictionaries(spark, shard_tokens):
     assert {r.doc_id: r.score for r in lm_scoring.score(tokenised, penalty=0.0, surprise=0.0, hot=20, shard_tokens=100).collect()} == pytest.approx(whole)
 
 
+def test_scores_match_dictionaries_as_shipped(spark):
+    """The shipped bounds on a corpus with fixed phrases around common words: contexts of one word and of two stay, others go."""
+    shipped = {"surprise": lm_scoring.SURPRISE, "lift": lm_scoring.LIFT}
+    for seed in range(60):
+        rng = random.Random(seed)
+        common = [f"c{j}" for j in range(12)]
+        passages = [" ".join(f"p{k}.{j} {rng.choice(common)}" for j in range(8)) for k in range(6)]
+        docs = []
+        for i in range(80):
+            noise = [" ".join(f"w{rng.randrange(40)} {rng.choice(common)}" for _ in range(rng.randint(0, 15))) for _ in range(2)]
+            docs.append((i, " ".join([noise[0], *rng.sample(passages, rng.randint(0, 2)), noise[1]])))
+        prob, _, kept, _, gains = plain_tree(docs, lm_scoring.LONGEST, lm_scoring.PENALTY, **shipped)
+        # a parent's probability reaches the tests with the precision of a byte: no gain may be close to its bound
+        if not any(0.97 < g < 1.03 for g in gains) and {len(s) for s in kept} >= {1, 2} and len(kept) < 0.8 * len(gains):
+            break
+    else:
+        raise AssertionError("no corpus without close gains")
+    want = {i: sum(math.log10(prob(tuple(t[max(0, j - lm_scoring.LONGEST) : j]), x)) for j, x in enumerate(t)) for i, text in docs for t in [tokens(text)]}
+    tokenised = lm_scoring.blocks(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), block_bytes=2000)
+    assert {r.doc_id: r.score for r in lm_scoring.score(tokenised, shard_tokens=400).collect()} == pytest.approx(want)
+
+
 def test_longer_contexts_help_on_held_out_documents(spark):
     docs = table(spark, MORE, "documents")
     totals = []
