@@ -192,28 +192,45 @@ def _cuts_not_above(value: Column, cuts: list[float]) -> Column:
     return group * m + count(F.get(F.array(*(F.array(*map(F.lit, g)) for g in groups)), group))
 
 
-#: Ranges of the key that ``with_next`` cuts, at most: their bounds stand in the plan.
-MOST_RANGES = 2048
+#: Bounds of ranges that stand in the plan, at most; more ranges than these are cut evenly between two bounds.
+MOST_CUTS = 2048
+
+
+def _places(docs: DataFrame, number: Column, of: Column, ranges: int) -> Column:
+    """A range number that never falls as ``number`` rises, for the rows of ``of``: 0 to about ``ranges``.
+
+    Approximate quantiles (a few numbers on the driver) part the rows evenly, and each of their intervals is parted evenly by value."""
+    coarse = min(ranges, MOST_CUTS)
+    fine = -(-ranges // coarse)
+    at = sorted(set(docs.where(of).select(number.alias("k")).approxQuantile("k", [i / coarse for i in range(coarse + 1)], 0.2 / coarse)))
+    if len(at) < 2:
+        return F.lit(0)
+    lows, spans = (F.array(*map(F.lit, x)) for x in (at[:-1], [b - a for a, b in zip(at, at[1:])]))
+    place = F.least(F.greatest(_cuts_not_above(number, at) - 1, F.lit(0)), F.lit(len(at) - 2))
+    share = (number - F.get(lows, place)) / F.get(spans, place)
+    return place * fine + F.least(F.greatest(F.floor(F.nanvl(share, F.lit(1.0)) * fine), F.lit(0)), F.lit(fine - 1)).cast("int")
 
 
 def neighbours(docs: DataFrame, key: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
     """(range, nth, key, text, next_text): texts (null: empty) and those of the next row in ascending key order, the first's after the last.
 
-    Ranges of the key are cut at approximate quantiles (a few numbers on the driver), each range is
-    one window group, and only each range's first row crosses ranges.  Rows stay dealt by ``range``, in which
-    ``nth`` counts them.
+    Ranges, as many as the session's shuffles ask for, are one window group each, and only each range's first row crosses ranges.
+    Rows without a key come first, in ranges by the beginning of their texts. Rows stay dealt by ``range``, in which ``nth`` counts them.
     """
     spark: SparkSession = docs.sparkSession
-    n = ranges or min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES)
-    number = _number(key, docs.schema[key].dataType.simpleString())
-    cuts = sorted(set(docs.select(number.alias("k")).where("k is not null").approxQuantile("k", [i / n for i in range(1, n)], 0.2 / n)))
-    place = F.when(F.col(key).isNull(), F.lit(0)).otherwise(_cuts_not_above(number, cuts))
-    ranged = docs.select(F.col(key).alias("k"), text_of(text).alias("text"), place.cast("int").alias("range"))
+    n = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = docs.select(F.col(key).alias("k"), text_of(text).alias("text"))
+    keyed, begins = _number("k", docs.schema["k"].dataType.simpleString()), _number("text", "string")
+    no_key = F.col("k").isNull()
+    place = F.when(no_key, _places(docs, begins, no_key, n) - (1 << 30)).otherwise(_places(docs, keyed, ~no_key, n))
+    ranged = docs.select("k", "text", place.cast("int").alias("range"))
+    # one narrow row per range, of which there are about four times the shuffle partitions
     firsts = ranged.groupBy("range").agg(F.min(F.struct(F.col("k").isNotNull().alias("live"), F.col("k").alias("k"))).alias("m")).select("range", F.col("m.k").alias("first"))
-    # one row per range, MOST_RANGES at most
     met = ranged.join(F.broadcast(firsts), "range").where(F.col("k").eqNullSafe(F.col("first")))
-    heads = met.groupBy("range").agg(F.min("text").alias("head"))
-    heads = written(heads, "heads").select("range", _head_after("head").alias("head"))
+    least = written(met.groupBy("range").agg(F.min("text").alias("head")), "heads")
+    # only range numbers are ordered in one task, not texts
+    after = least.select("range", _head_after("range").alias("after_range"))
+    heads = after.join(least.select(F.col("range").alias("after_range"), "head"), "after_range").select("range", "head")
     within = Window.partitionBy("range").orderBy(F.col("k").asc_nulls_first(), "text")
     led = ranged.select("*", F.row_number().over(within).alias("nth"), F.lead("text").over(within).alias("after")).join(heads, "range")
     return led.select("range", "nth", F.col("k").alias(key), "text", F.coalesce("after", "head").alias("next_text"))
@@ -227,7 +244,7 @@ def _head_after(column: str) -> Column:
 
 def with_next_print(prints: DataFrame, fp: str = "fp") -> DataFrame:
     """A written table that has the ``range`` and ``nth`` of ``neighbours``, with the next row's fingerprint as ``next_fp``."""
-    # one row per range, MOST_RANGES at most
+    # two numbers per range, of which there are about four times the shuffle partitions
     heads = prints.where("nth = 1").select("range", _head_after(fp).alias("head_fp"))
     lead = F.lead(fp).over(Window.partitionBy("range").orderBy("nth"))
     return prints.withColumn("after_fp", lead).join(F.broadcast(heads), "range").withColumn("next_fp", F.coalesce("after_fp", "head_fp")).drop("after_fp", "head_fp")

@@ -76,6 +76,23 @@ def test_fingerprints_of_edits_and_next(spark):
     assert fp[99] == fp[1] and len(set(fp.values())) == 30
 
 
+def test_many_ranges_keep_the_order_and_spread_rows_without_ids(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(rng.choice([None, i * i, i * i, 7]), words(rng.randint(0, 4), i)) for i in range(1200)] + [(None, None), (-5, "x"), (1 << 62, "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    order = sorted(((k, t or "") for k, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    monkeypatch.setattr(fingerprints, "MOST_CUTS", 40)
+    got = fingerprints.neighbours(docs, ranges=10_000).collect()
+    got.sort(key=lambda r: (r.range, r.nth))
+    assert [(r.doc_id, r.text) for r in got] == order
+    assert [r.next_text for r in got] == [t for _, t in order[1:] + order[:1]]
+    # more ranges than bounds in the plan, and null ids in many of them
+    assert len({r.range for r in got}) > 200 and len({r.range for r in got if r.doc_id is None}) > 30
+    odd = spark.createDataFrame([(x, str(x)) for x in (1.5, float("inf"), -float("inf"), float("nan"), 0.0, None)], "doc_id double, text string")
+    led = sorted(fingerprints.neighbours(odd, ranges=50).collect(), key=lambda r: (r.range, r.nth))
+    assert [r.text for r in led] == ["None", "-inf", "0.0", "1.5", "inf", "nan"] and led[-1].next_text == "None"
+
+
 def test_simhash_matches_plain_votes(spark):
     text = words(700, 5)
     w = re.findall(r"[^\x20\x09-\x0D]+", text)
