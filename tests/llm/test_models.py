@@ -151,6 +151,17 @@ def plain_tree(docs, longest, penalty, surprise=SURPRISE, lift=1.0):
     return prob, symbols, kept, follow, gains
 
 
+def test_divergence_between_shares():
+    rng = np.random.default_rng(3)
+    shares = rng.random(200) ** 2
+    for n in (3, 50, 3000):
+        p, q = rng.dirichlet(np.full(n, 0.3)), rng.dirichlet(np.full(n, 0.3)) * 0.9 + 1e-7
+        curve = lambda r: np.sum((0.7 * p + r * q) * np.log((0.7 * p + r * q) / q))
+        table_ = np.array([[curve(r) for r in lm_scoring._SHARES]] * len(shares))
+        # finer than the byte in which parent probabilities travel
+        assert lm_scoring._between(table_, shares) == pytest.approx([curve(r) for r in shares], abs=2e-3)
+
+
 @pytest.mark.parametrize("shard_tokens", [50, 10**6])
 def test_scores_match_dictionaries(spark, shard_tokens):
     rng = random.Random(4)
@@ -169,6 +180,10 @@ def test_scores_match_dictionaries(spark, shard_tokens):
     tokenised = lm_scoring.blocks(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), block_bytes=800)
     got = {r.doc_id: r.score for r in lm_scoring.score(tokenised, shard_tokens=shard_tokens, penalty=penalty, surprise=SURPRISE, lift=1.0).collect()}
     assert got == pytest.approx(want)
+    # contexts in parts are tested as wholes: no bound on what is frequent changes a score
+    for hot in (6, 20):
+        split = lm_scoring.score(tokenised, shard_tokens=100, penalty=penalty, surprise=SURPRISE, lift=1.0, hot=hot)
+        assert {r.doc_id: r.score for r in split.collect()} == pytest.approx(want)
     whole = {r.doc_id: r.score for r in lm_scoring.score(tokenised, penalty=0.0, surprise=0.0).collect()}
     assert {r.doc_id: r.score for r in lm_scoring.score(tokenised, penalty=0.0, surprise=0.0, hot=20, shard_tokens=100).collect()} == pytest.approx(whole)
 
