@@ -336,3 +336,19 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = H
 
 def op12(spark, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
+
+
+#: The same by SQL: windows as strings (words hold no space), counted by content.
+ORACLE = rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, i, array_to_string(w[i : i + {WORDS - 1}], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - {WORDS - 2})) AS i FROM t WHERE len(w) >= {WORDS})),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS c FROM s) WHERE c > 1),
+gone AS (SELECT DISTINCT r, i + k AS i FROM again, (SELECT unnest(range({WORDS})) AS k)),
+word AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM t),
+kept AS (
+  SELECT word.r, string_agg(word, ' ' ORDER BY word.i) FILTER (gone.i IS NULL) AS kept, count(gone.i) AS n_removed, count(gone.i) FILTER (before.i IS NULL) AS n_spans
+  FROM word LEFT JOIN gone ON gone.r = word.r AND gone.i = word.i LEFT JOIN gone AS before ON before.r = word.r AND before.i = word.i - 1
+  GROUP BY word.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans
+FROM t LEFT JOIN kept ON t.r = kept.r
+"""

@@ -182,6 +182,27 @@ def test_passage_dedup_edges(spark):
     assert passage_dedup.dedup(empty(spark)).count() == 0
 
 
+def test_passage_dedup_agrees_with_its_sql(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(passage_texts(40, 5))] + [(i, t) for i, t, *_ in EDGE]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(repr, map(tuple, passage_dedup.op12(spark, str(tmp_path)).collect())))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(map(repr, con.sql(sql.ORACLES["op12_passage_dedup"]).fetchall())) == got
+
+
+def test_filter_audit_agrees_with_its_sql(spark, tmp_path):
+    docs = [(r.doc_id, r.text, r.lang, None, None, "p", 1) for r in table(spark, SF, "documents").collect()] + [(i, t, la, None, None, "q", 2) for i, t, la, *_ in EDGE]
+    labels = [(*tuple(r), "x") for r in table(spark, SF, "labels").collect()] + [(None, 1, 1, "y"), (7, 1, None, "y"), (7, None, 1, "y")]
+    got = audited(spark, tmp_path, docs, labels)
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    names = ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    answer = con.sql(f"SELECT {', '.join(names)} FROM ({sql.ORACLES['op13_filter_audit']})").fetchall()
+    assert {r[:3]: list(r[3:]) for r in answer} == got
+
+
 def test_factors_are_longest_matches():
     rng = random.Random(3)
     phrases = [[rng.randrange(1, 4) for _ in range(rng.randint(1, 40))] for _ in range(30)]
