@@ -1,8 +1,8 @@
 """Questions that blocks of text put to the whole corpus.
 
 A block names each of its distinct hashes once, with how often it holds them; counts are summed by
-hash over all blocks; the answers go back to their block.  A hash held by a third of all rows is
-one row per block, so no group outgrows the number of blocks.
+hash over all blocks, combined before the shuffle; the answers go back to their block.  A hash held by a
+third of all rows is one row per block and task.
 """
 
 from __future__ import annotations
@@ -11,18 +11,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Hashes per Arrow batch on the way out of Python.
 _STEP = 1 << 16
 
 
 def ask(blocks: DataFrame, columns: list[str], distinct: Callable[..., tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """(block, code, word, c, first): corpus counts of each block's distinct 64-bit hashes.
+    """(block, code, c, first): corpus counts of each block's distinct 64-bit hashes, of those that stand twice or more.
 
-    ``distinct`` makes (hashes, counts) of the values of ``columns``; ``code`` is the place among those hashes.
-    ``word`` is set in the one row of each hash where ``first`` is.
+    ``distinct`` makes (hashes, counts) of the values of ``columns``; ``code`` is the place among those hashes. ``first`` is set in one block of each hash.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,7 +36,7 @@ def ask(blocks: DataFrame, columns: list[str], distinct: Callable[..., tuple[np.
                     w = word[lo : lo + _STEP]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), block)), pa.array(np.arange(lo, lo + len(w), dtype=np.int32)), pa.array(w), pa.array(own[lo : lo + len(w)])], ["block", "code", "word", "own"])
 
-    rows = blocks.select("block", *columns).mapInArrow(run, "block bigint, code int, word bigint, own bigint")
-    same = Window.partitionBy("word")
-    first = F.row_number().over(same.orderBy("block")) == 1
-    return rows.select("block", "code", F.when(first, F.col("word")).alias("word"), F.sum("own").over(same).alias("c"), first.alias("first"))
+    rows = written(blocks.select("block", *columns).mapInArrow(run, "block bigint, code int, word bigint, own bigint"), "asked")
+    # sums combine before the shuffle, and AQE may split the join that sends one back to all blocks
+    counts = rows.groupBy("word").agg(F.sum("own").alias("c"), F.min("block").alias("holder")).where("c > 1")
+    return rows.join(counts, "word").select("block", "code", "c", (F.col("block") == F.col("holder")).alias("first"))

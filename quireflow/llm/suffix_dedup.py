@@ -47,7 +47,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from . import bytewords as bw
 from .blocks import ask
-from .common import passes, table, utf8, written
+from .common import drop_written, passes, table, utf8, written
 
 MATCH = 200
 #: Bytes of a trigger: long enough that a larger corpus holds few of them twice by chance, which only costs time.
@@ -211,7 +211,7 @@ def sift(parsed: DataFrame, answers: DataFrame, hot: int = HOT) -> DataFrame:
         off, data = _opened(block.column("ends")[0].as_py(), block.column("text")[0].as_py())
         p, words, _ = _phrases(off, data)
         start, stop, at, trigger, phrase = (p[k] for k in ("start", "stop", "at", "trigger", "phrase"))
-        # only counts above one were sent back
+        # only counts above one are sent back
         counts, first = np.ones(len(words), np.int64), np.ones(len(words), bool)
         code = known.column("code").to_numpy()
         counts[code] = known.column("c").to_numpy()
@@ -243,7 +243,7 @@ def sift(parsed: DataFrame, answers: DataFrame, hot: int = HOT) -> DataFrame:
         return pa.concat_tables(out)
 
     left = parsed.select("block", "ends", "text").groupBy("block")
-    right = answers.where("c > 1").select("block", "code", "c", "first").groupBy("block")
+    right = answers.groupBy("block")
     return written(left.cogroup(right).applyInArrow(run, "block bigint, start int, stop int, key bigint, single boolean, text binary"), "phrases")
 
 
@@ -365,7 +365,9 @@ def remove(parsed: DataFrame, spans: DataFrame, key: str = "doc_id", with_text:
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT, with_text: bool = False, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The whole operator over a table of documents."""
     parsed = blocks(docs, key, text, block_bytes)
-    phrases = sift(parsed, ask(parsed, ["ends", "text"], _asked), hot)
+    answers = ask(parsed, ["ends", "text"], _asked)
+    phrases = sift(parsed, answers, hot)
+    drop_written(answers)
     spans = phrases.where("key is null").select("block", "start", "stop").unionByName(decide(phrases, shard_bytes))
     spans = spans.unionByName(counted_windows(phrases), allowMissingColumns=True)
     return remove(parsed, spans, key, with_text)
