@@ -232,7 +232,7 @@ def test_mix_edges(spark):
 @pytest.mark.parametrize("name", sorted(sql.ORACLES))
 def test_queries_agree_with_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "pages"):
+    for t in ("documents", "labels", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got, want = queries.queries()[name](spark, SF), con.sql(sql.ORACLES[name])
     assert got.columns == want.columns and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want.fetchall()))
