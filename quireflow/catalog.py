@@ -147,11 +147,18 @@ def table_tag_balance(spark, sf):
     return _order_tables(spark, sf).select("l_orderkey", *(v.alias(k) for k, v in html.table_stats(m).items()), html.missing_closings(m).alias("missing"), html.is_broken(m).alias("broken"))
 
 
-_TOC = """(CASE doc_id % 4 WHEN 0 THEN '# 条款目录' || chr(10) || text WHEN 1 THEN '1 总则' || chr(10) || '2.1 保险 目录' || chr(10) || '3 责任' || chr(10) || text WHEN 2 THEN '1 a' || chr(10) || '2 b' || chr(10) || '3 c' || chr(10) || '目录' ELSE text END)"""
+_TOC = """(CASE doc_id % 4
+  WHEN 0 THEN '# 条款目录' || chr(10) || text
+  WHEN 1 THEN '1 总则' || chr(10) || '2.1 保险 目录' || chr(10) || '3 责任' || chr(10) || text
+  WHEN 2 THEN '1 a' || chr(10) || '2 b' || chr(10) || '3 c' || chr(10) || '目录'
+  ELSE text END)"""
 
 
-@query(f"""SELECT doc_id, CASE WHEN len(l) > 0 AND (contains(ltrim(l[1], '# '), '目录') OR (len(l) >= 3 AND len(list_filter(l[1:8], lambda x: regexp_matches(x, '^\\pN') AND regexp_matches(left(x, 8), '[. ]'))) >= 3
-AND len(list_filter(l[1:3], lambda x: contains(x, '目录'))) > 0)) THEN 'toc' ELSE 'body' END AS block_type FROM (SELECT doc_id, {_lines(_TOC)} AS l FROM documents)""")
+@query(f"""
+  SELECT doc_id, CASE WHEN len(l) > 0 AND (contains(ltrim(l[1], '# '), '目录') OR (
+           len(l) >= 3 AND len(list_filter(l[1:8], lambda x: regexp_matches(x, '^\\pN') AND regexp_matches(left(x, 8), '[. ]'))) >= 3
+           AND len(list_filter(l[1:3], lambda x: contains(x, '目录'))) > 0)) THEN 'toc' ELSE 'body' END AS block_type
+  FROM (SELECT doc_id, {_lines(_TOC)} AS l FROM documents)""")
 def toc_mark(spark, sf):
     k, t, n = F.col("doc_id") % 4, F.col("text"), "\n"
     s = F.when(k == 0, F.concat(F.lit("# 条款目录\n"), t)).when(k == 1, F.concat(F.lit(n.join(["1 总则", "2.1 保险 目录", "3 责任", ""])), t)).when(k == 2, F.lit(n.join(["1 a", "2 b", "3 c", "目录"]))).otherwise(t)
@@ -182,7 +189,10 @@ _QUALITY = f"""SELECT *, list_filter([
          CASE WHEN cc > 0 THEN fc / cc ELSE 0 END AS failure FROM ({_FILES}))"""
 
 
-@query(f"SELECT doc_id, CAST(chars AS BIGINT) AS chars, round(ratio, 6) AS duplication_ratio, round(failure, 6) AS api_failure_ratio, array_to_string(risks, ',') AS risks, len(risks) = 0 AS passed FROM ({_QUALITY})")
+@query(f"""
+  SELECT doc_id, CAST(chars AS BIGINT) AS chars, round(ratio, 6) AS duplication_ratio, round(failure, 6) AS api_failure_ratio,
+         array_to_string(risks, ',') AS risks, len(risks) = 0 AS passed
+  FROM ({_QUALITY})""")
 def quality_report(spark, sf):
     return _checked(spark, sf).select("doc_id", F.col("chars").cast("long").alias("chars"), F.round("duplication_ratio", 6).alias("duplication_ratio"), F.round("api_failure_ratio", 6).alias("api_failure_ratio"), F.array_join("risks", ",").alias("risks"), "passed")
 
@@ -256,9 +266,14 @@ def profile_classify(spark, sf):
     return _images(spark, sf).select("file_name", "width", "height", "pixels", F.round("aspect", 6).alias("aspect"), "doc_type", "risk_level")
 
 
-@query(f"""SELECT source, doc_type, count(*) AS n, round(quantile_cont(pixels / 1000000, 0.5), 6) AS median_megapixels, round(quantile_cont(pixels / 1000000, 0.9), 6) AS p90_megapixels, round(max(pixels / 1000000), 6) AS max_megapixels,
-round(quantile_cont(aspect, 0.5), 6) AS median_aspect, round(max(aspect), 6) AS max_aspect, CAST(count_if(pixels > 16777216) AS BIGINT) AS n_over_16m, CAST(count_if(pixels > 100000000) AS BIGINT) AS n_over_100m,
-CAST(sum((pixels + 3999999) // 4000000) AS BIGINT) AS chunks_4m, CAST(sum((pixels + 16777215) // 16777216) AS BIGINT) AS chunks_16m FROM {_IMAGES} GROUP BY source, doc_type""")
+@query(f"""
+  SELECT source, doc_type, count(*) AS n, round(quantile_cont(pixels / 1000000, 0.5), 6) AS median_megapixels,
+         round(quantile_cont(pixels / 1000000, 0.9), 6) AS p90_megapixels, round(max(pixels / 1000000), 6) AS max_megapixels,
+         round(quantile_cont(aspect, 0.5), 6) AS median_aspect, round(max(aspect), 6) AS max_aspect,
+         CAST(count_if(pixels > 16777216) AS BIGINT) AS n_over_16m, CAST(count_if(pixels > 100000000) AS BIGINT) AS n_over_100m,
+         CAST(sum((pixels + 3999999) // 4000000) AS BIGINT) AS chunks_4m, CAST(sum((pixels + 16777215) // 16777216) AS BIGINT) AS chunks_16m
+  FROM {_IMAGES}
+  GROUP BY source, doc_type""")
 def size_stats(spark, sf):
     stats = profile.statistics(profile.budgets(_images(spark, sf)), "source", "doc_type")
     return stats.select(*(F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in stats.dtypes))
@@ -608,9 +623,18 @@ def seam_merge_fuzzy(spark, sf):
     return _merged(_text_chunks(spark, sf, True), True)
 
 
-@query(r"""WITH c AS (SELECT file_name, "row", x0, y0, x1, y1, doc_type, lag(x0) OVER w AS a, lag(y0) OVER w AS b, lag(x1) OVER w AS cc, lag(y1) OVER w AS d, CASE WHEN "row" % 7 = 6 THEN 'table' ELSE 'body' END AS kind, lag(CASE WHEN "row" % 7 = 6 THEN 'table' ELSE 'body' END) OVER w AS before
-FROM (""" + _WINDOWS.format(images=_STRIPS, bands="CAST([] AS BIGINT[])", first="CAST(least(height, 4000) AS INT)", next="CAST(least(height, greatest(y1 - 320, y0 + 1) + 4000) AS INT)").replace("SELECT file_name, \"row\", 0 AS x0", "SELECT 'long_strip' AS doc_type, file_name, \"row\", 0 AS x0") + r""") WINDOW w AS (PARTITION BY file_name ORDER BY "row"))
-SELECT file_name, "row", coalesce(kind = 'body' AND before = 'body' AND least(x1, cc) > greatest(x0, a) AND least(y1, d) > greatest(y0, b), false) AS trim FROM c""")
+_PLAIN_WINDOWS = _WINDOWS.format(
+    images=_STRIPS, bands="CAST([] AS BIGINT[])", first="CAST(least(height, 4000) AS INT)", next="CAST(least(height, greatest(y1 - 320, y0 + 1) + 4000) AS INT)"
+)
+
+
+@query(f"""
+  WITH k AS (SELECT *, CASE WHEN "row" % 7 = 6 THEN 'table' ELSE 'body' END AS kind FROM ({_PLAIN_WINDOWS})),
+  c AS (
+    SELECT *, lag(x0) OVER w AS a, lag(y0) OVER w AS b, lag(x1) OVER w AS c, lag(y1) OVER w AS d, lag(kind) OVER w AS before
+    FROM k WINDOW w AS (PARTITION BY file_name ORDER BY "row"))
+  SELECT file_name, "row", coalesce(kind = 'body' AND before = 'body' AND least(x1, c) > greatest(x0, a) AND least(y1, d) > greatest(y0, b), false) AS trim
+  FROM c""")
 def overlap_predicate(spark, sf):
     cut = chunking.long_strip(_images(spark, sf).where("doc_type = 'long_strip'")).withColumn("block_type", F.when(F.col("row") % 7 == 6, "table").otherwise("body"))
     return merge.may_overlap(cut, "row").select("file_name", "row", "trim")
