@@ -294,3 +294,19 @@ def test_every_state_is_reached_once(spark):
     found = filter_audit.edges(rows, "part", list("XYZ"), ["k"]).collect()
     assert len(found) == 12 and {(r.state, r["filter"]) for r in found} == {(s, f) for s in range(8) for i, f in enumerate("XYZ") if not s >> i & 1}
     assert all(r.survivors == 8 >> bin(r.state).count("1") and r.removed == r.survivors // 2 for r in found)
+
+
+def test_states_are_planned_one_at_a_time(spark, monkeypatch):
+    """No plan holds all states: what the driver keeps doesn't grow with their number."""
+    from pyspark.sql import DataFrameWriter
+
+    rows = spark.createDataFrame([("p", *(i >> j & 1 > 0 for j in range(5)), 1) for i in range(32)], "part string, A boolean, B boolean, C boolean, D boolean, E boolean, n long")
+    plans, write = [], DataFrameWriter.parquet
+
+    def seen(self, *args, **options):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan().toString().count("InMemoryRelation"))
+        return write(self, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    assert filter_audit.edges(rows, "part", list("ABCDE"), []).count() == 80
+    assert len(plans) == 31 and 1 <= min(plans) and max(plans) <= 5
