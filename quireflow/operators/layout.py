@@ -18,6 +18,8 @@ from ..sources import pages
 
 #: Ink is darker than INK; a blank line has at most BLANK ink; thumbnails are at most THUMB wide or high.
 INK, BLANK, THUMB, FLAT = 245, 0.01, 1200, 2.0
+#: Rows of a series that one task sorts, keys kept whole.
+BAND_ROWS = 1 << 19
 HINTS = (
     "path string, width int, height int, crop_box struct<x0:int,y0:int,x1:int,y1:int>, horizontal_blank_bands array<struct<s:int,e:int>>, "
     "vertical_blank_bands array<struct<s:int,e:int>>, table_line_density double, column_count int"
@@ -31,10 +33,13 @@ def least_band(n: Column) -> Column:
 def blank_bands(series: DataFrame, key: str, position: str = "i", value: str = "density", threshold: float = BLANK) -> DataFrame:
     """(key, s, e): maximal half-open runs of values at or below the threshold, no shorter than least_band.
 
-    Gaps and islands: within a run, position minus rank is constant.
+    Gaps and islands: within a run, position minus rank is constant.  Rows shrink so much as shuffle files that partitions
+    merged by bytes would hold many millions of them, so they are dealt by number; one sort by key and position serves both windows.
     """
-    blank = series.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(key))).where(F.col(value) <= threshold)
-    island = F.col(position) - F.row_number().over(Window.partitionBy(key).orderBy(position))
+    dealt = series.repartition(series.count() // BAND_ROWS + 1, key)
+    whole = Window.partitionBy(key).orderBy(position)
+    blank = dealt.withColumn("n", F.count(F.lit(1)).over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).where(F.col(value) <= threshold)
+    island = F.col(position) - F.row_number().over(whole)
     runs = blank.withColumn("island", island).groupBy(key, "n", "island").agg(F.min(position).alias("s"), (F.max(position) + 1).alias("e"))
     return runs.where(F.col("e") - F.col("s") >= least_band(F.col("n"))).select(key, F.col("s").cast("int").alias("s"), F.col("e").cast("int").alias("e"))
 

@@ -77,6 +77,21 @@ def test_blank_bands(spark):
     assert sorted((r.s, r.e) for r in layout.blank_bands(rows, "k").collect()) == [(0, 5), (20, 24)]
 
 
+def test_blank_bands_are_dealt_by_rows(spark, monkeypatch):
+    """Partitions hold a number of rows, however small these are as shuffle files, and are sorted once."""
+    monkeypatch.setattr(layout, "BAND_ROWS", 600, raising=False)
+    dark = {(k, i) for k in range(60) for i in range(120) if (k * 31 + i * i) % 11 >= 8}
+    rows = spark.createDataFrame([(k, i, 0.5 if (k, i) in dark else 0.0) for k in range(60) for i in range(120)], "k long, i int, density double")
+    want = []
+    for k in range(60):
+        edges = [-1, *(i for i in range(120) if (k, i) in dark), 120]
+        want += [(k, a + 1, b) for a, b in zip(edges, edges[1:]) if b - a > 3]
+    found = layout.blank_bands(rows, "k")
+    assert sorted(map(tuple, found.collect())) == want
+    assert found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Sort [") == 1
+    assert found.rdd.getNumPartitions() == 60 * 120 // 600 + 1
+
+
 def test_band_mapping(spark):
     cases = [(3, 7, 2.0, 50), (11, 30, 5.0, 120), (1, 3, 2.5, 100), (-4, 2, 3.0, 9), (5, 5, 1.5, 6), (0, 900, 0.5, 100)]
     rows = spark.createDataFrame(cases, "s int, e int, scale double, n int")
