@@ -1,6 +1,7 @@
 """Quality rules, secret scans and LM scoring."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -384,3 +385,25 @@ def test_blocks_leave_arrow_one_at_a_time():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert seen == [(i, i, size) for i in range(n)] and most < 4 * size
+
+
+def test_op5_bounds_no_context(spark, tmp_path):
+    """The query's tree has every context that the divergence test keeps, of any length and however expected."""
+    free = {"surprise": -math.inf, "lift": 0.0}
+    for seed in range(60):
+        rng = random.Random(seed)
+        often = {w: rng.choice([0.1, 0.9]) for w in itertools.product("ab", repeat=5)}
+        docs = []
+        for i in range(60):
+            t = ["a"] * 5
+            for _ in range(60):
+                t.append("a" if rng.random() < often[tuple(t[-5:])] else "b")
+            docs.append((i, " ".join(t)))
+        prob, _, kept, _, gains = plain_tree(docs, 12, lm_scoring.PENALTY, **free)
+        if not any(0.97 < g < 1.03 for g in gains) and 5 <= max(map(len, kept), default=0) < 12:
+            break
+    else:
+        raise AssertionError("no corpus without close gains")
+    want = {i: sum(math.log10(prob(tuple(t[max(0, j - 12) : j]), x)) for j, x in enumerate(t)) for i, text in docs for t in [tokens(text)]}
+    spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id: r.score for r in lm_scoring.op5(spark, str(tmp_path)).collect()} == pytest.approx(want)
