@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -407,3 +408,35 @@ def test_op5_bounds_no_context(spark, tmp_path):
     want = {i: sum(math.log10(prob(tuple(t[max(0, j - 12) : j]), x)) for j, x in enumerate(t)) for i, text in docs for t in [tokens(text)]}
     spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     assert {r.doc_id: r.score for r in lm_scoring.op5(spark, str(tmp_path)).collect()} == pytest.approx(want)
+
+
+def test_lm_state_is_smaller_than_the_text(spark, monkeypatch):
+    """What is kept between two depths takes less than half of the tokenised blocks: at depth 1 nearly every token is in play."""
+    sizes = []
+
+    def kept(df, name, key, put=lm_scoring.bucketed):
+        out = put(df, name, key)
+        sizes.append((name, sum(os.path.getsize(p.removeprefix("file:")) for p in out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(lm_scoring, "bucketed", kept)
+    rng = random.Random(8)
+    docs = []
+    for i in range(100):
+        t = [rng.randrange(300)]
+        while len(t) < 2000:  # four words may follow each: contexts of one word are retained
+            t.append((7 * t[-1] + rng.randrange(4)) % 300)
+        docs.append((i, " ".join(f"w{x}" for x in t)))
+    lm_scoring.score(lm_scoring.blocks(spark.createDataFrame(docs, "doc_id bigint, text string")), longest=2, surprise=-math.inf, lift=0.0)
+    text = dict(sizes)["lmblocks"]
+    assert len(sizes) >= 2 and all(2 * size < text for name, size in sizes if name != "lmblocks")
+
+
+def test_contexts_whose_bits_agree_by_chance(spark):
+    """Two contexts with the same bits that stand twice and five times are two states."""
+    model = lm_scoring.Model(1000, 100, 1)
+    arrays = lambda total, symbol, own: (np.array([77], "<u8"), np.array([total], "<u4"), np.array([1], "<u4"), np.array([symbol], "<u4"), np.array([own], "<u4"), np.array([0.001], "<f4"))
+    asked = [(0, block, lm_scoring._squeeze(*arrays(*x))) for block, x in enumerate([(2, 11, 2), (5, 12, 5)])]
+    got = lm_scoring._answered(spark.createDataFrame(asked, "shard bigint, block bigint, body binary"), 2, model).collect()
+    answers = {r.block: [x.tolist() for x in lm_scoring._unsqueeze(r.body, "<u8", "<u4", "<u4", "<f4")[:3]] for r in got}
+    assert answers == {0: [[2], [1], [2]], 1: [[5], [1], [5]]}
